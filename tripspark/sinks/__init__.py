@@ -1,0 +1 @@
+"""sinks"""
