@@ -30,16 +30,27 @@ def is_blank(c) -> Column:
     return _c(c).isNull() | (_c(c) == F.lit(""))
 
 
+def is_double_text(c) -> Column:
+    """Cell spells a float (never NULL: blank and NULL cells are False)."""
+    return F.coalesce(_c(c).rlike(FLOAT_PATTERN), F.lit(False))
+
+
+def is_int_text(c) -> Column:
+    """Cell spells an integer that fits INT (never NULL)."""
+    return F.coalesce(_c(c).rlike(INT_PATTERN) & _c(c).try_cast("int").isNotNull(), F.lit(False))
+
+
 def to_double(c) -> Column:
-    """``float(cell)``, NULL for a blank or unparsable cell."""
-    s = blank_to_null(c)
-    return F.when(s.rlike(FLOAT_PATTERN), s.try_cast("double"))
+    """``float(cell)``, NULL for a blank or unparsable cell.
+
+    The grammar check also rejects the empty cell, so no separate blank test.
+    """
+    return F.when(_c(c).rlike(FLOAT_PATTERN), _c(c).try_cast("double"))
 
 
 def to_int(c) -> Column:
     """``int(cell)``: an integer literal only, so ``'1.5'`` is a bad value."""
-    s = blank_to_null(c)
-    return F.when(s.rlike(INT_PATTERN), s.try_cast("int"))
+    return F.when(_c(c).rlike(INT_PATTERN), _c(c).try_cast("int"))
 
 
 def default_key(key, row_no, present: bool = True, mode: str = "null") -> Column:

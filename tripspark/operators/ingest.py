@@ -48,9 +48,10 @@ def type_trips(raw: DataFrame, key_mode: str = "null", reject_non_finite: bool =
     missing = F.lit(False)
     for c in REQUIRED_FIELDS:
         missing = missing | parse.is_blank(_raw(raw, c))
-    bad = F.lit(False)
-    for c in REQUIRED_FIELDS:
-        bad = bad | typed[c].isNull()
+    # Validity flags on the raw cells keep the (often pushed-down) filter small.
+    bad = ~parse.is_int_text(_raw(raw, "passenger_count"))
+    for c in DOUBLE_FIELDS:
+        bad = bad | ~parse.is_double_text(_raw(raw, c))
     reason = F.when(missing, F.lit(MISSING_FIELD)).when(bad, F.lit(BAD_VALUE))
     if reject_non_finite:
         nonfinite = F.lit(False)

@@ -1,15 +1,28 @@
 """Lazy building blocks shared by the registered queries.
 
-Each function returns a DataFrame over the given tables; nothing is computed
-until a query acts on it.
+The data flow is the original's, with Spark jobs for every stage:
+
+    raw trip CSV ──type/validate──▶ accepted trips ──batch──▶ batch CSV files ──▶ features ──▶ models
+
+``raw`` and ``sent`` are computed from the raw CSV in the query's own plan.
+``trips`` reads the batch files, which are written once per input by the
+ingest job (``ingest_batches``) into the shared scratch folder, exactly as the
+trainer of the original reads the consumer's batch files.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import fixture
 from ..operators import batching, features, ingest
+from ..session import path_exists, shared_dir
+from ..sources import files
+
+# Bump when the batch layout changes, so stale materialized batches are not reused.
+BATCH_LAYOUT_VERSION = 1
 
 
 def raw(spark: SparkSession, sf_dir: str, with_key: bool = True) -> DataFrame:
@@ -25,16 +38,38 @@ def sent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batched(spark: SparkSession, sf_dir: str, batch_size: int | None = None) -> DataFrame:
+    """Accepted trips with ``batch_no``, computed in-plan (two-pass index)."""
     n = batch_size or batching.fixture_batch_size(spark, sf_dir)
     return batching.assign_batches(sent(spark, sf_dir), n)
 
 
-def featured(spark: SparkSession, sf_dir: str, batch: bool = False) -> DataFrame:
-    base = batched(spark, sf_dir) if batch else sent(spark, sf_dir)
-    return features.add_features(base)
+def ingest_batches(spark: SparkSession, sf_dir: str, out: str | None = None,
+                   batch_size: int | None = None) -> str:
+    """Ingest job: raw CSV → typed, validated → numbered batches → batch CSV files.
+
+    Without ``out`` the files go to a folder keyed by the raw source and batch
+    size and are reused if complete.
+    """
+    n = batch_size or batching.fixture_batch_size(spark, sf_dir)
+    if out is None:
+        src = fixture.raw_source_path(spark, sf_dir)
+        tag = hashlib.sha1(f"{src}|{n}|{BATCH_LAYOUT_VERSION}".encode()).hexdigest()[:16]
+        out = f"{shared_dir(spark)}/tripspark/batches/{tag}"
+        if path_exists(spark, f"{out}/_SUCCESS"):
+            return out
+    files.write_batches_csv(batched(spark, sf_dir, n), out)
+    return out
+
+
+def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Typed accepted trips with ``row_no`` and ``batch_no``, scanned from the batch files."""
+    return files.read_batches_csv(spark, ingest_batches(spark, sf_dir))
+
+
+def featured(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return features.add_features(trips(spark, sf_dir))
 
 
 def cleaned(spark: SparkSession, sf_dir: str, batch: bool = False) -> DataFrame:
     keep = ["row_no", "batch_no"] if batch else ["row_no"]
-    base = batched(spark, sf_dir) if batch else sent(spark, sf_dir)
-    return features.training_rows(base, keep=keep)
+    return features.training_rows(trips(spark, sf_dir), keep=keep)

@@ -143,25 +143,25 @@ def json_objects_only(spark, sf_dir):
 @query("parse_pickup_ts", with_pipeline(
     "SELECT row_no, strftime(pts, '%Y-%m-%d %H:%M:%S') AS pickup_ts FROM b"))
 def parse_pickup_ts(spark, sf_dir):
-    s = frames.sent(spark, sf_dir)
+    s = frames.trips(spark, sf_dir)
     return s.select("row_no", utc_text(parse_pickup("pickup_datetime")).alias("pickup_ts"))
 
 
 @query("time_features", with_pipeline("SELECT row_no, hour, day_of_week, month FROM f"))
 def time_features(spark, sf_dir):
-    s = frames.sent(spark, sf_dir)
+    s = frames.trips(spark, sf_dir)
     return with_time_features(s).select("row_no", "hour", "day_of_week", "month")
 
 
 @query("haversine_capped", with_pipeline("SELECT row_no, round(distance_km, 6) AS distance_km FROM f"))
 def haversine_capped(spark, sf_dir):
-    s = geo.with_distance(frames.sent(spark, sf_dir))
+    s = geo.with_distance(frames.trips(spark, sf_dir))
     return s.select("row_no", F.round("distance_km", 6).alias("distance_km"))
 
 
 @query("haversine_uncapped", with_pipeline("SELECT row_no, round(d0, 6) AS distance_km FROM d"))
 def haversine_uncapped(spark, sf_dir):
-    s = features.uncapped_distance(frames.sent(spark, sf_dir))
+    s = features.uncapped_distance(frames.trips(spark, sf_dir))
     return s.select("row_no", F.round("distance_km", 6).alias("distance_km"))
 
 
@@ -169,7 +169,7 @@ def haversine_uncapped(spark, sf_dir):
 def haversine_udf(spark, sf_dir):
     """Arrow-batched Python twin of the native expression."""
     hav = geo.haversine_pandas_udf()
-    s = frames.sent(spark, sf_dir)
+    s = frames.trips(spark, sf_dir)
     d = hav("pickup_longitude", "pickup_latitude", "dropoff_longitude", "dropoff_latitude")
     return s.select("row_no", F.round(d, 6).alias("distance_km"))
 
@@ -178,9 +178,9 @@ def haversine_udf(spark, sf_dir):
 def haversine_sql(spark, sf_dir):
     """SQL-callable distance function (D2), inlined by Catalyst."""
     name = geo.register_sql_function(spark)
-    frames.sent(spark, sf_dir).createOrReplaceTempView("tripspark_sent")
+    frames.trips(spark, sf_dir).createOrReplaceTempView("tripspark_trips")
     return spark.sql(f"SELECT row_no, round({name}(pickup_longitude, pickup_latitude, dropoff_longitude, "
-                     f"dropoff_latitude), 6) AS distance_km FROM tripspark_sent")
+                     f"dropoff_latitude), 6) AS distance_km FROM tripspark_trips")
 
 
 @query("round_fare", with_pipeline("SELECT row_no, round(distance_km, 2) AS distance_2dp FROM f"))

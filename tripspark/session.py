@@ -72,3 +72,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if "://" not in path or path.startswith("file:"):
         os.makedirs(path.replace("file:", ""), exist_ok=True)
     return path
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Existence check through Hadoop's FileSystem (works for any cluster store)."""
+    fs, p = _fs(spark, path)
+    return bool(fs.exists(p))
+
+
+def list_dir(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
+    """``(name, is_dir)`` of the direct children of ``path`` (empty if missing)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    return [(s.getPath().getName(), bool(s.isDirectory())) for s in fs.listStatus(p)]
+
+
+def file_signature(spark: SparkSession, path: str) -> str:
+    """Cheap identity of an input (length + modification time)."""
+    fs, p = _fs(spark, path)
+    st = fs.getFileStatus(p)
+    return f"{st.getLen()}-{st.getModificationTime()}"
