@@ -92,8 +92,17 @@ def raw_trips(events: DataFrame, with_key: bool = True) -> DataFrame:
     return m.select(*cols)
 
 
-# Bump when the derivation changes, so stale materialized sources are not reused.
-FIXTURE_VERSION = 1
+def code_tag(*modules: str) -> str:
+    """Hash of the package modules that produce a materialized table.
+
+    Part of every cache key, so a code change never reuses stale files.
+    """
+    root = os.path.dirname(os.path.abspath(__file__))
+    h = hashlib.sha1()
+    for m in modules:
+        with open(os.path.join(root, *m.split(".")) + ".py", "rb") as fh:
+            h.update(fh.read())
+    return h.hexdigest()[:12]
 
 
 def raw_source_path(spark: SparkSession, sf_dir: str) -> str:
@@ -107,7 +116,8 @@ def raw_source_path(spark: SparkSession, sf_dir: str) -> str:
     from .sources.files import write_raw_csv
 
     events = f"{sf_dir.rstrip('/')}/events.parquet"
-    tag = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{file_signature(spark, events)}|{FIXTURE_VERSION}"
+    code = code_tag("fixture", "sources.files")
+    tag = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{file_signature(spark, events)}|{code}"
                        .encode()).hexdigest()[:16]
     path = f"{shared_dir(spark)}/tripspark/raw_trips/{tag}"
     if not path_exists(spark, f"{path}/_SUCCESS"):

@@ -2,69 +2,80 @@
 
 Record ``i`` (0-based, in arrival order) belongs to batch ``i div N + 1``. A
 global ``row_number()`` would pull every row into one task, so the position is
-computed with a two-pass index instead:
-
-1. range-partition on the (unique) order key and sort inside each partition;
-2. ``monotonically_increasing_id`` then packs (partition, local position);
-3. per-partition counts → exclusive prefix sum; that table has one row per
-   partition, a size bound known before it is broadcast;
-4. position = partition offset + local position.
-
-Both passes read the same range exchange (Spark reuses it), the order key is
-unique, so a recomputed partition after an executor loss gets the same numbers.
+computed as a distributed dense index whose every step is a pure function of
+the data (no dependence on how the input happens to be partitioned):
+
+1. ``approxQuantile`` cuts the order key into P balanced buckets (P - 1 bounds
+   reach the driver; P is bounded below);
+2. per-bucket row counts (partial aggregation) → exclusive prefix sums; that
+   table has at most P rows, the bound that makes broadcasting it safe;
+3. ``row_number()`` inside each bucket (one shuffle on the bucket id, buckets
+   are balanced by construction since the key is unique);
+4. position = bucket offset + local rank.
+
+A recomputed task after an executor loss produces the same numbers.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_LOCAL_BITS = 33  # layout of monotonically_increasing_id: partition << 33 | position
-_LOCAL_MASK = (1 << _LOCAL_BITS) - 1
-
-# Partition count for the range exchange; also the size of the broadcast offset table.
-DEFAULT_INDEX_PARTITIONS = 200
-MAX_INDEX_PARTITIONS = 100_000
+# Number of key buckets; also the size bound of the broadcast offset table.
+DEFAULT_INDEX_BUCKETS = 200
+MAX_INDEX_BUCKETS = 100_000
 
 
-def _index_partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        n = int(num_partitions)
+def _index_buckets(df: DataFrame, num_buckets: int | None) -> int:
+    if num_buckets:
+        n = int(num_buckets)
     else:
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", str(DEFAULT_INDEX_PARTITIONS)))
-    if not 1 <= n <= MAX_INDEX_PARTITIONS:
-        raise ValueError(f"index partitions must be in [1, {MAX_INDEX_PARTITIONS}], got {n}")
+        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", str(DEFAULT_INDEX_BUCKETS)))
+    if not 1 <= n <= MAX_INDEX_BUCKETS:
+        raise ValueError(f"index buckets must be in [1, {MAX_INDEX_BUCKETS}], got {n}")
     return n
 
 
-def dense_index(df: DataFrame, order_by: list[str] | str, out: str = "row_idx",
-                num_partitions: int | None = None) -> DataFrame:
+def key_buckets(df: DataFrame, key: str, num_buckets: int, out: str = "_bucket") -> DataFrame:
+    """Add ``out`` = quantile bucket of the numeric ``key`` (0-based, ordered)."""
+    probs = [i / num_buckets for i in range(1, num_buckets)]
+    bounds = df.approxQuantile(key, probs, 1.0 / (4 * num_buckets)) if probs else []
+    splits = [float("-inf"), *sorted(set(float(b) for b in bounds)), float("inf")]
+    keyed = df.withColumn("_key_d", F.col(key).cast("double"))
+    # NULL keys land in an extra last bucket (handleInvalid="keep").
+    b = Bucketizer(splits=splits, inputCol="_key_d", outputCol=out, handleInvalid="keep")
+    return b.transform(keyed).withColumn(out, F.col(out).cast("int")).drop("_key_d")
+
+
+def dense_index(df: DataFrame, order_by: str, out: str = "row_idx",
+                num_buckets: int | None = None) -> DataFrame:
     """Add ``out`` = 0-based position of each row in ``order_by`` order.
 
-    ``order_by`` must identify rows uniquely (add a tiebreaker column if not).
+    ``order_by`` is one numeric column that identifies rows uniquely (exact as
+    a double, i.e. below 2**53). Triggers one quantile pass when called.
     """
-    keys = [order_by] if isinstance(order_by, str) else list(order_by)
-    n = _index_partitions(df, num_partitions)
-    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-                .withColumn("_mid", F.monotonically_increasing_id())
-                .withColumn("_part", F.shiftright("_mid", _LOCAL_BITS)))
-    counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
-    # At most n rows (one per range partition): the bound is checked above.
+    n = _index_buckets(df, num_buckets)
+    bucketed = key_buckets(df, order_by, n)
+    counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    # At most n + 1 rows (one per bucket): the bound is checked above.
     offsets = counts.select(
-        "_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_offset"))
-    return (ranged.join(F.broadcast(offsets), "_part")
-                  .withColumn(out, F.col("_offset") + F.col("_mid").bitwiseAND(F.lit(_LOCAL_MASK)))
-                  .drop("_mid", "_part", "_offset"))
+        "_bucket", (F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")).alias("_offset"))
+    local = F.row_number().over(Window.partitionBy("_bucket").orderBy(F.col(order_by).asc_nulls_last())) - 1
+    return (bucketed.withColumn("_local", local)
+                    .join(F.broadcast(offsets), "_bucket")
+                    .withColumn(out, F.col("_offset") + F.col("_local"))
+                    .drop("_bucket", "_local", "_offset"))
 
 
-def assign_batches(df: DataFrame, batch_size: int, order_by: list[str] | str = "row_no",
-                   out: str = "batch_no", num_partitions: int | None = None,
+def assign_batches(df: DataFrame, batch_size: int, order_by: str = "row_no",
+                   out: str = "batch_no", num_buckets: int | None = None,
                    keep_index: bool = False) -> DataFrame:
     """Add ``batch_no`` (1-based, INT): rows ``[k*N, (k+1)*N)`` of the order form batch k+1."""
     if batch_size < 1:
         raise ValueError("batch_size must be positive")
-    idx = dense_index(df, order_by, out="_row_idx", num_partitions=num_partitions)
-    idx = idx.withColumn(out, (F.floor(F.col("_row_idx") / F.lit(batch_size)) + 1).cast("int"))
+    idx = dense_index(df, order_by, out="_row_idx", num_buckets=num_buckets)
+    idx = idx.withColumn(out, (F.expr(f"_row_idx div {int(batch_size)}") + 1).cast("int"))
     return idx.withColumnRenamed("_row_idx", "row_idx") if keep_index else idx.drop("_row_idx")
 
 

@@ -1,4 +1,4 @@
 """Registered queries (name → Spark DataFrame builder) and their DuckDB oracles."""
 
 from .registry import ORACLES, QUERIES  # noqa: F401
-from . import q_ingest  # noqa: F401  (registers queries)
+from . import q_ingest, q_batches  # noqa: F401,E401  (modules register their queries)

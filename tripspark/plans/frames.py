@@ -21,8 +21,8 @@ from ..operators import batching, features, ingest
 from ..session import path_exists, shared_dir
 from ..sources import files
 
-# Bump when the batch layout changes, so stale materialized batches are not reused.
-BATCH_LAYOUT_VERSION = 1
+# Modules whose code shapes the materialized batch files (part of the cache key).
+BATCH_CODE = ("fixture", "sources.files", "functions.parse", "operators.ingest", "operators.batching")
 
 
 def raw(spark: SparkSession, sf_dir: str, with_key: bool = True) -> DataFrame:
@@ -53,7 +53,7 @@ def ingest_batches(spark: SparkSession, sf_dir: str, out: str | None = None,
     n = batch_size or batching.fixture_batch_size(spark, sf_dir)
     if out is None:
         src = fixture.raw_source_path(spark, sf_dir)
-        tag = hashlib.sha1(f"{src}|{n}|{BATCH_LAYOUT_VERSION}".encode()).hexdigest()[:16]
+        tag = hashlib.sha1(f"{src}|{n}|{fixture.code_tag(*BATCH_CODE)}".encode()).hexdigest()[:16]
         out = f"{shared_dir(spark)}/tripspark/batches/{tag}"
         if path_exists(spark, f"{out}/_SUCCESS"):
             return out

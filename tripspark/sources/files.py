@@ -39,8 +39,8 @@ def write_raw_csv(raw: DataFrame, path: str) -> None:
 def write_batches_csv(batched: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One folder per batch, ``batch_no=<n>/`` (K3).
 
-    No extra shuffle: batch numbers grow with the arrival order, so each task of
-    the (range-partitioned) input writes the few batches it overlaps, sorted.
+    No extra shuffle: the batch index leaves rows clustered by contiguous key
+    buckets, so each task writes the few batches its buckets overlap, sorted.
     A batch split across tasks simply has several part files.
     """
     (batched.sortWithinPartitions("batch_no", "row_no")
