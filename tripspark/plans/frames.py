@@ -17,7 +17,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import fixture
-from ..operators import batching, features, ingest
+from ..operators import batching, features, ingest, training, versions
 from ..session import path_exists, shared_dir
 from ..sources import files
 
@@ -73,3 +73,35 @@ def featured(spark: SparkSession, sf_dir: str) -> DataFrame:
 def cleaned(spark: SparkSession, sf_dir: str, batch: bool = False) -> DataFrame:
     keep = ["row_no", "batch_no"] if batch else ["row_no"]
     return features.training_rows(trips(spark, sf_dir), keep=keep)
+
+
+# Modules whose code shapes the trained models (part of the model cache key).
+TRAIN_CODE = BATCH_CODE + ("operators.training", "operators.features", "operators.quality",
+                           "operators.versions", "functions.geo", "functions.timefeat")
+
+
+def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = batching.fixture_batch_size(spark, sf_dir)
+    return versions.batch_catalog(spark, ingest_batches(spark, sf_dir), n)
+
+
+def trained_models(spark: SparkSession, sf_dir: str, k: int = 3, order: str = "numeric",
+                   kind: str = "gbt") -> tuple[str, DataFrame]:
+    """Training job: fit and save versions 1..k once per input; returns (models_dir, summary).
+
+    The summary (one row per version) is stored next to the models in ``_versions``.
+    """
+    src = ingest_batches(spark, sf_dir)
+    tag = hashlib.sha1(f"{src}|{k}|{order}|{kind}|{fixture.code_tag(*TRAIN_CODE)}".encode()).hexdigest()[:16]
+    models_dir = f"{shared_dir(spark)}/tripspark/models/{tag}"
+    summary_path = f"{models_dir}/_versions"
+    if not path_exists(spark, f"{summary_path}/_SUCCESS"):
+        vb = versions.version_batches(catalog(spark, sf_dir), k=k, order=order)
+        results = training.train_versions(spark, cleaned(spark, sf_dir, batch=True), vb, models_dir, kind=kind)
+        training.results_frame(spark, results).write.mode("overwrite").parquet(summary_path)
+    return models_dir, spark.read.parquet(summary_path)
+
+
+def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scoring requests derived from the accepted trips (FIXTURES.md)."""
+    return fixture.requests_from_trips(sent(spark, sf_dir))
