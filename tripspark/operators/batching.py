@@ -42,6 +42,8 @@ def key_buckets(df: DataFrame, key: str, num_buckets: int, out: str = "_bucket")
     probs = [i / num_buckets for i in range(1, num_buckets)]
     bounds = df.approxQuantile(key, probs, 1.0 / (4 * num_buckets)) if probs else []
     splits = [float("-inf"), *sorted(set(float(b) for b in bounds)), float("inf")]
+    if len(splits) < 3:  # a single bucket (NULL keys in a last one)
+        return df.withColumn(out, F.when(F.col(key).isNull(), 1).otherwise(0))
     keyed = df.withColumn("_key_d", F.col(key).cast("double"))
     # NULL keys land in an extra last bucket (handleInvalid="keep").
     b = Bucketizer(splits=splits, inputCol="_key_d", outputCol=out, handleInvalid="keep")
