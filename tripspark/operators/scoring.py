@@ -54,7 +54,8 @@ def request_status(requests: DataFrame, registry: DataFrame) -> DataFrame:
     ``registry`` lists loaded versions (``model_version`` column); it is bounded
     by the number of saved models and broadcast.
     """
-    known = registry.select("model_version").distinct().withColumn("_known", F.lit(True))
+    # one row per loaded version (the registry lists each model folder once)
+    known = registry.select("model_version").withColumn("_known", F.lit(True))
     df = requests.join(F.broadcast(known), "model_version", "left")
     v = F.col("value").cast("string")
     squeezed = F.regexp_replace(v, r"\s", "")

@@ -8,6 +8,7 @@ fits on the cleaned rows of the first k batches, read from one cached frame.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -92,13 +93,15 @@ class VersionResult:
 
 def train_versions(spark: SparkSession, cleaned: DataFrame, vb: DataFrame, models_dir: str,
                    kind: str = "gbt", seed: int = DEFAULT_SEED, overwrite: bool = True,
-                   **params) -> list[VersionResult]:
+                   parallelism: int = 3, **params) -> list[VersionResult]:
     """Fit and save one pipeline per version (M8).
 
     ``cleaned`` has ``batch_no`` and the training columns; ``vb`` maps versions to
     batches (``operators.versions.version_batches``). The versioned rows are
     cached once and every fit filters them by version. An empty training set is
-    skipped (N8) and a failing version does not stop the others.
+    skipped (N8) and a failing version does not stop the others. Versions are
+    independent, so up to ``parallelism`` fits run as concurrent Spark jobs
+    (the same pattern as ``CrossValidator(parallelism=...)``).
     """
     train_cols = [LABEL, *FEATURE_COLUMNS]
     versioned = (cleaned.join(F.broadcast(vb), "batch_no")
@@ -108,23 +111,25 @@ def train_versions(spark: SparkSession, cleaned: DataFrame, vb: DataFrame, model
         sizes = {r["version"]: (r["n_rows"], r["n_batches"]) for r in
                  versioned.groupBy("version").agg(F.count(F.lit(1)).alias("n_rows"),
                                                   F.count_distinct("batch_no").alias("n_batches")).collect()}
+        # one entry per version: the version table is bounded by k(k+1)/2 rows
         expected = sorted(r["version"] for r in vb.select("version").distinct().collect())
-        results = []
-        for v in expected:
+
+        def fit_one(v: int) -> VersionResult:
             n_rows, n_batches = sizes.get(v, (0, 0))
             if n_rows == 0:
-                results.append(VersionResult(v, n_batches, 0, "skipped_empty", None))
-                continue
+                return VersionResult(v, n_batches, 0, "skipped_empty", None)
             path = model_path(models_dir, v)
             try:
                 model = fit_pipeline(versioned.filter(F.col("version") == v).select(*train_cols),
                                      kind=kind, seed=seed, **params)
                 w = model.write()
                 (w.overwrite() if overwrite else w).save(path)
-                results.append(VersionResult(v, n_batches, n_rows, "saved", path))
+                return VersionResult(v, n_batches, n_rows, "saved", path)
             except Exception as e:  # noqa: BLE001 - one failed version must not stop the rest
-                results.append(VersionResult(v, n_batches, n_rows, "failed", path, str(e)[:500]))
-        return results
+                return VersionResult(v, n_batches, n_rows, "failed", path, str(e)[:500])
+
+        with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(expected) or 1))) as pool:
+            return list(pool.map(fit_one, expected))
     finally:
         versioned.unpersist()
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.training import MODEL_PREFIX, model_path
-from ..session import list_dir, path_exists
+from ..session import file_signature, list_dir, path_exists
 
 REGISTRY_SCHEMA = ("model_name STRING, model_version STRING, path STRING, present BOOLEAN, "
                    "loaded BOOLEAN, error STRING")
@@ -22,9 +22,22 @@ FOLDER_PREFIX = "fare_model_"
 MAX_REGISTRY_ROWS = 10_000
 
 
-def _try_load(path: str, loader=PipelineModel):
+# Loaded models by (path, metadata identity): a model folder is loaded once per
+# driver and reloaded only when it was rewritten.
+_LOADED: dict[tuple[str, str], object] = {}
+
+
+def _try_load(path: str, loader=PipelineModel, spark: SparkSession | None = None):
+    key = None
     try:
-        return loader.load(path), None
+        if spark is not None:
+            key = (path, file_signature(spark, f"{path}/metadata"))
+            if key in _LOADED:
+                return _LOADED[key], None
+        model = loader.load(path)
+        if key is not None:
+            _LOADED[key] = model
+        return model, None
     except Exception as e:  # noqa: BLE001 - a broken model is reported, not fatal
         return None, str(e)[:300]
 
@@ -39,7 +52,7 @@ def load_expected(spark: SparkSession, models_dir: str, n_expected: int = 3):
     for i in range(1, n_expected + 1):
         name, path = f"{MODEL_PREFIX}{i}", model_path(models_dir, i)
         present = path_exists(spark, path)
-        model, err = _try_load(path) if present else (None, "not found")
+        model, err = _try_load(path, spark=spark) if present else (None, "not found")
         if model is not None:
             models[f"v{i}"] = model
         rows.append((name, f"v{i}", path, present, model is not None, err))
@@ -54,7 +67,7 @@ def scan_models(spark: SparkSession, models_dir: str):
             continue
         version = name.split("_")[-1]
         path = f"{models_dir.rstrip('/')}/{name}"
-        model, err = _try_load(path)
+        model, err = _try_load(path, spark=spark)
         if model is not None:
             models[version] = model
         rows.append((name, version, path, True, model is not None, err))
