@@ -32,6 +32,16 @@ def read_raw_csv(spark: SparkSession, path: str, schema: StructType = RAW_FILE_S
             .option("nullValue", NULL_MARKER).csv(path))
 
 
+def first_rows(raw: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` records of a source (S2, ``nrows=n``).
+
+    ``row_no`` is the 0-based arrival position the source carries, so this is a
+    filter that reaches the scan; a sort + limit would funnel up to ``n`` rows
+    per partition through a single task.
+    """
+    return raw.filter(F.col("row_no") < F.lit(n))
+
+
 def write_raw_csv(raw: DataFrame, path: str) -> None:
     raw.write.mode("overwrite").option("header", True).csv(path)
 
