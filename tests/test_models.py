@@ -92,3 +92,18 @@ def test_registry_expected_and_scan(spark, lr_versions):
     assert sorted(smodels) == ["v1", "v2", "v3"]
     s = registry.registry_summary(scan).first()
     assert (s.loaded_models, s.available_models) == (3, "v1,v2,v3")
+
+
+def test_gbt_reload_and_rerun_agree(spark, lr_versions):
+    out, _ = lr_versions
+    data = frames.cleaned(spark, SF).repartition(4, "row_no")
+    a = training.fit_pipeline(data, kind="gbt", maxIter=3)
+    b = training.fit_pipeline(data, kind="gbt", maxIter=3)
+    a.write().overwrite().save(out + "/gbt")
+    c = PipelineModel.load(out + "/gbt")
+    pa = a.transform(data).select("row_no", F.col("prediction").alias("a"))
+    pb = b.transform(data).select("row_no", F.col("prediction").alias("b"))
+    pc = c.transform(data).select("row_no", F.col("prediction").alias("c"))
+    j = pa.join(pb, "row_no").join(pc, "row_no")
+    assert j.filter((F.abs(F.col("a") - F.col("b")) > 1e-9) | (F.abs(F.col("a") - F.col("c")) > 1e-9)).count() == 0
+    assert j.count() == 639

@@ -22,8 +22,10 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-# Number of key buckets; also the size bound of the broadcast offset table.
-DEFAULT_INDEX_BUCKETS = 200
+# Key buckets per shuffle partition: bucket ids are hashed to partitions, so a few
+# buckets per partition even out the per-task load of the in-bucket ranking.
+BUCKETS_PER_PARTITION = 4
+# Upper bound on buckets; also the size bound of the broadcast offset table.
 MAX_INDEX_BUCKETS = 100_000
 
 
@@ -31,16 +33,24 @@ def _index_buckets(df: DataFrame, num_buckets: int | None) -> int:
     if num_buckets:
         n = int(num_buckets)
     else:
-        n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", str(DEFAULT_INDEX_BUCKETS)))
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+        n = min(parts * BUCKETS_PER_PARTITION, MAX_INDEX_BUCKETS)
     if not 1 <= n <= MAX_INDEX_BUCKETS:
         raise ValueError(f"index buckets must be in [1, {MAX_INDEX_BUCKETS}], got {n}")
     return n
 
 
-def key_buckets(df: DataFrame, key: str, num_buckets: int, out: str = "_bucket") -> DataFrame:
-    """Add ``out`` = quantile bucket of the numeric ``key`` (0-based, ordered)."""
+def key_buckets(df: DataFrame, key: str, num_buckets: int, out: str = "_bucket",
+                bounds_from: DataFrame | None = None) -> DataFrame:
+    """Add ``out`` = quantile bucket of the numeric ``key`` (0-based, ordered).
+
+    ``bounds_from`` (default ``df``) is any frame whose ``key`` column is
+    distributed like ``df``'s, e.g. the unfiltered source: bounds only steer the
+    balance of buckets, never the result.
+    """
     probs = [i / num_buckets for i in range(1, num_buckets)]
-    bounds = df.approxQuantile(key, probs, 1.0 / (4 * num_buckets)) if probs else []
+    src = df if bounds_from is None else bounds_from
+    bounds = src.approxQuantile(key, probs, 1.0 / (4 * num_buckets)) if probs else []
     splits = [float("-inf"), *sorted(set(float(b) for b in bounds)), float("inf")]
     if len(splits) < 3:  # a single bucket (NULL keys in a last one)
         return df.withColumn(out, F.when(F.col(key).isNull(), 1).otherwise(0))
@@ -51,14 +61,15 @@ def key_buckets(df: DataFrame, key: str, num_buckets: int, out: str = "_bucket")
 
 
 def dense_index(df: DataFrame, order_by: str, out: str = "row_idx",
-                num_buckets: int | None = None) -> DataFrame:
+                num_buckets: int | None = None, bounds_from: DataFrame | None = None) -> DataFrame:
     """Add ``out`` = 0-based position of each row in ``order_by`` order.
 
     ``order_by`` is one numeric column that identifies rows uniquely (exact as
-    a double, i.e. below 2**53). Triggers one quantile pass when called.
+    a double, i.e. below 2**53). Triggers one quantile pass when called (over
+    ``bounds_from`` if given, see :func:`key_buckets`).
     """
     n = _index_buckets(df, num_buckets)
-    bucketed = key_buckets(df, order_by, n)
+    bucketed = key_buckets(df, order_by, n, bounds_from=bounds_from)
     counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     # At most n + 1 rows (one per bucket): the bound is checked above.
     offsets = counts.select(
@@ -72,11 +83,11 @@ def dense_index(df: DataFrame, order_by: str, out: str = "row_idx",
 
 def assign_batches(df: DataFrame, batch_size: int, order_by: str = "row_no",
                    out: str = "batch_no", num_buckets: int | None = None,
-                   keep_index: bool = False) -> DataFrame:
+                   keep_index: bool = False, bounds_from: DataFrame | None = None) -> DataFrame:
     """Add ``batch_no`` (1-based, INT): rows ``[k*N, (k+1)*N)`` of the order form batch k+1."""
     if batch_size < 1:
         raise ValueError("batch_size must be positive")
-    idx = dense_index(df, order_by, out="_row_idx", num_buckets=num_buckets)
+    idx = dense_index(df, order_by, out="_row_idx", num_buckets=num_buckets, bounds_from=bounds_from)
     idx = idx.withColumn(out, (F.expr(f"_row_idx div {int(batch_size)}") + 1).cast("int"))
     return idx.withColumnRenamed("_row_idx", "row_idx") if keep_index else idx.drop("_row_idx")
 

@@ -67,9 +67,13 @@ def _true(c: Column) -> Column:
 
 
 def all_rules() -> Column:
-    ok = F.lit(True)
+    """Conjunction of every rule; NULL means "not kept" (a filter drops it).
+
+    Kept as plain comparisons so Catalyst can push them into the file scan.
+    """
+    ok = None
     for _, rule in RULES:
-        ok = ok & _true(rule())
+        ok = rule() if ok is None else ok & rule()
     return ok
 
 
@@ -80,8 +84,7 @@ def clean(features: DataFrame) -> DataFrame:
 
 def drop_rule(features: DataFrame, name: str) -> DataFrame:
     """Apply a single rule by name (for per-rule inspection)."""
-    rule = dict(RULES)[name]
-    return features.filter(_true(rule()))
+    return features.filter(dict(RULES)[name]())
 
 
 def first_failed_rule() -> Column:
