@@ -129,6 +129,23 @@ def gbt_stump(spark, sf_dir):
     return model.transform(grid).select("passenger_count", _r("prediction").alias("prediction"))
 
 
+@query("lr_basic_scores")
+def lr_basic_scores(spark, sf_dir):
+    """Docs-variant trainer: every batch file with an inferred schema, NULL rows dropped,
+    five raw features, plain linear regression saved without overwrite, reloaded, applied
+    (S8, N7, P13b, M6, K7, S13)."""
+    from ..schemas import BASIC_FEATURE_COLUMNS
+    from ..sources import files
+
+    df = files.read_batches_inferred(spark, frames.ingest_batches(spark, sf_dir)).dropna()
+    v = VectorAssembler(inputCols=BASIC_FEATURE_COLUMNS, outputCol="features").transform(df)
+    path = scratch_path(spark, "lr_basic") + "/taxi_fare_model"
+    training.regressor("lr_plain").fit(v).save(path)
+    loaded = registry.load_linear_model(path)
+    return loaded.transform(v).select(F.col("row_no").cast("bigint").alias("row_no"),
+                                      _r("prediction", 4).alias("prediction"))
+
+
 @query("gbt_scores")
 def gbt_scores(spark, sf_dir):
     """Full pipeline, version 1 (imputer, assembler, GBT × 20), scoring every training row (M5, M7, M9)."""
