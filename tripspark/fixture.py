@@ -121,7 +121,11 @@ def raw_source_path(spark: SparkSession, sf_dir: str) -> str:
                        .encode()).hexdigest()[:16]
     path = f"{shared_dir(spark)}/tripspark/raw_trips/{tag}"
     if not path_exists(spark, f"{path}/_SUCCESS"):
-        write_raw_csv(raw_trips(read_table(spark, sf_dir, "events")), path)
+        # Range-split by position into at least one file per core: files follow
+        # the arrival order, and scans of the source get full parallelism.
+        n_files = max(spark.sparkContext.defaultParallelism, 1)
+        raw = raw_trips(read_table(spark, sf_dir, "events")).repartitionByRange(n_files, "row_no")
+        write_raw_csv(raw.sortWithinPartitions("row_no"), path)
     return path
 
 

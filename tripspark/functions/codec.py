@@ -26,12 +26,20 @@ def decode(value, schema=TRIP_SCHEMA) -> Column:
 def is_object(value) -> Column:
     """True when the message is a JSON object (F3), False for anything else.
 
-    ``try_parse_json`` rejects the bare ``NaN`` that Python's encoder writes for
-    non-finite floats, so a ``{``-prefixed text that the struct decoder accepts
-    also counts as an object.
+    One parse: a JSON object (nested members included, bare ``NaN`` accepted as
+    Python's encoder writes it) decodes to a map; arrays, scalars, malformed
+    text and NULL do not.
     """
     v = _c(value).cast("string")
-    parsed = F.try_parse_json(v)
-    as_variant = F.schema_of_variant(parsed).startswith("OBJECT")
-    lenient = F.ltrim(v).startswith("{") & F.from_json(v, "MAP<STRING,STRING>").isNotNull()
-    return F.coalesce(F.when(parsed.isNotNull(), as_variant), lenient, F.lit(False))
+    return F.coalesce(F.from_json(v, "MAP<STRING,STRING>").isNotNull(), F.lit(False))
+
+
+CORRUPT = "_corrupt_record"
+
+
+def decode_text(value, names: list[str]) -> Column:
+    """Lenient decode: each member as its JSON text, plus ``_corrupt_record``
+    holding the input when it is not a JSON object (malformed, array, scalar)."""
+    v = _c(value).cast("string")
+    schema = ", ".join([f"`{n}` STRING" for n in names] + [f"{CORRUPT} STRING"])
+    return F.from_json(v, schema, {"columnNameOfCorruptRecord": CORRUPT})

@@ -39,12 +39,11 @@ FALSY_JSON = ["{}", "[]", '""', "0", "0.0", "false", "null"]
 REQUEST_FIELDS = [f.name for f in REQUEST_SCHEMA.fields]
 
 
-def _type_error(value: Column, parsed: Column) -> Column:
+def _type_error(text: Column, parsed: Column) -> Column:
     """A member is present in the text but does not fit its declared type."""
     err = F.lit(False)
     for f in REQUEST_FIELDS:
-        present = F.get_json_object(value, f"$.{f}").isNotNull()
-        err = err | (present & parsed[f].isNull())
+        err = err | (text[f].isNotNull() & parsed[f].isNull())
     return err
 
 
@@ -60,12 +59,15 @@ def request_status(requests: DataFrame, registry: DataFrame) -> DataFrame:
     v = F.col("value").cast("string")
     squeezed = F.regexp_replace(v, r"\s", "")
     no_input = v.isNull() | (squeezed == "") | squeezed.isin(FALSY_JSON)
-    parsed = codec.decode(v, REQUEST_SCHEMA)
+    # Two parses per body: members as text (presence, object-ness) and typed.
+    df = df.withColumns({"_txt": codec.decode_text(v, REQUEST_FIELDS), "_req": codec.decode(v, REQUEST_SCHEMA)})
+    txt, req = F.col("_txt"), F.col("_req")
+    not_object = txt.isNull() | txt[codec.CORRUPT].isNotNull()
     status = (F.when(F.col("_known").isNull(), F.lit(UNKNOWN_MODEL))
                .when(no_input, F.lit(NO_INPUT))
-               .when(~codec.is_object(v) | _type_error(v, parsed), F.lit(BAD_INPUT))
+               .when(not_object | _type_error(txt, req), F.lit(BAD_INPUT))
                .otherwise(F.lit(ACCEPTED)))
-    return (df.withColumn("_req", parsed).withColumn("status", status)
+    return (df.withColumn("status", status)
               .select(*[c for c in requests.columns], "status",
                       *[F.col(f"_req.{f}").alias(f) for f in REQUEST_FIELDS]))
 

@@ -104,5 +104,14 @@ def trained_models(spark: SparkSession, sf_dir: str, k: int = 3, order: str = "n
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scoring requests derived from the accepted trips (FIXTURES.md)."""
-    return fixture.requests_from_trips(sent(spark, sf_dir))
+    """Scoring requests derived from the accepted trips (FIXTURES.md).
+
+    Written once per input as a parquet table (the scoring input a service
+    would read); a filter on ``model_version`` reaches its scan.
+    """
+    src = fixture.raw_source_path(spark, sf_dir)
+    tag = hashlib.sha1(f"{src}|{fixture.code_tag(*BATCH_CODE)}".encode()).hexdigest()[:16]
+    path = f"{shared_dir(spark)}/tripspark/requests/{tag}"
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        fixture.requests_from_trips(sent(spark, sf_dir)).write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
