@@ -27,6 +27,11 @@ LR_REG_PARAM = 0.1
 DEFAULT_SEED = 42
 MODEL_PREFIX = "fare_model_v"
 
+# Training partitions are sized to the data (about this many rows each, ~80 MB of
+# features): MLlib's tree learners run one job per tree level, so a tiny training
+# set spread over many partitions pays scheduling overhead for nothing.
+TRAIN_ROWS_PER_PARTITION = 1_000_000
+
 
 def imputed_name(c: str) -> str:
     return f"{c}_imputed"
@@ -72,9 +77,25 @@ def full_pipeline(kind: str = "gbt", input_cols: list[str] = FEATURE_COLUMNS, sc
     return Pipeline(stages=[feature_pipeline(input_cols, "features", scale), regressor(kind, seed, **params)])
 
 
+def sized_partitions(df: DataFrame, n_rows: int) -> DataFrame:
+    """Narrow ``df`` (no shuffle) to about ``TRAIN_ROWS_PER_PARTITION`` rows per partition."""
+    want = max(1, -(-int(n_rows) // TRAIN_ROWS_PER_PARTITION))
+    return df.coalesce(want) if want < df.rdd.getNumPartitions() else df
+
+
 def fit_pipeline(train: DataFrame, kind: str = "gbt", input_cols: list[str] = FEATURE_COLUMNS,
                  scale: bool = False, seed: int = DEFAULT_SEED, **params) -> PipelineModel:
-    return full_pipeline(kind, input_cols, scale, seed, **params).fit(train)
+    """Fit the full pipeline. The training rows are read once and kept for the
+    several passes of the fit (imputer means, split finding, boosting rounds)
+    unless the caller already persisted them."""
+    if train.storageLevel.useMemory or train.storageLevel.useDisk:
+        return full_pipeline(kind, input_cols, scale, seed, **params).fit(train)
+    data = train.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        n = data.count()
+        return full_pipeline(kind, input_cols, scale, seed, **params).fit(sized_partitions(data, n))
+    finally:
+        data.unpersist()
 
 
 def model_path(models_dir: str, version: int) -> str:
@@ -120,8 +141,8 @@ def train_versions(spark: SparkSession, cleaned: DataFrame, vb: DataFrame, model
                 return VersionResult(v, n_batches, 0, "skipped_empty", None)
             path = model_path(models_dir, v)
             try:
-                model = fit_pipeline(versioned.filter(F.col("version") == v).select(*train_cols),
-                                     kind=kind, seed=seed, **params)
+                rows = sized_partitions(versioned.filter(F.col("version") == v).select(*train_cols), n_rows)
+                model = full_pipeline(kind, FEATURE_COLUMNS, False, seed, **params).fit(rows)
                 w = model.write()
                 (w.overwrite() if overwrite else w).save(path)
                 return VersionResult(v, n_batches, n_rows, "saved", path)
