@@ -48,3 +48,11 @@ def test_batch_size_validated(spark):
     df = spark.createDataFrame([(1,)], "row_no BIGINT")
     with pytest.raises(ValueError):
         batching.assign_batches(df, 0)
+
+
+def test_repeated_order_key_is_refused(spark):
+    # one key value holding a third of the rows cannot be ranked in one task
+    keys = [7] * 1000 + list(range(10_000, 12_000))
+    df = spark.createDataFrame([(k,) for k in keys], "k BIGINT")
+    with pytest.raises(Exception, match="not unique"):
+        batching.dense_index(df, "k", num_buckets=64).collect()

@@ -93,3 +93,20 @@ def test_kafka_settings():
     sink = topic.kafka_sink_options()
     assert sink["kafka.retries"] == "5" and sink["kafka.linger.ms"] == "10"
     assert F is not None
+
+
+def test_paced_replay_with_processing_time(spark, tmp_out):
+    raw_dir = tmp_out.replace("file:", "") + "/raw_paced"
+    rows = [(i, f"k{i}", "5.5", "2013-07-02 19:54:00 UTC", "-73.98", "40.75", "-73.95", "40.78", "1")
+            for i in range(20)]
+    schema = ("row_no BIGINT, key STRING, fare_amount STRING, pickup_datetime STRING, pickup_longitude STRING, "
+              "pickup_latitude STRING, dropoff_longitude STRING, dropoff_latitude STRING, passenger_count STRING")
+    spark.createDataFrame(rows, schema).repartition(2).write.option("header", True).csv(raw_dir)
+    t = topic.FileTopic(f"{tmp_out}/topic_paced")
+    q = pipeline.replay(spark, raw_dir, t, f"{tmp_out}/_chk_paced", max_files_per_trigger=1,
+                        processing_time="500 milliseconds")
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert sorted(r.offset for r in t.read(spark).collect()) == list(range(20))

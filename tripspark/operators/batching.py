@@ -27,6 +27,9 @@ from pyspark.sql import functions as F
 BUCKETS_PER_PARTITION = 4
 # Upper bound on buckets; also the size bound of the broadcast offset table.
 MAX_INDEX_BUCKETS = 100_000
+# A bucket above this multiple of its fair share means the order key repeats:
+# the job stops instead of ranking a hot key's rows in one task.
+MAX_BUCKET_SKEW = 8
 
 
 def _index_buckets(df: DataFrame, num_buckets: int | None) -> int:
@@ -72,8 +75,12 @@ def dense_index(df: DataFrame, order_by: str, out: str = "row_idx",
     bucketed = key_buckets(df, order_by, n, bounds_from=bounds_from)
     counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     # At most n + 1 rows (one per bucket): the bound is checked above.
-    offsets = counts.select(
-        "_bucket", (F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")).alias("_offset"))
+    total = F.sum("_n").over(Window.partitionBy())
+    too_big = F.col("_n") > total * MAX_BUCKET_SKEW / n + 64
+    offset = F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")
+    offsets = counts.select("_bucket", F.when(too_big, F.raise_error(F.lit(
+        f"dense_index: a bucket of '{order_by}' holds over {MAX_BUCKET_SKEW}x its share; "
+        "the order key is not unique, add a tiebreaker"))).otherwise(offset).cast("long").alias("_offset"))
     local = F.row_number().over(Window.partitionBy("_bucket").orderBy(F.col(order_by).asc_nulls_last())) - 1
     return (bucketed.withColumn("_local", local)
                     .join(F.broadcast(offsets), "_bucket")

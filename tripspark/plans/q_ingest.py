@@ -199,11 +199,11 @@ def feature_table_basic(spark, sf_dir):
     return features.basic_training_rows(t, keep=["row_no"])
 
 
-@query("alias_select", with_pipeline("SELECT row_no, fare_amount FROM b WHERE batch_no = 1"))
+@query("alias_select", with_pipeline("SELECT row_no, batch_no, fare_amount FROM b"))
 def alias_select(spark, sf_dir):
-    """Frame alias and qualified column references."""
-    b = frames.batched(spark, sf_dir).alias("data_v1")
-    return b.filter(F.col("data_v1.batch_no") == 1).select("data_v1.row_no", "data_v1.fare_amount")
+    """Frame alias and qualified column references over all batches."""
+    b = frames.trips(spark, sf_dir).alias("data_v")
+    return b.select("data_v.row_no", "data_v.batch_no", "data_v.fare_amount")
 
 
 # --- filters and funnel ------------------------------------------------------
