@@ -49,10 +49,10 @@ def rejects_by_reason(spark, sf_dir):
 
 
 @query("ingest_funnel", with_pipeline(
-    "SELECT count(*) AS raw_rows, count_if(reject_reason IS NULL) AS sent, "
-    "count_if(reject_reason IS NOT NULL) AS skipped, "
-    "count_if(reject_reason = 'missing_field') AS skipped_missing_field, "
-    "count_if(reject_reason = 'bad_value') AS skipped_bad_value FROM typed2"))
+    "SELECT count(*) AS raw_rows, CAST(count_if(reject_reason IS NULL) AS BIGINT) AS sent, "
+    "CAST(count_if(reject_reason IS NOT NULL) AS BIGINT) AS skipped, "
+    "CAST(count_if(reject_reason = 'missing_field') AS BIGINT) AS skipped_missing_field, "
+    "CAST(count_if(reject_reason = 'bad_value') AS BIGINT) AS skipped_bad_value FROM typed2"))
 def ingest_funnel(spark, sf_dir):
     return ingest.ingest_funnel(frames.typed(spark, sf_dir))
 
@@ -234,8 +234,8 @@ _FUNNEL_CASE = """CASE WHEN NOT coalesce(fare_amount > 0 AND fare_amount < 500,
 
 @query("cleaning_funnel", with_pipeline(
     "SELECT count(*) AS rows_in, "
-    + ", ".join(f"count_if(r = '{n}') AS removed_{n}" for n, _ in quality.RULES)
-    + ", count_if(r IS NULL) AS rows_kept FROM (SELECT " + _FUNNEL_CASE + " AS r FROM f)"))
+    + ", ".join(f"CAST(count_if(r = '{n}') AS BIGINT) AS removed_{n}" for n, _ in quality.RULES)
+    + ", CAST(count_if(r IS NULL) AS BIGINT) AS rows_kept FROM (SELECT " + _FUNNEL_CASE + " AS r FROM f)"))
 def cleaning_funnel(spark, sf_dir):
     return quality.cleaning_funnel(frames.featured(spark, sf_dir))
 

@@ -45,9 +45,9 @@ def stream_topic_roundtrip(spark, sf_dir):
 
 
 @query("stream_ingest_funnel", with_pipeline(
-    "SELECT count(*) AS raw_rows, count_if(reject_reason IS NULL) AS sent, "
-    "count_if(reject_reason = 'missing_field') AS skipped_missing_field, "
-    "count_if(reject_reason = 'bad_value') AS skipped_bad_value FROM typed2"))
+    "SELECT count(*) AS raw_rows, CAST(count_if(reject_reason IS NULL) AS BIGINT) AS sent, "
+    "CAST(count_if(reject_reason = 'missing_field') AS BIGINT) AS skipped_missing_field, "
+    "CAST(count_if(reject_reason = 'bad_value') AS BIGINT) AS skipped_bad_value FROM typed2"))
 def stream_ingest_funnel(spark, sf_dir):
     """Sent / skipped counters of the replay stream, published with ``observe`` (A2 on a stream)."""
     _, _, q = _replayed_topic(spark, sf_dir, "stream_funnel")
