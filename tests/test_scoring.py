@@ -60,3 +60,20 @@ def test_records_are_json(spark, models):
     assert recs[0]["model_version"] == "fare_model_v1" and "predicted_fare" in recs[0]
     assert recs[1]["status"] == "unknown_model" and "predicted_fare" not in recs[1]
     assert F is not None
+
+
+def test_rows_a_model_would_skip_are_kept(spark):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    # a model without imputation: its assembler skips rows with a missing feature
+    cols = ["pickup_longitude", "passenger_count"]
+    train = frames.cleaned(spark, SF)
+    m = Pipeline(stages=[VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="skip"),
+                         LinearRegression(featuresCol="features", labelCol="fare_amount")]).fit(train)
+    reg = spark.createDataFrame([("v1",)], "model_version STRING")
+    items = [("v1", json.dumps(BODY)), ("v1", json.dumps({k: v for k, v in BODY.items() if k != "passenger_count"}))]
+    out = scoring.score(scoring.request_status(_requests(spark, items), reg), {"v1": m}).orderBy("request_id").collect()
+    assert [r.status for r in out] == ["ok", "no_prediction"]
+    assert out[1].predicted_fare is None

@@ -17,6 +17,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -72,6 +73,20 @@ def request_status(requests: DataFrame, registry: DataFrame) -> DataFrame:
                       *[F.col(f"_req.{f}").alias(f) for f in REQUEST_FIELDS]))
 
 
+def keeping_rows(model):
+    """The same model, but its vector assemblers keep invalid rows instead of dropping them.
+
+    Scoring must return one row per request: a row the training pipeline would
+    skip yields a NaN-bearing vector and, through it, ``no_prediction``
+    (the original answered such a request with a warning).
+    """
+    if isinstance(model, PipelineModel):
+        return PipelineModel(stages=[keeping_rows(s) for s in model.stages])
+    if isinstance(model, VectorAssembler) and model.getHandleInvalid() == "skip":
+        return model.copy({model.handleInvalid: "keep"})
+    return model
+
+
 def score(status_df: DataFrame, models: dict[str, PipelineModel],
           max_km: float | None = DEFAULT_MAX_KM, digits: int = 2) -> DataFrame:
     """Predict accepted requests with their version's model.
@@ -82,7 +97,7 @@ def score(status_df: DataFrame, models: dict[str, PipelineModel],
     base_cols = [c for c in status_df.columns if c not in REQUEST_FIELDS]
     accepted = features.add_features(status_df.filter(F.col("status") == ACCEPTED), max_km=max_km)
     parts = [
-        model.transform(accepted.filter(F.col("model_version") == F.lit(version)))
+        keeping_rows(model).transform(accepted.filter(F.col("model_version") == F.lit(version)))
              .select(*base_cols, F.col("prediction").cast("double").alias("prediction"))
         for version, model in sorted(models.items())
     ]
