@@ -39,12 +39,10 @@ def test_batches_and_versions(spark, sf):
     assert len(sizes) == 12 and sizes[12] == g["last"]
     assert all(sizes[b] == n for b in range(1, 12)) and sum(sizes.values()) == g["sent"]
     cat = frames.catalog(spark, sf)
-    counts = versions.cumulative_counts(frames.trips(spark, sf), frames.cleaned(spark, sf, batch=True),
-                                        versions.version_batches(cat, 3, "numeric"))
+    counts = versions.cumulative_counts(frames.featured(spark, sf), versions.version_batches(cat, 3, "numeric"))
     assert tuple(r.n_cleaned for r in counts.orderBy("version").collect()) == g["numeric"]
     if "lexical" in g:
-        lex = versions.cumulative_counts(frames.trips(spark, sf), frames.cleaned(spark, sf, batch=True),
-                                         versions.version_batches(cat, 3, "lexical"))
+        lex = versions.cumulative_counts(frames.featured(spark, sf), versions.version_batches(cat, 3, "lexical"))
         assert tuple(r.n_cleaned for r in lex.orderBy("version").collect()) == g["lexical"]
         names = [r.file_name for r in cat.orderBy("pos_lexical").collect()]
         assert names[:4] == ["batch_1.csv", "batch_10.csv", "batch_11.csv", "batch_12_final.csv"]

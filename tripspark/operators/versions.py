@@ -44,23 +44,37 @@ def version_batches(catalog: DataFrame, k: int = 3, order: str = "numeric") -> D
         raise ValueError(f"order must be one of {ORDERS}")
     pos = F.col(f"pos_{order}")
     n_versions = F.least(F.lit(k), F.max(pos).over(Window.partitionBy(F.lit(1))))
-    first = catalog.filter(pos <= k).withColumn("_kk", n_versions)
-    return (first.select("batch_no", F.explode(F.sequence(pos, F.col("_kk"))).alias("version"))
-                 .select(F.col("version").cast("int").alias("version"), "batch_no"))
+    first = catalog.withColumn("_kk", n_versions).filter(pos <= k)
+    vb = (first.select("batch_no", F.explode(F.sequence(pos, F.col("_kk"))).alias("version"))
+               .select(F.col("version").cast("int").alias("version"), "batch_no"))
+    # At most k(k+1)/2 rows: kept as a local table so plans that join it do not
+    # list the batch files again.
+    rows = vb.collect()
+    if len(rows) > k * (k + 1) // 2:
+        raise ValueError("version table larger than its bound")
+    return catalog.sparkSession.createDataFrame(rows, "version INT, batch_no INT")
 
 
 def versioned_rows(df: DataFrame, vb: DataFrame) -> DataFrame:
-    """Each row once per version whose training set contains its batch (fan-out ≤ k)."""
-    return df.join(F.broadcast(vb), "batch_no")
+    """Each row once per version whose training set contains its batch (fan-out ≤ k).
+
+    The few batch numbers involved become a literal filter first, so a scan of
+    batch folders is pruned to them before any file is opened.
+    """
+    batches = sorted({r["batch_no"] for r in vb.select("batch_no").collect()})
+    return df.filter(F.col("batch_no").isin(batches)).join(F.broadcast(vb), "batch_no")
 
 
-def cumulative_counts(trips: DataFrame, cleaned: DataFrame, vb: DataFrame) -> DataFrame:
-    """Per version: batches, trips and cleaned training rows (A1), one aggregate each."""
-    t = (versioned_rows(trips, vb).groupBy("version")
-         .agg(F.count_distinct("batch_no").alias("n_batches"), F.count(F.lit(1)).alias("n_trips")))
-    c = versioned_rows(cleaned, vb).groupBy("version").agg(F.count(F.lit(1)).alias("n_cleaned"))
-    return (t.join(c, "version", "left")
-             .select("version", "n_batches", "n_trips", F.coalesce("n_cleaned", F.lit(0)).alias("n_cleaned")))
+def cumulative_counts(featured: DataFrame, vb: DataFrame) -> DataFrame:
+    """Per version: batches, trips and cleaned training rows (A1).
+
+    One scan, one aggregate: ``featured`` are all trips with their features;
+    the cleaning rules count as a flag instead of a second filtered scan.
+    """
+    keep = F.coalesce(quality.all_rules(), F.lit(False))
+    return (versioned_rows(featured, vb).groupBy("version")
+            .agg(F.count_distinct("batch_no").alias("n_batches"), F.count(F.lit(1)).alias("n_trips"),
+                 F.count_if(keep).alias("n_cleaned")))
 
 
 def training_flag():

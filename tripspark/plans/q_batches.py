@@ -134,12 +134,12 @@ WHERE vb.{pos} <= vb.version GROUP BY vb.version"""
 @query("cumulative_counts", with_pipeline(_COUNTS_SQL.format(pos="pos_numeric"), CATALOG_CTES))
 def cumulative_counts(spark, sf_dir):
     """Per version: batches used, trips, cleaned training rows (A1, T3), numeric order."""
-    return versions.cumulative_counts(frames.trips(spark, sf_dir), frames.cleaned(spark, sf_dir, batch=True),
+    return versions.cumulative_counts(frames.featured(spark, sf_dir),
                                       versions.version_batches(_listing(spark, sf_dir), k=3, order="numeric"))
 
 
 @query("cumulative_counts_lexical", with_pipeline(_COUNTS_SQL.format(pos="pos_lexical"), CATALOG_CTES))
 def cumulative_counts_lexical(spark, sf_dir):
     """Same with the original's text order of file names (batches 1, 10, 11)."""
-    return versions.cumulative_counts(frames.trips(spark, sf_dir), frames.cleaned(spark, sf_dir, batch=True),
+    return versions.cumulative_counts(frames.featured(spark, sf_dir),
                                       versions.version_batches(_listing(spark, sf_dir), k=3, order="lexical"))
