@@ -13,6 +13,7 @@
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,16 +91,35 @@ class ExactBatcher:
         self.index_buckets = index_buckets
 
     def _start(self, spark: SparkSession, batch_id: int) -> int:
+        """First row number of this micro-batch: where the previous one ended.
+
+        Micro-batch ids are consecutive, so normally only the previous entry is
+        read; the whole manifest is scanned only if that entry is missing.
+        """
         path = f"{self.out}/_manifest"
-        if not path_exists(spark, path):
+        prev = f"{path}/batch_id={batch_id - 1}"
+        if batch_id > 0 and path_exists(spark, f"{prev}/_SUCCESS"):
+            m = spark.read.schema(MANIFEST_SCHEMA).json(prev)
+        elif path_exists(spark, path):
+            m = spark.read.schema(MANIFEST_SCHEMA).json(path).filter(F.col("batch_id") < batch_id)
+        else:
             return 0
-        m = spark.read.schema(MANIFEST_SCHEMA).json(path).filter(F.col("batch_id") < batch_id)
         row = m.agg(F.max(F.col("start") + F.col("n_rows")).alias("next")).first()
         return int(row["next"] or 0)
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
         start = self._start(spark, batch_id)
+        # A micro-batch is bounded by the trigger limits; it is read by several
+        # jobs below (rejects, count, index, write), so keep it for their span.
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            self._write(df, batch_id, start)
+        finally:
+            df.unpersist()
+
+    def _write(self, df: DataFrame, batch_id: int, start: int) -> None:
+        spark = df.sparkSession
         flagged = df.withColumn("_obj", codec.is_object("value"))
         (flagged.filter(~F.col("_obj")).select("offset", "value")
                 .write.mode("overwrite").json(f"{self.out}/_rejects/mb={batch_id}"))
