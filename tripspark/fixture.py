@@ -112,7 +112,7 @@ def raw_source_path(spark: SparkSession, sf_dir: str) -> str:
     the same way into the shared scratch folder (``spark.checkpoint.dir``) and
     every query scans that file. Keyed by the ``events`` file identity.
     """
-    from .session import file_signature, path_exists, shared_dir
+    from .session import file_signature, materialize, shared_dir
     from .sources.files import write_raw_csv
 
     events = f"{sf_dir.rstrip('/')}/events.parquet"
@@ -120,13 +120,15 @@ def raw_source_path(spark: SparkSession, sf_dir: str) -> str:
     tag = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{file_signature(spark, events)}|{code}"
                        .encode()).hexdigest()[:16]
     path = f"{shared_dir(spark)}/tripspark/raw_trips/{tag}"
-    if not path_exists(spark, f"{path}/_SUCCESS"):
+
+    def write(p):
         # Range-split by position into at least one file per core: files follow
         # the arrival order, and scans of the source get full parallelism.
         n_files = max(spark.sparkContext.defaultParallelism, 1)
         raw = raw_trips(read_table(spark, sf_dir, "events")).repartitionByRange(n_files, "row_no")
-        write_raw_csv(raw.sortWithinPartitions("row_no"), path)
-    return path
+        write_raw_csv(raw.sortWithinPartitions("row_no"), p)
+
+    return materialize(spark, path, write)
 
 
 def load_raw_trips(spark: SparkSession, sf_dir: str, with_key: bool = True) -> DataFrame:

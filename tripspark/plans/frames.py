@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .. import fixture
 from ..operators import batching, features, ingest, training, versions
-from ..session import path_exists, shared_dir
+from ..session import materialize, shared_dir
 from ..sources import files
 
 # Modules whose code shapes the materialized batch files (part of the cache key).
@@ -52,14 +52,13 @@ def ingest_batches(spark: SparkSession, sf_dir: str, out: str | None = None,
     size and are reused if complete.
     """
     n = batch_size or batching.fixture_batch_size(spark, sf_dir)
-    if out is None:
-        src = fixture.raw_source_path(spark, sf_dir)
-        tag = hashlib.sha1(f"{src}|{n}|{fixture.code_tag(*BATCH_CODE)}".encode()).hexdigest()[:16]
-        out = f"{shared_dir(spark)}/tripspark/batches/{tag}"
-        if path_exists(spark, f"{out}/_SUCCESS"):
-            return out
-    files.write_batches_csv(batched(spark, sf_dir, n), out)
-    return out
+    if out is not None:
+        files.write_batches_csv(batched(spark, sf_dir, n), out)
+        return out
+    src = fixture.raw_source_path(spark, sf_dir)
+    tag = hashlib.sha1(f"{src}|{n}|{fixture.code_tag(*BATCH_CODE)}".encode()).hexdigest()[:16]
+    return materialize(spark, f"{shared_dir(spark)}/tripspark/batches/{tag}",
+                       lambda p: files.write_batches_csv(batched(spark, sf_dir, n), p))
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,12 +94,13 @@ def trained_models(spark: SparkSession, sf_dir: str, k: int = 3, order: str = "n
     src = ingest_batches(spark, sf_dir)
     tag = hashlib.sha1(f"{src}|{k}|{order}|{kind}|{fixture.code_tag(*TRAIN_CODE)}".encode()).hexdigest()[:16]
     models_dir = f"{shared_dir(spark)}/tripspark/models/{tag}"
-    summary_path = f"{models_dir}/_versions"
-    if not path_exists(spark, f"{summary_path}/_SUCCESS"):
+
+    def train(summary_path):
         vb = versions.version_batches(catalog(spark, sf_dir), k=k, order=order)
         results = training.train_versions(spark, cleaned(spark, sf_dir, batch=True), vb, models_dir, kind=kind)
         training.results_frame(spark, results).write.mode("overwrite").parquet(summary_path)
-    return models_dir, spark.read.parquet(summary_path)
+
+    return models_dir, spark.read.parquet(materialize(spark, f"{models_dir}/_versions", train))
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,7 +111,6 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     src = fixture.raw_source_path(spark, sf_dir)
     tag = hashlib.sha1(f"{src}|{fixture.code_tag(*BATCH_CODE)}".encode()).hexdigest()[:16]
-    path = f"{shared_dir(spark)}/tripspark/requests/{tag}"
-    if not path_exists(spark, f"{path}/_SUCCESS"):
-        fixture.requests_from_trips(sent(spark, sf_dir)).write.mode("overwrite").parquet(path)
+    path = materialize(spark, f"{shared_dir(spark)}/tripspark/requests/{tag}",
+                       lambda p: fixture.requests_from_trips(sent(spark, sf_dir)).write.mode("overwrite").parquet(p))
     return spark.read.parquet(path)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 
 from pyspark.sql import SparkSession
@@ -99,3 +100,18 @@ def file_signature(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
     st = fs.getFileStatus(p)
     return f"{st.getLen()}-{st.getModificationTime()}"
+
+
+_MATERIALIZE_LOCK = threading.RLock()
+
+
+def materialize(spark: SparkSession, path: str, write) -> str:
+    """Run ``write(path)`` unless ``path`` already holds a complete output (``_SUCCESS``).
+
+    Serialized within the driver, so queries running from several threads of one
+    session never write the same table twice or read a half-written one.
+    """
+    with _MATERIALIZE_LOCK:
+        if not path_exists(spark, f"{path}/_SUCCESS"):
+            write(path)
+    return path

@@ -1 +1,13 @@
-"""sinks"""
+"""Sinks, gathered from where they are implemented.
+
+* files: raw trip CSV, batch CSV folders (``batch_no=<n>/``) — :mod:`tripspark.sources.files`
+* topic: Kafka sink options and the file-backed topic writer — :mod:`tripspark.streaming.topic`
+* exact batch folders from a stream — :class:`tripspark.streaming.pipeline.ExactBatcher`
+* models: ``PipelineModel`` save with overwrite — :func:`tripspark.operators.training.train_versions`
+* prediction records as JSON — :func:`tripspark.operators.scoring.records`
+"""
+
+from ..operators.scoring import records as prediction_records  # noqa: F401
+from ..sources.files import write_batches_csv, write_raw_csv  # noqa: F401
+from ..streaming.pipeline import ExactBatcher  # noqa: F401
+from ..streaming.topic import FileTopic, KafkaTopic, kafka_sink_options  # noqa: F401
