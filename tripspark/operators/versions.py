@@ -75,8 +75,3 @@ def cumulative_counts(featured: DataFrame, vb: DataFrame) -> DataFrame:
     return (versioned_rows(featured, vb).groupBy("version")
             .agg(F.count_distinct("batch_no").alias("n_batches"), F.count(F.lit(1)).alias("n_trips"),
                  F.count_if(keep).alias("n_cleaned")))
-
-
-def training_flag():
-    """True for rows the cleaning keeps (all rules pass)."""
-    return quality.all_rules()
