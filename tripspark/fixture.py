@@ -112,7 +112,7 @@ def raw_source_path(spark: SparkSession, sf_dir: str) -> str:
     the same way into the shared scratch folder (``spark.checkpoint.dir``) and
     every query scans that file. Keyed by the ``events`` file identity.
     """
-    from .session import file_signature, materialize, shared_dir
+    from .session import default_parallelism, file_signature, materialize, shared_dir
     from .sources.files import write_raw_csv
 
     events = f"{sf_dir.rstrip('/')}/events.parquet"
@@ -124,7 +124,7 @@ def raw_source_path(spark: SparkSession, sf_dir: str) -> str:
     def write(p):
         # Range-split by position into at least one file per core: files follow
         # the arrival order, and scans of the source get full parallelism.
-        n_files = max(spark.sparkContext.defaultParallelism, 1)
+        n_files = default_parallelism(spark)
         raw = raw_trips(read_table(spark, sf_dir, "events")).repartitionByRange(n_files, "row_no")
         write_raw_csv(raw.sortWithinPartitions("row_no"), p)
 

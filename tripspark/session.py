@@ -56,16 +56,31 @@ def shared_dir(spark: SparkSession) -> str:
         base = spark.conf.get("spark.checkpoint.dir", None)
     except Exception:  # pragma: no cover - conf lookup is best effort
         base = None
-    if not base:
-        base = spark.sparkContext.getCheckpointDir()
+    sc = _context(spark)
+    if not base and sc is not None:
+        base = sc.getCheckpointDir()
     if not base:
         base = tempfile.mkdtemp(prefix="tripspark-")
-        spark.sparkContext.setCheckpointDir(base)
-    elif spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(base)
+        if sc is not None:
+            sc.setCheckpointDir(base)
+    elif sc is not None and sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(base)
     return base.rstrip("/")
 
 
+def _context(spark: SparkSession):
+    """The SparkContext, or None for a session without one (Spark Connect)."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001
+        return None
+
+
+def default_parallelism(spark: SparkSession) -> int:
+    sc = _context(spark)
+    return max(sc.defaultParallelism if sc is not None else (os.cpu_count() or 1), 1)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared scratch folder."""
     base = shared_dir(spark)
@@ -76,20 +91,30 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def _fs(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+    """Hadoop FileSystem for ``path``; None without a JVM gateway (then local paths only)."""
+    sc = _context(spark)
+    if sc is None or getattr(sc, "_jvm", None) is None:
+        return None, path
+    p = sc._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(sc._jsc.hadoopConfiguration()), p
+
+
+def _local(path: str) -> str:
+    return path[len("file:"):] if path.startswith("file:") else path
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Existence check through Hadoop's FileSystem (works for any cluster store)."""
     fs, p = _fs(spark, path)
-    return bool(fs.exists(p))
+    return bool(fs.exists(p)) if fs is not None else os.path.exists(_local(path))
 
 
 def list_dir(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
     """``(name, is_dir)`` of the direct children of ``path`` (empty if missing)."""
     fs, p = _fs(spark, path)
+    if fs is None:
+        d = _local(path)
+        return [(n, os.path.isdir(os.path.join(d, n))) for n in os.listdir(d)] if os.path.isdir(d) else []
     if not fs.exists(p):
         return []
     return [(s.getPath().getName(), bool(s.isDirectory())) for s in fs.listStatus(p)]
@@ -98,6 +123,9 @@ def list_dir(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
 def file_signature(spark: SparkSession, path: str) -> str:
     """Cheap identity of an input (length + modification time)."""
     fs, p = _fs(spark, path)
+    if fs is None:
+        st = os.stat(_local(path))
+        return f"{st.st_size}-{int(st.st_mtime * 1000)}"
     st = fs.getFileStatus(p)
     return f"{st.getLen()}-{st.getModificationTime()}"
 
