@@ -8,6 +8,7 @@ streaming file sink, columns ``value, offset, timestamp``).
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -98,7 +99,8 @@ def run_available_now(writer, query_name: str | None = None, timeout_s: float =
     """Start a stream writer with ``availableNow``: drain what is there, then stop."""
     w = writer.trigger(availableNow=True)
     if query_name:
-        w = w.queryName(query_name)
+        # unique per run: two active queries may not share a name
+        w = w.queryName(f"{query_name}_{uuid.uuid4().hex[:8]}")
     q = w.start()
     q.awaitTermination(timeout_s)
     if q.isActive:
