@@ -110,3 +110,10 @@ def test_paced_replay_with_processing_time(spark, tmp_out):
     finally:
         q.stop()
     assert sorted(r.offset for r in t.read(spark).collect()) == list(range(20))
+
+
+def test_multiple_of_n_stream_has_no_final_batch(spark, tmp_out):
+    b = pipeline.ExactBatcher(f"{tmp_out}/nm", 4)
+    b(spark.createDataFrame([(_trip(i), i, None) for i in range(5)], TOPIC_SCHEMA), 0)
+    b(spark.createDataFrame([(_trip(i), i, None) for i in range(5, 8)], TOPIC_SCHEMA), 1)
+    assert _sizes(spark, f"{tmp_out}/nm", 4) == {1: (4, False), 2: (4, False)}
