@@ -72,7 +72,12 @@ class KafkaTopic:
 
 @dataclass
 class FileTopic:
-    """Directory-backed topic. One file per producer micro-batch keeps arrival order."""
+    """Directory-backed topic with the Kafka source's columns.
+
+    Producer micro-batches are written in parallel, several files each. Files of
+    later micro-batches are read later; inside one micro-batch the consumer
+    orders by ``offset``, the way it orders rows of several Kafka partitions.
+    """
 
     path: str
     max_files_per_trigger: int | None = None
@@ -87,10 +92,7 @@ class FileTopic:
         return spark.read.schema(TOPIC_SCHEMA).parquet(self.path)
 
     def write_stream(self, df: DataFrame, checkpoint: str):
-        # A micro-batch is bounded by the source's trigger limit; one file per
-        # micro-batch keeps micro-batches in arrival order for the reader, like a
-        # single Kafka partition log (consumers order by offset inside a batch).
-        return (df.select("value", "offset", "timestamp").coalesce(1)
+        return (df.select("value", "offset", "timestamp")
                   .writeStream.format("parquet").option("path", self.path)
                   .option("checkpointLocation", checkpoint))
 
