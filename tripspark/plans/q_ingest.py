@@ -115,10 +115,6 @@ def json_decode(spark, sf_dir):
     return msgs.select("row_no", codec.decode("value").alias("t")).select("row_no", "t.*")
 
 
-JUNK_SQL = ("CASE WHEN row_no % 29 = 0 THEN (CASE (row_no // 29) % 4 WHEN 0 THEN '[1]' WHEN 1 THEN '\"s\"' "
-            "WHEN 2 THEN 'garbage' ELSE NULL END) ELSE 'x' END")
-
-
 def messages(spark, sf_dir):
     """Topic messages: encoded trips, every 29th replaced by a non-object value."""
     s = frames.sent(spark, sf_dir)
@@ -129,10 +125,16 @@ def messages(spark, sf_dir):
     return s.select("row_no", F.when(r % 29 == 0, junk).otherwise(codec.encode()).alias("value"))
 
 
+# Oracle: every 29th message is replaced by '[1]', '"s"', 'garbage' or NULL in turn.
+_MESSAGES_SQL = """
+SELECT row_no, CASE WHEN row_no % 29 <> 0 THEN to_json(struct_pack(key, fare_amount))::VARCHAR
+  WHEN (row_no // 29) % 4 = 0 THEN '[1]' WHEN (row_no // 29) % 4 = 1 THEN '"s"'
+  WHEN (row_no // 29) % 4 = 2 THEN 'garbage' END AS j FROM sent"""
+
+
 @query("json_objects_only", with_pipeline(
     "SELECT row_no, CASE WHEN j IS NULL THEN false WHEN json_valid(j) THEN json_type(j) = 'OBJECT' "
-    "ELSE false END AS is_object FROM (SELECT row_no, " + JUNK_SQL.replace("ELSE 'x' END", "ELSE '{}' END")
-    + " AS j FROM sent)"))
+    f"ELSE false END AS is_object FROM ({_MESSAGES_SQL})"))
 def json_objects_only(spark, sf_dir):
     """Non-object messages are flagged, not fatal."""
     return messages(spark, sf_dir).select("row_no", codec.is_object("value").alias("is_object"))
