@@ -6,17 +6,19 @@ from pyspark.sql import functions as F
 from tripspark.operators import batching, ingest, quality, versions
 from tripspark.plans import frames
 
-SF001, SF01 = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+SF001, SF01, SF1 = "/root/testdata/sf0.001", "/root/testdata/sf0.01", "/root/testdata/sf0.1"
 
 GOLDEN = {
     SF001: dict(raw=1000, missing=23, bad=20, sent=957, cleaned=639, sum_km=1652.6438, avg_fare=9.23964,
                 last=77, numeric=(53, 100, 154)),
     SF01: dict(raw=10000, missing=223, bad=206, sent=9571, cleaned=5850, sum_km=63575.9542, avg_fare=14.593593,
                last=771, numeric=(500, 1001, 1504), lexical=(500, 971, 1458)),
+    SF1: dict(raw=100000, missing=2223, bad=2057, sent=95720, cleaned=58608, sum_km=693685.4858,
+              avg_fare=14.946069, last=7720, numeric=(4873, 9771, 14708), lexical=(4873, 9759, 14636)),
 }
 
 
-@pytest.mark.parametrize("sf", [SF001, SF01])
+@pytest.mark.parametrize("sf", [SF001, SF01, SF1])
 def test_ingest_and_cleaning(spark, sf):
     g = GOLDEN[sf]
     f = ingest.ingest_funnel(frames.typed(spark, sf)).first()
@@ -31,7 +33,7 @@ def test_ingest_and_cleaning(spark, sf):
     assert sum(fun[f"removed_{n}"] for n, _ in quality.RULES) + fun.rows_kept == fun.rows_in
 
 
-@pytest.mark.parametrize("sf", [SF001, SF01])
+@pytest.mark.parametrize("sf", [SF001, SF01, SF1])
 def test_batches_and_versions(spark, sf):
     g = GOLDEN[sf]
     n = batching.fixture_batch_size(spark, sf)
