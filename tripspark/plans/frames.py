@@ -38,7 +38,7 @@ def sent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batched(spark: SparkSession, sf_dir: str, batch_size: int | None = None) -> DataFrame:
-    """Accepted trips with ``batch_no``, computed in-plan (two-pass index)."""
+    """Accepted trips with ``batch_no``, computed in-plan (distributed dense index)."""
     n = batch_size or batching.fixture_batch_size(spark, sf_dir)
     # bucket bounds from the raw positions: one cheap column instead of a full validation pass
     return batching.assign_batches(sent(spark, sf_dir), n, bounds_from=raw(spark, sf_dir).select("row_no"))
