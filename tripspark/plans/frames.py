@@ -22,7 +22,8 @@ from ..session import materialize, shared_dir
 from ..sources import files
 
 # Modules whose code shapes the materialized batch files (part of the cache key).
-BATCH_CODE = ("fixture", "sources.files", "functions.parse", "operators.ingest", "operators.batching")
+BATCH_CODE = ("fixture", "sources.files", "functions.parse", "operators.ingest", "operators.batching",
+              "plans.frames")
 
 
 def raw(spark: SparkSession, sf_dir: str, with_key: bool = True) -> DataFrame:
