@@ -91,18 +91,23 @@ def score(status_df: DataFrame, models: dict[str, PipelineModel],
           max_km: float | None = DEFAULT_MAX_KM, digits: int = 2) -> DataFrame:
     """Predict accepted requests with their version's model.
 
-    Output: the request columns, ``status`` (final) and ``predicted_fare``
-    rounded half-up to ``digits`` (NULL unless ``ok``).
+    One branch per loaded version takes all rows of that version (its filter
+    reaches the scan, so each body is parsed once); only accepted rows keep
+    their prediction. Rows of other versions need no parsing at all. Output:
+    the request columns, ``status`` (final) and ``predicted_fare`` rounded
+    half-up to ``digits`` (NULL unless ``ok``).
     """
     base_cols = [c for c in status_df.columns if c not in REQUEST_FIELDS]
-    accepted = features.add_features(status_df.filter(F.col("status") == ACCEPTED), max_km=max_km)
+    versions = sorted(models)
+    accepted = F.col("status") == ACCEPTED
     parts = [
-        keeping_rows(model).transform(accepted.filter(F.col("model_version") == F.lit(version)))
-             .select(*base_cols, F.col("prediction").cast("double").alias("prediction"))
-        for version, model in sorted(models.items())
+        keeping_rows(models[v]).transform(
+            features.add_features(status_df.filter(F.col("model_version") == F.lit(v)), max_km=max_km))
+        .select(*base_cols, F.when(accepted, F.col("prediction").cast("double")).alias("prediction"))
+        for v in versions
     ]
-    rest = status_df.filter(F.col("status") != ACCEPTED).select(*base_cols,
-                                                                 F.lit(None).cast("double").alias("prediction"))
+    others = status_df.filter(~F.col("model_version").isin(versions) | F.col("model_version").isNull())
+    rest = others.select(*base_cols, F.lit(None).cast("double").alias("prediction"))
     scored = reduce(lambda a, b: a.unionByName(b), parts, rest)
     pred_ok = F.col("prediction").isNotNull() & ~F.isnan("prediction")
     final = (F.when(F.col("status") != ACCEPTED, F.col("status"))
