@@ -13,7 +13,8 @@ NUMERIC = st.one_of(
     st.builds(lambda s, a: f"{s}{a}", st.sampled_from(["", "+", "-"]), DIGITS),
     st.builds(lambda a, e, x: f"{a}e{e}{x}", DIGITS, st.sampled_from(["", "+", "-"]), st.integers(0, 30)),
     st.builds(lambda a: f" {a} ", DIGITS),
-    st.sampled_from(["inf", "-inf", "nan", "Infinity", ".5", "5.", "", "n/a", "1.2.3", "--1", "e5", "1e", "0x1A"]),
+    st.sampled_from(["inf", "-inf", "nan", "-nan", "+NaN", "Infinity", "+INF", ".5", "5.", "", "n/a", "1.2.3",
+                     "--1", "e5", "1e", "0x1A", "1e999", "-0"]),
     st.text(alphabet="0123456789.+-eE xa", max_size=8),
 )
 

@@ -18,12 +18,14 @@ def _raw(spark, rows):
 
 
 def test_double_grammar(spark):
-    cells = ["1.5", " 1.5", "-2.50", "1e3", ".5", "5.", "inf", "-Infinity", "nan", "", None, "n/a", "1d", "1_0", "0x10"]
+    cells = ["1.5", " 1.5", "-2.50", "1e3", ".5", "5.", "inf", "-Infinity", "nan", "-nan", "", None, "n/a", "1d",
+             "1_0", "0x10"]
     df = spark.createDataFrame([(c,) for c in cells], "c STRING").select("c", parse.to_double("c").alias("v"))
     got = {r.c: r.v for r in df.collect()}
     assert got["1.5"] == 1.5 and got[" 1.5"] == 1.5 and got["-2.50"] == -2.5 and got["1e3"] == 1000.0
     assert got[".5"] == 0.5 and got["5."] == 5.0
     assert got["inf"] == math.inf and got["-Infinity"] == -math.inf and math.isnan(got["nan"])
+    assert math.isnan(got["-nan"])
     for bad in ["", None, "n/a", "1d", "1_0", "0x10"]:
         assert got[bad] is None, bad
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 # Accepted spellings, written as Java regular expressions.
 FLOAT_PATTERN = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf|infinity|nan)\s*$"
 INT_PATTERN = r"^\s*[+-]?\d+\s*$"
+SIGNED_NAN_PATTERN = r"(?i)^\s*[+-]nan\s*$"   # Python reads these as NaN, Spark's cast does not
 
 
 def _c(c) -> Column:
@@ -44,8 +45,10 @@ def to_double(c) -> Column:
     """``float(cell)``, NULL for a blank or unparsable cell.
 
     The grammar check also rejects the empty cell, so no separate blank test.
+    The NaN fallback is evaluated only when the cast fails.
     """
-    return F.when(_c(c).rlike(FLOAT_PATTERN), _c(c).try_cast("double"))
+    nan = F.when(_c(c).rlike(SIGNED_NAN_PATTERN), F.lit(float("nan")))
+    return F.when(_c(c).rlike(FLOAT_PATTERN), F.coalesce(_c(c).try_cast("double"), nan))
 
 
 def to_int(c) -> Column:
