@@ -1 +1 @@
-"""operators"""
+"""DataFrame operators: ingest, cleaning, features, batching, versions, training, scoring."""
