@@ -27,3 +27,10 @@ def test_unreadable_batches_are_skipped(spark, tmp_out):
     spark.createDataFrame([(1,)], "row_no BIGINT").write.option("header", True).csv(f"{tmp_out}/ok")
     df, skipped = files.read_csv_skipping_unreadable(spark, [f"{tmp_out}/ok", f"{tmp_out}/missing"])
     assert skipped == [f"{tmp_out}/missing"] and df is not None
+
+
+def test_first_rows_is_a_position_filter(spark):
+    df = spark.createDataFrame([(i, str(i)) for i in range(50)], "row_no BIGINT, v STRING")
+    got = files.first_rows(df, 7)
+    assert sorted(r.row_no for r in got.collect()) == list(range(7))
+    assert "row_no" in str(got._jdf.queryExecution().optimizedPlan())

@@ -77,3 +77,16 @@ def test_rows_a_model_would_skip_are_kept(spark):
     out = scoring.score(scoring.request_status(_requests(spark, items), reg), {"v1": m}).orderBy("request_id").collect()
     assert [r.status for r in out] == ["ok", "no_prediction"]
     assert out[1].predicted_fare is None
+
+
+def test_uncapped_distance_variant(spark, models):
+    # a 250 km trip: the capped feature is NULL (imputed), the uncapped one is the real distance
+    far = {**BODY, "dropoff_latitude": 43.0}
+    reg = spark.createDataFrame([("v1",)], "model_version STRING")
+    st = scoring.request_status(_requests(spark, [("v1", json.dumps(far))]), reg)
+    capped = scoring.score(st, models).first()
+    uncapped = scoring.score(st, models, max_km=None).first()
+    assert capped.status == uncapped.status == "ok"
+    from tripspark.operators import features
+    d = features.add_features(st, max_km=None).first().distance_km
+    assert d > 200 and features.add_features(st).first().distance_km is None
