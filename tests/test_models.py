@@ -107,3 +107,10 @@ def test_gbt_reload_and_rerun_agree(spark, lr_versions):
     j = pa.join(pb, "row_no").join(pc, "row_no")
     assert j.filter((F.abs(F.col("a") - F.col("b")) > 1e-9) | (F.abs(F.col("a") - F.col("c")) > 1e-9)).count() == 0
     assert j.count() == 639
+
+
+def test_registry_of_missing_folder_is_empty(spark, tmp_out):
+    reg, models = registry.scan_models(spark, tmp_out + "/no_models_here")
+    assert reg.count() == 0 and models == {}
+    s = registry.registry_summary(reg).first()
+    assert s.loaded_models == 0

@@ -90,3 +90,11 @@ def test_uncapped_distance_variant(spark, models):
     from tripspark.operators import features
     d = features.add_features(st, max_km=None).first().distance_km
     assert d > 200 and features.add_features(st).first().distance_km is None
+
+
+def test_null_version_is_unknown_and_kept(spark, models):
+    reg = spark.createDataFrame([("v1",)], "model_version STRING")
+    req = spark.createDataFrame([(1, None, json.dumps(BODY)), (2, "v1", json.dumps(BODY))],
+                                "request_id BIGINT, model_version STRING, value STRING")
+    out = scoring.score(scoring.request_status(req, reg), models).orderBy("request_id").collect()
+    assert [(r.request_id, r.status) for r in out] == [(1, "unknown_model"), (2, "ok")]
