@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripspark.llm import substring_dedup
+from tripspark.llm import decontaminate, ngram_join, substring_dedup
+from tripspark.session import shared_dir
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,5 +20,17 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
-QUERIES = {"op3_substring_dedup": op3_substring_dedup}
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = decontaminate.stored_index(table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/llm/index-{uuid.uuid4().hex}")
+    out = decontaminate.search(index, table(spark, sf_dir, "benchmark"))
+    items = F.array_sort(F.array_distinct(F.filter("matches.item", lambda x: x.isNotNull())))
+    return out.select("doc_id", "n_words", "n_hit", F.size(items).cast("long").alias("n_items"),
+                      F.sha2(F.concat_ws(",", items), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("rid")
+
+
+QUERIES = {"op3_substring_dedup": op3_substring_dedup, "op8_decontaminate": op8_decontaminate, "op9_ngram_join": op9_ngram_join}
 ORACLES: dict[str, str] = {}
