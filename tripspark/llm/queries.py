@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripspark.llm import decontaminate, ngram_join, substring_dedup
+from tripspark.llm import decontaminate, ngram_join, substring_dedup, toxicity
 from tripspark.session import shared_dir
 
 
@@ -15,6 +15,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _bucket(divisor: int):
+    return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(divisor))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = toxicity.train(docs, labels.filter(_bucket(3) != 1))
+    return toxicity.score(docs, model).select("doc_id", F.coalesce(_bucket(3) == 1, F.lit(False)).alias("held_out"), "score",
+                                              (F.col("score") >= 0.7).cast("int").alias("predicted"), "margin")
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring_dedup.remove_repeats(table(spark, sf_dir, "documents"))
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
@@ -32,5 +43,5 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("rid")
 
 
-QUERIES = {"op3_substring_dedup": op3_substring_dedup, "op8_decontaminate": op8_decontaminate, "op9_ngram_join": op9_ngram_join}
+QUERIES = {"op2_toxicity": op2_toxicity, "op3_substring_dedup": op3_substring_dedup, "op8_decontaminate": op8_decontaminate, "op9_ngram_join": op9_ngram_join}
 ORACLES: dict[str, str] = {}
