@@ -27,14 +27,19 @@ def brute(text):
     def grams(n):
         c = Counter(tuple(w[j:j + n]) for j in range(len(w) - n + 1))
         hit = {k for j in range(len(w) - n + 1) if c[tuple(w[j:j + n])] > 1 for k in range(j, j + n)}
+        later, seen = set(), set()
+        for j in range(len(w) - n + 1):
+            if tuple(w[j:j + n]) in seen:
+                later.update(range(j, j + n))
+            seen.add(tuple(w[j:j + n]))
         top = max((k * sum(map(len, g)) for g, k in c.items() if k > 1), default=0)
-        return hit, top
+        return hit, top, later
     out = {"n_words": len(w), "word_chars": total, "n_symbols": sum(x in "#*$%&|<>" for x in text), "n_dup_lines": dup,
            "n_repeat_words": len(grams(3)[0]), "dup_line_chars": share(dup_chars)}
     for n in q.TOP:
         out[f"top_{n}gram"] = share(grams(n)[1])
     for n in q.DUPLICATE:
-        out[f"dup_{n}gram"] = share(sum(size[k] for k in grams(n)[0]))
+        out[f"dup_{n}gram"] = share(sum(size[k] for k in grams(n)[2]))
     out["base_failed"] = len(w) < 50 or 100 * out["n_repeat_words"] > 50 * len(w)
     out["kept"] = (not out["base_failed"] and out["dup_line_chars"] <= q.LINES and all(out[f"top_{n}gram"] <= x for n, x in q.TOP.items())
                    and all(out[f"dup_{n}gram"] <= x for n, x in q.DUPLICATE.items()))

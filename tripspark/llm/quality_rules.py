@@ -22,7 +22,7 @@ from tripspark.llm.common import SPACE, WORD_BASE, blocks, i64, mix, spans_hash,
 
 #: Highest share of characters in all repeats of the most covering n-gram, by n.
 TOP = {2: 0.20, 3: 0.18, 4: 0.16}
-#: Highest share of characters inside n-grams that occur twice or more, by n.
+#: Highest share of characters inside n-grams that occurred before in the text, by n.
 DUPLICATE = {5: 0.15, 6: 0.14, 7: 0.13, 8: 0.12, 9: 0.11, 10: 0.10}
 #: Highest share of characters inside lines equal to an earlier line.
 LINES = 0.30
@@ -35,11 +35,13 @@ def _per_text(values: np.ndarray, text: np.ndarray, n: int) -> np.ndarray:
     return np.bincount(text, values, n).astype(np.int64)
 
 
-def _groups(h: np.ndarray, text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For windows that start at ``at``: their group (equal hash, same text) and the groups' sizes."""
+def _groups(h: np.ndarray, text: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For windows that start at ``at``: group (equal hash, same text), its size, whether an equal one stands before."""
     key = mix(h[at] ^ mix(text[at].astype(np.uint64) + np.uint64(1)))
-    _, group, size = np.unique(key, return_inverse=True, return_counts=True)
-    return group, size
+    _, first, group, size = np.unique(key, return_index=True, return_inverse=True, return_counts=True)
+    later = np.ones(len(at), bool)
+    later[first] = False
+    return group, size, later
 
 
 def _covered(at: np.ndarray, n: int, words: int) -> np.ndarray:
@@ -91,13 +93,14 @@ def measure(buf: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
             inside = np.flatnonzero(text[:words - n + 1] == text[n - 1:])
             at = inside[alive[text[inside]]]
             grams = windows_hash(h, n, _GRAM)
-            group, size = _groups(grams, text, at)
+            group, size, later = _groups(grams, text, at)
             twice = size[group] > 1
             if n in TOP and twice.any():
                 covers = np.bincount(group, total[at + n] - total[at])
                 np.maximum.at(top, text[at[twice]], covers[group[twice]])
-            hit = _covered(at[twice], n, words)
-            covered, count = _per_text(chars * hit, text, texts), np.bincount(text[hit], minlength=texts)
+            count = np.bincount(text[_covered(at[twice], n, words)], minlength=texts)
+            if n in DUPLICATE:
+                covered = _per_text(chars * _covered(at[later], n, words), text, texts)
         alive &= count > 0
         if n == 3:
             out["n_repeat_words"] = count

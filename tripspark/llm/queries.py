@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripspark.llm import decontaminate, ngram_join, substring_dedup, toxicity
+from tripspark.llm import decontaminate, language_id, ngram_join, quality_rules, substring_dedup, toxicity
 from tripspark.session import shared_dir
 
 
@@ -31,6 +31,17 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality(table(spark, sf_dir, "documents"))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    filters = language_id.train(docs.filter(F.coalesce(_bucket(4) != 2, F.lit(True))))
+    held = docs.select("text", F.struct("doc_id", F.coalesce(_bucket(4) == 2, F.lit(False)).alias("held_out")).alias("key"))
+    return language_id.predict(held, filters, "key").select("doc_id.doc_id", "doc_id.held_out", "lang_pred", "score")
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = decontaminate.stored_index(table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/llm/index-{uuid.uuid4().hex}")
     out = decontaminate.search(index, table(spark, sf_dir, "benchmark"))
@@ -43,5 +54,6 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("rid")
 
 
-QUERIES = {"op2_toxicity": op2_toxicity, "op3_substring_dedup": op3_substring_dedup, "op8_decontaminate": op8_decontaminate, "op9_ngram_join": op9_ngram_join}
+QUERIES = {"op2_toxicity": op2_toxicity, "op3_substring_dedup": op3_substring_dedup, "op5_quality_rules": op5_quality_rules, "op6_language_id": op6_language_id,
+           "op8_decontaminate": op8_decontaminate, "op9_ngram_join": op9_ngram_join}
 ORACLES: dict[str, str] = {}
