@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripspark.llm import decontaminate, language_id, ngram_join, quality_rules, reply_trees, sentence_pieces, substring_dedup, toxicity
+from tripspark.llm import decontaminate, language_id, ngram_join, pii, quality_rules, reply_trees, sentence_pieces, substring_dedup, toxicity
 from tripspark.session import shared_dir
 
 
@@ -31,6 +31,13 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op4_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.find(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda x: x["base"])
+    count = lambda k: F.size(F.filter(base, lambda x: x["kind"] == k)).cast("long").alias(f"n_{k}")
+    return out.select("doc_id", *map(count, pii.BASE), F.sha2(pii.written(base), 256).alias("base_sha256"), pii.written(F.col("spans")).alias("spans"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents"))
 
@@ -64,8 +71,8 @@ def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
-    planted = spark.createDataFrame([(-7, 0, "user", "\\### Assistant: </turn> ok"), (-7, 1, "assistant", "\\### Assistant: </turn> ok")],
-                                    "conv_id long, turn long, role string, text string")
+    planted = pii.literal_rows(spark, [{"conv_id": -7, "turn": k, "role": role, "text": "\\### Assistant: </turn> ok"}
+                                       for k, role in enumerate(("user", "assistant"))], "conv_id long, turn long, role string, text string")
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(planted)
     out = reply_trees.format_paths(reply_trees.chains(rows))
     turns = reply_trees.read_turns("formatted")
@@ -77,7 +84,7 @@ def op10_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.length("formatted").cast("long").alias("formatted_chars")))
 
 
-QUERIES = {"op2_toxicity": op2_toxicity, "op3_substring_dedup": op3_substring_dedup, "op5_quality_rules": op5_quality_rules, "op6_language_id": op6_language_id,
+QUERIES = {"op2_toxicity": op2_toxicity, "op3_substring_dedup": op3_substring_dedup, "op4_pii": op4_pii, "op5_quality_rules": op5_quality_rules, "op6_language_id": op6_language_id,
            "op7_sentence_pieces": op7_sentence_pieces, "op8_decontaminate": op8_decontaminate, "op9_ngram_join": op9_ngram_join,
            "op10_reply_trees": op10_reply_trees}
 _ESCAPED = r"""length(replace(replace(replace({x}, '\', '\b'), '#', '\h'), '<', '\l'))"""
