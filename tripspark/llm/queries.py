@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripspark.llm import decontaminate, language_id, ngram_join, pii, quality_rules, reply_trees, sentence_pieces, substring_dedup, toxicity
+from tripspark.llm import decontaminate, language_id, license_scan, ngram_join, pii, quality_rules, reply_trees, sentence_pieces, substring_dedup, toxicity
 from tripspark.session import shared_dir
 
 
@@ -19,6 +19,12 @@ def _bucket(divisor: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(divisor))
 
 
+def op1_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = license_scan.scan(table(spark, sf_dir, "documents"))
+    names = F.array_sort(F.array_distinct("matches.license"))
+    return out.select("doc_id", "n_words", F.size("matches").cast("long").alias("n_matches"), F.concat_ws(",", names).alias("licenses"), "matches")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     model = toxicity.train(docs, labels.filter(_bucket(3) != 1))
@@ -84,7 +90,7 @@ def op10_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.length("formatted").cast("long").alias("formatted_chars")))
 
 
-QUERIES = {"op2_toxicity": op2_toxicity, "op3_substring_dedup": op3_substring_dedup, "op4_pii": op4_pii, "op5_quality_rules": op5_quality_rules, "op6_language_id": op6_language_id,
+QUERIES = {"op1_license_scan": op1_license_scan, "op2_toxicity": op2_toxicity, "op3_substring_dedup": op3_substring_dedup, "op4_pii": op4_pii, "op5_quality_rules": op5_quality_rules, "op6_language_id": op6_language_id,
            "op7_sentence_pieces": op7_sentence_pieces, "op8_decontaminate": op8_decontaminate, "op9_ngram_join": op9_ngram_join,
            "op10_reply_trees": op10_reply_trees}
 _ESCAPED = r"""length(replace(replace(replace({x}, '\', '\b'), '#', '\h'), '<', '\l'))"""
