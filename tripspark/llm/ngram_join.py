@@ -192,10 +192,11 @@ def _verify(n: int, threshold: float, least: list[tuple[int, int]]):
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 5, threshold: float = 0.8,
                     tolerance: float = 1e-9, most: int = 512) -> DataFrame:
-    """(rid, doc_id, class_id, text_id, n_links, n_text_links), a row for each document.
+    """(rid, root, doc_id, class_id, text_id, n_links, n_text_links), a row for each document.
 
     ``class_id``: least id among the documents tied by links; ``text_id``: least id among those with equal words;
-    ``n_links``: other documents at ``threshold`` or more; ``n_text_links``: different texts among them. ``rid`` is ``row_key``'s.
+    ``n_links``: other documents at ``threshold`` or more; ``n_text_links``: different texts among them. ``rid`` is ``row_key``'s,
+    ``root`` a key of the class (null without words).
     """
     spark = docs.sparkSession
     source = row_key(docs, id_col, text_col)
@@ -224,9 +225,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
            .withColumn("root", F.coalesce("root", "u")))
     ids = one.groupBy("root").agg(F.min("text_id").alias("class_id"), F.count("*").alias("members"))
     result = stored(spark, join_counted(one, ids, "root", "members", "u").select(
-        "u", "copies", "class_id", "text_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        "u", "root", "copies", "class_id", "text_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("texts", F.lit(0)).cast("long").alias("n_text_links")), "classes")
     with_words = join_counted(signed.select("rid", "doc_id", "u").filter("u is not null"), result, "u", "copies", "rid")
-    return with_words.select("rid", "doc_id", "class_id", "text_id", "n_links", "n_text_links").unionByName(
-        signed.filter("u is null").select("rid", "doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("text_id"),
+    return with_words.select("rid", "root", "doc_id", "class_id", "text_id", "n_links", "n_text_links").unionByName(
+        signed.filter("u is null").select("rid", F.lit(None).cast("long").alias("root"), "doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("text_id"),
                                           F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_text_links")))

@@ -15,6 +15,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def new_path(spark: SparkSession, name: str) -> str:
+    """A folder of its own below the shared folder."""
+    return f"{shared_dir(spark)}/llm/{name}-{uuid.uuid4().hex}"
+
+
 def _bucket(divisor: int):
     return F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(divisor))
 
@@ -65,7 +70,7 @@ def op7_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    index = decontaminate.stored_index(table(spark, sf_dir, "documents"), f"{shared_dir(spark)}/llm/index-{uuid.uuid4().hex}")
+    index = decontaminate.stored_index(table(spark, sf_dir, "documents"), new_path(spark, "index"))
     out = decontaminate.search(index, table(spark, sf_dir, "benchmark"))
     items = F.array_sort(F.array_distinct(F.filter("matches.item", lambda x: x.isNotNull())))
     return out.select("doc_id", "n_words", "n_hit", F.size(items).cast("long").alias("n_items"),
@@ -73,7 +78,7 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("rid")
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("rid", "root")
 
 
 def op10_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
