@@ -133,14 +133,15 @@ def _subsequences(units: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]
     return who, what, weight / length_norm(size)[who]
 
 
-def kernel(left: list[str], right: list[str]) -> np.ndarray:
-    """Kernel values of all units of ``left`` with those of ``right`` (a bounded list)."""
+def kernel(left: list[str], right: list[str], project: np.ndarray | None = None) -> np.ndarray:
+    """Kernel values of all units of ``left`` with those of ``right`` (a bounded list), times ``project`` if given."""
     who, what, weight = _subsequences(right)
     known, place = np.unique(what, return_inverse=True)
     table = np.zeros((len(known) + 1, len(right)))
     np.add.at(table, (place, who), weight)
-    out = np.zeros((len(left), len(right)))
+    out = np.zeros((len(left), len(right) if project is None else project.shape[1]))
     for at in range(0, len(left), 2000):
+        part = np.zeros((len(left[at:at + 2000]), len(right)))
         who, what, weight = _subsequences(left[at:at + 2000])
         i = np.searchsorted(known, what)
         i[(i == len(known)) | (known[np.minimum(i, len(known) - 1)] != what)] = len(known)
@@ -148,21 +149,28 @@ def kernel(left: list[str], right: list[str]) -> np.ndarray:
         order = real[np.argsort(who[real], kind="stable")]
         some, first = np.unique(who[order], return_index=True)
         for k, j in zip(some, np.split(order, first[1:]), strict=True):
-            out[at + k] = weight[j] @ table[i[j]]
+            part[k] = weight[j] @ table[i[j]]
+        out[at:at + 2000] = part if project is None else part @ project
     return out
 
 
 def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 10.0, rounds: int = 30) -> np.ndarray:
     """Linear squared-hinge support vector machine by Newton steps; the last coefficient is the bias."""
-    x = np.column_stack([x, np.ones(len(x))])
-    w = np.zeros(x.shape[1])
-    ridge = np.eye(x.shape[1]) / c
+    n, m = x.shape
+    w = np.zeros(m + 1)
+    ridge = np.eye(m + 1) / c
     ridge[-1, -1] = 1e-3
-    active = np.ones(len(x), bool)
+    active = np.ones(n, bool)
     for _ in range(rounds):
-        a = x[active] * weight[active, None]
-        w = np.linalg.solve(ridge + a.T @ x[active], a.T @ y[active])
-        now = y * (x @ w) < 1
+        square, right = ridge.copy(), np.zeros(m + 1)
+        for at in range(0, n, 2000):  # a step's copies stay small
+            use = np.flatnonzero(active[at:at + 2000]) + at
+            part = np.column_stack([x[use], np.ones(len(use))])
+            a = part * weight[use, None]
+            square += a.T @ part
+            right += a.T @ y[use]
+        w = np.linalg.solve(square, right)
+        now = y * (x @ w[:-1] + w[-1]) < 1
         if (now == active).all():
             break
         active = now
@@ -344,8 +352,8 @@ def _fit(negatives: list, hard: list[str], mine: list, landmarks: int, rounds: i
     value, vector = np.linalg.eigh((square + square.T) / 2)
     keep = value > 1e-6 * value.max()
     root = vector[:, keep] / np.sqrt(value[keep])
-    x_clean, x_mine = kernel(clean, marks) @ root, kernel(units, marks) @ root
-    spoilt = kernel([v for i in chosen[:SPOILT] for v in with_insertions(units[i]) if len(units[i]) > 4], marks) @ root
+    x_clean, x_mine = kernel(clean, marks, root), kernel(units, marks, root)
+    spoilt = kernel([v for i in chosen[:SPOILT] for v in with_insertions(units[i]) if len(units[i]) > 4], marks, root)
     w = np.zeros(root.shape[1] + 1)
     for _ in range(rounds):
         x = np.vstack([x_clean, x_mine[positive], spoilt])
