@@ -50,9 +50,35 @@ def test_batch_size_validated(spark):
         batching.assign_batches(df, 0)
 
 
-def test_repeated_order_key_is_refused(spark):
-    # one key value holding a third of the rows cannot be ranked in one task
-    keys = [7] * 1000 + list(range(10_000, 12_000))
-    df = spark.createDataFrame([(k,) for k in keys], "k BIGINT")
-    with pytest.raises(Exception, match="not unique"):
-        batching.dense_index(df, "k", num_buckets=64).collect()
+def _positions(df, **kw):
+    """Positions must be 0..n-1 in key order (NULL last), ties in any order."""
+    rows = sorted((r.row_idx, r.k) for r in batching.dense_index(df, "k", **kw).collect())
+    assert [i for i, _ in rows] == list(range(len(rows)))
+    keys = [k for _, k in rows]
+    assert keys == sorted(keys, key=lambda k: (k is None, k or 0))
+    return rows
+
+
+@pytest.mark.parametrize("buckets", [1, 8, 64])
+def test_repeated_and_null_keys_are_split_and_exact(spark, buckets):
+    keys = [7] * 1000 + [None] * 700 + list(range(10_000, 12_000)) + [3]
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k BIGINT, v INT").repartition(5)
+    assert len(_positions(df, num_buckets=buckets)) == len(keys)
+
+
+def test_hot_key_is_dealt_to_several_tasks(spark):
+    df = spark.createDataFrame([(7, i) for i in range(5000)] + [(k, k) for k in range(100, 200)], "k BIGINT, v INT")
+    got = batching.dense_index(df, "k", num_buckets=32)
+    sizes = got.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 2 and max(r["count"] for r in sizes) < 4000
+
+
+def test_clustered_survivors_of_a_filter(spark):
+    df = spark.range(100_000).select(F.col("id").alias("k")).filter("k >= 50000 and k < 55000")
+    assert len(_positions(df, num_buckets=200)) == 5000
+
+
+def test_equal_rows_and_keys_beyond_doubles(spark):
+    big = 2 ** 60
+    df = spark.createDataFrame([(big + i % 5, 1) for i in range(400)], "k BIGINT, v INT")
+    assert len(_positions(df, num_buckets=16)) == 400

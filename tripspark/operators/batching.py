@@ -5,19 +5,23 @@ global ``row_number()`` would pull every row into one task, so the position is
 computed as a distributed dense index whose every step is a pure function of
 the data (no dependence on how the input happens to be partitioned):
 
-1. ``approxQuantile`` cuts the order key into P balanced buckets (P - 1 bounds
-   reach the driver; P is bounded below);
-2. per-bucket row counts (partial aggregation) → exclusive prefix sums; that
-   table has at most P rows, the bound that makes broadcasting it safe;
-3. ``row_number()`` inside each bucket (one shuffle on the bucket id, buckets
-   are balanced by construction since the key is unique);
-4. position = bucket offset + local rank.
-
-A recomputed task after an executor loss produces the same numbers.
+1. ``approxQuantile`` over the rows themselves cuts the order key into P buckets; a
+   value that fills several quantiles gets a bucket of its own;
+2. rows per bucket (partial aggregation); a bucket above its fair share that holds a
+   single key value (or NULL) is cut further by a hash of the tie-breaking columns;
+3. exclusive prefix sums over the buckets' counts;
+4. ``row_number()`` inside each bucket, one shuffle;
+5. position = bucket offset + local rank.
+
+Rows with equal keys are ordered by that hash, then by the tie-breaking columns. A
+recomputed task after an executor loss produces the same numbers. Rows equal in all columns are
+interchangeable; only those cannot be cut apart.
 """
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -25,76 +29,81 @@ from pyspark.sql import functions as F
 # Key buckets per shuffle partition: bucket ids are hashed to partitions, so a few
 # buckets per partition even out the per-task load of the in-bucket ranking.
 BUCKETS_PER_PARTITION = 4
-# Upper bound on buckets; also the size bound of the broadcast offset table.
-MAX_INDEX_BUCKETS = 100_000
-# A bucket above this multiple of its fair share means the order key repeats:
-# the job stops instead of ranking a hot key's rows in one task.
-MAX_BUCKET_SKEW = 8
+# The table of bucket offsets is broadcast up to this many rows, and shuffled beyond.
+MAX_BROADCAST_BUCKETS = 100_000
 
 
 def _index_buckets(df: DataFrame, num_buckets: int | None) -> int:
-    if num_buckets:
-        n = int(num_buckets)
-    else:
-        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-        n = min(parts * BUCKETS_PER_PARTITION, MAX_INDEX_BUCKETS)
-    if not 1 <= n <= MAX_INDEX_BUCKETS:
-        raise ValueError(f"index buckets must be in [1, {MAX_INDEX_BUCKETS}], got {n}")
+    n = int(num_buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200")) * BUCKETS_PER_PARTITION)
+    if n < 1:
+        raise ValueError(f"index buckets must be positive, got {n}")
     return n
 
 
-def key_buckets(df: DataFrame, key: str, num_buckets: int, out: str = "_bucket",
-                bounds_from: DataFrame | None = None) -> DataFrame:
-    """Add ``out`` = quantile bucket of the numeric ``key`` (0-based, ordered).
-
-    ``bounds_from`` (default ``df``) is any frame whose ``key`` column is
-    distributed like ``df``'s, e.g. the unfiltered source: bounds only steer the
-    balance of buckets, never the result.
-    """
+def key_buckets(df: DataFrame, key: str, num_buckets: int, out: str = "_bucket") -> DataFrame:
+    """Add ``out`` = quantile bucket of the numeric ``key`` (0-based, in key order, NULL last)."""
     probs = [i / num_buckets for i in range(1, num_buckets)]
-    src = df if bounds_from is None else bounds_from
-    bounds = src.approxQuantile(key, probs, 1.0 / (4 * num_buckets)) if probs else []
-    splits = [float("-inf"), *sorted(set(float(b) for b in bounds)), float("inf")]
+    bounds = df.approxQuantile(key, probs, 1.0 / (4 * num_buckets)) if probs else []
+    bounds = sorted(float(b) for b in bounds)
+    # a value that is several quantiles at once holds many rows: [b, next float) is its own bucket
+    alone = [math.nextafter(a, math.inf) for a, b in zip(bounds, bounds[1:]) if a == b]
+    splits = [float("-inf"), *sorted({*bounds, *alone}), float("inf")]
     if len(splits) < 3:  # a single bucket (NULL keys in a last one)
         return df.withColumn(out, F.when(F.col(key).isNull(), 1).otherwise(0))
     keyed = df.withColumn("_key_d", F.col(key).cast("double"))
-    # NULL keys land in an extra last bucket (handleInvalid="keep").
     b = Bucketizer(splits=splits, inputCol="_key_d", outputCol=out, handleInvalid="keep")
-    return b.transform(keyed).withColumn(out, F.col(out).cast("int")).drop("_key_d")
+    # NaN keys land in an extra bucket after the others, NULL keys in one after that
+    return b.transform(keyed).withColumn(out, F.coalesce(F.col(out).cast("int"), F.lit(len(splits)))).drop("_key_d")
 
 
 def dense_index(df: DataFrame, order_by: str, out: str = "row_idx",
-                num_buckets: int | None = None, bounds_from: DataFrame | None = None) -> DataFrame:
-    """Add ``out`` = 0-based position of each row in ``order_by`` order.
+                num_buckets: int | None = None, ties: list[str] | None = None) -> DataFrame:
+    """Add ``out`` = 0-based position of each row in ``order_by`` order (NULL keys last).
 
-    ``order_by`` is one numeric column that identifies rows uniquely (exact as
-    a double, i.e. below 2**53). Triggers one quantile pass when called (over
-    ``bounds_from`` if given, see :func:`key_buckets`).
+    ``order_by`` is one numeric column; values may repeat. ``ties`` (all other columns by
+    default) order rows of equal keys. Triggers one quantile pass when called.
     """
     n = _index_buckets(df, num_buckets)
-    bucketed = key_buckets(df, order_by, n, bounds_from=bounds_from)
-    counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    # At most n + 1 rows (one per bucket): the bound is checked above.
-    total = F.sum("_n").over(Window.partitionBy())
-    too_big = F.col("_n") > total * MAX_BUCKET_SKEW / n + 64
-    offset = F.sum("_n").over(Window.orderBy("_bucket")) - F.col("_n")
-    offsets = counts.select("_bucket", F.when(too_big, F.raise_error(F.lit(
-        f"dense_index: a bucket of '{order_by}' holds over {MAX_BUCKET_SKEW}x its share; "
-        "the order key is not unique, add a tiebreaker"))).otherwise(offset).cast("long").alias("_offset"))
-    local = F.row_number().over(Window.partitionBy("_bucket").orderBy(F.col(order_by).asc_nulls_last())) - 1
+    ties = [c for c in df.columns if c != order_by] if ties is None else list(ties)
+    bucketed = key_buckets(df, order_by, n).withColumn("_tie", F.xxhash64(F.lit(0), *[F.col(f"`{c}`") for c in ties]))
+    counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"), F.min(order_by).alias("_lo"), F.max(order_by).alias("_hi"))
+    rows = sorted(counts.collect(), key=lambda r: r["_bucket"])  # one row per bucket
+    fair = -(-sum(r["_n"] for r in rows) // n) + 64
+    cuts = {r["_bucket"]: -(-r["_n"] // fair) for r in rows if r["_n"] > fair and r["_lo"] == r["_hi"]}
+    if cuts:
+        # the tie hash, spread evenly over the bucket's cuts in hash order
+        share = (F.col("_tie").cast("double") + 2.0 ** 63) / 2.0 ** 64
+        table = F.create_map(*[F.lit(v) for pair in cuts.items() for v in pair])
+        pieces = F.coalesce(F.try_element_at(table, F.col("_bucket")), F.lit(1))
+        bucketed = bucketed.withColumn("_sub", F.least(F.floor(share * pieces).cast("int"), pieces - 1))
+        parts = bucketed.groupBy("_bucket", "_sub").agg(F.count(F.lit(1)).alias("_n"))
+        # bounded by the number of buckets and cuts (at most twice the buckets)
+        before = F.sum("_n").over(Window.orderBy("_bucket", "_sub")) - F.col("_n")
+        offsets = parts.select("_bucket", "_sub", before.cast("long").alias("_offset"))
+    else:
+        bucketed = bucketed.withColumn("_sub", F.lit(0))
+        starts, total = [], 0
+        for r in rows:
+            starts.append((r["_bucket"], 0, total))
+            total += r["_n"]
+        offsets = df.sparkSession.createDataFrame(starts, "_bucket INT, _sub INT, _offset BIGINT")
+    if len(rows) + sum(cuts.values()) <= MAX_BROADCAST_BUCKETS:
+        offsets = F.broadcast(offsets)
+    order = [F.col(order_by).asc_nulls_last(), F.col("_tie"), *[F.col(f"`{c}`") for c in ties]]
+    local = F.row_number().over(Window.partitionBy("_bucket", "_sub").orderBy(*order)) - 1
     return (bucketed.withColumn("_local", local)
-                    .join(F.broadcast(offsets), "_bucket")
+                    .join(offsets, ["_bucket", "_sub"])
                     .withColumn(out, F.col("_offset") + F.col("_local"))
-                    .drop("_bucket", "_local", "_offset"))
+                    .drop("_bucket", "_sub", "_tie", "_local", "_offset"))
 
 
 def assign_batches(df: DataFrame, batch_size: int, order_by: str = "row_no",
                    out: str = "batch_no", num_buckets: int | None = None,
-                   keep_index: bool = False, bounds_from: DataFrame | None = None) -> DataFrame:
+                   keep_index: bool = False) -> DataFrame:
     """Add ``batch_no`` (1-based, INT): rows ``[k*N, (k+1)*N)`` of the order form batch k+1."""
     if batch_size < 1:
         raise ValueError("batch_size must be positive")
-    idx = dense_index(df, order_by, out="_row_idx", num_buckets=num_buckets, bounds_from=bounds_from)
+    idx = dense_index(df, order_by, out="_row_idx", num_buckets=num_buckets)
     idx = idx.withColumn(out, (F.expr(f"_row_idx div {int(batch_size)}") + 1).cast("int"))
     return idx.withColumnRenamed("_row_idx", "row_idx") if keep_index else idx.drop("_row_idx")
 
