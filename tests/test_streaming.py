@@ -78,17 +78,51 @@ def test_replay_roundtrip_and_observed_counts(spark, tmp_out):
               "pickup_latitude STRING, dropoff_longitude STRING, dropoff_latitude STRING, passenger_count STRING")
     spark.createDataFrame(rows, schema).coalesce(1).write.option("header", True).csv(raw_dir)
     t = topic.FileTopic(f"{tmp_out}/topic")
-    q = pipeline.replay(spark, raw_dir, t, f"{tmp_out}/_chk")
-    m = pipeline.ingest_metrics(q)
+    counters = pipeline.IngestCounters()
+    pipeline.replay(spark, raw_dir, t, f"{tmp_out}/_chk", counters=counters)
+    m = counters.totals()
     assert m == {"raw_rows": 4, "sent": 2, "skipped_missing_field": 1, "skipped_bad_value": 1}
     msgs = sorted((r.offset, json.loads(r.value)) for r in t.read(spark).collect())
     assert [o for o, _ in msgs] == [0, 3]
     assert msgs[1][1]["key"] == "row_3" and msgs[1][1]["passenger_count"] == 3
 
 
+def test_counters_equal_the_topic_past_the_progress_history(spark, tmp_out):
+    raw_dir = tmp_out.replace("file:", "") + "/raw_many"
+    schema = ("row_no BIGINT, key STRING, fare_amount STRING, pickup_datetime STRING, pickup_longitude STRING, "
+              "pickup_latitude STRING, dropoff_longitude STRING, dropoff_latitude STRING, passenger_count STRING")
+    rows = [(i, f"k{i}", "5.5" if i % 5 else "", "2013-07-02 19:54:00 UTC", "-73.98", "40.75", "-73.95", "40.78", "1") for i in range(60)]
+    spark.createDataFrame(rows, schema).repartition(12).write.option("header", True).csv(raw_dir)
+    t = topic.FileTopic(f"{tmp_out}/topic_many")
+    before = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "3")
+    try:
+        counters = pipeline.IngestCounters()
+        q = pipeline.replay(spark, raw_dir, t, f"{tmp_out}/_chk_many", max_files_per_trigger=1, counters=counters)
+    finally:
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", before)
+    assert len(q.recentProgress) <= 3 and len(counters.batches) == 12
+    assert counters.totals() == {"raw_rows": 60, "sent": 48, "skipped_missing_field": 12, "skipped_bad_value": 0}
+    assert t.read(spark).count() == 48
+
+
+def test_fresh_checkpoint_continues_and_keeps_earlier_rows(spark, tmp_out):
+    src = tmp_out.replace("file:", "")
+    _append_topic_file(spark, f"{src}/t1", range(0, 5))
+    _append_topic_file(spark, f"{src}/t1", range(5, 9))
+    _append_topic_file(spark, f"{src}/t2", range(9, 14))
+    out = f"{tmp_out}/restarted"
+    pipeline.run_batcher(spark, topic.FileTopic(f"{src}/t1", 1), out, f"{tmp_out}/_chk1", 4)
+    pipeline.run_batcher(spark, topic.FileTopic(f"{src}/t2", 1), out, f"{tmp_out}/_chk2", 4)
+    rows = pipeline.read_stream_batches(spark, out).select("row_no", "batch_no").collect()
+    assert sorted((r.row_no, r.batch_no) for r in rows) == [(i, i // 4 + 1) for i in range(14)]
+
+
 def test_kafka_settings():
     src = topic.kafka_source_options(max_offsets_per_trigger=10000)
     assert src["subscribe"] == "taxi_fare_topic" and src["startingOffsets"] == "earliest"
+    assert src["failOnDataLoss"] == "true"
+    assert topic.kafka_source_options(fail_on_data_loss=False)["failOnDataLoss"] == "false"
     assert src["kafka.group.id"] == "taxi-fare-consumer-group-main" and src["maxOffsetsPerTrigger"] == "10000"
     sink = topic.kafka_sink_options()
     assert sink["kafka.retries"] == "5" and sink["kafka.linger.ms"] == "10"

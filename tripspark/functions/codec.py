@@ -34,6 +34,13 @@ def is_object(value) -> Column:
     return F.coalesce(F.from_json(v, "MAP<STRING,STRING>").isNotNull(), F.lit(False))
 
 
+def as_object(value, schema=TRIP_SCHEMA) -> Column:
+    """The struct of a JSON object, NULL for everything else."""
+    v = _c(value).cast("string")
+    members = F.from_json(v, "MAP<STRING,STRING>")
+    return F.when(members.isNotNull(), F.from_json(v, schema))
+
+
 CORRUPT = "_corrupt_record"
 
 

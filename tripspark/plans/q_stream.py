@@ -12,7 +12,7 @@ from .. import fixture
 from ..functions import codec
 from ..operators import batching
 from ..schemas import TRIP_COLUMNS, TRIP_SCHEMA
-from ..session import scratch_path
+from ..session import delete, scratch_path
 from ..sources import models as registry
 from ..streaming import pipeline
 from ..streaming.topic import FileTopic, run_available_now
@@ -27,8 +27,9 @@ TRIP_SQL = ", ".join(TRIP_COLUMNS)
 def _replayed_topic(spark, sf_dir, name):
     base = scratch_path(spark, name)
     topic = FileTopic(f"{base}/topic")
-    q = pipeline.replay(spark, fixture.raw_source_path(spark, sf_dir), topic, f"{base}/_chk_replay")
-    return base, topic, q
+    counters = pipeline.IngestCounters()
+    pipeline.replay(spark, fixture.raw_source_path(spark, sf_dir), topic, f"{base}/_chk_replay", counters=counters)
+    return base, topic, counters
 
 
 @query("stream_topic_roundtrip", with_pipeline(f"SELECT row_no, {TRIP_SQL} FROM sent"))
@@ -50,8 +51,9 @@ def stream_topic_roundtrip(spark, sf_dir):
     "CAST(count_if(reject_reason = 'bad_value') AS BIGINT) AS skipped_bad_value FROM typed2"))
 def stream_ingest_funnel(spark, sf_dir):
     """Sent / skipped counters of the replay stream, published with ``observe`` (A2 on a stream)."""
-    _, _, q = _replayed_topic(spark, sf_dir, "stream_funnel")
-    m = pipeline.ingest_metrics(q)
+    base, _, counters = _replayed_topic(spark, sf_dir, "stream_funnel")
+    m = counters.totals()
+    delete(spark, base)
     cols = ["raw_rows", "sent", "skipped_missing_field", "skipped_bad_value"]
     return spark.createDataFrame([tuple(int(m.get(c, 0)) for c in cols)], ", ".join(f"{c} BIGINT" for c in cols))
 
@@ -78,6 +80,22 @@ def stream_batches_final(spark, sf_dir):
     return pipeline.stream_batch_sizes(spark, out, n)
 
 
+@query("stream_restart_batches", with_pipeline(
+    f"SELECT batch_no, count(*) AS n_rows, count(DISTINCT row_no) AS n_distinct, count(*) < {BATCH_SIZE_SQL} AS is_final "
+    "FROM (SELECT row_no, batch_no FROM b) GROUP BY batch_no"))
+def stream_restart_batches(spark, sf_dir):
+    """Two runs with a checkpoint each, several triggers long, into one folder: nothing lost, numbering goes on."""
+    base = scratch_path(spark, "stream_restart")
+    n = batching.fixture_batch_size(spark, sf_dir)
+    sent = frames.sent(spark, sf_dir).select(codec.encode().alias("value"), F.col("row_no").alias("offset"), F.current_timestamp().alias("timestamp"))
+    half = sent.agg(F.avg("offset")).first()[0] or 0
+    for name, part in (("first", sent.filter(F.col("offset") < half)), ("second", sent.filter(F.col("offset") >= half))):
+        part.repartition(6, "offset").write.parquet(f"{base}/{name}")
+        pipeline.run_batcher(spark, FileTopic(f"{base}/{name}", max_files_per_trigger=2), f"{base}/batches", f"{base}/_chk_{name}", n)
+    rows = pipeline.read_stream_batches(spark, f"{base}/batches")
+    return batching.batch_sizes(rows, n).join(rows.groupBy("batch_no").agg(F.count_distinct("row_no").alias("n_distinct")), "batch_no")
+
+
 @query("score_stream", with_pipeline(
     "SELECT model_version, CASE WHEN status = 'accepted' THEN 'ok' ELSE status END AS status, "
     "count(*) AS n_requests FROM st GROUP BY ALL", REQ_CTES))

@@ -13,11 +13,15 @@
 
 from __future__ import annotations
 
+import threading
+import uuid
+
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import IntegerType, LongType, StructField, StructType
+from pyspark.sql.streaming import StreamingQueryListener
+from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
 from ..functions import codec
 from ..operators import batching, ingest, scoring
@@ -26,8 +30,49 @@ from ..session import path_exists
 from ..sources.files import RAW_FILE_SCHEMA, NULL_MARKER
 from .topic import FileTopic, run_available_now
 
-MANIFEST_SCHEMA = StructType([StructField("batch_id", LongType()), StructField("start", LongType()),
-                              StructField("n_rows", LongType())])
+MANIFEST_SCHEMA = StructType([StructField("stream", StringType()), StructField("batch_id", LongType()),
+                              StructField("start", LongType()), StructField("n_rows", LongType())])
+
+
+class IngestCounters(StreamingQueryListener):
+    """The observed ``ingest`` counters of every micro-batch of a replay, keyed by its id (A2).
+
+    A listener hears of each micro-batch when it ends; the query's own progress
+    history keeps only the last ones.
+    """
+
+    def __init__(self) -> None:
+        self.batches: dict[int, dict[str, int]] = {}
+        self.last = -1
+        self._ended = threading.Event()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        p = event.progress
+        m = p.observedMetrics.get("ingest")
+        if m is not None:
+            self.batches[p.batchId] = {k: int(v or 0) for k, v in m.asDict().items()}
+
+    def onQueryTerminated(self, event) -> None:
+        self._ended.set()
+
+    def totals(self, wait_s: float = 60) -> dict[str, int]:
+        """Sums over all micro-batches; raises if the end or a micro-batch was not heard of."""
+        if not self._ended.wait(wait_s):
+            raise TimeoutError("the replay's end was not reported")
+        missing = set(range(max(self.batches, default=-1) + 1)) - set(self.batches)
+        if missing:
+            raise RuntimeError(f"no counters for micro-batches {sorted(missing)}")
+        out: dict[str, int] = {}
+        for m in self.batches.values():
+            for k, v in m.items():
+                out[k] = out.get(k, 0) + v
+        return out
 
 
 def raw_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -39,11 +84,11 @@ def raw_stream(spark: SparkSession, raw_dir: str, max_files_per_trigger: int | N
 
 
 def replay(spark: SparkSession, raw_dir: str, topic, checkpoint: str, max_files_per_trigger: int | None = None,
-           processing_time: str | None = None, run: bool = True):
+           processing_time: str | None = None, run: bool = True, counters: IngestCounters | None = None):
     """Replay raw trips into ``topic`` (R1). ``processing_time`` paces triggers like the sleep did.
 
-    Returns the (finished, when ``run``) streaming query; its progress carries
-    the observed ``ingest`` metrics (raw rows, sent, skipped per reason).
+    Returns the (finished, when ``run``) streaming query. ``counters`` hears the observed ``ingest``
+    metrics (raw rows, sent, skipped per reason) of every micro-batch of a run.
     """
     typed = ingest.type_trips(raw_stream(spark, raw_dir, max_files_per_trigger))
     r = F.col("reject_reason")
@@ -56,52 +101,52 @@ def replay(spark: SparkSession, raw_dir: str, topic, checkpoint: str, max_files_
     writer = topic.write_stream(msgs, checkpoint)
     if processing_time:
         return writer.trigger(processingTime=processing_time).start()
-    return run_available_now(writer, "replay") if run else writer
-
-
-def ingest_metrics(query) -> dict:
-    """Sum of the observed ingest counters over all micro-batches of a finished query."""
-    totals: dict[str, int] = {}
-    for p in query.recentProgress:
-        m = (p.get("observedMetrics") or {}).get("ingest") if isinstance(p, dict) else None
-        if m is None and hasattr(p, "observedMetrics"):
-            m = p.observedMetrics.get("ingest")
-        if not m:
-            continue
-        items = m.asDict() if hasattr(m, "asDict") else dict(m)
-        for k, v in items.items():
-            totals[k] = totals.get(k, 0) + int(v)
-    return totals
+    if not run:
+        return writer
+    if counters is not None:
+        spark.streams.addListener(counters)
+    try:
+        query = run_available_now(writer, "replay")
+        if counters is not None:
+            counters.totals()  # waits for the last report
+        return query
+    finally:
+        if counters is not None:
+            spark.streams.removeListener(counters)
 
 
 class ExactBatcher:
     """``foreachBatch`` function cutting a message stream into N-record batch folders.
 
-    Output layout: ``<out>/mb=<micro batch>/batch_no=<n>/part-*.csv`` with the
+    Output layout: ``<out>/stream=<id>/mb=<micro batch>/batch_no=<n>/part-*.csv`` with the
     trip columns and ``row_no`` (= arrival offset); ``<out>/_manifest`` holds
-    one row per micro-batch (start number, rows written). Non-object messages
-    go to ``<out>/_rejects`` instead of stopping the stream.
+    one row per micro-batch (stream, start number, rows written). ``stream`` names the
+    checkpoint the micro-batch ids belong to: a run with another checkpoint writes beside the
+    earlier rows and continues their numbering (R4, Z8). One stream writes to ``out`` at a
+    time. Non-object messages go to ``<out>/_rejects`` instead of stopping the stream.
     """
 
-    def __init__(self, out: str, batch_size: int, index_buckets: int | None = None):
+    def __init__(self, out: str, batch_size: int, index_buckets: int | None = None, stream: str = "0"):
         if batch_size < 1:
             raise ValueError("batch_size must be positive")
         self.out = out.rstrip("/")
         self.batch_size = int(batch_size)
         self.index_buckets = index_buckets
+        self.stream = stream
 
     def _start(self, spark: SparkSession, batch_id: int) -> int:
-        """First row number of this micro-batch: where the previous one ended.
+        """First row number of this micro-batch: where the one before it ended.
 
-        Micro-batch ids are consecutive, so normally only the previous entry is
-        read; the whole manifest is scanned only if that entry is missing.
+        Normally that is this stream's previous entry, the only one read. A stream's first
+        micro-batch continues after all entries of other streams.
         """
         path = f"{self.out}/_manifest"
-        prev = f"{path}/batch_id={batch_id - 1}"
+        prev = f"{path}/stream={self.stream}/batch_id={batch_id - 1}"
         if batch_id > 0 and path_exists(spark, f"{prev}/_SUCCESS"):
             m = spark.read.schema(MANIFEST_SCHEMA).json(prev)
         elif path_exists(spark, path):
-            m = spark.read.schema(MANIFEST_SCHEMA).json(path).filter(F.col("batch_id") < batch_id)
+            m = (spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", "true").json(path)
+                 .filter((F.col("stream") != self.stream) | (F.col("batch_id") < batch_id)))
         else:
             return 0
         row = m.agg(F.max(F.col("start") + F.col("n_rows")).alias("next")).first()
@@ -111,43 +156,50 @@ class ExactBatcher:
         spark = df.sparkSession
         start = self._start(spark, batch_id)
         # A micro-batch is bounded by the trigger limits; it is read by several
-        # jobs below (rejects, count, index, write), so keep it for their span.
-        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+        # jobs below (rejects, count, index, write), so keep it, parsed once, for their span.
+        kept = df.select("offset", "value", codec.as_object("value", TRIP_SCHEMA).alias("t")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            self._write(df, batch_id, start)
+            self._write(kept, batch_id, start)
         finally:
-            df.unpersist()
+            kept.unpersist()
 
     def _write(self, df: DataFrame, batch_id: int, start: int) -> None:
         spark = df.sparkSession
-        flagged = df.withColumn("_obj", codec.is_object("value"))
-        (flagged.filter(~F.col("_obj")).select("offset", "value")
-                .write.mode("overwrite").json(f"{self.out}/_rejects/mb={batch_id}"))
-        trips = (flagged.filter("_obj").select("offset", codec.decode("value", TRIP_SCHEMA).alias("t"))
-                        .select(F.col("offset").alias("row_no"), "t.*"))
+        place = f"stream={self.stream}/mb={batch_id}"
+        (df.filter(F.col("t").isNull()).select("offset", "value")
+           .write.mode("overwrite").json(f"{self.out}/_rejects/{place}"))
+        trips = df.filter(F.col("t").isNotNull()).select(F.col("offset").alias("row_no"), "t.*")
         n_rows = trips.count()
         if n_rows:
             idx = batching.dense_index(trips, "row_no", out="_i", num_buckets=self.index_buckets)
             rows = idx.withColumn("batch_no", (F.expr(f"({start} + _i) div {self.batch_size}") + 1).cast("int"))
             (rows.select(*TRIP_COLUMNS, "row_no", "batch_no").sortWithinPartitions("batch_no", "row_no")
                  .write.mode("overwrite").partitionBy("batch_no").option("header", True)
-                 .csv(f"{self.out}/mb={batch_id}"))
-        spark.createDataFrame([(batch_id, start, n_rows)], MANIFEST_SCHEMA).coalesce(1) \
-             .write.mode("overwrite").json(f"{self.out}/_manifest/batch_id={batch_id}")
+                 .csv(f"{self.out}/{place}"))
+        spark.createDataFrame([(self.stream, batch_id, start, n_rows)], MANIFEST_SCHEMA).coalesce(1) \
+             .write.mode("overwrite").json(f"{self.out}/_manifest/stream={self.stream}/batch_id={batch_id}")
+
+
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """The name a checkpoint folder gives its stream; made on first use and kept beside it."""
+    path = f"{checkpoint.rstrip('/')}_stream"
+    if not path_exists(spark, f"{path}/_SUCCESS") or not path_exists(spark, checkpoint):
+        spark.createDataFrame([(uuid.uuid4().hex,)], "id STRING").coalesce(1).write.mode("overwrite").json(path)
+    return spark.read.schema("id STRING").json(path).first()["id"]
 
 
 def run_batcher(spark: SparkSession, topic: FileTopic, out: str, checkpoint: str, batch_size: int):
     """Drain the topic into exact batches with ``availableNow``."""
-    writer = (topic.read_stream(spark).writeStream.foreachBatch(ExactBatcher(out, batch_size))
-              .option("checkpointLocation", checkpoint))
+    batcher = ExactBatcher(out, batch_size, stream=stream_id(spark, checkpoint))
+    writer = topic.read_stream(spark).writeStream.foreachBatch(batcher).option("checkpointLocation", checkpoint)
     return run_available_now(writer, "batcher")
 
 
 def read_stream_batches(spark: SparkSession, out: str) -> DataFrame:
-    """Batch rows written by the batcher: trip columns, ``row_no``, ``mb``, ``batch_no``."""
-    schema = StructType([*TRIP_SCHEMA.fields, StructField("row_no", LongType()),
+    """Batch rows written by the batcher: trip columns, ``row_no``, ``stream``, ``mb``, ``batch_no``."""
+    schema = StructType([*TRIP_SCHEMA.fields, StructField("row_no", LongType()), StructField("stream", StringType()),
                          StructField("mb", LongType()), StructField("batch_no", IntegerType())])
-    return spark.read.schema(schema).option("header", True).option("basePath", out).csv(f"{out}/mb=*")
+    return spark.read.schema(schema).option("header", True).option("basePath", out).csv(f"{out}/stream=*/mb=*")
 
 
 def stream_batch_sizes(spark: SparkSession, out: str, batch_size: int) -> DataFrame:
@@ -160,8 +212,11 @@ def score_stream(spark: SparkSession, requests: DataFrame, registry: DataFrame,
     """Score a request stream into ``out`` (parquet, one folder per micro-batch)."""
 
     def _score(batch: DataFrame, batch_id: int) -> None:
-        scored = scoring.score(scoring.request_status(batch, registry), models)
-        scored.write.mode("overwrite").parquet(f"{out}/mb={batch_id}")
+        kept = batch.persist(StorageLevel.MEMORY_AND_DISK)  # read once, not once for each model
+        try:
+            scoring.score(scoring.request_status(kept, registry), models).write.mode("overwrite").parquet(f"{out}/mb={batch_id}")
+        finally:
+            kept.unpersist()
 
     writer = requests.writeStream.foreachBatch(_score).option("checkpointLocation", checkpoint)
     return run_available_now(writer, "score_stream")

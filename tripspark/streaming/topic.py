@@ -27,14 +27,15 @@ PRODUCER_LINGER_MS = 10
 def kafka_source_options(bootstrap: str = BOOTSTRAP, topic: str = TOPIC, group_id: str = GROUP_ID,
                          starting: str = "earliest", max_offsets_per_trigger: int | None = None,
                          min_offsets_per_trigger: int | None = None,
-                         max_trigger_delay: str | None = None) -> dict[str, str]:
+                         max_trigger_delay: str | None = None, fail_on_data_loss: bool = True) -> dict[str, str]:
     """Options for ``readStream.format("kafka")``.
 
     ``min/maxOffsetsPerTrigger`` bound micro-batch sizes; exact N-record batches
-    are cut by the batcher regardless of micro-batch boundaries.
+    cut by the batcher regardless of micro-batch boundaries. Records that aged out
+    before they were read stop the stream unless ``fail_on_data_loss`` is off.
     """
     opts = {"kafka.bootstrap.servers": bootstrap, "subscribe": topic, "startingOffsets": starting,
-            "kafka.group.id": group_id, "failOnDataLoss": "false"}
+            "kafka.group.id": group_id, "failOnDataLoss": str(fail_on_data_loss).lower()}
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
     if min_offsets_per_trigger:
@@ -97,14 +98,20 @@ class FileTopic:
                   .option("checkpointLocation", checkpoint))
 
 
-def run_available_now(writer, query_name: str | None = None, timeout_s: float = 900):
-    """Start a stream writer with ``availableNow``: drain what is there, then stop."""
+def run_available_now(writer, query_name: str | None = None, timeout_s: float | None = None):
+    """Start a stream writer with ``availableNow``: drain what is there, then stop.
+
+    Runs until the source is drained; ``timeout_s`` sets a limit.
+    """
     w = writer.trigger(availableNow=True)
     if query_name:
         # unique per run: two active queries may not share a name
         w = w.queryName(f"{query_name}_{uuid.uuid4().hex[:8]}")
     q = w.start()
-    q.awaitTermination(timeout_s)
+    if timeout_s is None:
+        q.awaitTermination()
+    else:
+        q.awaitTermination(timeout_s)
     if q.isActive:
         q.stop()
         raise TimeoutError(f"stream {query_name or q.id} did not finish in {timeout_s}s")
