@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tripspark.operators import training, versions
 from tripspark.plans import frames
+from tripspark.sources import files
 from tripspark.sources import models as registry
 
 SF = "/root/testdata/sf0.001"
@@ -77,6 +78,44 @@ def test_failed_version_does_not_stop_the_rest(spark, lr_versions):
     assert [r.status for r in res] == ["failed", "failed"] and all(r.error for r in res)
 
 
+def test_unreadable_batch_leaves_its_number_unused(spark, lr_versions):
+    out, _ = lr_versions
+    data = frames.cleaned(spark, SF, batch=True)
+    vb = versions.version_batches(frames.catalog(spark, SF), 3, "numeric")
+    res = training.train_versions(spark, data, vb, out + "/lost", kind="lr", unreadable={2})
+    assert [(r.version, r.n_batches, r.status) for r in res] == [(1, 1, "saved"), (2, 1, "skipped_unreadable"), (3, 2, "saved")]
+    src = frames.ingest_batches(spark, SF)
+    assert files.unreadable_batches(spark, src, [1, 2, 99]) == {99}
+
+
+def test_training_scan_is_pruned_to_the_versions_batches(spark, lr_versions):
+    data = frames.cleaned(spark, SF, batch=True).filter(F.col("batch_no").isin([1, 2, 3]))
+    plan = data._jdf.queryExecution().executedPlan().toString()
+    assert "batch_no" in plan.split("PartitionFilters:")[1].split("]")[0] and " IN (1,2,3)" in plan
+
+
+def test_versions_that_share_a_name_give_one_row(spark, lr_versions):
+    out, _ = lr_versions
+    model = PipelineModel.load(training.model_path(out, 1))
+    for name in ("fare_model_v1", "fare_model_x_v1"):
+        model.write().overwrite().save(f"{out}/twice/{name}")
+    reg, models = registry.scan_models(spark, out + "/twice")
+    assert [(r.model_name, r.model_version) for r in reg.collect()] == [("fare_model_x_v1", "v1")] and list(models) == ["v1"]
+
+
+def test_failed_training_is_not_kept(spark, monkeypatch):
+    calls = []
+
+    def failing(spark, cleaned, vb, models_dir, **kw):
+        calls.append(1)
+        return [training.VersionResult(1, 1, 5, "failed", None, "x" * 2000)]
+    monkeypatch.setattr(training, "train_versions", failing)
+    for _ in range(2):
+        _, summary = frames.trained_models(spark, SF, k=2, kind="lr")
+        assert [(r.status, len(r.error)) for r in summary.collect()] == [("failed", 2000)]
+    assert len(calls) == 2
+
+
 def test_registry_expected_and_scan(spark, lr_versions):
     out, _ = lr_versions
     local = out.replace("file:", "")

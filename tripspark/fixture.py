@@ -11,7 +11,6 @@ The row count grows with ``events``.
 from __future__ import annotations
 
 import hashlib
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,17 +91,13 @@ def raw_trips(events: DataFrame, with_key: bool = True) -> DataFrame:
     return m.select(*cols)
 
 
-def code_tag(*modules: str) -> str:
-    """Hash of the package modules that produce a materialized table.
+#: Part of every cache key of materialized tables. Raise it when the code that makes them changes.
+TABLES_VERSION = 2
 
-    Part of every cache key, so a code change never reuses stale files.
-    """
-    root = os.path.dirname(os.path.abspath(__file__))
-    h = hashlib.sha1()
-    for m in modules:
-        with open(os.path.join(root, *m.split(".")) + ".py", "rb") as fh:
-            h.update(fh.read())
-    return h.hexdigest()[:12]
+
+def table_tag(*parts: object) -> str:
+    """Name of a materialized table made from ``parts``."""
+    return hashlib.sha1("|".join(map(str, (TABLES_VERSION, *parts))).encode()).hexdigest()[:16]
 
 
 def raw_source_path(spark: SparkSession, sf_dir: str) -> str:
@@ -112,23 +107,28 @@ def raw_source_path(spark: SparkSession, sf_dir: str) -> str:
     the same way into the shared scratch folder (``spark.checkpoint.dir``) and
     every query scans that file. Keyed by the ``events`` file identity.
     """
-    from .session import default_parallelism, file_signature, materialize, shared_dir
+    from .session import file_signature, materialize, shared_dir
     from .sources.files import write_raw_csv
 
     events = f"{sf_dir.rstrip('/')}/events.parquet"
-    code = code_tag("fixture", "sources.files")
-    tag = hashlib.sha1(f"{os.path.abspath(sf_dir)}|{file_signature(spark, events)}|{code}"
-                       .encode()).hexdigest()[:16]
+    tag = table_tag(sf_dir.rstrip("/"), file_signature(spark, events))
     path = f"{shared_dir(spark)}/tripspark/raw_trips/{tag}"
 
-    def write(p):
-        # Range-split by position into at least one file per core: files follow
-        # the arrival order, and scans of the source get full parallelism.
-        n_files = default_parallelism(spark)
-        raw = raw_trips(read_table(spark, sf_dir, "events")).repartitionByRange(n_files, "row_no")
-        write_raw_csv(raw.sortWithinPartitions("row_no"), p)
+    return materialize(spark, path, lambda p: write_raw_csv(_in_order(spark, sf_dir), p))
+
+
+def _in_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw trips range-split by position into at least one file per core: files follow the arrival
+    order, and scans of the source get full parallelism."""
+    from .session import default_parallelism
+
+    raw = raw_trips(read_table(spark, sf_dir, "events")).repartitionByRange(default_parallelism(spark), "row_no")
+    return raw.sortWithinPartitions("row_no")
+
 
-    return materialize(spark, path, write)
+def write_plain_csv(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The same source as the original's file has it: no position column."""
+    _in_order(spark, sf_dir).drop("row_no").write.mode("overwrite").option("header", True).csv(path)
 
 
 def load_raw_trips(spark: SparkSession, sf_dir: str, with_key: bool = True) -> DataFrame:

@@ -27,11 +27,6 @@ LR_REG_PARAM = 0.1
 DEFAULT_SEED = 42
 MODEL_PREFIX = "fare_model_v"
 
-# Training partitions are sized to the data (about this many rows each, ~80 MB of
-# features): MLlib's tree learners run one job per tree level, so a tiny training
-# set spread over many partitions pays scheduling overhead for nothing.
-TRAIN_ROWS_PER_PARTITION = 1_000_000
-
 
 def imputed_name(c: str) -> str:
     return f"{c}_imputed"
@@ -77,16 +72,6 @@ def full_pipeline(kind: str = "gbt", input_cols: list[str] = FEATURE_COLUMNS, sc
     return Pipeline(stages=[feature_pipeline(input_cols, "features", scale), regressor(kind, seed, **params)])
 
 
-def sized_partitions(df: DataFrame, n_rows: int) -> DataFrame:
-    """Narrow ``df`` (no shuffle) to about ``TRAIN_ROWS_PER_PARTITION`` rows per partition."""
-    want = max(1, -(-int(n_rows) // TRAIN_ROWS_PER_PARTITION))
-    try:
-        have = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access keep their layout
-        return df
-    return df.coalesce(want) if want < have else df
-
-
 def fit_pipeline(train: DataFrame, kind: str = "gbt", input_cols: list[str] = FEATURE_COLUMNS,
                  scale: bool = False, seed: int = DEFAULT_SEED, **params) -> PipelineModel:
     """Fit the full pipeline. The training rows are read once and kept for the
@@ -96,8 +81,7 @@ def fit_pipeline(train: DataFrame, kind: str = "gbt", input_cols: list[str] = FE
         return full_pipeline(kind, input_cols, scale, seed, **params).fit(train)
     data = train.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        n = data.count()
-        return full_pipeline(kind, input_cols, scale, seed, **params).fit(sized_partitions(data, n))
+        return full_pipeline(kind, input_cols, scale, seed, **params).fit(data)
     finally:
         data.unpersist()
 
@@ -118,45 +102,54 @@ class VersionResult:
 
 def train_versions(spark: SparkSession, cleaned: DataFrame, vb: DataFrame, models_dir: str,
                    kind: str = "gbt", seed: int = DEFAULT_SEED, overwrite: bool = True,
-                   parallelism: int = 3, **params) -> list[VersionResult]:
+                   parallelism: int = 3, input_cols: list[str] = FEATURE_COLUMNS,
+                   unreadable: frozenset[int] | set[int] = frozenset(), **params) -> list[VersionResult]:
     """Fit and save one pipeline per version (M8).
 
     ``cleaned`` has ``batch_no`` and the training columns; ``vb`` maps versions to
-    batches (``operators.versions.version_batches``). The versioned rows are
-    cached once and every fit filters them by version. An empty training set is
+    batches (``operators.versions.version_batches``). Versions are cumulative, so one copy of
+    the rows of all their batches is cached, with the first version each batch belongs to;
+    fit v takes the rows up to v. The batch numbers are a literal filter that prunes the scan.
+    Batches in ``unreadable`` are left out, and the version that would add one is not trained:
+    its number stays unused (S9). An empty training set is
     skipped (N8) and a failing version does not stop the others. Versions are
     independent, so up to ``parallelism`` fits run as concurrent Spark jobs
     (the same pattern as ``CrossValidator(parallelism=...)``).
     """
     train_cols = [LABEL, *FEATURE_COLUMNS]
-    versioned = (cleaned.join(F.broadcast(vb), "batch_no")
-                        .select("version", "batch_no", *train_cols)
-                        .persist(StorageLevel.MEMORY_AND_DISK))
+    # the version table is bounded by k(k+1)/2 rows
+    first: dict[int, int] = {}
+    for r in vb.collect():
+        first[r["batch_no"]] = min(r["version"], first.get(r["batch_no"], r["version"]))
+    expected = sorted({*first.values()})
+    used = {b: v for b, v in first.items() if b not in unreadable}
+    lost = {first[b] for b in first if b in unreadable}
+    added = F.coalesce(*[F.when(F.col("batch_no") == b, F.lit(v)) for b, v in sorted(used.items())], F.lit(None).cast("int"))
+    rows = (cleaned.filter(F.col("batch_no").isin(sorted(used))).select(added.alias("version"), "batch_no", *train_cols)
+            .persist(StorageLevel.MEMORY_AND_DISK))
     try:
-        sizes = {r["version"]: (r["n_rows"], r["n_batches"]) for r in
-                 versioned.groupBy("version").agg(F.count(F.lit(1)).alias("n_rows"),
-                                                  F.count_distinct("batch_no").alias("n_batches")).collect()}
-        # one entry per version: the version table is bounded by k(k+1)/2 rows
-        expected = sorted(r["version"] for r in vb.select("version").distinct().collect())
+        each = {r["version"]: (r["n_rows"], r["n_batches"]) for r in rows.groupBy("version").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.count_distinct("batch_no").alias("n_batches")).collect()}
 
         def fit_one(v: int) -> VersionResult:
-            n_rows, n_batches = sizes.get(v, (0, 0))
+            n_rows, n_batches = (sum(x[i] for w, x in each.items() if w <= v) for i in (0, 1))
+            if v in lost:
+                return VersionResult(v, n_batches, n_rows, "skipped_unreadable", None)
             if n_rows == 0:
                 return VersionResult(v, n_batches, 0, "skipped_empty", None)
             path = model_path(models_dir, v)
             try:
-                rows = sized_partitions(versioned.filter(F.col("version") == v).select(*train_cols), n_rows)
-                model = full_pipeline(kind, FEATURE_COLUMNS, False, seed, **params).fit(rows)
+                model = full_pipeline(kind, input_cols, False, seed, **params).fit(rows.filter(F.col("version") <= v).select(*train_cols))
                 w = model.write()
                 (w.overwrite() if overwrite else w).save(path)
                 return VersionResult(v, n_batches, n_rows, "saved", path)
             except Exception as e:  # noqa: BLE001 - one failed version must not stop the rest
-                return VersionResult(v, n_batches, n_rows, "failed", path, str(e)[:500])
+                return VersionResult(v, n_batches, n_rows, "failed", path, str(e))
 
         with ThreadPoolExecutor(max_workers=max(1, min(parallelism, len(expected) or 1))) as pool:
             return list(pool.map(fit_one, expected))
     finally:
-        versioned.unpersist()
+        rows.unpersist()
 
 
 def results_frame(spark: SparkSession, results: list[VersionResult]) -> DataFrame:

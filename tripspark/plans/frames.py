@@ -12,24 +12,28 @@ trainer of the original reads the consumer's batch files.
 
 from __future__ import annotations
 
-import hashlib
-
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import fixture
 from ..operators import batching, features, ingest, training, versions
-from ..session import materialize, shared_dir
+from ..schemas import FEATURE_COLUMNS
+from ..session import materialize, path_exists, shared_dir
 from ..sources import files
 
-# Modules whose code shapes the materialized batch files (part of the cache key).
-BATCH_CODE = ("fixture", "sources.files", "functions.parse", "operators.ingest", "operators.batching",
-              "plans.frames")
+REQUEST_TABLE = "request_id BIGINT, value STRING, model_version STRING"
 
 
 def raw(spark: SparkSession, sf_dir: str, with_key: bool = True) -> DataFrame:
     return fixture.load_raw_trips(spark, sf_dir, with_key=with_key)
 
 
+def plain_csv(spark: SparkSession, sf_dir: str) -> str:
+    """The raw source without its position column: header CSV of the eight trip columns, written once per input."""
+    src = fixture.raw_source_path(spark, sf_dir)
+    return materialize(spark, f"{shared_dir(spark)}/tripspark/plain/{fixture.table_tag(src, 'plain')}",
+                       lambda p: fixture.write_plain_csv(spark, sf_dir, p))
+
+
 def typed(spark: SparkSession, sf_dir: str, key_mode: str = "null") -> DataFrame:
     return ingest.type_trips(raw(spark, sf_dir), key_mode=key_mode)
 
@@ -41,8 +45,7 @@ def sent(spark: SparkSession, sf_dir: str) -> DataFrame:
 def batched(spark: SparkSession, sf_dir: str, batch_size: int | None = None) -> DataFrame:
     """Accepted trips with ``batch_no``, computed in-plan (distributed dense index)."""
     n = batch_size or batching.fixture_batch_size(spark, sf_dir)
-    # bucket bounds from the raw positions: one cheap column instead of a full validation pass
-    return batching.assign_batches(sent(spark, sf_dir), n, bounds_from=raw(spark, sf_dir).select("row_no"))
+    return batching.assign_batches(sent(spark, sf_dir), n)
 
 
 def ingest_batches(spark: SparkSession, sf_dir: str, out: str | None = None,
@@ -57,7 +60,7 @@ def ingest_batches(spark: SparkSession, sf_dir: str, out: str | None = None,
         files.write_batches_csv(batched(spark, sf_dir, n), out)
         return out
     src = fixture.raw_source_path(spark, sf_dir)
-    tag = hashlib.sha1(f"{src}|{n}|{fixture.code_tag(*BATCH_CODE)}".encode()).hexdigest()[:16]
+    tag = fixture.table_tag(src, n)
     return materialize(spark, f"{shared_dir(spark)}/tripspark/batches/{tag}",
                        lambda p: files.write_batches_csv(batched(spark, sf_dir, n), p))
 
@@ -76,42 +79,43 @@ def cleaned(spark: SparkSession, sf_dir: str, batch: bool = False) -> DataFrame:
     return features.training_rows(trips(spark, sf_dir), keep=keep)
 
 
-# Modules whose code shapes the trained models (part of the model cache key).
-TRAIN_CODE = BATCH_CODE + ("operators.training", "operators.features", "operators.quality",
-                           "operators.versions", "functions.geo", "functions.timefeat")
-
-
 def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = batching.fixture_batch_size(spark, sf_dir)
     return versions.batch_catalog(spark, ingest_batches(spark, sf_dir), n)
 
 
 def trained_models(spark: SparkSession, sf_dir: str, k: int = 3, order: str = "numeric",
-                   kind: str = "gbt") -> tuple[str, DataFrame]:
+                   kind: str = "gbt", input_cols: list[str] = FEATURE_COLUMNS) -> tuple[str, DataFrame]:
     """Training job: fit and save versions 1..k once per input; returns (models_dir, summary).
 
     The summary (one row per version) is stored next to the models in ``_versions``.
     """
     src = ingest_batches(spark, sf_dir)
-    tag = hashlib.sha1(f"{src}|{k}|{order}|{kind}|{fixture.code_tag(*TRAIN_CODE)}".encode()).hexdigest()[:16]
+    tag = fixture.table_tag(src, k, order, kind, *input_cols)
     models_dir = f"{shared_dir(spark)}/tripspark/models/{tag}"
 
-    def train(summary_path):
+    summary_path = f"{models_dir}/_versions"
+    if not path_exists(spark, f"{summary_path}/_SUCCESS"):
         vb = versions.version_batches(catalog(spark, sf_dir), k=k, order=order)
-        results = training.train_versions(spark, cleaned(spark, sf_dir, batch=True), vb, models_dir, kind=kind)
-        training.results_frame(spark, results).write.mode("overwrite").parquet(summary_path)
-
-    return models_dir, spark.read.parquet(materialize(spark, f"{models_dir}/_versions", train))
+        lost = files.unreadable_batches(spark, src, sorted({r["batch_no"] for r in vb.collect()}))
+        results = training.train_versions(spark, cleaned(spark, sf_dir, batch=True), vb, models_dir, kind=kind,
+                                          input_cols=input_cols, unreadable=lost)
+        summary = training.results_frame(spark, results)
+        if any(r.status == "failed" for r in results):
+            return models_dir, summary  # not kept: the next call trains again
+        summary.write.mode("overwrite").parquet(summary_path)
+    return models_dir, spark.read.parquet(summary_path)
 
 
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scoring requests derived from the accepted trips (FIXTURES.md).
 
-    Written once per input as a parquet table (the scoring input a service
-    would read); a filter on ``model_version`` reaches its scan.
+    Written once per input as a parquet table (the scoring input a service would
+    read), partitioned by ``model_version``: each version's scoring branch reads its own files.
     """
     src = fixture.raw_source_path(spark, sf_dir)
-    tag = hashlib.sha1(f"{src}|{fixture.code_tag(*BATCH_CODE)}".encode()).hexdigest()[:16]
+    tag = fixture.table_tag(src, "requests")
     path = materialize(spark, f"{shared_dir(spark)}/tripspark/requests/{tag}",
-                       lambda p: fixture.requests_from_trips(sent(spark, sf_dir)).write.mode("overwrite").parquet(p))
-    return spark.read.parquet(path)
+                       lambda p: fixture.requests_from_trips(sent(spark, sf_dir))
+                       .write.mode("overwrite").partitionBy("model_version").parquet(p))
+    return spark.read.schema(REQUEST_TABLE).parquet(path).select("request_id", "model_version", "value")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
@@ -148,18 +148,23 @@ def lr_basic_scores(spark, sf_dir):
 
 @query("gbt_scores")
 def gbt_scores(spark, sf_dir):
-    """Full pipeline, version 1 (imputer, assembler, GBT × 20), scoring every training row (M5, M7, M9)."""
-    models_dir, _ = frames.trained_models(spark, sf_dir)
-    _, models = registry.load_expected(spark, models_dir, 1)
-    return models["v1"].transform(frames.cleaned(spark, sf_dir)).select("row_no", _r("prediction", 4).alias("prediction"))
+    """Full pipeline (imputer, assembler, GBT × 20) fitted on all cleaned rows, scoring each (M5, M7, M9)."""
+    rows = frames.cleaned(spark, sf_dir)
+    return training.fit_pipeline(rows, kind="gbt").transform(rows).select("row_no", _r("prediction", 4).alias("prediction"))
 
 
-@query("model_reload_scores")
+@query("model_reload_scores", with_pipeline("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_differences FROM g"))
 def model_reload_scores(spark, sf_dir):
-    """Saved version 3 loaded back from storage and applied."""
-    models_dir, _ = frames.trained_models(spark, sf_dir)
-    _, models = registry.load_expected(spark, models_dir, 3)
-    return models["v3"].transform(frames.cleaned(spark, sf_dir)).select("row_no", _r("prediction", 4).alias("prediction"))
+    """A full pipeline saved (overwrite), loaded back and compared with the one in memory, row by row."""
+    rows = frames.cleaned(spark, sf_dir)
+    model = training.fit_pipeline(rows, kind="gbt", maxIter=3)
+    path = scratch_path(spark, "reload") + "/fare_model_v1"
+    model.write().overwrite().save(path)
+    model.write().overwrite().save(path)
+    both = model.transform(rows).select("*", F.col("prediction").alias("kept")).drop(
+        *[c for c in model.transform(rows).columns if c not in rows.columns])
+    again = PipelineModel.load(path).transform(both)
+    return again.agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(~F.col("prediction").eqNullSafe(F.col("kept"))).alias("n_differences"))
 
 
 _VERSIONS_SQL = """
@@ -175,36 +180,3 @@ def train_versions_summary(spark, sf_dir):
     """Cumulative versions 1..3 trained and saved; rows and batches per version (M8)."""
     _, summary = frames.trained_models(spark, sf_dir)
     return summary.select("version", "n_batches", "n_rows", "status")
-
-
-_N_MODELS = "(SELECT least(3, count(DISTINCT batch_no)) FROM b)"
-
-
-@query("registry_expected", with_pipeline(
-    "SELECT 'fare_model_v' || CAST(i AS VARCHAR) AS model_name, 'v' || CAST(i AS VARCHAR) AS model_version, "
-    f"i <= {_N_MODELS} AS present, i <= {_N_MODELS} AS loaded FROM range(1, 4) t(i)"))
-def registry_expected(spark, sf_dir):
-    """Fixed names v1..v3 looked up on storage."""
-    models_dir, _ = frames.trained_models(spark, sf_dir)
-    reg, _ = registry.load_expected(spark, models_dir, 3)
-    return reg.select("model_name", "model_version", "present", "loaded")
-
-
-@query("registry_scan", with_pipeline(
-    "SELECT 'fare_model_v' || CAST(i AS VARCHAR) AS model_name, 'v' || CAST(i AS VARCHAR) AS model_version, "
-    f"true AS loaded FROM range(1, 1 + {_N_MODELS}) t(i)"))
-def registry_scan(spark, sf_dir):
-    """Model discovery by folder scan, version = text after the last '_' (S15, P18)."""
-    models_dir, _ = frames.trained_models(spark, sf_dir)
-    reg, _ = registry.scan_models(spark, models_dir)
-    return reg.select("model_name", "model_version", "loaded")
-
-
-@query("registry_summary", with_pipeline(
-    f"SELECT CAST(count(*) AS BIGINT) AS loaded_models, string_agg('v' || CAST(i AS VARCHAR), ',' ORDER BY i) "
-    f"AS available_models FROM range(1, 1 + {_N_MODELS}) t(i)"))
-def registry_summary(spark, sf_dir):
-    """Loaded-model count and sorted list (A5)."""
-    models_dir, _ = frames.trained_models(spark, sf_dir)
-    reg, _ = registry.scan_models(spark, models_dir)
-    return registry.registry_summary(reg)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import threading
 import uuid
@@ -47,9 +48,10 @@ def get_session(master: str | None = None, app_name: str = "tripspark",
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared scratch folder.
 
-    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). Only
-    when neither is set (local tests) a private temp folder is created and
-    registered as checkpoint dir, so ``DataFrame.checkpoint()`` works too.
+    Read from ``spark.checkpoint.dir`` (or the context's checkpoint dir). When neither is
+    set, a local session gets a private temp folder, registered as checkpoint dir, so
+    ``DataFrame.checkpoint()`` works too; on a cluster, where executors could not see
+    such a folder, that is an error.
     """
     base = None
     try:
@@ -60,6 +62,9 @@ def shared_dir(spark: SparkSession) -> str:
     if not base and sc is not None:
         base = sc.getCheckpointDir()
     if not base:
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = tempfile.mkdtemp(prefix="tripspark-")
         if sc is not None:
             sc.setCheckpointDir(base)
@@ -85,11 +90,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared scratch folder."""
     base = shared_dir(spark)
     path = f"{base}/tripspark/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
+    fs, p = _fs(spark, path)
+    if fs is not None:
+        fs.mkdirs(p)
     return path
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder once its result is stored elsewhere."""
+    fs, p = _fs(spark, path)
+    if fs is not None:
+        fs.delete(p, True)
+
+
 def _fs(spark: SparkSession, path: str):
     """Hadoop FileSystem for ``path``; None without a JVM gateway (then local paths only)."""
     sc = _context(spark)

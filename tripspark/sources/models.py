@@ -1,8 +1,7 @@
 """Model registry: find, load and describe saved pipeline versions.
 
-The registry is a DataFrame with one row per model folder (a handful of rows;
-its size is the number of saved versions, checked before it is broadcast) plus
-a driver-side map ``version → PipelineModel`` used for scoring.
+The registry is a DataFrame with one row per model version plus a driver-side map
+``version → PipelineModel`` used for scoring: every row of it stands for a model the driver looked at.
 """
 
 from __future__ import annotations
@@ -18,28 +17,30 @@ from ..session import file_signature, list_dir, path_exists
 REGISTRY_SCHEMA = ("model_name STRING, model_version STRING, path STRING, present BOOLEAN, "
                    "loaded BOOLEAN, error STRING")
 FOLDER_PREFIX = "fare_model_"
-# Registries larger than this are not broadcast (a sanity bound on model folders).
-MAX_REGISTRY_ROWS = 10_000
 
 
-# Loaded models by (path, metadata identity): a model folder is loaded once per
-# driver and reloaded only when it was rewritten.
-_LOADED: dict[tuple[str, str], object] = {}
+# The loaded model of each path with the identity of its metadata files: a model folder
+# is loaded once per driver and again only when it was rewritten.
+_LOADED: dict[str, tuple[str, object]] = {}
+
+
+def _identity(spark: SparkSession, path: str) -> str:
+    """Names, lengths and times of the metadata files (a folder's own time need not change)."""
+    files = sorted(n for n, is_dir in list_dir(spark, f"{path}/metadata") if not is_dir and n.startswith("part-"))
+    return ",".join(f"{n}:{file_signature(spark, f'{path}/metadata/{n}')}" for n in files)
 
 
 def _try_load(path: str, loader=PipelineModel, spark: SparkSession | None = None):
-    key = None
     try:
-        if spark is not None:
-            key = (path, file_signature(spark, f"{path}/metadata"))
-            if key in _LOADED:
-                return _LOADED[key], None
+        key = _identity(spark, path) if spark is not None else None
+        if key and _LOADED.get(path, ("",))[0] == key:
+            return _LOADED[path][1], None
         model = loader.load(path)
-        if key is not None:
-            _LOADED[key] = model
+        if key:
+            _LOADED[path] = (key, model)
         return model, None
     except Exception as e:  # noqa: BLE001 - a broken model is reported, not fatal
-        return None, str(e)[:300]
+        return None, str(e)
 
 
 def load_expected(spark: SparkSession, models_dir: str, n_expected: int = 3):
@@ -60,8 +61,12 @@ def load_expected(spark: SparkSession, models_dir: str, n_expected: int = 3):
 
 
 def scan_models(spark: SparkSession, models_dir: str):
-    """Every folder named ``fare_model_*``; version = text after the last ``_``."""
-    rows, models = [], {}
+    """Every folder named ``fare_model_*``; version = text after the last ``_``.
+
+    Folders that share a version give one row: the last by name that loads, as in the original's map.
+    """
+    rows: dict[str, tuple] = {}
+    models: dict[str, PipelineModel] = {}
     for name, is_dir in sorted(list_dir(spark, models_dir)):
         if not (is_dir and name.startswith(FOLDER_PREFIX)):
             continue
@@ -70,17 +75,14 @@ def scan_models(spark: SparkSession, models_dir: str):
         model, err = _try_load(path, spark=spark)
         if model is not None:
             models[version] = model
-        rows.append((name, version, path, True, model is not None, err))
-    return spark.createDataFrame(rows, REGISTRY_SCHEMA), models
+        if model is not None or version not in rows:
+            rows[version] = (name, version, path, True, model is not None, err)
+    return spark.createDataFrame(list(rows.values()), REGISTRY_SCHEMA), models
 
 
 def loaded_versions(registry: DataFrame) -> DataFrame:
-    """Loaded versions only, size-checked so it can be broadcast into joins."""
-    loaded = registry.filter("loaded").select("model_version", "model_name")
-    n = loaded.count()
-    if n > MAX_REGISTRY_ROWS:
-        raise ValueError(f"registry has {n} loaded models, more than {MAX_REGISTRY_ROWS}")
-    return loaded
+    """Loaded versions, each once."""
+    return registry.filter("loaded").select("model_version", "model_name").dropDuplicates(["model_version"])
 
 
 def registry_summary(registry: DataFrame) -> DataFrame:
