@@ -53,13 +53,34 @@ def test_prediction_matches_direct_transform(spark, models):
     assert fare == pytest.approx(direct, abs=0.005 + 1e-9)
 
 
-def test_records_are_json(spark, models):
-    reg = spark.createDataFrame([("v1",)], "model_version STRING")
-    st = scoring.request_status(_requests(spark, [("v1", json.dumps(BODY)), ("v3", "{}")]), reg)
-    recs = [json.loads(r.record) for r in scoring.records(scoring.score(st, models)).orderBy("request_id").collect()]
-    assert recs[0]["model_version"] == "fare_model_v1" and "predicted_fare" in recs[0]
-    assert recs[1]["status"] == "unknown_model" and "predicted_fare" not in recs[1]
-    assert F is not None
+def test_records_of_both_services(spark, models):
+    reg = spark.createDataFrame([("v1",), ("v1",)], "model_version STRING")
+    st = scoring.request_status(_requests(spark, [("v1", json.dumps(BODY)), ("v3", "{}"), ("v1", "{}"), ("v1", "[1]")]), reg)
+    rows = scoring.records(scoring.score(st, {"v1": models["v1"]}), ["v2", "v1"]).orderBy("request_id").collect()
+    assert len(rows) == 4                                      # a version listed twice counts once
+    ok, unknown, none, bad = [json.loads(r.record) for r in rows]
+    assert ok["model_version"] == "fare_model_v1" and ok["input_data"] == BODY and ok["predicted_fare"] > 0
+    assert unknown == {"error": "Model fare_model_v3 not loaded or does not exist"}
+    assert none == {"error": "No input data provided"} and set(bad) == {"error"}
+    ok, unknown, none, bad = [json.loads(r.record_container) for r in rows]
+    assert set(ok) == {"model_version_used", "predicted_fare"} and ok["model_version_used"] == "v1"
+    assert unknown["available_models"] == ["v1", "v2"] and "'v3' not found" in unknown["error"]
+
+
+def test_warning_record(spark):
+    row = spark.createDataFrame([(1, "v1", json.dumps(BODY), "no_prediction", None)],
+                                "request_id BIGINT, model_version STRING, value STRING, status STRING, predicted_fare DOUBLE")
+    rec = json.loads(scoring.records(row).first().record)
+    assert rec == {"model_version": "fare_model_v1", "input_data": BODY, "warning": scoring.NO_PREDICTION_WARNING}
+
+
+def test_scoring_reads_each_version_once(spark, models, tmp_out):
+    reg = spark.createDataFrame([("v1",), ("v2",)], "model_version STRING")
+    _requests(spark, [("v1", json.dumps(BODY)), ("v2", json.dumps(BODY)), ("v7", None), (None, None)]).write.partitionBy("model_version").parquet(f"{tmp_out}/r")
+    table = spark.read.schema("request_id BIGINT, value STRING, model_version STRING").parquet(f"{tmp_out}/r").select("request_id", "model_version", "value")
+    plan = scoring.score(scoring.request_status(table, reg), models)._jdf.queryExecution().executedPlan().toString()
+    scans = [p.split("]")[0] for p in plan.split("PartitionFilters: [")[1:]]
+    assert len(scans) == 3 and all("model_version" in s for s in scans)      # disjoint partitions: one read in all
 
 
 def test_rows_a_model_would_skip_are_kept(spark):

@@ -7,9 +7,10 @@ Every request row gets a status, checked in the original's order:
 * ``bad_input``: not a JSON object, or a member of the wrong type (500);
 * ``ok`` with ``predicted_fare``, or ``no_prediction`` if the model yields none.
 
-Routing is a broadcast left join against the (small, size-checked) registry;
-each loaded version transforms only its own rows, and the parts are unioned,
-so every request passes through exactly one model.
+Routing compares the version with the loaded ones, a list the driver holds anyway (one entry per
+loaded model). Each loaded version transforms only its own rows, and the parts are unioned,
+so every request passes through exactly one model. A request table partitioned by
+``model_version`` (or a persisted micro-batch) is read once in all, whatever the number of models.
 """
 
 from __future__ import annotations
@@ -34,6 +35,9 @@ ACCEPTED = "accepted"
 OK = "ok"
 NO_PREDICTION = "no_prediction"
 
+# Fixed value: the warning of a request without a prediction.
+NO_PREDICTION_WARNING = "Could not generate prediction, possibly due to invalid input features after preprocessing."
+
 # JSON texts that are "falsy" once parsed (after removing whitespace).
 FALSY_JSON = ["{}", "[]", '""', "0", "0.0", "false", "null"]
 
@@ -51,12 +55,10 @@ def _type_error(text: Column, parsed: Column) -> Column:
 def request_status(requests: DataFrame, registry: DataFrame) -> DataFrame:
     """Add ``status`` and the parsed request fields.
 
-    ``registry`` lists loaded versions (``model_version`` column); it is bounded
-    by the number of saved models and broadcast.
+    ``registry`` lists loaded versions (``model_version`` column); a version listed twice counts once.
     """
-    # one row per loaded version (the registry lists each model folder once)
-    known = registry.select("model_version").withColumn("_known", F.lit(True))
-    df = requests.join(F.broadcast(known), "model_version", "left")
+    known = sorted({r[0] for r in registry.select("model_version").collect()} - {None})  # one per loaded model
+    df = requests.withColumn("_known", F.when(F.col("model_version").isin(known), F.lit(True)))
     v = F.col("value").cast("string")
     squeezed = F.regexp_replace(v, r"\s", "")
     no_input = v.isNull() | (squeezed == "") | squeezed.isin(FALSY_JSON)
@@ -117,8 +119,32 @@ def score(status_df: DataFrame, models: dict[str, PipelineModel],
                   .drop("prediction"))
 
 
-def records(scored: DataFrame) -> DataFrame:
-    """Response records as JSON text (K8): version, input, fare or the status."""
-    return scored.select("request_id", F.to_json(F.struct(
-        F.concat(F.lit("fare_model_"), F.col("model_version")).alias("model_version"),
-        F.col("value").alias("input_data"), "predicted_fare", "status")).alias("record"))
+def records(scored: DataFrame, models: list[str] | tuple[str, ...] = ()) -> DataFrame:
+    """Response records as JSON text (K8): what both services answer to each request.
+
+    ``record``: version, the input as an object (its text if it is none), and the rounded fare, a
+    warning (no prediction) or an error. ``record_container``: the container service's form,
+    ``model_version_used`` and the fare; for an unknown version the error and ``available_models``.
+    """
+    name = F.concat(F.lit("fare_model_"), F.col("model_version"))
+    status = F.col("status")
+    is_object = codec.is_object("value")
+    members = F.from_json(F.col("value"), REQUEST_SCHEMA)
+    head = [name.alias("model_version")]
+    body = lambda *extra: F.to_json(F.struct(*head, members.alias("input_data"), *extra))
+    text = lambda *extra: F.to_json(F.struct(*head, F.col("value").alias("input_data"), *extra))
+    error = lambda e: F.to_json(F.struct(e.alias("error")))
+    shown = F.coalesce(F.col("model_version"), F.lit("None"))
+    record = (F.when(status == OK, body(F.col("predicted_fare")))
+               .when((status == NO_PREDICTION) & is_object, body(F.lit(NO_PREDICTION_WARNING).alias("warning")))
+               .when(status == NO_PREDICTION, text(F.lit(NO_PREDICTION_WARNING).alias("warning")))
+               .when(status == UNKNOWN_MODEL, error(F.format_string("Model fare_model_%s not loaded or does not exist", shown)))
+               .when(status == NO_INPUT, error(F.lit("No input data provided")))
+               .otherwise(error(F.lit("An internal server error occurred: the input does not fit the request schema"))))
+    available = F.array(*[F.lit(v) for v in sorted(models)]) if models else F.array().cast("array<string>")
+    container = (F.when(status == OK, F.to_json(F.struct(F.col("model_version").alias("model_version_used"), "predicted_fare")))
+                  .when(status == UNKNOWN_MODEL, F.to_json(F.struct(
+                      F.format_string("Model version '%s' not found or not loaded.", shown).alias("error"), available.alias("available_models"))))
+                  .when(status == NO_INPUT, error(F.lit("Invalid input. JSON data is required.")))
+                  .otherwise(error(F.lit("Failed to make prediction. Check server logs."))))
+    return scored.select("request_id", "status", record.alias("record"), container.alias("record_container"))

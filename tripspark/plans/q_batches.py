@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions.timefeat import parse_pickup, utc_text
-from ..operators import batching, versions
+from ..operators import batching, ingest, versions
 from ..schemas import TRIP_COLUMNS
+from ..session import scratch_path
 from ..sources import files
 from . import frames
 from .oracle_base import BATCH_SIZE_SQL, with_pipeline
@@ -48,6 +49,47 @@ def batch_assign_1000(spark, sf_dir):
     return frames.batched(spark, sf_dir, batch_size=1000).select("row_no", "batch_no")
 
 
+@query("batch_files_flat", with_pipeline(
+    "SELECT batch_no, file_name, count(*) AS n_rows, min(row_no) AS first_row FROM (SELECT row_no, n, "
+    "CAST((p // 1000) + 1 AS INTEGER) AS batch_no, 'batch_' || CAST(p // 1000 + 1 AS VARCHAR) "
+    "|| CASE WHEN p // 1000 = n // 1000 THEN '_final' ELSE '' END || '.csv' AS file_name "
+    "FROM (SELECT row_no, row_number() OVER (ORDER BY row_no) - 1 AS p, count(*) OVER () AS n FROM sent)) GROUP BY ALL"))
+def batch_files_flat(spark, sf_dir):
+    """Batches of 1,000 written as ``batch_<n>[_final].csv``, listed and read back."""
+    path = scratch_path(spark, "batches_flat")
+    files.write_batches_flat(frames.batched(spark, sf_dir, batch_size=1000), path, 1000)
+    names = files.list_batch_files(spark, path).select("batch_no", "file_name")
+    rows = spark.read.schema(files.BATCH_FILE_SCHEMA).option("header", True).option("recursiveFileLookup", "true").csv(path)
+    rows = rows.select("row_no", files._batch_of(F.col("_metadata.file_path")).alias("batch_no"))
+    return rows.groupBy("batch_no").agg(F.count(F.lit(1)).alias("n_rows"), F.min("row_no").alias("first_row")).join(names, "batch_no")
+
+
+@query("batch_table_1000", with_pipeline(
+    "SELECT row_no, CAST((row_number() OVER (ORDER BY row_no) - 1) // 1000 + 1 AS INTEGER) AS batch_no FROM sent"))
+def batch_table_1000(spark, sf_dir):
+    """Batches of 1,000 stored as a column of large files, read back (K5)."""
+    path = scratch_path(spark, "batches_table")
+    files.write_batches_table(frames.batched(spark, sf_dir, batch_size=1000), path)
+    return spark.read.parquet(path).select("row_no", "batch_no")
+
+
+@query("scan_plain_csv", with_pipeline(
+    f"SELECT row_number() OVER (ORDER BY row_no) - 1 AS row_no, {RAW_SQL.split(', ', 1)[1]} FROM raw"))
+def scan_plain_csv(spark, sf_dir):
+    """The source as the original has it, eight columns and no position: positions from the files."""
+    return files.read_plain_csv(spark, frames.plain_csv(spark, sf_dir))
+
+
+@query("batch_from_plain_csv", with_pipeline(
+    "SELECT p.pos AS row_no, b.batch_no, b.fare_amount FROM b JOIN "
+    "(SELECT row_no, row_number() OVER (ORDER BY row_no) - 1 AS pos FROM raw) p ON p.row_no = b.row_no"))
+def batch_from_plain_csv(spark, sf_dir):
+    """Plain header CSV → validated trips → numbered batches."""
+    raw = files.read_plain_csv(spark, frames.plain_csv(spark, sf_dir))
+    n = batching.fixture_batch_size(spark, sf_dir)
+    return batching.assign_batches(ingest.accepted(ingest.type_trips(raw)), n).select("row_no", "batch_no", "fare_amount")
+
+
 @query("batch_sizes", with_pipeline(
     f"SELECT batch_no, count(*) AS n_rows, count(*) < {BATCH_SIZE_SQL} AS is_final FROM b GROUP BY batch_no"))
 def batch_sizes(spark, sf_dir):
@@ -75,11 +117,11 @@ def scan_glob_infer(spark, sf_dir):
     ts = F.col("pickup_datetime")
     if dict(df.dtypes)["pickup_datetime"] == "string":
         ts = parse_pickup(ts)
-    return df.select(F.col("row_no").cast("bigint").alias("row_no"),
-                     F.regexp_extract(F.input_file_name(), r"batch_no=(\d+)", 1).cast("int").alias("batch_no"),
-                     F.col("fare_amount").cast("double").alias("fare_amount"),
+    return df.select(F.col("row_no").try_cast("bigint").alias("row_no"),
+                     F.regexp_extract(F.input_file_name(), r"batch_no=(\d+)", 1).try_cast("int").alias("batch_no"),
+                     F.col("fare_amount").try_cast("double").alias("fare_amount"),
                      utc_text(ts).alias("pickup_ts"),
-                     F.col("passenger_count").cast("int").alias("passenger_count"))
+                     F.col("passenger_count").try_cast("int").alias("passenger_count"))
 
 
 def _listing(spark, sf_dir):

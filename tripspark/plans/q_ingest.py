@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import codec, geo, parse
 from ..functions.timefeat import parse_pickup, utc_text, with_time_features
-from ..operators import features, ingest, quality
+from ..operators import batching, features, ingest, quality
 from ..schemas import BASIC_FEATURE_COLUMNS, FEATURE_COLUMNS, REQUIRED_FIELDS, TRIP_COLUMNS
 from ..sources import files
 from . import frames
@@ -69,12 +69,9 @@ def blank_to_null(spark, sf_dir):
     "key AS key_parity FROM raw"))
 def key_default_absent(spark, sf_dir):
     """Original rule: default only when the key column is absent (P1, parity mode)."""
-    nokey = frames.raw(spark, sf_dir, with_key=False)
-    with_key = frames.raw(spark, sf_dir)
-    a = ingest.type_trips(nokey, key_mode="absent").select("row_no", F.col("key").alias("key_when_column_absent"))
-    b = ingest.type_trips(with_key, key_mode="absent").select("row_no", F.col("key").alias("key_parity"))
-    # Same scan, same row_no: a one-to-one join on the key.
-    return a.join(b, "row_no")
+    raw = frames.raw(spark, sf_dir)
+    return raw.select("row_no", parse.default_key(F.lit(None).cast("string"), "row_no", present=False, mode="absent").alias("key_when_column_absent"),
+                      parse.default_key(F.col("key"), "row_no", present=True, mode="absent").alias("key_parity"))
 
 
 @query("key_default_null", with_pipeline(
@@ -83,12 +80,40 @@ def key_default_null(spark, sf_dir):
     return frames.raw(spark, sf_dir).select("row_no", parse.default_key("key", "row_no", mode="null").alias("key"))
 
 
+_FIRST = "(SELECT count(*) * 35 // 100 FROM events)"
+
+
+def _first_n(spark, sf_dir) -> int:
+    """35 % of the raw rows, as 35,000 of the original's scan: a real cut at every scale."""
+    return frames.fixture.read_table(spark, sf_dir, "events").count() * 35 // 100
+
+
 @query("scan_limit", with_pipeline(
-    "SELECT row_no, key, fare_amount, pickup_datetime, passenger_count FROM raw ORDER BY row_no LIMIT 35000"))
+    "SELECT row_no, key, fare_amount, pickup_datetime, passenger_count FROM raw WHERE row_no IN "
+    f"(SELECT row_no FROM raw ORDER BY row_no LIMIT {_FIRST})"))
 def scan_limit(spark, sf_dir):
-    """First-n scan (S2), n = 35,000 as in the original: a position filter pushed to the scan."""
-    r = files.first_rows(frames.raw(spark, sf_dir), 35000)
-    return r.select("row_no", "key", "fare_amount", "pickup_datetime", "passenger_count")
+    """First-n scan (S2): a position filter on the plain source's row positions."""
+    return files.first_rows(frames.raw(spark, sf_dir), _first_n(spark, sf_dir)).select(
+        "row_no", "key", "fare_amount", "pickup_datetime", "passenger_count")
+
+
+@query("sent_limit", with_pipeline(
+    f"SELECT row_no, fare_amount FROM sent WHERE row_no IN (SELECT row_no FROM sent ORDER BY row_no LIMIT {_FIRST})"))
+def sent_limit(spark, sf_dir):
+    """The first n messages sent, counted after validation."""
+    sent = batching.dense_index(frames.sent(spark, sf_dir).select("row_no", "fare_amount"), "row_no", out="position")
+    return sent.filter(F.col("position") < _first_n(spark, sf_dir)).select("row_no", "fare_amount")
+
+
+@query("encode_unvalidated", with_pipeline(
+    "SELECT row_no, nullif(fare_amount, '') AS fare_amount, nullif(passenger_count, '') AS passenger_count FROM raw"))
+def encode_unvalidated(spark, sf_dir):
+    """Docs producer: every raw row as a JSON message, unvalidated (K1); checked through two members read back."""
+    rows = frames.raw(spark, sf_dir)
+    said = rows.select("row_no", codec.encode().alias("value"))
+    back = F.from_json("value", "fare_amount STRING, passenger_count STRING")
+    return said.select("row_no", back.alias("m")).select("row_no", F.nullif("m.fare_amount", F.lit("")).alias("fare_amount"),
+                                                         F.nullif("m.passenger_count", F.lit("")).alias("passenger_count"))
 
 
 # --- JSON messages -----------------------------------------------------------

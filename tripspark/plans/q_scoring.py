@@ -49,31 +49,32 @@ def requests_from_json(spark, sf_dir):
 
 @query("requests_infer", with_pipeline(
     "SELECT " + ", ".join(f"CASE WHEN {_EMPTY} THEN NULL ELSE {c} END AS {c}" for c in REQ_FIELDS)
-    + ", row_no % 23 = 0 AND NOT (row_no % 17 = 0 OR row_no % 19 = 0) AS is_corrupt FROM req WHERE row_no % 17 <> 0",
+    + ", row_no % 23 = 0 AND NOT (row_no % 17 = 0 OR row_no % 19 = 0) AS is_corrupt, row_no % 17 = 0 AS is_null FROM req",
     REQ_CTES))
 def requests_infer(spark, sf_dir):
     """Request bodies read as JSON lines with an inferred schema."""
     path = scratch_path(spark, "requests_json")
-    frames.requests(spark, sf_dir).filter(F.col("value").isNotNull()).select("value") \
-        .write.mode("overwrite").text(path)
+    bodies = frames.requests(spark, sf_dir).select("value")
+    bodies.filter(F.col("value").isNotNull()).write.mode("overwrite").text(path)
     df = spark.read.json(path)
     corrupt = F.col("_corrupt_record").isNotNull() if "_corrupt_record" in df.columns else F.lit(False)
     cols = []
     for f in REQUEST_SCHEMA.fields:
-        c = F.col(f.name) if f.name in df.columns else F.lit(None)
-        cols.append(c.cast(f.dataType).alias(f.name))
-    return df.select(*cols, corrupt.alias("is_corrupt"))
+        c = F.col(f.name) if f.name in df.columns else F.lit(None).cast("string")
+        cols.append(c.try_cast(f.dataType).alias(f.name))
+    # a NULL body is no JSON line; its row stays, flagged
+    none = bodies.filter(F.col("value").isNull()).select(
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in REQUEST_SCHEMA.fields], F.lit(False).alias("is_corrupt"), F.lit(True).alias("is_null"))
+    return df.select(*cols, corrupt.alias("is_corrupt"), F.lit(False).alias("is_null")).unionByName(none)
 
 
 @query("route_requests", with_pipeline(
     f"SELECT request_id, model_version, {_KNOWN} AS routed FROM req", REQ_CTES))
 def route_requests(spark, sf_dir):
-    """Each request joined to its version's model, broadcast registry."""
-    reg, _ = _registry(spark, sf_dir)
-    r = frames.requests(spark, sf_dir)
-    known = reg.select("model_version", F.lit(True).alias("routed"))
-    return (r.join(F.broadcast(known), "model_version", "left")
-             .select("request_id", "model_version", F.coalesce("routed", F.lit(False)).alias("routed")))
+    """Each request with whether its version is loaded."""
+    _, models = _registry(spark, sf_dir)
+    known = F.coalesce(F.col("model_version").isin(sorted(models)), F.lit(False))
+    return frames.requests(spark, sf_dir).select("request_id", "model_version", known.alias("routed"))
 
 
 @query("unknown_versions", with_pipeline(
@@ -81,12 +82,11 @@ def route_requests(spark, sf_dir):
     f"FROM range(1, 1 + {_N_MODELS}) t(i)) AS available_models FROM req WHERE NOT {_KNOWN}", REQ_CTES))
 def unknown_versions(spark, sf_dir):
     """Requests for versions that are not loaded, with the available list."""
-    reg, models = _registry(spark, sf_dir)
+    _, models = _registry(spark, sf_dir)
     # The list comes from the driver-side model map (one entry per loaded version).
     available = ",".join(sorted(models))
-    r = frames.requests(spark, sf_dir)
-    return (r.join(F.broadcast(reg.select("model_version")), "model_version", "left_anti")
-             .select("request_id", "model_version", F.lit(available).alias("available_models")))
+    known = F.coalesce(F.col("model_version").isin(sorted(models)), F.lit(False))
+    return frames.requests(spark, sf_dir).filter(~known).select("request_id", "model_version", F.lit(available).alias("available_models"))
 
 
 @query("request_status", with_pipeline("SELECT request_id, status FROM st", REQ_CTES))
@@ -106,15 +106,54 @@ def score_by_version(spark, sf_dir):
             .agg(F.count(F.lit(1)).alias("n_requests")))
 
 
-@query("score_batch")
+# The distance model of each version in closed form, and the fare it gives each accepted request.
+FARE_CTES = REQ_CTES.rstrip() + """,
+coef AS (SELECT CAST(t.v AS INTEGER) AS v, regr_slope(fare_amount, distance_km) AS s, regr_intercept(fare_amount, distance_km) AS i,
+         avg(distance_km) AS m FROM g JOIN range(1, 4) t(v) ON g.batch_no <= t.v GROUP BY t.v),
+fare AS (SELECT st.*, CASE WHEN status = 'accepted' THEN round(i + s * coalesce(f.distance_km, m), 2) END AS predicted_fare
+         FROM st JOIN f ON f.row_no = st.row_no LEFT JOIN coef ON 'v' || CAST(coef.v AS VARCHAR) = st.model_version)
+"""
+
+
+def _distance_scores(spark, sf_dir):
+    """All requests scored by linear models of the distance, one for each cumulative version."""
+    models_dir, _ = frames.trained_models(spark, sf_dir, kind="lr_plain", input_cols=["distance_km"])
+    reg, models = registry.load_expected(spark, models_dir, 3)
+    return scoring.score(scoring.request_status(frames.requests(spark, sf_dir), registry.loaded_versions(reg)), models), models
+
+
+@query("score_batch", with_pipeline(
+    "SELECT request_id, model_version, CASE WHEN status = 'accepted' THEN 'ok' ELSE status END AS status, predicted_fare FROM fare",
+    FARE_CTES))
 def score_batch(spark, sf_dir):
     """Every request scored by its version's model; fare rounded half-up to cents."""
-    st, models = _status(spark, sf_dir)
-    return scoring.score(st, models).select("request_id", "model_version", "status", "predicted_fare")
+    return _distance_scores(spark, sf_dir)[0].select("request_id", "model_version", "status", "predicted_fare")
 
 
-@query("score_records")
+_OK = "status = 'accepted'"
+_RECORD_SQL = ", ".join(f"CASE WHEN {_OK} THEN {c} END AS in_{c}" for c in REQ_FIELDS)
+
+
+@query("score_records", with_pipeline(f"""
+SELECT request_id, CASE WHEN {_OK} THEN 'fare_model_' || model_version END AS model_version, {_RECORD_SQL}, predicted_fare,
+  CASE status WHEN 'unknown_model' THEN 'Model fare_model_' || model_version || ' not loaded or does not exist'
+              WHEN 'no_input' THEN 'No input data provided'
+              WHEN 'bad_input' THEN 'An internal server error occurred: the input does not fit the request schema' END AS error,
+  CAST(NULL AS VARCHAR) AS warning, CASE WHEN {_OK} THEN model_version END AS model_version_used, predicted_fare AS container_fare,
+  CASE status WHEN 'unknown_model' THEN 'Model version ''' || model_version || ''' not found or not loaded.'
+              WHEN 'no_input' THEN 'Invalid input. JSON data is required.'
+              WHEN 'bad_input' THEN 'Failed to make prediction. Check server logs.' END AS container_error,
+  CASE WHEN status = 'unknown_model' THEN (SELECT string_agg('v' || CAST(i AS VARCHAR), ',' ORDER BY i)
+       FROM range(1, 1 + {_N_MODELS}) t(i)) END AS available_models
+FROM fare""", FARE_CTES))
 def score_records(spark, sf_dir):
-    """Response records as JSON text (K8)."""
-    st, models = _status(spark, sf_dir)
-    return scoring.records(scoring.score(st, models))
+    """Response records of both services (K8, V2, V3), checked through every member read back."""
+    scored, models = _distance_scores(spark, sf_dir)
+    recs = scoring.records(scored, sorted(models))
+    fields = ", ".join(f"{f.name}: {f.dataType.simpleString()}" for f in REQUEST_SCHEMA.fields)
+    a = F.from_json("record", f"model_version STRING, input_data struct<{fields}>, predicted_fare DOUBLE, error STRING, warning STRING")
+    b = F.from_json("record_container", "model_version_used STRING, predicted_fare DOUBLE, error STRING, available_models array<string>")
+    return (recs.select("request_id", a.alias("a"), b.alias("b"))
+            .select("request_id", "a.model_version", *[F.col(f"a.input_data.{c}").alias(f"in_{c}") for c in REQ_FIELDS], "a.predicted_fare",
+                    "a.error", "a.warning", "b.model_version_used", F.col("b.predicted_fare").alias("container_fare"),
+                    F.col("b.error").alias("container_error"), F.array_join("b.available_models", ",").alias("available_models")))

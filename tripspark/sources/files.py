@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
@@ -32,6 +33,25 @@ def read_raw_csv(spark: SparkSession, path: str, schema: StructType = RAW_FILE_S
             .option("nullValue", NULL_MARKER).csv(path))
 
 
+def read_plain_csv(spark: SparkSession, path: str, schema: StructType = RAW_SCHEMA) -> DataFrame:
+    """Header CSV as the original's source has it: the trip columns, no position column.
+
+    The files' header must name the schema's columns in order, else the read fails. Adds ``row_no``, the
+    0-based position in file order (path, then place in the file) over all files: Spark reads each
+    split in order, so a row's place is the rows of all splits before its own plus its rank there. Counts of the splits
+    are a small table (one row per split); nothing is sorted.
+    """
+    df = (spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
+          .option("nullValue", NULL_MARKER).csv(path))
+    split = {"_file": F.col("_metadata.file_path"), "_at": F.col("_metadata.file_block_start")}
+    # ids grow in reading order inside a task; a split's ids are consecutive
+    placed = df.select("*", *[v.alias(k) for k, v in split.items()], F.monotonically_increasing_id().alias("_id"))
+    counts = placed.groupBy("_file", "_at").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_file", "_at")) - F.col("_n")
+    starts = counts.select("_file", "_at", (before - F.col("_first")).alias("_shift"))
+    return placed.join(starts, ["_file", "_at"]).select((F.col("_id") + F.col("_shift")).alias("row_no"), *schema.names)
+
+
 def first_rows(raw: DataFrame, n: int) -> DataFrame:
     """The first ``n`` records of a source (S2, ``nrows=n``).
 
@@ -49,15 +69,52 @@ def write_raw_csv(raw: DataFrame, path: str) -> None:
 def write_batches_csv(batched: DataFrame, path: str, mode: str = "overwrite") -> None:
     """One folder per batch, ``batch_no=<n>/`` (K3).
 
-    No extra shuffle: the batch index leaves rows clustered by contiguous key
-    buckets, so each task writes the few batches its buckets overlap, sorted.
-    A batch split across tasks simply has several part files.
+    No extra shuffle: tasks hold scattered key buckets, so each writes, sorted, its rows of
+    every batch it meets, and a batch has several part files.
     """
     (batched.sortWithinPartitions("batch_no", "row_no")
             .select(*BATCH_COLUMNS, "batch_no")
             .write.mode(mode).partitionBy("batch_no").option("header", True).csv(path))
 
 
+def write_batches_flat(batched: DataFrame, path: str, batch_size: int, files: int | None = None) -> None:
+    """Batches as the original's files hold them: one CSV per batch, ``batch_<n>.csv``, the short last one
+    ``batch_<n>_final.csv`` (K3-K5).
+
+    Each batch is one file, written whole by one task: at most ``batch_size`` rows. The name goes through a
+    partition folder (``file=batch_<n>.csv/``), since Spark names part files itself.
+    """
+    last = F.max("batch_no").alias("last")
+    top = batched.agg(last, F.count(F.lit(1)).alias("n")).first()
+    short = top["last"] is not None and top["n"] % batch_size != 0
+    name = batch_file_name("batch_no", (F.col("batch_no") == F.lit(top["last"])) & F.lit(short))
+    (batched.repartition(*([files] if files else []), "batch_no").sortWithinPartitions("batch_no", "row_no")
+            .select(*BATCH_COLUMNS, name.alias("file"))
+            .write.mode("overwrite").partitionBy("file").option("header", True).csv(path))
+
+
+def write_batches_table(batched: DataFrame, path: str) -> None:
+    """Batches as a column of large Parquet files, for small N: no folder per batch (K5)."""
+    (batched.sortWithinPartitions("batch_no", "row_no").select(*BATCH_COLUMNS, "batch_no").write.mode("overwrite").parquet(path))
+
+
+# Number of a batch file: ``batch_<n>.csv``, ``batch_<n>_final.csv`` (as a file or a folder) or ``batch_no=<n>``.
+BATCH_PATH = r"batch_(?:no=)?([0-9]+)(?:_final\.csv|\.csv|/|$)"
+
+
+def _batch_of(path) -> Column:
+    return F.regexp_extract(path, BATCH_PATH, 1).try_cast("int")
+
+
+def read_batch_files(spark: SparkSession, path: str) -> DataFrame:
+    """Flat batch files with the original's eight columns (S6, S7): trips, ``batch_no`` from the name.
+
+    Files named otherwise are left alone, as the original's listing does.
+    """
+    df = spark.read.schema(TRIP_SCHEMA).option("header", True).option("recursiveFileLookup", "true").option("pathGlobFilter", "*.csv").csv(path)
+    return df.withColumn("batch_no", _batch_of(F.col("_metadata.file_path"))).filter(F.col("batch_no").isNotNull())
+
+
 def read_batches_csv(spark: SparkSession, path: str, batches: list[int] | None = None) -> DataFrame:
     """Batch files with the fixed trip schema (S7); ``batch_no`` from the folder.
 
@@ -75,20 +132,23 @@ def read_batches_inferred(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).option("inferSchema", True).csv(f"{path}/batch_no=*/*.csv")
 
 
-def list_batch_files(spark: SparkSession, path: str, batch_size: int | None = None) -> DataFrame:
-    """One row per batch folder: ``batch_no``, ``file_name``, ``n_files``.
+def list_batch_files(spark: SparkSession, path: str) -> DataFrame:
+    """One row per batch: ``batch_no``, ``file_name``, ``n_files``.
 
-    Lists files only (binary-file source with the content column pruned), so no
-    data is read. With ``batch_size`` the short final batch is named
-    ``batch_<n>_final.csv`` as the original consumer did.
+    Lists files only (binary-file source with the content column pruned), so no data is read. Takes
+    both layouts, ``batch_no=<n>/*.csv`` and ``batch_<n>[_final].csv``; other CSV files are left alone.
     """
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
              .option("recursiveFileLookup", "true").load(path).select("path", "length"))
-    listed = (files.select(F.regexp_extract("path", r"batch_no=(\d+)", 1).cast("int").alias("batch_no"),
-                           "length")
-                   .groupBy("batch_no").agg(F.count(F.lit(1)).alias("n_files"),
-                                            F.sum("length").alias("n_bytes")))
-    return listed.withColumn("file_name", batch_file_name("batch_no"))
+    final = F.col("path").rlike(r"batch_[0-9]+_final\.csv")
+    listed = (files.select(_batch_of(F.col("path")).alias("batch_no"), final.alias("final"), "length").filter("batch_no is not null")
+                   .groupBy("batch_no").agg(F.count(F.lit(1)).alias("n_files"), F.sum("length").alias("n_bytes"), F.max("final").alias("final")))
+    return listed.withColumn("file_name", batch_file_name("batch_no", "final")).drop("final")
+
+
+def unreadable_batches(spark: SparkSession, path: str, batches: list[int]) -> set[int]:
+    """Those of ``batches`` whose folder cannot be read (S9): missing, or without a CSV the schema fits."""
+    return {b for b in batches if read_csv_skipping_unreadable(spark, [f"{path}/batch_no={b}"])[1]}
 
 
 def read_csv_skipping_unreadable(spark: SparkSession, paths: list[str], schema: StructType = BATCH_FILE_SCHEMA):
@@ -102,7 +162,7 @@ def read_csv_skipping_unreadable(spark: SparkSession, paths: list[str], schema:
     for p in paths:
         try:
             frames.append(spark.read.schema(schema).option("header", True).csv(p))
-        except Exception:  # noqa: BLE001 - the original skipped any read error
+        except AnalysisException:  # a path that is missing or cannot be planned
             skipped.append(p)
     out = None
     for f in frames:
