@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripspark.llm import decontaminate, language_id, license_scan, ngram_join, pii, quality_rules, reply_trees, sentence_pieces, substring_dedup, toxicity
+from tripspark.llm import decontaminate, language_id, license_scan, ngram_join, oracles, pii, quality_rules, reply_trees, sentence_pieces, substring_dedup, toxicity
 from tripspark.session import shared_dir
 
 
@@ -114,4 +114,4 @@ sums AS (
 SELECT conv_id, n_turns, turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars FROM sums
 """.replace("'\\\\###", "'\\###").replace("ROLE_CHARS", _ESCAPED.format(x="role")).replace("TEXT_CHARS", _ESCAPED.format(x="text"))
 
-ORACLES: dict[str, str] = {"op10_reply_trees": OP10_SQL}
+ORACLES: dict[str, str] = {**oracles.ORACLES, "op10_reply_trees": OP10_SQL}
