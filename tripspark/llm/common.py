@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from tripspark.session import shared_dir
 
 #: Bytes of text that one vectorised step works on; a longer text is a step of its own.
-BLOCK_BYTES = 4 << 20
-_CHUNK = 1 << 20
+BLOCK_BYTES = 2 << 20
+#: Bytes of a batch of rows between Spark and its Python workers; both sides hold a few of them.
+BATCH_BYTES = 8 << 20
+_CHUNK = 1 << 18
 _U = np.uint64
 
 
@@ -30,6 +32,13 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Have Spark hand texts to Python in batches of ``BATCH_BYTES``; its default of 64 MB costs each worker and
+    its executor several times that."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark
+
+
 def row_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(rid, id, text): rid is a hash of id and text, so rows that repeat share it."""
     return docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("rid"),

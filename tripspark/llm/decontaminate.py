@@ -7,7 +7,7 @@ to every segment: a window with an absent term is out; else the postings of its
 the term's offset, are the candidates, and the other terms' lists are intersected in order of rarity.
 ``slop`` 0 finds exact phrases; above 0 a term may stand that many words from its place (proximity match).
 
-Nothing is shuffled, a segment is bounded by ``BLOCK_BYTES`` of text or one document, and each task is a function
+Nothing is shuffled, a segment is bounded by ``SEGMENT_BYTES`` of text or one document, and each task is a function
 of its own rows. Words: A-Z in lower case, runs of ``[0-9a-z]`` and non-ASCII characters.
 
 Null or empty texts have no words: such documents come out with zeros, such items match nowhere. An item
@@ -25,10 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripspark.llm.common import WORD_BASE, blocks, lut, ranges, spans_hash, text_bytes, word_bounds
+from tripspark.llm.common import WORD_BASE, blocks, lut, ranges, small_batches, spans_hash, text_bytes, word_bounds
 
 #: Separators of ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` after A-Z went to lower case.
 SEPARATORS = lut((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
+#: Most text of a segment (or one document).
+SEGMENT_BYTES = 4 << 20
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[0x41:0x5B] += 32
 
@@ -45,7 +47,7 @@ def _list(values: np.ndarray, kind) -> pa.Array:
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part, buf, off in blocks(batch):
+        for part, buf, off in blocks(batch, limit=SEGMENT_BYTES):
             h, first = _words(buf, off)
             order = np.argsort(h, kind="stable")
             by_term = h[order]
@@ -60,6 +62,7 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Segments (segment, ids, first, terms, lists, positions): all postings of all documents."""
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
     return source.mapInArrow(_segments, f"segment string, ids array<{kind}>, first array<int>, terms array<long>, "
@@ -172,6 +175,7 @@ def search(index: DataFrame, items: DataFrame, id_col: str = "item_id", text_col
     ``matches`` are structs (item, start, end) in words. Items are sent in blocks of at most ``block_chars`` characters
     (or one item); with several blocks, each document's runs are merged.
     """
+    small_batches(index.sparkSession)
     kind = index.schema["ids"].dataType.elementType.simpleString()
     schema = f"segment string, row int, doc_id {kind}, n_words long, n_hit long, matches array<struct<item:string,start:long,end:long>>"
     out, ids, texts, chars = [], [], [], 0

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripspark.llm.common import blocks, mix
+from tripspark.llm.common import blocks, mix, small_batches
 
 LENGTHS = (3, 4)
 HASHES = 3
@@ -161,6 +161,7 @@ def decide(count: np.ndarray, total: np.ndarray, filters: Filters) -> tuple[np.n
 def train(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", min_share: float = 2e-6, near_best: float = 0.25,
           slots: int = 1 << 21) -> Filters:
     """Learn from all rows of ``docs`` with a text and a language."""
+    small_batches(docs.sparkSession)
     counts = (docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text")).filter("lang is not null and text is not null")
               .mapInArrow(_count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).persist())
     totals = {r.lang: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
@@ -198,6 +199,7 @@ def _predict(filters: Filters):
 
 def predict(docs: DataFrame, filters: Filters, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, lang_pred, score) of every text."""
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
     return source.mapInArrow(_predict(filters), f"doc_id {kind}, lang_pred string, score double")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripspark.llm.common import WORD_BASE, blocks, i64, lut, ranges, spans_hash, text_bytes, windows_hash, word_bounds
+from tripspark.llm.common import WORD_BASE, blocks, i64, lut, ranges, small_batches, spans_hash, text_bytes, windows_hash, word_bounds
 from tripspark.llm.license_templates import TEMPLATES
 
 _FOLD = np.arange(256, dtype=np.uint8)
@@ -187,6 +187,7 @@ def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, id_col
     ``templates``: pairs of license and text (``TEMPLATES`` by default), of ``MOST_WORDS`` words at most.
     """
     index = build_index(TEMPLATES if templates is None else templates, k, window)
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
     return source.mapInArrow(_scan(index, coverage, band), f"doc_id {kind}, n_words long, matches array<struct<license:string,start:long,end:long,"

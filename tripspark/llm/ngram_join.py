@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripspark.llm.common import SPACE, WORD_BASE, blocks, i64, join_counted, mix, ranges, row_key, spans_hash, stored, word_bounds
+from tripspark.llm.common import SPACE, WORD_BASE, blocks, i64, join_counted, mix, ranges, row_key, small_batches, spans_hash, stored, word_bounds
 from tripspark.llm.graph import block_pairs, components, merge, pairs_in_groups, whole_groups
 
 BANDS, ROWS = 32, 4
@@ -198,7 +198,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     ``n_links``: other documents at ``threshold`` or more; ``n_text_links``: different texts among them. ``rid`` is ``row_key``'s,
     ``root`` a key of the class (null without words).
     """
-    spark = docs.sparkSession
+    spark = small_batches(docs.sparkSession)
     source = row_key(docs, id_col, text_col)
     kind = source.schema["doc_id"].dataType.simpleString()
     least = fewest_matches(threshold, tolerance)

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripspark.llm.common import SPACE, WORD_BASE, blocks, i64, mix, spans_hash, windows_hash, word_bounds
+from tripspark.llm.common import SPACE, WORD_BASE, blocks, i64, mix, small_batches, spans_hash, windows_hash, word_bounds
 
 #: Highest share of characters in all repeats of the most covering n-gram, by n.
 TOP = {2: 0.20, 3: 0.18, 4: 0.16}
@@ -132,6 +132,7 @@ def _run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, the counts of ``LONGS``, the shares of ``SHARES``, base_failed, kept."""
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
     return source.mapInArrow(_run, f"doc_id {kind}, " + ", ".join(f"{c} long" for c in LONGS) + ", "

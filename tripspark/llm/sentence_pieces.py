@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripspark.llm.common import WORD_BASE, blocks, list_lengths, ranges, spans_hash
+from tripspark.llm.common import WORD_BASE, blocks, list_lengths, ranges, small_batches, spans_hash
 
 MARK = "▁"
 
@@ -264,6 +264,7 @@ def _decode(a: Automaton, batch: pa.RecordBatch, source: str, target: str) -> It
 def _with(df: DataFrame, model: bytes, source: str, target: str, kind: T.DataType, work) -> DataFrame:
     if target in df.columns:
         raise ValueError(f"column {target} is already there")
+    small_batches(df.sparkSession)
     return df.mapInArrow(_apply(model, source, target, work), T.StructType([*df.schema.fields, T.StructField(target, kind)]))
 
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripspark.llm.common import (SPACE, WORD_BASE, blocks, i64, join_counted, list_lengths, mix, ranges, row_key,
-                                  sliding_argmin, spans_hash, stored, windows_hash, word_bounds)
+                                  sliding_argmin, small_batches, spans_hash, stored, windows_hash, word_bounds)
 
 _MIN, _PATH, _EDGE = 0xA24BAED4963EE407, 0x8CB92BA72F3D8DD7, 0xD6E8FEB86659FD93
 
@@ -154,7 +154,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     ``spans`` are the removed runs of words (start, end exclusive); ``kept_text`` joins the rest by one space.
     """
-    spark = docs.sparkSession
+    spark = small_batches(docs.sparkSession)
     source = row_key(docs, id_col, text_col)
     id_type = source.schema["doc_id"].dataType.simpleString()
     paths = source.select("rid", "text").mapInArrow(_path_rows(span, k), "m long, path long, rid long, n long")

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripspark.llm.common import SPACE, blocks, word_bounds
+from tripspark.llm.common import SPACE, blocks, small_batches, word_bounds
 
 SPAN, DECAY = 6, 0.7
 LETTERS = 96
@@ -139,7 +139,7 @@ def kernel(left: list[str], right: list[str], project: np.ndarray | None = None)
     known, place = np.unique(what, return_inverse=True)
     table = np.zeros((len(known) + 1, len(right)))
     np.add.at(table, (place, who), weight)
-    out = np.zeros((len(left), len(right) if project is None else project.shape[1]))
+    out = np.zeros((len(left), len(right) if project is None else project.shape[1]), np.float64 if project is None else np.float32)
     for at in range(0, len(left), 2000):
         part = np.zeros((len(left[at:at + 2000]), len(right)))
         who, what, weight = _subsequences(left[at:at + 2000])
@@ -237,6 +237,7 @@ def _score(model: Model):
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, score, margin, log_hits): each document's score, its best unit's margin, log(1 + units above 0)."""
+    small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
     return source.mapInArrow(_score(model), f"doc_id {kind}, score double, margin double, log_hits double")
@@ -272,12 +273,13 @@ def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
           toxic_rows: int = 3000, clean_rows: int = 9000, landmarks: int = 400, clean_units: int = 12_000, hard_units: int = 4000,
-          bag_units: int = 25, rounds: int = 4, mining: int = 2) -> Model:
+          bag_units: int = 12, rounds: int = 4, mining: int = 2) -> Model:
     """Fit on at most ``toxic_rows`` and ``clean_rows`` labelled documents (by hash of their ids), ``clean_units`` units of clean
     documents (half the most frequent, half by hash) and ``bag_units`` units of each toxic one. ``mining`` times, the
     ``hard_units`` units of clean documents with the highest margins join the negatives and the model is fitted again."""
     labels = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("toxic")).filter(
         "doc_id is not null and toxic in (0, 1)").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    small_batches(docs.sparkSession)
     order = F.xxhash64("doc_id")
     sample = (labels.filter("toxic = 1").orderBy(order, "doc_id").limit(toxic_rows)
               .unionByName(labels.filter("toxic = 0").orderBy(order, "doc_id").limit(clean_rows)))
