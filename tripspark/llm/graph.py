@@ -102,7 +102,8 @@ def components(spark: SparkSession, edges: DataFrame, name: str) -> DataFrame:
     before = None
     while True:
         both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # stored, so that a hub's neighbours reach the join by a shuffle of their own, which Spark may split
+        least = stored(spark, both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), name)
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u")
