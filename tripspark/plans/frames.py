@@ -12,6 +12,7 @@ trainer of the original reads the consumer's batch files.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from .. import fixture
@@ -56,13 +57,19 @@ def ingest_batches(spark: SparkSession, sf_dir: str, out: str | None = None,
     size and are reused if complete.
     """
     n = batch_size or batching.fixture_batch_size(spark, sf_dir)
+
+    def write(path: str) -> None:
+        rows = sent(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)  # parsed once for bounds, counts and ranks
+        try:
+            files.write_batches_csv(batching.assign_batches(rows, n), path)
+        finally:
+            rows.unpersist()
+
     if out is not None:
-        files.write_batches_csv(batched(spark, sf_dir, n), out)
+        write(out)
         return out
     src = fixture.raw_source_path(spark, sf_dir)
-    tag = fixture.table_tag(src, n)
-    return materialize(spark, f"{shared_dir(spark)}/tripspark/batches/{tag}",
-                       lambda p: files.write_batches_csv(batched(spark, sf_dir, n), p))
+    return materialize(spark, f"{shared_dir(spark)}/tripspark/batches/{fixture.table_tag(src, n)}", write)
 
 
 def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
