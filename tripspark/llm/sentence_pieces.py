@@ -11,7 +11,8 @@ a position at a time, then copies the results to every place of the unit. Nothin
 
 Text is not normalised: one space is put in front, and decoding gives back every character. A piece mark that stands in the
 text itself is spelled in bytes, so it returns too. Null gives null, the empty text no ids. Ids that are null, unknown or
-control decode to nothing. Rows that repeat are encoded each; empty tables give empty results; other columns stay.
+control decode to nothing. Rows that repeat are encoded each; empty tables give empty results; other columns stay, but one that
+has the result's name is replaced.
 """
 
 from __future__ import annotations
@@ -262,8 +263,7 @@ def _decode(a: Automaton, batch: pa.RecordBatch, source: str, target: str) -> It
 
 
 def _with(df: DataFrame, model: bytes, source: str, target: str, kind: T.DataType, work) -> DataFrame:
-    if target in df.columns:
-        raise ValueError(f"column {target} is already there")
+    df = df.drop(target)
     small_batches(df.sparkSession)
     return df.mapInArrow(_apply(model, source, target, work), T.StructType([*df.schema.fields, T.StructField(target, kind)]))
 
