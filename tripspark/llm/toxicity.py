@@ -137,7 +137,7 @@ def kernel(left: list[str], right: list[str], project: np.ndarray | None = None)
     """Kernel values of all units of ``left`` with those of ``right`` (a bounded list), times ``project`` if given."""
     who, what, weight = _subsequences(right)
     known, place = np.unique(what, return_inverse=True)
-    table = np.zeros((len(known) + 1, len(right)))
+    table = np.zeros((len(known) + 1, len(right)), np.float64 if project is None else np.float32)
     np.add.at(table, (place, who), weight)
     out = np.zeros((len(left), len(right) if project is None else project.shape[1]), np.float64 if project is None else np.float32)
     for at in range(0, len(left), 2000):
@@ -154,23 +154,44 @@ def kernel(left: list[str], right: list[str], project: np.ndarray | None = None)
     return out
 
 
-def fit_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, c: float = 10.0, rounds: int = 30) -> np.ndarray:
-    """Linear squared-hinge support vector machine by Newton steps; the last coefficient is the bias."""
-    n, m = x.shape
-    w = np.zeros(m + 1)
-    ridge = np.eye(m + 1) / c
+def _steps(parts: list[np.ndarray], rows: int = 2000) -> Iterator[tuple[slice, np.ndarray]]:
+    """Rows of all parts, a few at a time in double precision, and their places."""
+    at = 0
+    for part in parts:
+        for i in range(0, len(part), rows):
+            x = part[i:i + rows].astype(np.float64)
+            yield slice(at, at + len(x)), x
+            at += len(x)
+
+
+def _values(parts: list[np.ndarray], w: np.ndarray) -> np.ndarray:
+    """The decision function of all rows; the last coefficient is the bias."""
+    out = np.empty(sum(map(len, parts)))
+    for place, x in _steps(parts):
+        out[place] = x @ w[:-1] + w[-1]
+    return out
+
+
+def fit_svm(parts: list[np.ndarray], y: np.ndarray, weight: np.ndarray, c: float = 10.0, rounds: int = 30) -> np.ndarray:
+    """Linear squared-hinge support vector machine by Newton steps; the last coefficient is the bias.
+
+    The rows stay in their parts (single precision); only a few at a time are copied.
+    """
+    m = parts[0].shape[1] + 1
+    w = np.zeros(m)
+    ridge = np.eye(m) / c
     ridge[-1, -1] = 1e-3
-    active = np.ones(n, bool)
+    active = np.ones(len(y), bool)
     for _ in range(rounds):
-        square, right = ridge.copy(), np.zeros(m + 1)
-        for at in range(0, n, 2000):  # a step's copies stay small
-            use = np.flatnonzero(active[at:at + 2000]) + at
-            part = np.column_stack([x[use], np.ones(len(use))])
-            a = part * weight[use, None]
-            square += a.T @ part
-            right += a.T @ y[use]
+        square, right = ridge.copy(), np.zeros(m)
+        for place, x in _steps(parts):
+            use = active[place]
+            x = np.column_stack([x[use], np.ones(int(use.sum()))])
+            a = x * weight[place][use, None]
+            square += a.T @ x
+            right += a.T @ y[place][use]
         w = np.linalg.solve(square, right)
-        now = y * (x @ w[:-1] + w[-1]) < 1
+        now = y * _values(parts, w) < 1
         if (now == active).all():
             break
         active = now
@@ -358,12 +379,12 @@ def _fit(negatives: list, hard: list[str], mine: list, landmarks: int, rounds: i
     spoilt = kernel([v for i in chosen[:SPOILT] for v in with_insertions(units[i]) if len(units[i]) > 4], marks, root)
     w = np.zeros(root.shape[1] + 1)
     for _ in range(rounds):
-        x = np.vstack([x_clean, x_mine[positive], spoilt])
-        y = np.concatenate([-np.ones(len(clean)), np.ones(len(x) - len(clean))])
+        parts = [x_clean, x_mine[positive], spoilt]
+        y = np.concatenate([-np.ones(len(clean)), np.ones(int(positive.sum()) + len(spoilt))])
         share = max(1.0, 0.2 * len(clean) / max(1, positive.sum()))
         weight = np.concatenate([np.ones(len(clean)), np.full(int(positive.sum()), share), np.full(len(spoilt), share / 10)])
-        w = fit_svm(x, y, weight)
-        f = x_mine @ w[:-1] + w[-1]
+        w = fit_svm(parts, y, weight)
+        f = _values([x_mine], w)
         now = (f > 0) & (lift > 1.5)
         for b in bags.values():  # every toxic bag names its best unit, unless that is far on the clean side
             i = max(b, key=lambda k: (f[k], units[k]))
