@@ -3,6 +3,8 @@ import random
 import re
 from collections import Counter
 
+from pyspark.sql import functions as F
+
 from tripspark.llm.substring_dedup import remove_repeats
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
@@ -70,8 +72,8 @@ def test_empty_table(make_docs):
 
 
 def test_digest(make_docs):
-    (row,) = remove_repeats(make_docs([(1, " a  b\n c ")])).collect()
-    assert row.kept_text == "a b c" and hashlib.sha256(b"a b c").hexdigest()
+    (row,) = remove_repeats(make_docs([(1, " a  b\n c ")])).select("kept_text", F.sha2("kept_text", 256).alias("sha")).collect()
+    assert row.kept_text == "a b c" and row.sha == hashlib.sha256(b"a b c").hexdigest()
 
 
 def test_small_span_and_kmer(make_docs):
