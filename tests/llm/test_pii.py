@@ -84,6 +84,18 @@ def test_estimate_finds_the_reliable_labeler():
     assert good > 0.8 and poor < 0.3
 
 
+def test_logistic_regression_reaches_the_optimum():
+    rng = random.Random(2)
+    rows = [{x: rng.choice((-1, 0, 1)) for x in pii.LABELERS} | {"long": rng.randrange(2), "spaced": 0, "kind": rng.choice(pii.KINDS), "n": rng.randrange(1, 50)}
+            for _ in range(200)]
+    p = [0.9 if r["form"] + r["surroundings"] > 0 else 0.1 for r in rows]
+    w = pii.fit_logistic(rows, p)
+    score = lambda r: sum(a * (r[c] == v) for a, (c, v) in zip(w, pii.FEATURES)) + w[-1]
+    assert sum((score(r) > 0) == (q > 0.5) for r, q in zip(rows, p)) > 170
+    residual = [r["n"] * (1 / (1 + 2.718281828459045 ** -score(r)) - q) for r, q in zip(rows, p)]
+    assert abs(sum(residual)) < 1e-3 * sum(r["n"] for r in rows)       # the unpenalised bias balances them
+
+
 @pytest.mark.parametrize("digits", ["4111111111111111", "4111111111111112", "0", "79927398713"])
 def test_luhn(spark, digits):
     assert spark.range(1).select(pii.luhn(F.lit(digits))).first()[0] == luhn(digits)

@@ -7,7 +7,8 @@
    the surroundings (borders, monotonous digits).
 3. Spans with equal votes are counted; expectation-maximisation over these counts (their number is bounded by kinds and votes, not
    by data) estimates how reliable each labeler is, and the probability of each pattern of votes.
-4. A logistic regression learns these probabilities from votes, kind and shape, and decides each candidate; one that
+4. A logistic regression over the same counted patterns learns these probabilities from votes, kind and shape; as a column
+   expression it decides each candidate; one that
    overlaps a base span is dropped, as that span stands already.
 
 Offsets: ``split`` gives the text between matches, so a running sum of lengths (by document) gives every match its place in code
@@ -23,8 +24,7 @@ import json
 import math
 from collections.abc import Iterable
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -161,29 +161,38 @@ def estimate(patterns: Iterable[dict], rounds: int = 40) -> tuple[list[float], d
     return p, rates
 
 
-def _features() -> dict[str, Column]:
-    """Inputs of the span classifier, from the labelled columns."""
-    out = {f"{x}_{name}": (F.col(x) == v).cast("double") for x in LABELERS for name, v in (("for", 1), ("against", -1))}
-    out |= {x: F.col(x).cast("double") for x in SHAPE}
-    return out | {f"is_{k}": (F.col("kind") == k).cast("double") for k in KINDS}
+#: Inputs of the span classifier: column, and the value that counts as 1.
+FEATURES = [*((x, v) for x in LABELERS for v in (1, -1)), *((x, 1) for x in SHAPE), *(("kind", k) for k in KINDS)]
+
+
+def fit_logistic(rows: list[dict], p: list[float], ridge: float = 1e-3, rounds: int = 50) -> list[float]:
+    """Logistic regression of the patterns' probabilities on ``FEATURES``, each pattern weighing its count; the bias is last."""
+    x = np.array([[float(r[c] == v) for c, v in FEATURES] + [1.0] for r in rows])
+    n, p = np.array([r["n"] for r in rows], float), np.array(p)
+    pull = np.full(x.shape[1], ridge * n.sum())
+    pull[-1] = 1e-9 * n.sum()
+    w = np.zeros(x.shape[1])
+    for _ in range(rounds):
+        q = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        h = (x * (n * q * (1 - q))[:, None]).T @ x + np.diag(pull)
+        step = np.linalg.solve(h, x.T @ (n * (q - p)) + pull * w)
+        w -= step
+        if np.abs(step).max() < 1e-8:
+            break
+    return w.tolist()
 
 
 def classifier(labelled: DataFrame) -> Column:
     """Fit the reliabilities and the final classifier on all spans; returns its probability as an expression."""
-    spark = labelled.sparkSession
     counted = labelled.groupBy("kind", *LABELERS, *SHAPE).agg(F.count("*").alias("n")).collect()  # at most 7 * 3**4 * 4 rows
     rows = sorted((r.asDict() for r in counted), key=lambda r: json.dumps(r, sort_keys=True))
     if not rows:
         return F.lit(0.0)
     p, _ = estimate(rows)
-    soft = [r | {"label": float(c), "weight": r["n"] * (q if c else 1 - q)} for r, q in zip(rows, p, strict=True) for c in (0, 1)]
-    names = _features()
-    data = literal_rows(spark, soft, "kind string, " + ", ".join(f"{x} int" for x in [*LABELERS, *SHAPE]) + ", label double, weight double")
-    data = VectorAssembler(inputCols=list(names), outputCol="features").transform(data.withColumns(names))
-    model = LogisticRegression(weightCol="weight", regParam=1e-3, maxIter=100, standardization=False).fit(data.select("features", "label", "weight").coalesce(1))
-    z = F.lit(float(model.intercept))
-    for x, w in zip(names.values(), model.coefficients.toArray().tolist(), strict=True):
-        z = z + x * F.lit(w)
+    *weights, bias = fit_logistic(rows, p)
+    z = F.lit(bias)
+    for (c, v), w in zip(FEATURES, weights, strict=True):
+        z = z + F.when(F.col(c) == F.lit(v), F.lit(w)).otherwise(F.lit(0.0))
     return 1 / (1 + F.exp(-z))
 
 
