@@ -83,3 +83,14 @@ def test_without_labels(spark, make_docs):
     ones = spark.createDataFrame([(1, 1), (2, None), (None, 1)], "doc_id long, toxic int")
     assert [r.score for r in t.score(docs, t.train(docs, ones)).collect()] == [1.0, 1.0]
     assert t.score(make_docs([]), t.train(docs, none)).count() == 0
+
+
+def test_a_toxic_text_gives_all_its_units_up_to_25(make_docs, spark, monkeypatch):
+    rare = ["".join(chr(97 + (7 * k + 3 * i * i) % 26) for i in range(5)) + chr(97 + k) for k in range(25)]
+    docs = make_docs([(1, " ".join(rare)), *[(k, "some plain words of a clean text") for k in range(2, 40)]])
+    labels = spark.createDataFrame([(k, int(k == 1)) for k in range(1, 40)], "doc_id long, toxic int")
+    seen = []
+    fit = t._fit
+    monkeypatch.setattr(t, "_fit", lambda negatives, hard, mine, *a: (seen.append({r.unit for r in mine}), fit(negatives, hard, mine, *a))[1])
+    t.train(docs, labels)
+    assert len(set(rare)) == 25 and seen and all(s == set(rare) for s in seen)
