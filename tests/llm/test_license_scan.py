@@ -7,7 +7,7 @@ import pytest
 
 from tripspark.llm import license_scan as ls
 from tripspark.llm.common import text_bytes
-from tripspark.llm.license_templates import TEMPLATES
+from tripspark.llm.license_templates import MIT_BODY, TEMPLATES
 
 WORD = re.compile("[0-9a-z\x80-\U0010ffff]+")
 
@@ -97,3 +97,32 @@ def test_too_many_template_words(monkeypatch):
     monkeypatch.setattr(ls, "MOST_WORDS", 3)
     with pytest.raises(ValueError):
         ls.build_index(TEMPLATES)
+
+
+def test_one_run_put_in_or_left_out_in_the_middle(make_docs):
+    mit = WORD.findall(MIT_BODY.lower())
+    rng = random.Random(7)
+    extra = [f"extra{k}" for k in range(700)]
+    pairs, want = [], {}
+    for n in (9, 12, 16, 20, 21):
+        pairs.append((n, " ".join(["before"] * 30 + mit[:43] + extra[:n] + mit[43:] + ["after"] * 30)))
+        want[n] = (30, 30 + len(mit) + n, len(mit))
+    for n in (9, 13, 17):
+        pairs.append((100 + n, " ".join(["before"] * 30 + mit[:35] + mit[35 + n:] + ["after"] * 30)))
+        want[100 + n] = (30, 30 + len(mit) - n, len(mit) - n)
+    pairs.append((200, " ".join(mit[:43] + extra[:40] + mit[43:])))  # 87 of 127 columns: not as large a part as the coverage
+    for r in ls.scan(make_docs(pairs), templates=[("MIT", MIT_BODY)]).collect():
+        assert [(m.start, m.end, m.matched) for m in r.matches] == ([want[r.doc_id]] if r.doc_id in want else []), r
+    assert [{m.license for m in r.matches} for r in ls.scan(make_docs(pairs[:8])).collect()] == [{"MIT"}] * 8
+    long = [rng.choice("abcdefgh") + str(rng.randrange(400)) for _ in range(2500)]
+    pairs = [(1, " ".join(long[:1250] + extra[:9] + long[1250:])), (2, " ".join(long[:1250] + extra[:600] + long[1250:])), (3, " ".join(long[:1000] + long[1490:]))]
+    rows = ls.scan(make_docs(pairs), templates=[("long", " ".join(long))]).collect()
+    assert sorted((r.doc_id, [(m.start, m.end, m.matched) for m in r.matches]) for r in rows) == [(1, [(0, 2509, 2500)]), (2, [(0, 3100, 2500)]), (3, [(0, 2010, 2010)])]
+
+
+def test_a_text_with_too_few_words_of_a_template_is_not_aligned(monkeypatch):
+    index = ls.build_index([("MIT", MIT_BODY)])
+    monkeypatch.setattr(ls, "align", lambda *a: pytest.fail("aligned"))
+    h = hashes("permission is hereby granted free of charge " + "other words " * 100)
+    at, prints = ls.winnow(h, np.array([0, len(h)]), 3, 3)
+    assert np.isin(prints, index.prints).any() and ls.matches_of(index, h, at, prints, 0.8, 8) == []

@@ -5,7 +5,8 @@ of every ``window`` neighbours the least is kept, so a shared run of ``k + windo
 fingerprint. The templates' fingerprints form an inverted index (fingerprint, template, position), a stated query set sent
 to every task. A text's fingerprints are looked up; hits of one template that agree on where it would start, give or take
 ``band`` words (or half the template, if that is less), are one candidate. Each candidate is aligned word by word in a band around that start (match 2, mismatch and
-gap -1, best local score). Reported are alignments that match at least ``coverage`` of the template's words and as large a part of their own
+gap -1, best local score); unless all words match in a row, the band is doubled until it holds every shift that the reporting rule allows
+(``len * (1 / coverage - 1)`` words), so words put in or left out in one place don't part a notice. A candidate whose words in reach can't make up the coverage isn't aligned. Reported are alignments that match at least ``coverage`` of the template's words and as large a part of their own
 columns; of overlapping ones the highest score stands (then the longer, the earlier template).
 
 Each text is scanned whole in its own task, nothing is shuffled. Null, empty and blank texts match nothing. Rows that repeat are scanned
@@ -32,6 +33,8 @@ _SEPARATORS = lut((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
 _GRAM = 0xAF251AF3B0F025B5
 #: Most words of all templates that are sent to every task.
 MOST_WORDS = 5_000_000
+#: Most cells (bytes) of one alignment with a doubled band; reached by templates of more than about 20,000 words.
+MOST_CELLS = 1 << 28
 
 
 def _words(buf: np.ndarray, off: np.ndarray):
@@ -91,21 +94,21 @@ def align(template: np.ndarray, text: np.ndarray, offset: int, band: int) -> tup
     j - i - offset within ``band``; ties keep the earliest end, and a match before a gap.
     """
     n, width = len(template), 2 * band + 1
-    score, move = np.zeros((n + 1, width + 2), np.int32), np.zeros((n + 1, width + 2), np.int8)
+    score, move = np.zeros(width + 2, np.int32), np.zeros((n + 1, width + 2), np.int8)
     best, where = 0, (0, 0)
     for i in range(1, n + 1):
         j = i - 1 + offset + np.arange(-band, band + 1)  # text word that column c compares
         inside = (j >= 0) & (j < len(text))
         equal = inside & (text[np.clip(j, 0, max(len(text) - 1, 0))] == template[i - 1]) if len(text) else inside
-        slant = score[i - 1, 1:-1] + np.where(equal, 2, -1)
-        up = score[i - 1, 2:] - 1  # a template word without a partner
+        slant = score[1:-1] + np.where(equal, 2, -1)
+        up = score[2:] - 1  # a template word without a partner
         row = np.where(inside, np.maximum(np.maximum(slant, up), 0), 0)
         # gaps in the template: a running maximum from the left, one point off a step
         steps = np.arange(width)
         across = np.maximum.accumulate(row + steps) - steps
         row = np.where(inside, np.maximum(row, across), 0)
         move[i, 1:-1] = np.where(row <= 0, 0, np.where(row == slant, 1, np.where(row == up, 2, 3)))
-        score[i, 1:-1] = row
+        score[1:-1] = row
         c = int(row.argmax())
         if row[c] > best:
             best, where = int(row[c]), (i, c + 1)
@@ -126,6 +129,23 @@ def align(template: np.ndarray, text: np.ndarray, offset: int, band: int) -> tup
     return best, matches, columns, start, end
 
 
+def _enough(known: np.ndarray, times: np.ndarray, text: np.ndarray, need: float) -> bool:
+    """Whether a text shares ``need`` words with a template, each word as often as both have it."""
+    if len(text) < need:
+        return False
+    at = np.minimum(np.searchsorted(known, text), len(known) - 1)
+    have = np.bincount(at[known[at] == text], minlength=len(known))
+    return int(np.minimum(have, times).sum()) >= need
+
+
+def _bands(near: int, full: int, words: int) -> list[int]:
+    """Half-widths to try: ``near``, doubled up to ``full``."""
+    out = [near]
+    while out[-1] < full and words * (4 * out[-1] + 3) <= MOST_CELLS:
+        out.append(min(max(2 * out[-1], 1), full))
+    return out
+
+
 def matches_of(index: Index, h: np.ndarray, at: np.ndarray, prints: np.ndarray, coverage: float, band: int) -> list[tuple]:
     """Reported alignments of one text: (license, template, start, end, matched, coverage), by start."""
     lo, hi = np.searchsorted(index.prints, prints), np.searchsorted(index.prints, prints, "right")
@@ -137,16 +157,24 @@ def matches_of(index: Index, h: np.ndarray, at: np.ndarray, prints: np.ndarray,
     template, start = template[order], start[order]
     found = []
     group = 0
+    counts: dict[int, tuple] = {}  # each template's distinct words and how often it has them
     for x in range(1, len(start) + 1):
         words = index.words[template[group]]
         near = min(band, len(words) // 2)  # copies of a short template may follow one another
         if x == len(start) or template[x] != template[group] or start[x] - start[group] > near:
             t = int(template[group])
             middle = int(np.median(start[group:x]))
-            frm = max(0, middle - near)
-            score, same, columns, a, b = align(words, h[frm:max(frm, middle + len(words) + near)], middle - frm, near)
-            if same >= coverage * len(words) and same >= coverage * columns:
-                found.append((-score, -len(words), t, a + frm, b + frm, same))
+            reach = int(len(words) * (1 / coverage - 1)) if coverage > 0 else len(h)
+            full = max(near, min(len(h), reach + max(middle - int(start[group]), int(start[x - 1]) - middle)))
+            if t not in counts:
+                counts[t] = np.unique(words, return_counts=True)
+            for wide in _bands(near, full, len(words)) if _enough(*counts[t], h[max(0, middle - full):max(0, middle + len(words) + full)], coverage * len(words)) else []:
+                frm = max(0, middle - wide)
+                score, same, columns, a, b = align(words, h[frm:max(frm, middle + len(words) + wide)], middle - frm, wide)
+                if same >= coverage * len(words) and same >= coverage * columns:
+                    found.append((-score, -len(words), t, a + frm, b + frm, same))
+                if same == columns == len(words):
+                    break
             group = x
     out: list[tuple] = []
     for score, size, t, a, b, same in sorted(found):
