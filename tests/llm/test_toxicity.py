@@ -94,3 +94,32 @@ def test_a_toxic_text_gives_all_its_units_up_to_25(make_docs, spark, monkeypatch
     monkeypatch.setattr(t, "_fit", lambda negatives, hard, mine, *a: (seen.append({r.unit for r in mine}), fit(negatives, hard, mine, *a))[1])
     t.train(docs, labels)
     assert len(set(rare)) == 25 and seen and all(s == set(rare) for s in seen)
+
+
+def names(read, *texts):
+    data = [x.encode() for x in texts]
+    letter, unit, first = read(np.frombuffer(b"".join(data), np.uint8), np.concatenate(([0], np.cumsum([len(x) for x in data]))))
+    out = t._spelled(letter, unit, t._representatives())
+    return [out[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
+
+
+def test_units_of_a_long_run_overlap():
+    run = "".join(chr(97 + k * 7 % 26) for k in range(70))
+    for text in (run, " ".join(run)):
+        (got,) = names(t.letters_of, text)
+        assert got == [run[a:a + 24] for a in (0, 12, 24, 36, 48)]
+        (short,) = names(t.joined_of, text)
+        assert all(any(run[a:a + 9] in w for w in short) for a in range(62))
+
+
+def test_neighbours_are_taken_together():
+    assert names(t.joined_of, "an id iot", "", "x", "wor thless extraordinarily") == [["anid", "idiot", "anidiot"], [], [], ["worthless"]]
+
+
+def test_split_and_crossing_insults_rank_with_the_whole_ones(make_docs, model):
+    pairs = [(1, "you are an idiot now"), (2, "you are an id iot now"), (3, "you are an entity now"), (4, "he is stu pid"), (5, "a wor thless thing"),
+             (6, " ".join("thereweresomanyofthemidiotinthehouse")), (7, "thereweresomanyofthemidiotinthehouse"), (8, " ".join("thereweresomanyofthemapplesinthehouse"))]
+    assert "thereweresomanyofthemidiot".index("idiot") < 24 < "thereweresomanyofthemidiot".index("idiot") + 5
+    rows = {r.doc_id: r for r in t.score(make_docs(pairs), model).collect()}
+    s = {d: r.margin for d, r in rows.items()}
+    assert s[1] == s[2] and rows[2].log_hits > 0 and min(s[2], s[4], s[5]) > max(0, s[3]) and min(s[6], s[7]) > max(0, s[8])

@@ -3,7 +3,10 @@
 A sentence is judged by its units: words in lower case without anything but letters and digits, and runs
 of single letters taken together, so ``i d i o t`` or ``id*iot`` is the unit ``idiot``. The kernel of two units sums,
 over all subsequences of three characters that span at most ``SPAN`` characters in each, ``DECAY`` to the two spans, divided by
-a factor for either length; inserted characters lower it but don't hide a match.
+a factor for either length; inserted characters lower it but don't hide a match. Longer runs of letters are units of ``UNIT`` letters
+that overlap by half. Neighbouring units taken together and short windows of long or spelled runs (``joined_of``) are judged too, so
+``id iot`` and ``youareanidiot...`` are seen: the best of them is one more unit of its document if it is positive and above all others, and
+clean ones join the hard negatives.
 
 Training (a bounded, documented sample of labelled rows): the label belongs to a document, so each toxic document is a bag of
 units of which some are insults. Units much more frequent in toxic bags start as positive, units of clean documents are
@@ -29,13 +32,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripspark.llm.common import SPACE, blocks, small_batches, word_bounds
+from tripspark.llm.common import SPACE, blocks, ranges, small_batches, word_bounds
 
 SPAN, DECAY = 6, 0.7
 LETTERS = 96
 GAPS = [(a, b) for a in range(1, SPAN - 1) for b in range(1, SPAN - a)]
-#: Longest unit; a longer run of letters is several units.
+#: Longest unit; a longer run of letters is several units, each with the last half of the one before.
 UNIT = 24
+#: Most letters of two or three neighbouring units taken together; windows of long runs, which step by two letters.
+JOINED, SHORT = 12, (6, 8, 10, 12)
+#: Units taken together that are judged at once.
+AT_ONCE = 1 << 16
 #: So many of the surest insults are also learned with an inserted letter.
 SPOILT = 40
 
@@ -72,8 +79,8 @@ def length_norm(n: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(total, 1e-9))
 
 
-def letters_of(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """A block's letters: class and unit of each, and each text's first unit (and the end)."""
+def _runs(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
+    """A block's letters by class; first letter, size and text of each run of letters, and whether single letters make it up."""
     start, end, _ = word_bounds(buf, off, SPACE)
     point = np.frombuffer(buf.tobytes().decode("utf-8", "replace").encode("utf-32-le", "surrogatepass"), np.uint32)
     at = np.concatenate(([0], np.cumsum((buf & 0xC0) != 0x80)))  # code points before each byte
@@ -92,14 +99,50 @@ def letters_of(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray
     new = np.ones(len(start), bool)  # words that begin a unit: all but single letters after single letters
     new[1:] = ~(single[1:] & single[:-1] & (text[1:] == text[:-1]))
     unit = (np.cumsum(new) - 1)[word] if len(start) else word
-    first = np.searchsorted(unit, np.arange(unit[-1] + 2)) if len(unit) else np.zeros(1, np.int64)
-    part = np.arange(len(unit)) - (first[unit] if len(unit) else 0)
-    cut = np.zeros(len(unit), bool)
-    if len(unit):
-        cut[1:] = (unit[1:] != unit[:-1]) | (part[1:] % UNIT == 0)
-    unit = np.cumsum(cut)
-    heads = np.flatnonzero(np.concatenate(([True], cut[1:]))) if len(unit) else np.zeros(0, np.int64)
-    return letter, unit, np.searchsorted(text[word[heads]] if len(unit) else heads, np.arange(len(off)))
+    first = np.flatnonzero(np.diff(unit, prepend=-1))
+    return letter, first, np.diff(first, append=len(unit)), text[word[first]], single[word[first]]
+
+
+def _windows(first: np.ndarray, size: np.ndarray, text: np.ndarray, width: int, step: int) -> tuple[np.ndarray, ...]:
+    """First letter, size and text of windows of ``width`` letters, ``step`` apart, over each run."""
+    n = 1 + np.maximum(size - width + step - 1, 0) // step
+    run = np.repeat(np.arange(len(first)), n)
+    shift = step * ranges(np.zeros(len(n), np.int64), n)
+    return first[run] + shift, np.minimum(width, size[run] - shift), text[run]
+
+
+def _spread(letter: np.ndarray, first: np.ndarray, size: np.ndarray, text: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    return letter[ranges(first, size)], np.repeat(np.arange(len(size)), size), np.searchsorted(text, np.arange(texts + 1))
+
+
+def letters_of(buf: np.ndarray, off: np.ndarray, runs: tuple | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A block's letters: class and unit of each, and each text's first unit (and the end)."""
+    letter, first, size, text, _ = runs or _runs(buf, off)
+    return _spread(letter, *_windows(first, size, text, UNIT, UNIT // 2), len(off) - 1)
+
+
+def _joined(runs: tuple) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First letter, size and text of two and three neighbouring runs of ``JOINED`` letters at most taken together, and the windows of ``SHORT`` letters of
+    runs longer than ``UNIT`` and of spelled ones."""
+    _, first, size, text, spelled = runs
+    parts = []
+    for n in (2, 3):
+        m = max(len(first) - n + 1, 0)
+        total = sum((size[k:k + m] for k in range(n)), np.zeros(m, np.int64))
+        i = np.flatnonzero((text[:m] == text[n - 1:n - 1 + m]) & (total <= JOINED))
+        parts.append((first[i], total[i], text[i]))
+    for width in SHORT:
+        i = np.flatnonzero((size > width) & (spelled | (size > UNIT)))
+        parts.append(_windows(first[i], size[i], text[i], width, 2))
+    at, total, owner = (np.concatenate([p[k] for p in parts]) for k in range(3))
+    order = np.argsort(owner, kind="stable")
+    return at[order], total[order], owner[order]
+
+
+def joined_of(buf: np.ndarray, off: np.ndarray, runs: tuple | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As ``letters_of``, of units taken together."""
+    runs = runs or _runs(buf, off)
+    return _spread(runs[0], *_joined(runs), len(off) - 1)
 
 
 def margins(letter: np.ndarray, unit: np.ndarray, weights: np.ndarray, bias: float) -> np.ndarray:
@@ -240,13 +283,28 @@ def _features(margin: np.ndarray, first: np.ndarray, limit: float = 2.0) -> tupl
     return np.column_stack([clip(best), clip(second), np.log1p(above[0]), np.log1p(above[1]), np.sqrt(share)]), which
 
 
+def _judged(buf: np.ndarray, off: np.ndarray, model: Model) -> np.ndarray:
+    """``_features`` of a block's texts; a text's best unit taken together is one more unit if it is positive and above all others."""
+    runs = _runs(buf, off)
+    letter, unit, first = letters_of(buf, off, runs)
+    margin = margins(letter, unit, model.weights, model.bias)
+    n = len(off) - 1
+    best, joined = np.zeros(n), np.full(n, -np.inf)
+    np.maximum.at(best, np.repeat(np.arange(n), np.diff(first)), margin)
+    at, size, text = _joined(runs)
+    for k in range(0, len(at), AT_ONCE):
+        part = slice(k, k + AT_ONCE)
+        unit = np.repeat(np.arange(len(at[part])), size[part])
+        np.maximum.at(joined, text[part], margins(runs[0][ranges(at[part], size[part])], unit, model.weights, model.bias))
+    more = joined > best
+    return _features(np.insert(margin, first[1:][more], joined[more]), first + np.concatenate(([0], np.cumsum(more))))[0]
+
+
 def _score(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, buf, off in blocks(batch, limit=1 << 20):
-                letter, unit, first = letters_of(buf, off)
-                margin = margins(letter, unit, model.weights, model.bias)
-                x, which = _features(margin, first)
+            for part, buf, off in blocks(batch, limit=1 << 19):
+                x = _judged(buf, off, model)
                 if model.base is None:
                     score = 1 / (1 + np.exp(-np.clip(np.column_stack([x, np.ones(len(x))]) @ model.document, -30, 30)))
                 else:
@@ -280,16 +338,23 @@ def _representatives() -> list[str]:
 
 
 def _bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The distinct units of each labelled document (three letters or more)."""
+    """The distinct units of each labelled document (three letters or more), and those only taken together (``plain`` 0)."""
     chars = _representatives()
     for batch in batches:
-        for part, buf, off in blocks(batch, limit=1 << 20):
-            letter, unit, first = letters_of(buf, off)
+        for part, buf, off in blocks(batch, limit=1 << 19):
+            runs = _runs(buf, off)
+            letter, unit, first = letters_of(buf, off, runs)
             names = _spelled(letter, unit, chars)
+            letter, unit, head = joined_of(buf, off, runs)
+            joined = _spelled(letter, unit, chars)
             toxic, bag = part.column("toxic").to_pylist(), part.column("bag").to_pylist()
-            rows = [(bag[d], toxic[d], u) for d in range(part.num_rows) for u in sorted(set(names[first[d]:first[d + 1]])) if len(u) >= 3]
-            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.string()))],
-                                             ["bag", "toxic", "unit"])
+            rows = []
+            for d in range(part.num_rows):
+                own = set(names[first[d]:first[d + 1]])
+                rows += [(bag[d], toxic[d], u, 1) for u in sorted(own) if len(u) >= 3]
+                rows += [(bag[d], toxic[d], u, 0) for u in sorted(set(joined[head[d]:head[d + 1]]) - own) if len(u) >= 3]
+            yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int32(), pa.string(), pa.int32()))],
+                                             ["bag", "toxic", "unit", "plain"])
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
@@ -310,7 +375,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     if len(n) < 2:
         source.unpersist()
         return Model(np.zeros(LETTERS ** 3, np.float32), 0.0, np.zeros(6), base=float(n.get(1, 0) > 0))
-    bags = source.mapInArrow(_bags, "bag long, toxic int, unit string").persist()
+    both = source.mapInArrow(_bags, "bag long, toxic int, unit string, plain int").persist()
+    bags = both.filter("plain = 1").drop("plain")
     seen = bags.groupBy("unit").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c"))
     lift = F.log((F.col("t") + 0.2) / n[1]) - F.log((F.col("c") + 1.0) / n[0])
     clean = seen.filter("c > 0 and t <= c")
@@ -320,15 +386,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     mine = (bags.filter("toxic = 1").join(seen.withColumn("lift", lift).filter("lift > 1"), "unit")
             .withColumn("value", F.col("lift") * F.log1p("t")).withColumn("place", best).filter(F.col("place") <= bag_units)
             .select("bag", "unit", "lift", "t").collect())
+    all_clean = both.groupBy("unit").agg(F.sum("toxic").alias("t"), F.sum(1 - F.col("toxic")).alias("c")).filter("c > 0 and t <= c")
     hard: dict[str, None] = {}
     model = _fit(negatives, [], mine, landmarks, rounds)
     for _ in range(mining):
-        found = clean.select("unit").mapInArrow(_unit_margins(model), "unit string, margin double")
+        found = all_clean.select("unit").mapInArrow(_unit_margins(model), "unit string, margin double")
         hard.update(dict.fromkeys(r.unit for r in found.orderBy(F.desc("margin"), "unit").limit(hard_units).collect()))
         model = _fit(negatives, list(hard), mine, landmarks, rounds)
     rows = source.mapInArrow(_document_rows(model), "toxic int, x array<double>").collect()
     model.document = fit_logistic(np.array([r.x for r in rows]), np.array([float(r.toxic) for r in rows]))
-    bags.unpersist()
+    both.unpersist()
     source.unpersist()
     return model
 
@@ -336,9 +403,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def _document_rows(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part, buf, off in blocks(batch, limit=1 << 20):
-                letter, unit, first = letters_of(buf, off)
-                x, _ = _features(margins(letter, unit, model.weights, model.bias), first)
+            for part, buf, off in blocks(batch, limit=1 << 19):
+                x = _judged(buf, off, model)
                 yield pa.RecordBatch.from_arrays([part.column("toxic"), pa.array(list(x), pa.list_(pa.float64()))], ["toxic", "x"])
     return run
 
