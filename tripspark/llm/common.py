@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 
@@ -32,6 +33,15 @@ def stored(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def release() -> None:
+    """Give memory that a worker no longer uses back to the system; a worker lives on after its task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # a C library without it keeps its own free lists
+        pass
+
+
 def small_batches(spark: SparkSession) -> SparkSession:
     """Have Spark hand texts to Python in batches of ``BATCH_BYTES``; its default of 64 MB costs each worker and
     its executor several times that."""

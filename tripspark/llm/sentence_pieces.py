@@ -1,8 +1,8 @@
 """SentencePiece encoding and decoding: an Aho-Corasick automaton over the pieces drives a single-pass Viterbi.
 
-The automaton reads UTF-8 bytes (a space stands for the piece mark) as a full transition table. At each position the
-pieces that end there come from the state's output links, longest first, and relax the best score of the position; back pointers
-give the segmentation with the highest sum of piece scores, the longer piece on ties. A character without a
+The automaton reads UTF-8 bytes (a space stands for the piece mark). Its edges are a hash table of a few MB; where a state has no
+edge for a byte, its failure states are asked. At each position the pieces that end there come from the state's output links,
+longest first, and relax the best score of the position; back pointers give the segmentation with the highest sum of piece scores, the longer piece on ties. A character without a
 piece of its own may be spelled in byte pieces, at the lowest score less 10.
 
 No piece holds a mark after another character, so a text falls into units (spaces and what follows them) whose best
@@ -27,16 +27,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripspark.llm.common import WORD_BASE, blocks, list_lengths, ranges, small_batches, spans_hash
+from tripspark.llm.common import WORD_BASE, blocks, list_lengths, ranges, release, small_batches, spans_hash
 
 MARK = "▁"
 
 
 @dataclass
 class Automaton:
-    """Transitions, output state at or below each state and the next one below, and each output's piece."""
+    """Edges by (state, byte), failure states, output state at or below each state and the next one below, and each output's piece."""
 
-    goto: np.ndarray
+    edge: np.ndarray
+    target: np.ndarray
+    fail: np.ndarray
     out: np.ndarray
     below: np.ndarray
     piece: np.ndarray
@@ -92,18 +94,20 @@ def build(pieces: list[str | None], scores: list[float], byte_ids: np.ndarray) -
         if piece[s] < 0:
             piece[s], length[s], score[s] = i, len(b), float(scores[i])
     states = len(child)
-    goto, fail = np.zeros((states, 256), np.int32), np.zeros(states, np.int32)
-    out, below = np.zeros(states, np.int32), np.zeros(states, np.int32)
+    fail, out, below = [0] * states, [0] * states, [0] * states
     queue = [0]
     for s in queue:  # breadth first: a state's failure state is done before it
         if s:
-            goto[s] = goto[fail[s]]
             below[s] = out[fail[s]]
             out[s] = s if piece[s] >= 0 else below[s]
         for x, t in child[s].items():
-            fail[t] = goto[s, x] if s else 0
-            goto[s, x] = t
+            f = fail[s]
+            while f and x not in child[f]:
+                f = fail[f]
+            fail[t] = child[f].get(x, 0) if s else 0
             queue.append(t)
+    edge, target = _edges(np.array([s << 8 | x for s in range(states) for x in child[s]], np.int64),
+                          np.array([t for s in range(states) for t in child[s].values()], np.int32))
     # decoding: the bytes of every id
     spelled = list(raw)
     for x, i in enumerate(byte_ids.tolist()):
@@ -113,11 +117,48 @@ def build(pieces: list[str | None], scores: list[float], byte_ids: np.ndarray) -
     used = np.zeros(256, bool)
     used[np.frombuffer(b"".join(raw), np.uint8)] = True
     lowest = min((s for s, b in zip(scores, raw, strict=True) if b), default=0.0)
-    return Automaton(goto, out, below, np.array(piece, np.int32), np.array(length, np.int64), np.array(score), byte_ids.astype(np.int32),
+    return Automaton(edge, target, np.array(fail, np.int32), np.array(out, np.int32), np.array(below, np.int32), np.array(piece, np.int32), np.array(length, np.int64), np.array(score), byte_ids.astype(np.int32),
                      lowest - 10.0, ~used, any(b" " in b.lstrip(b" ") for b in raw),
                      np.frombuffer(b"".join(spelled), np.uint8), np.cumsum(size) - size, size)
 
 
+def _place(key: np.ndarray, probe, size: int) -> np.ndarray:
+    return ((key * 0x9E3779B1 >> 7) + probe) & (size - 1)
+
+
+def _edges(key: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash table of edges with open places (-1): at most a quarter full, a taken place means the next one."""
+    size = 1 << max(4, int(4 * len(key)).bit_length())
+    table, to = np.full(size, -1, np.int64), np.zeros(size, np.int32)
+    probe = 0
+    while len(key):
+        at = _place(key, probe, size)
+        free = table[at] < 0
+        table[at[free]] = key[free]
+        mine = table[at] == key
+        to[at[mine]] = target[mine]
+        key, target, probe = key[~mine], target[~mine], probe + 1
+    return table, to
+
+
+def _follow(a: Automaton, state: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    """The states after reading ``byte``: along an edge, else along the failure states' edges, else the root."""
+    out = np.zeros(len(state), np.int32)
+    todo, probe = np.arange(len(state)), np.zeros(len(state), np.int64)
+    key = state.astype(np.int64) << 8 | byte
+    while len(todo):
+        at = _place(key, probe, len(a.edge))
+        there = a.edge[at]
+        found = there == key
+        out[todo[found]] = a.target[at[found]]
+        taken = (there >= 0) & ~found  # another edge has the place: the next one
+        rest = taken | ((there < 0) & (key >= 256))  # no edge of this state: its failure state's
+        todo, key, taken, probe = todo[rest], key[rest], taken[rest], probe[rest]
+        key = np.where(taken, key, a.fail[key >> 8].astype(np.int64) << 8 | (key & 255))
+        probe = np.where(taken, probe + 1, 0)
+    return out
+
+
 def viterbi(a: Automaton, buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ids of the units buf[start:start+size], one after another, and how many each has."""
     order = np.argsort(-size, kind="stable")
@@ -125,7 +166,7 @@ def viterbi(a: Automaton, buf: np.ndarray, start: np.ndarray, size: np.ndarray)
     at = 0
     while at < len(order):
         longest = int(size[order[at]])
-        to = at + max(1, min(len(order) - at, (1 << 21) // max(longest, 1)))
+        to = at + max(1, min(len(order) - at, (1 << 19) // max(longest, 1)))
         _best(a, buf, start[order[at:to]], size[order[at:to]], order[at:to], ids, unit, place)
         at = to
     if not ids:
@@ -144,7 +185,7 @@ def _best(a: Automaton, buf, start, size, name, ids, unit, place) -> None:
     for t in range(longest):
         live = int(np.searchsorted(-size, -t))  # units longer than t stand first
         byte = buf[start[:live] + t]
-        state = a.goto[state[:live], byte]
+        state = _follow(a, state[:live], byte)
         char = np.where((byte & 0xC0) == 0x80, char[:live] + 1, 1)
         top, single = np.full(live, -np.inf), np.zeros(live, bool)
         rows, link = np.arange(live), a.out[state]
@@ -240,6 +281,7 @@ def _apply(model: bytes, source: str, target: str, work):
         a = automaton(model)
         for batch in batches:
             yield from work(a, batch, source, target)
+        release()
     return run
 
 
