@@ -55,6 +55,35 @@ SELECT t.doc_id, class_id, CASE WHEN t.n > 0 THEN text_id ELSE t.doc_id END AS t
 FROM t JOIN class USING (r) LEFT JOIN same USING (words) LEFT JOIN links USING (r)
 """
 
+#: CRC-32 of a decimal number's digits, by the table of its reflected polynomial.
+_CRC_TABLE = """crc AS (SELECT list(v ORDER BY b) AS t FROM (SELECT b, list_reduce([b] || range(8),
+  lambda a, k: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) AS v FROM range(256) r(b)))"""
+_CRC = """xor(list_reduce([4294967295] || list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+  lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295)"""
+
+OP11 = rf"""
+WITH {_CRC_TABLE},
+said AS (SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT c, n, c - c % 5 AS base, {_CRC} % 9 AS h FROM (SELECT c, count(*) AS n FROM said GROUP BY c), crc),
+conv AS (SELECT own.*, least(own.h, coalesce(b.n, 0)) AS shared FROM own LEFT JOIN (SELECT c AS base, n FROM own) b USING (base)),
+turns AS (SELECT conv.c, i AS depth, role, text FROM conv JOIN said ON said.c = conv.base AND i <= shared
+          UNION ALL SELECT conv.c, i - h + shared, role, text FROM conv JOIN said ON said.c = conv.c AND i > h),
+steps AS (SELECT *, sha256(CAST(to_json(list({{'r': role, 't': text}}) OVER (PARTITION BY c ORDER BY depth)) AS VARCHAR)) AS k FROM turns),
+linked AS (SELECT *, coalesce(lag(k) OVER (PARTITION BY c ORDER BY depth), '') AS parent, depth = max(depth) OVER (PARTITION BY c) AS is_end FROM steps),
+node AS (SELECT k, depth, parent, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * strlen(any_value(text)) AS saved FROM linked GROUP BY k, depth, parent
+         UNION ALL SELECT '', 0, NULL, min(c), count(*), 0 FROM conv HAVING count(*) > 0),
+kids AS (SELECT parent AS k, count(*) AS n_children FROM node WHERE parent IS NOT NULL GROUP BY parent),
+above AS (SELECT node.k, linked.k AS a FROM node JOIN linked ON linked.c = node.conv_id AND linked.depth <= node.depth UNION ALL SELECT k, '' FROM node),
+sums AS (SELECT a AS k, count(*) FILTER (n_children IS NULL) AS n_leaves, CAST(sum(saved) AS BIGINT) AS saved_tokens
+         FROM above JOIN node USING (k) LEFT JOIN kids USING (k) GROUP BY a),
+ended AS (SELECT k, c FROM linked WHERE is_end UNION ALL SELECT '', c FROM conv WHERE c NOT IN (SELECT c FROM turns)),
+ends AS (SELECT k, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c)) AS ends_sha256 FROM ended GROUP BY k)
+SELECT node.conv_id, CAST(node.depth AS BIGINT) AS depth, up.conv_id AS parent_conv_id, node.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens,
+       coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM node JOIN sums USING (k) LEFT JOIN kids USING (k) LEFT JOIN ends USING (k) LEFT JOIN (SELECT k AS parent, conv_id FROM node) up ON up.parent = node.parent
+"""
+
 _LENGTHS = sorted({3, *TOP, *DUPLICATE})
 _SHARE = "least(coalesce({x}, 0) / greatest(word_chars, 1), 1.0)"
 _LIMITS = " AND ".join([f"dup_line_chars <= {LINES}", *(f"top_{n}gram <= {x}" for n, x in TOP.items()), *(f"dup_{n}gram <= {x}" for n, x in DUPLICATE.items())])
@@ -87,4 +116,4 @@ s AS (SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words
 SELECT *, NOT base_failed AND {_LIMITS} AS kept FROM s
 """
 
-ORACLES = {"op3_substring_dedup": OP3, "op5_quality_rules": OP5, "op8_decontaminate": OP8, "op9_ngram_join": OP9}
+ORACLES = {"op3_substring_dedup": OP3, "op5_quality_rules": OP5, "op8_decontaminate": OP8, "op9_ngram_join": OP9, "op11_prefix_trie": OP11}

@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripspark.llm import decontaminate, language_id, license_scan, ngram_join, oracles, pii, quality_rules, reply_trees, sentence_pieces, substring_dedup, toxicity
+from tripspark.llm import decontaminate, language_id, license_scan, ngram_join, oracles, pii, prefix_trie, quality_rules, reply_trees, sentence_pieces, substring_dedup, toxicity
 from tripspark.session import shared_dir
 
 
@@ -95,9 +95,15 @@ def op10_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.length("formatted").cast("long").alias("formatted_chars")))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.numbered(table(spark, sf_dir, "conversations"))
+    out = prefix_trie.summary(*prefix_trie.with_shared_heads(turns, 5, F.crc32(F.col("conv").cast("string")) % 9))
+    return out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", F.col("saved_bytes").alias("saved_tokens"), "ends_sha256")
+
+
 QUERIES = {"op1_license_scan": op1_license_scan, "op2_toxicity": op2_toxicity, "op3_substring_dedup": op3_substring_dedup, "op4_pii": op4_pii, "op5_quality_rules": op5_quality_rules, "op6_language_id": op6_language_id,
            "op7_sentence_pieces": op7_sentence_pieces, "op8_decontaminate": op8_decontaminate, "op9_ngram_join": op9_ngram_join,
-           "op10_reply_trees": op10_reply_trees}
+           "op10_reply_trees": op10_reply_trees, "op11_prefix_trie": op11_prefix_trie}
 _ESCAPED = r"""length(replace(replace(replace({x}, '\', '\b'), '#', '\h'), '<', '\l'))"""
 
 OP10_SQL = r"""
