@@ -67,14 +67,20 @@ def test_documents_and_odd_texts(spark, make_docs, files, monkeypatch):
     assert run(make_docs(docs), files) == sorted((d[0], *w) for d, w in zip(docs, want, strict=True))
 
 
-def test_segments_and_small_blocks(files, monkeypatch):
-    """Cut texts and single-text blocks give the same tokens."""
-    monkeypatch.setattr(ta, "SEGMENT", 40)
-    texts = ["some words, with 12 numbers and it's  spaces\n\n and\tmore words " * 20, "▁ a ▁b " * 30, "nospace" * 100, "b"]
-    for coder, whole in zip(ta.coders(*files), ([" " + t for t in texts], texts), strict=True):
-        ids, count = ta.encode_texts(coder, texts)
-        want = [e.ids for e in coder.tokenizer.encode_batch(whole, add_special_tokens=False)] if isinstance(coder, ta.ByteLevel) else coder.model.encode(whole)
-        assert [list(x) for x in np.split(ids, np.cumsum(count)[:-1])] == want
+def test_units_by_themselves(files, monkeypatch):
+    """Units encoded together, a few at a time or alone give a whole text's tokens."""
+    texts = ["some words, with 12 numbers and it's  spaces\n\n and\tmore words " * 20, " ab\u3000cd ef", "nospace" * 100, "b", "", "x \x1c y\u00a0z é ü"]
+    buf = np.frombuffer("".join(" " + t for t in texts if t).encode(), np.uint8)
+    off = np.concatenate(([0], np.cumsum([len((" " + t).encode()) if t else 0 for t in texts])))
+    start, plain = ta.units(buf, off)
+    size = np.diff(np.append(start, len(buf)))
+    assert plain.sum() > 10 and not plain.all()
+    for coder in ta.coders(*files):
+        want = np.concatenate(coder.encode([t for t in texts if t]))
+        for joined in (8, 1 << 17):
+            monkeypatch.setattr(ta, "JOINED", joined)
+            ids, _, exact = ta.encode_units(coder, buf, start, size, plain)
+            assert exact.all() and (ids == want).all()
 
 
 def test_repeats_and_empty(spark, make_docs, files):

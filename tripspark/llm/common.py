@@ -184,6 +184,18 @@ def windows_hash(h: np.ndarray, n: int, base: int) -> np.ndarray:
     return spans_hash(h, start, start + n, base)
 
 
+def distinct_spans(buf: np.ndarray, start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each distinct span buf[start:start+size], and which of them each span equals; the bytes are compared."""
+    _, first, same = np.unique(spans_hash(buf, start, start + size, WORD_BASE), return_index=True, return_inverse=True)
+    equal = size == size[first][same]
+    at = np.flatnonzero(equal)
+    differ = buf[ranges(start[at], size[at])] != buf[ranges(start[first][same[at]], size[at])]
+    equal[at[np.unique(np.searchsorted(np.cumsum(size[at]), np.flatnonzero(differ), "right"))]] = False
+    odd = np.flatnonzero(~equal)
+    same[odd] = len(first) + np.arange(len(odd))
+    return np.concatenate((first, odd)), same
+
+
 def sliding_argmin(v: np.ndarray, w: int) -> np.ndarray:
     """Index of the leftmost least value in each window of w values."""
     n, val, idx, size = len(v) - w + 1, v, np.arange(len(v)), 1

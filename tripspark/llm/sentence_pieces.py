@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripspark.llm.common import WORD_BASE, blocks, list_lengths, ranges, release, small_batches, spans_hash
+from tripspark.llm.common import blocks, distinct_spans, list_lengths, ranges, release, small_batches
 
 MARK = "▁"
 
@@ -247,16 +247,7 @@ def encode_block(a: Automaton, buf: np.ndarray, off: np.ndarray) -> tuple[np.nda
     off = off + np.concatenate(([0], shift))
     start = units(a, spaced, off)
     size = np.diff(np.append(start, len(spaced)))
-    key = spans_hash(spaced, start, start + size, WORD_BASE)
-    _, first, same = np.unique(key, return_index=True, return_inverse=True)
-    # the same hash must be the same bytes; a unit that isn't gets a place of its own
-    equal = size == size[first][same]
-    at = np.flatnonzero(equal)
-    differ = spaced[ranges(start[at], size[at])] != spaced[ranges(start[first][same[at]], size[at])]
-    equal[at[np.unique(np.searchsorted(np.cumsum(size[at]), np.flatnonzero(differ), "right"))]] = False
-    odd = np.flatnonzero(~equal)
-    same[odd] = len(first) + np.arange(len(odd))
-    first = np.concatenate((first, odd))
+    first, same = distinct_spans(spaced, start, size)
     ids, count = viterbi(a, spaced, start[first], size[first])
     each = count[same]
     text = np.searchsorted(off, start, "right") - 1

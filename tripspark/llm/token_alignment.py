@@ -11,8 +11,9 @@ indices into the block's distinct id pairs, and the pairs once a block with thei
 block asks for the counts of its own distinct pairs: a pair is asked for once a block at most, so no pair is a hot key,
 and what is shuffled is a fraction of the links. Pass 2 sums them over each document's links.
 
-Long texts are encoded in segments cut before a single space between two other characters (neither tokenizer has a token across it), so memory
-follows the longest run without spaces. Texts that are null or empty, or whose joined token bytes of A or B differ from
+A single space between two other characters starts a token on both sides whatever stands around it, so texts fall into units there that
+share no token or group. A block encodes and aligns each distinct unit once; memory follows the block, or the longest text without such
+spaces. Texts that are null or empty, or whose joined token bytes of A or B differ from
 space + text, have no tokens. Special tokens' strings inside texts are plain text. Rows that repeat are rows each; extra columns are
 ignored; empty tables give empty results.
 """
@@ -20,8 +21,8 @@ ignored; empty tables give empty results.
 from __future__ import annotations
 
 import hashlib
+import itertools
 import os
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,13 +31,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripspark.llm.common import list_lengths, ranges, release, small_batches, stored, text_bytes
+from tripspark.llm.common import distinct_spans, list_lengths, ranges, release, small_batches, stored, text_bytes
 
-#: Bytes of text of a block (or one longer text), and of a segment that is encoded at once.
-BLOCK, SEGMENT = 4 << 20, 1 << 16
+#: Bytes of text of a block (or one longer text), and of units that are encoded at once.
+BLOCK, JOINED = 4 << 20, 1 << 17
 MARK = "▁"
-#: A place where both tokenizers start a new token whatever stands around it.
-_CUT = re.compile(r"(?<=[^\s▁]) (?=[^\s▁])")
 
 
 def byte_characters() -> dict[str, int]:
@@ -74,8 +73,8 @@ class ByteLevel(Coder):
             spelled[i] = bytes(letters[c] for c in piece) if all(c in letters for c in piece) else piece.encode()
         super().__init__(spelled)
 
-    def encode(self, segments: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast([" " + s for s in segments], add_special_tokens=False)]
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.int32) for e in self.tokenizer.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
 
 
 class Pieces(Coder):
@@ -89,8 +88,8 @@ class Pieces(Coder):
         spelled = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(MARK, " ").encode() for i, p in zip(ids, self.model.id_to_piece(list(ids)), strict=True)]
         super().__init__(spelled)
 
-    def encode(self, segments: list[str]) -> list[list[int]]:
-        return self.model.encode(segments, num_threads=1)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(ids, np.int32) for ids in self.model.encode(texts, num_threads=1)]
 
 
 _CODERS: dict[str, tuple[ByteLevel, Pieces]] = {}
@@ -104,40 +103,72 @@ def coders(a: str, b: bytes) -> tuple[ByteLevel, Pieces]:
     return _CODERS[key]
 
 
-def segments(text: str) -> list[str]:
-    """``text`` in parts of about ``SEGMENT`` characters, each but the first without the space in front that it stands behind."""
-    if len(text) <= SEGMENT:
-        return [text]
-    out, at = [], 0
-    while len(text) - at > SEGMENT:
-        cut = _CUT.search(text, at + SEGMENT)
-        if cut is None:
-            break
-        out.append(text[at:cut.start()])
-        at = cut.end()
-    return [*out, text[at:]]
-
-
-def encode_texts(coder: Coder, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts and the number of each text's ids."""
-    parts, owner = [], []
-    for k, t in enumerate(texts):
-        if t:
-            own = segments(t)
-            parts += own
-            owner += [k] * len(own)
-    ids, sizes, at = [], [], 0
-    while at < len(parts):  # what the libraries return for a segment is large: a few at a time
-        to, room = at, 4 * SEGMENT
-        while to < len(parts) and (to == at or room >= len(parts[to])):
-            room -= len(parts[to])
-            to += 1
-        found = coder.encode(parts[at:to])
-        sizes += [len(x) for x in found]
-        ids.append(np.concatenate([np.array(x, np.int32) for x in found]))
+def _spaces() -> np.ndarray:
+    """Code points that some rule takes as white space, and the piece mark; the last entry stands for all higher ones."""
+    out = np.zeros(0x3002, bool)
+    for lo, hi in ((0x09, 0x0D), (0x1C, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x180E, 0x180E), (0x2000, 0x200B), (0x2028, 0x2029),
+                   (0x202F, 0x202F), (0x205F, 0x205F), (0x2581, 0x2581), (0x3000, 0x3000)):
+        out[lo:hi + 1] = True
+    return out
+
+
+_SPACES = _spaces()
+
+
+def units(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where units start, in bytes of texts with a space in front: at a text, and at a single space between two other characters, where
+    both tokenizers start a new token whatever stands around it. And whether a unit begins and ends so that others may stand beside it."""
+    point = np.frombuffer(buf.tobytes().decode("utf-8", "replace").encode("utf-32-le", "surrogatepass"), np.uint32)
+    at = np.flatnonzero((buf & 0xC0) != 0x80)  # the first byte of each character
+    space = np.append(_SPACES[np.minimum(point, len(_SPACES) - 1)], True)
+    new = np.zeros(len(point) + 1, bool)
+    new[1:-1] = (point[1:] == 0x20) & ~space[:-2] & ~space[2:]
+    new[np.searchsorted(at, off[:-1][off[:-1] < off[1:]])] = True
+    first = np.flatnonzero(new[:-1])
+    last = np.append(first[1:], len(point)) - 1
+    return at[first], (last > first) & ~space[np.minimum(first + 1, len(point))] & ~space[last]
+
+
+def encode_units(coder: Coder, buf: np.ndarray, start: np.ndarray, size: np.ndarray, plain: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of the units one after another, how many each has, and whether their bytes are the unit's.
+
+    Units that may stand side by side are encoded as one text of about ``JOINED`` bytes, the others by themselves.
+    """
+    n = len(start)
+    text = lambda a, b: a[b].tobytes().decode("utf-8", "replace")[1:]  # noqa: E731 (the coder puts the space in front)
+    parts, owner, count, exact = [], [], np.zeros(n, np.int64), np.zeros(n, bool)
+    alone = np.flatnonzero(~plain).tolist()
+    joint = np.flatnonzero(plain)
+    total = np.cumsum(size[joint])
+    at = 0
+    while at < len(joint):
+        to = max(at + 1, int(np.searchsorted(total, (total[at - 1] if at else 0) + JOINED, "right")))
+        mine = joint[at:to]
+        bytes_ = buf[ranges(start[mine], size[mine])]
+        ids = coder.encode([text(bytes_, slice(None))])[0]
+        ends = np.cumsum(coder.size[ids])
+        if len(ids) and ends[-1] == len(bytes_) and (coder.joined(ids) == bytes_).all():
+            unit_end = np.searchsorted(ends, np.cumsum(size[mine]))  # the token that ends a unit
+            count[mine], exact[mine] = np.diff(unit_end, prepend=-1), True
+            parts.append(ids)
+            owner.append(mine)
+        else:
+            alone += mine.tolist()
         at = to
-    count = np.bincount(np.array(owner, np.int64), np.array(sizes, np.int64), len(texts)).astype(np.int64) if owner else np.zeros(len(texts), np.int64)
-    return np.concatenate(ids) if ids else np.zeros(0, np.int32), count
+    for u in alone:
+        bytes_ = buf[start[u]:start[u] + size[u]]
+        ids = coder.encode([text(bytes_, slice(None))])[0]
+        exact[u] = np.array_equal(coder.joined(ids), bytes_)
+        if exact[u]:
+            count[u] = len(ids)
+            parts.append(ids)
+            owner.append(np.array([u]))
+    if not parts:
+        return np.zeros(0, np.int32), count, exact
+    ids, owner = np.concatenate(parts), np.concatenate(owner)
+    place = np.zeros(n, np.int64)
+    place[owner] = np.cumsum(count[owner]) - count[owner]
+    return ids[ranges(place, count)], count, exact
 
 
 def align(a_end: np.ndarray, b_end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -161,59 +192,58 @@ def _sums_of(values: np.ndarray, count: np.ndarray) -> np.ndarray:
     return np.diff(np.concatenate(([0], np.cumsum(values)))[np.concatenate(([0], np.cumsum(count)))])
 
 
-def _same(coder: Coder, ids: np.ndarray, count: np.ndarray, want: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Whether each text's joined token bytes are the bytes wanted."""
-    ok = _sums_of(coder.size[ids], count) == np.diff(off)
-    token_ok = np.repeat(ok, count)
-    have = coder.joined(ids[token_ok])
-    place = ranges(off[:-1][ok], np.diff(off)[ok])
-    text = np.repeat(np.flatnonzero(ok), np.diff(off)[ok])
-    ok[text[have != want[place]]] = False
-    return ok
-
-
-def _written(names: np.ndarray, codes: np.ndarray, follows: np.ndarray, first: np.ndarray) -> list[str]:
-    """SHA-256 of each text's ids in order, each with the sign that follows it; none after a text's last. Empty without ids."""
-    out = []
-    marks = np.array([",", "|", ";", ""], object)
+def _written(names: np.ndarray, codes: np.ndarray, follows: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Each unit's ids in order, each with the sign that follows it."""
     pieces = np.empty(2 * len(codes), object)
-    pieces[0::2], pieces[1::2] = names[codes], marks[follows]
+    pieces[0::2], pieces[1::2] = names[codes], np.array([",", "|", ";", ""], object)[follows]
     pieces = pieces.tolist()
-    for k in range(len(first) - 1):
-        a, b = first[k], first[k + 1]
-        out.append(hashlib.sha256("".join(pieces[2 * a:2 * b]).encode()).hexdigest() if b > a else "")
+    out = np.empty(len(first) - 1, object)
+    out[:] = ["".join(pieces[2 * a:2 * b]) for a, b in itertools.pairwise(first.tolist())]
     return out
 
 
-def aligned_block(a: Coder, b: Coder, texts: list[str], buf: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray | list[str]]:
-    """Of each text: tokens of both sides, groups, the digest of its groups; and all links as id pairs (a << 32 | b), text by text."""
-    n = len(texts)
+def aligned_block(a: Coder, b: Coder, buf: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray | list[str]]:
+    """Of each text of a block: tokens of both sides, groups, the digest of its groups; all links as indices into the block's distinct pairs
+    (a << 32 | b), text by text; and those pairs with their counts. A unit that repeats in the block is aligned once."""
+    n = len(off) - 1
     some = (np.diff(off) > 0).astype(np.int64)
-    want = np.full(len(buf) + int(some.sum()), 0x20, np.uint8)  # a space in front of every text that is not empty
-    want[np.arange(len(buf)) + np.repeat(np.cumsum(some), np.diff(off))] = buf
+    spaced = np.full(len(buf) + int(some.sum()), 0x20, np.uint8)  # a space in front of every text that is not empty
+    spaced[np.arange(len(buf)) + np.repeat(np.cumsum(some), np.diff(off))] = buf
     off = off + np.concatenate(([0], np.cumsum(some)))
-    sides = [(c, *encode_texts(c, texts)) for c in (a, b)]
-    ok = np.ones(n, bool)
-    for coder, ids, count in sides:
-        ok &= _same(coder, ids, count, want, off)
-    (a_ids, a_count), (b_ids, b_count) = ((ids[np.repeat(ok, count)], count * ok) for _, ids, count in sides)
+    start, plain = units(spaced, off)
+    size = np.diff(np.append(start, len(spaced)))
+    text = np.searchsorted(off, start, "right") - 1
+    one, same = distinct_spans(spaced, start, size)
+    start, size, plain = start[one], size[one], plain[one]
+    (a_ids, a_count, a_exact), (b_ids, b_count, b_exact) = (encode_units(c, spaced, start, size, plain) for c in (a, b))
+    exact = a_exact & b_exact
+    ok = np.bincount(text, ~exact[same], n) == 0  # a text's joined bytes differ where a unit's do
+    a_ids, a_count = a_ids[np.repeat(exact, a_count)], a_count * exact
+    b_ids, b_count = b_ids[np.repeat(exact, b_count)], b_count * exact
     a_end, b_end = np.cumsum(a.size[a_ids]), np.cumsum(b.size[b_ids])
     a_group, b_group, last_a = align(a_end, b_end)
     last_b = np.searchsorted(b_end, a_end[last_a])
-    a_text = np.repeat(np.arange(n), a_count)
-    links = np.bincount(a_text[last_a], minlength=n) if len(last_a) else np.zeros(n, np.int64)
-    # all ids in the order of their groups, A before B, each with what follows it: , | ; or nothing
+    a_unit = np.repeat(np.arange(len(one)), a_count)
+    groups = np.bincount(a_unit[last_a], minlength=len(one))
+    # all ids in the order of their groups, A before B, each with what follows it: , | ; or nothing after a unit
     order = np.argsort(np.concatenate((2 * a_group, 2 * b_group + 1)), kind="stable")
     follows = np.zeros(len(a_ids) + len(b_ids), np.int8)
     follows[last_a] = 1
     follows[len(a_ids) + last_b] = 2
-    text = np.concatenate((a_text, np.repeat(np.arange(n), b_count)))
-    ends = np.cumsum(links)[links > 0] - 1  # the last group of each text
-    follows[len(a_ids) + last_b[ends]] = 3
-    first = np.searchsorted(text[order], np.arange(n + 1))
-    names = a.names if len(a.names) >= len(b.names) else b.names
-    digests = _written(names, np.concatenate((a_ids, b_ids))[order], follows[order], first)
-    return {"n_a": a_count, "n_b": b_count, "n_groups": links, "digest": digests, "links": a_ids[last_a].astype(np.int64) << 32 | b_ids[last_b]}
+    follows[len(a_ids) + last_b[np.cumsum(groups)[groups > 0] - 1]] = 3
+    first = np.concatenate(([0], np.cumsum(a_count + b_count)))
+    said = _written(a.names if len(a.names) >= len(b.names) else b.names, np.concatenate((a_ids, b_ids))[order], follows[order], first)
+    kept = ok[text]
+    same, text = same[kept], text[kept]
+    said, begin = said[same].tolist(), np.searchsorted(text, np.arange(n + 1)).tolist()
+    digests = [hashlib.sha256(";".join(said[x:y]).encode()).hexdigest() if y > x else "" for x, y in itertools.pairwise(begin)]
+    pairs, index = np.unique(a_ids[last_a].astype(np.int64) << 32 | b_ids[last_b], return_inverse=True)
+    links = index[ranges((np.cumsum(groups) - groups)[same], groups[same])]
+    count = np.bincount(links, minlength=len(pairs))
+    place = np.cumsum(count > 0) - 1  # pairs of units that stand only in texts without tokens fall away
+    total = lambda x: np.bincount(text, x[same], n).astype(np.int64)
+    return {"n_a": total(a_count), "n_b": total(b_count), "n_groups": total(groups), "digest": digests,
+            "links": place[links], "pairs": pairs[count > 0], "counts": count[count > 0]}
 
 
 def _lists(values: np.ndarray, counts: np.ndarray, kind: pa.DataType) -> pa.Array:
@@ -230,14 +260,12 @@ def _encode(a_file: str, b_file: bytes):
             while at < batch.num_rows:
                 to = max(at + 1, int(np.searchsorted(off, off[at] + BLOCK, "right")) - 1)
                 rows = batch.slice(at, to - at)
-                texts = [t or "" for t in rows.column("text").to_pylist()]
-                x = aligned_block(a, b, texts, buf[off[at]:off[to]], off[at:to + 1] - off[at])
-                pairs, index, count = np.unique(x["links"], return_inverse=True, return_counts=True)
+                x = aligned_block(a, b, buf[off[at]:off[to]], off[at:to + 1] - off[at])
                 mine = np.zeros(to - at, np.int64)
-                mine[0] = len(pairs)  # a block's first row carries its pairs
+                mine[0] = len(x["pairs"])  # a block's first row carries its pairs
                 yield pa.RecordBatch.from_arrays(
                     [rows.column("doc_id"), pa.array(np.full(to - at, part << 32 | block)), pa.array(x["n_a"]), pa.array(x["n_b"]), pa.array(x["n_groups"]),
-                     pa.array(x["digest"], pa.string()), _lists(index, x["n_groups"], pa.int32()), _lists(pairs, mine, pa.int64()), _lists(count, mine, pa.int64())],
+                     pa.array(x["digest"], pa.string()), _lists(x["links"], x["n_groups"], pa.int32()), _lists(x["pairs"], mine, pa.int64()), _lists(x["counts"], mine, pa.int64())],
                     ["doc_id", "block", "n_a", "n_b", "n_groups", "groups_sha256", "links", "pairs", "counts"])
                 at, block = to, block + 1
         release()
