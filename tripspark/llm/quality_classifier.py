@@ -213,6 +213,11 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self.logit(x) / self.temperature, -30, 30)))
 
 
+def constant(inputs: int, base: float) -> Network:
+    """A network that gives ``base`` to every text."""
+    return Network(np.zeros(inputs), np.ones(inputs), np.zeros((inputs, 1)), np.zeros(1), np.zeros(1), 0.0, base=base)
+
+
 def _loss(z: np.ndarray, y: np.ndarray) -> float:
     return float(np.mean(np.logaddexp(0, z) - y * z))
 
@@ -221,8 +226,7 @@ def fit_network(x: np.ndarray, y: np.ndarray, apart: np.ndarray, hidden: int = 2
                 ridge: float = 1e-3, patience: int = 20, seed: int = 7) -> Network:
     """Adam on the rows not ``apart``; the best round on those apart is kept, and the temperature fitted on them."""
     if not 0 < y.mean() < 1:
-        zero = np.zeros(x.shape[1])
-        return Network(zero, zero + 1, np.zeros((x.shape[1], hidden)), np.zeros(hidden), np.zeros(hidden), 0.0, base=float(y.mean()))
+        return constant(x.shape[1], float(y.mean()))
     r = np.random.default_rng(seed)
     fit = ~apart
     if not apart.any() or not fit.any():
@@ -303,18 +307,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "label", "apart")
     got = source.mapInArrow(_pooled_rows(v), "label int, apart boolean, x array<float>").toPandas()
     if not len(got):
-        return Model(v, fit_network(np.zeros((1, 2 * v.unit.shape[1] + FIGURES)), np.array([0.5]), np.zeros(1, bool)) if False else _nothing(v, 0.5))
+        return Model(v, constant(2 * v.unit.shape[1] + FIGURES, 0.5))
     x = np.stack(got["x"].to_numpy()).astype(np.float64)
     y = got["label"].to_numpy().astype(np.float64)
     order = np.lexsort(np.column_stack([x, y]).T)  # the result does not depend on the order in which rows arrive
     return Model(v, fit_network(x[order], y[order], got["apart"].to_numpy()[order].astype(bool)))
 
 
-def _nothing(v: Vectors, base: float) -> Network:
-    zero = np.zeros(2 * v.unit.shape[1] + FIGURES)
-    return Network(zero, zero + 1, np.zeros((len(zero), 1)), np.zeros(1), np.zeros(1), 0.0, base=base)
-
-
 def _scores(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

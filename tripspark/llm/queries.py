@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripspark.llm import decontaminate, language_id, license_scan, ngram_join, oracles, pii, prefix_trie, quality_rules, reply_trees, sentence_pieces, substring_dedup, token_alignment, toxicity
+from tripspark.llm import decontaminate, language_id, license_scan, ngram_join, oracles, pii, prefix_trie, quality_classifier, quality_rules, reply_trees, sentence_pieces, substring_dedup, token_alignment, toxicity
 from tripspark.session import shared_dir
 
 
@@ -101,6 +101,13 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("conv_id", "depth", "parent_conv_id", "n_convs", "n_children", "n_leaves", F.col("saved_bytes").alias("saved_tokens"), "ends_sha256")
 
 
+def op12_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = quality_classifier.train(docs, labels.filter(_bucket(5) != 0))
+    return quality_classifier.score(docs, model).select("doc_id", F.coalesce(_bucket(5) == 0, F.lit(False)).alias("held_out"), "score",
+                                                        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 #: The public byte-level vocabulary file that is compared with ``PIECES``.
 BYTE_LEVEL = "/opt/tokenizers/byte_bpe_50k.json"
 
@@ -113,7 +120,7 @@ def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {"op1_license_scan": op1_license_scan, "op2_toxicity": op2_toxicity, "op3_substring_dedup": op3_substring_dedup, "op4_pii": op4_pii, "op5_quality_rules": op5_quality_rules, "op6_language_id": op6_language_id,
            "op7_sentence_pieces": op7_sentence_pieces, "op8_decontaminate": op8_decontaminate, "op9_ngram_join": op9_ngram_join,
            "op10_reply_trees": op10_reply_trees, "op11_prefix_trie": op11_prefix_trie,
-           "op13_token_alignment": op13_token_alignment}
+           "op12_quality_classifier": op12_quality_classifier, "op13_token_alignment": op13_token_alignment}
 _ESCAPED = r"""length(replace(replace(replace({x}, '\', '\b'), '#', '\h'), '<', '\l'))"""
 
 OP10_SQL = r"""
