@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripspark.llm.common import SPACE, blocks, ranges, small_batches, word_bounds
+from tripspark.llm.common import SPACE, blocks, ranges, release, small_batches, word_bounds
 
 SPAN, DECAY = 6, 0.7
 LETTERS = 96
@@ -371,9 +371,17 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
               .unionByName(labels.filter("toxic = 0").orderBy(order, "doc_id").limit(clean_rows)))
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(sample), "doc_id")
     source = source.select("text", "toxic", F.xxhash64("doc_id", "text").alias("bag")).persist()  # toxic_rows + clean_rows documents
+    try:
+        return _train_on(source, landmarks, clean_units, hard_units, bag_units, rounds, mining)
+    finally:
+        source.unpersist()
+        release()  # the driver goes on with other work
+
+
+def _train_on(source: DataFrame, landmarks: int, clean_units: int, hard_units: int, bag_units: int, rounds: int, mining: int) -> Model:
+    """Fit on the sampled documents (text, toxic, bag)."""
     n = {r.toxic: r["count"] for r in source.groupBy("toxic").count().collect()}
     if len(n) < 2:
-        source.unpersist()
         return Model(np.zeros(LETTERS ** 3, np.float32), 0.0, np.zeros(6), base=float(n.get(1, 0) > 0))
     both = source.mapInArrow(_bags, "bag long, toxic int, unit string, plain int").persist()
     bags = both.filter("plain = 1").drop("plain")
@@ -396,7 +404,6 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     rows = source.mapInArrow(_document_rows(model), "toxic int, x array<double>").collect()
     model.document = fit_logistic(np.array([r.x for r in rows]), np.array([float(r.toxic) for r in rows]))
     both.unpersist()
-    source.unpersist()
     return model
 
 
