@@ -16,7 +16,7 @@ _FIX6 = ("CAST(CAST(floor({v}/1000000.0) AS BIGINT) AS VARCHAR)||'.'||"
          "lpad(CAST({v}%1000000 AS VARCHAR),6,'0')")
 
 PIPELINE_CTES = f"""
-WITH m AS (
+WITH RECURSIVE m AS (
  SELECT event_id, ts, user_id, value,
   73850000 + (event_id*37) % 200000 AS plon,
   40600000 + (event_id*53) % 250000 AS plat,

@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import training
-from ..schemas import FEATURE_COLUMNS, LABEL
+from ..operators import ensembles, gram, training
+from ..schemas import BASIC_FEATURE_COLUMNS, FEATURE_COLUMNS, LABEL
 from ..session import scratch_path
+from ..sources import files
 from ..sources import models as registry
 from . import frames
+from .gbt_sql import boosted
+from .lr_sql import regressed
 from .oracle_base import with_pipeline
 from .registry import query
 
@@ -129,14 +135,18 @@ def gbt_stump(spark, sf_dir):
     return model.transform(grid).select("passenger_count", _r("prediction").alias("prediction"))
 
 
-@query("lr_basic_scores")
+_BASIC_ROWS = "fitted AS (SELECT 0 AS v, row_no, fare_amount AS y, " + ", ".join(BASIC_FEATURE_COLUMNS) + " FROM b),\n"
+_NINE_ROWS = "fitted AS (SELECT 0 AS v, row_no, fare_amount AS y, " + ", ".join(FEATURE_COLUMNS) + " FROM g),\n"
+_VERSION_ROWS = ("fitted AS (SELECT CAST(t.v AS INTEGER) AS v, row_no, fare_amount AS y, " + ", ".join(FEATURE_COLUMNS)
+                 + " FROM g JOIN range(1, 4) t(v) ON g.batch_no <= t.v),\n")
+_BASIC_SQL = with_pipeline("SELECT row_no, round(prediction, 4) AS prediction FROM regression", _BASIC_ROWS + regressed("fitted", BASIC_FEATURE_COLUMNS))
+
+
+@query("lr_basic_scores", _BASIC_SQL)
 def lr_basic_scores(spark, sf_dir):
     """Docs-variant trainer: every batch file with an inferred schema, NULL rows dropped,
     five raw features, plain linear regression saved without overwrite, reloaded, applied
     (S8, N7, P13b, M6, K7, S13)."""
-    from ..schemas import BASIC_FEATURE_COLUMNS
-    from ..sources import files
-
     df = files.read_batches_inferred(spark, frames.ingest_batches(spark, sf_dir)).dropna()
     v = VectorAssembler(inputCols=BASIC_FEATURE_COLUMNS, outputCol="features").transform(df)
     path = scratch_path(spark, "lr_basic") + "/taxi_fare_model"
@@ -146,18 +156,80 @@ def lr_basic_scores(spark, sf_dir):
                                       _r("prediction", 4).alias("prediction"))
 
 
-@query("gbt_scores")
+@query("lr_basic_gram", _BASIC_SQL)
+def lr_basic_gram(spark, sf_dir):
+    """The docs-variant model from one aggregate of sums and products, scored as a native expression (M6)."""
+    rows = files.read_batches_inferred(spark, frames.ingest_batches(spark, sf_dir)).dropna()
+    coef, intercept, _ = gram.fit(rows, BASIC_FEATURE_COLUMNS)
+    return gram.score(rows, BASIC_FEATURE_COLUMNS, coef, intercept).select(F.col("row_no").cast("bigint").alias("row_no"), _r("prediction", 4).alias("prediction"))
+
+
+@query("lr_ridge_scores", with_pipeline("SELECT row_no, round(prediction, 4) AS prediction FROM regression",
+                                        _NINE_ROWS + regressed("fitted", FEATURE_COLUMNS, training.LR_REG_PARAM)))
+def lr_ridge_scores(spark, sf_dir):
+    """The commented variant: full pipeline with the regularised linear regression over nine features (M6, M7)."""
+    rows = frames.cleaned(spark, sf_dir)
+    return training.fit_pipeline(rows, kind="lr").transform(rows).select("row_no", _r("prediction", 4).alias("prediction"))
+
+
+@query("lr_versions_gram", with_pipeline("SELECT v AS version, row_no, round(prediction, 4) AS prediction FROM regression",
+                                         _VERSION_ROWS + regressed("fitted", FEATURE_COLUMNS, training.LR_REG_PARAM)))
+def lr_versions_gram(spark, sf_dir):
+    """Regularised models of the first three cumulative versions from the batches' sums, one scan; version k scores its rows."""
+    rows = frames.cleaned(spark, sf_dir, batch=True).filter(F.col("batch_no") <= 3)
+    models = gram.fit_versions(rows, FEATURE_COLUMNS, reg=training.LR_REG_PARAM)
+    parts = [gram.score(rows.filter(F.col("batch_no") <= m.batch_no), FEATURE_COLUMNS, m.coefficients, m.intercept)
+             .select(F.lit(m.batch_no).alias("version"), "row_no", _r("prediction", 4).alias("prediction")) for m in models.collect()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+_X = "[" + ", ".join(f"CAST({c} AS DOUBLE)" for c in FEATURE_COLUMNS) + "]"
+_GBT_SQL = with_pipeline("SELECT row_no, round(pred, 4) AS prediction FROM boost",
+                         f"fitted AS MATERIALIZED (SELECT 0 AS v, row_no, fare_amount AS y, {_X} AS x FROM g),\n" + boosted("fitted"))
+
+
+@query("gbt_scores", _GBT_SQL)
 def gbt_scores(spark, sf_dir):
     """Full pipeline (imputer, assembler, GBT × 20) fitted on all cleaned rows, scoring each (M5, M7, M9)."""
     rows = frames.cleaned(spark, sf_dir)
     return training.fit_pipeline(rows, kind="gbt").transform(rows).select("row_no", _r("prediction", 4).alias("prediction"))
 
 
+def _saved_gbt(spark, sf_dir):
+    """The full model fitted on all cleaned rows, saved; its folder is named like a version's."""
+    path = scratch_path(spark, "gbt_saved") + f"/{training.MODEL_PREFIX}1"
+    training.fit_pipeline(frames.cleaned(spark, sf_dir), kind="gbt").write().overwrite().save(path)
+    return path
+
+
+@query("gbt_expression_scores", _GBT_SQL)
+def gbt_expression_scores(spark, sf_dir):
+    """The saved model's node table compiled to one native column expression (M5, M9, K6)."""
+    nodes = ensembles.node_table(spark, [_saved_gbt(spark, sf_dir)])
+    e = ensembles.tree_expression(nodes, [F.col(c).cast("double") for c in FEATURE_COLUMNS])
+    return frames.cleaned(spark, sf_dir).select("row_no", _r(e, 4).alias("prediction"))
+
+
+@query("gbt_version_scores", with_pipeline(
+    "SELECT v AS version, row_no, round(pred, 4) AS prediction FROM boost",
+    f"fitted AS MATERIALIZED (SELECT CAST(t.v AS INTEGER) AS v, row_no, fare_amount AS y, {_X} AS x FROM g JOIN range(1, 4) t(v) ON g.batch_no <= t.v),\n"
+    + boosted("fitted")))
+def gbt_version_scores(spark, sf_dir):
+    """Trained versions 1 to 3 as one packed table, each scoring the rows it was trained on in one pass."""
+    models_dir, summary = frames.trained_models(spark, sf_dir)
+    versions = [r.version for r in summary.filter("status = 'saved'").select("version").collect()]
+    models = ensembles.packed_models(spark, [training.model_path(models_dir, v) for v in versions])
+    rows = frames.cleaned(spark, sf_dir, batch=True).filter(F.col("batch_no") <= max(versions, default=0))
+    each = rows.withColumn("version", F.explode(F.array(*map(F.lit, versions)))).filter(F.col("batch_no") <= F.col("version"))
+    scored = ensembles.predict(each.withColumn("model_version", F.format_string("v%d", "version")), models, FEATURE_COLUMNS, "row_no")
+    return scored.select("version", "row_no", _r("prediction", 4).alias("prediction"))
+
+
 @query("model_reload_scores", with_pipeline("SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_differences FROM g"))
 def model_reload_scores(spark, sf_dir):
     """A full pipeline saved (overwrite), loaded back and compared with the one in memory, row by row."""
     rows = frames.cleaned(spark, sf_dir)
-    model = training.fit_pipeline(rows, kind="gbt", maxIter=3)
+    model = training.fit_pipeline(rows, kind="gbt")
     path = scratch_path(spark, "reload") + "/fare_model_v1"
     model.write().overwrite().save(path)
     model.write().overwrite().save(path)
