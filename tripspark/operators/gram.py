@@ -115,3 +115,12 @@ def score(rows: DataFrame, features: list[str], coefficients, intercept: float,
         e = e + F.col(f"`{c}`").cast("double") * F.lit(float(b))
     return rows.withColumn(out, e)
 
+
+
+def packed(models: DataFrame, features: list[str], by: str = "batch_no") -> DataFrame:
+    """Models of ``fit_versions`` as rows of ``ensembles.packed_models``: version ``v<by>``, no means, so a missing input gives no prediction."""
+    inputs = F.array(*[F.struct(F.lit(c).alias("name"), F.lit(None).cast("double").alias("mean")) for c in features])
+    ints, doubles = "array<int>", "array<double>"
+    kinds = {"feature": ints, "threshold": doubles, "left": ints, "right": ints, "value": doubles, "roots": "array<struct<place: int, weight: double>>"}
+    return models.select(F.concat(F.lit("v"), F.col(by)).alias("model_version"), inputs.alias("inputs"), "intercept", "coefficients", F.lit(1).alias("depth"),
+                         *[F.lit(None).cast(k).alias(c) for c, k in kinds.items()])

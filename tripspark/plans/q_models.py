@@ -135,9 +135,9 @@ def gbt_stump(spark, sf_dir):
     return model.transform(grid).select("passenger_count", _r("prediction").alias("prediction"))
 
 
-_BASIC_ROWS = "fitted AS (SELECT 0 AS v, row_no, fare_amount AS y, " + ", ".join(BASIC_FEATURE_COLUMNS) + " FROM b),\n"
-_NINE_ROWS = "fitted AS (SELECT 0 AS v, row_no, fare_amount AS y, " + ", ".join(FEATURE_COLUMNS) + " FROM g),\n"
-_VERSION_ROWS = ("fitted AS (SELECT CAST(t.v AS INTEGER) AS v, row_no, fare_amount AS y, " + ", ".join(FEATURE_COLUMNS)
+_BASIC_ROWS = "fitted AS (SELECT 0 AS v, row_no, fare_amount AS y, 1 AS w, " + ", ".join(BASIC_FEATURE_COLUMNS) + " FROM b),\n"
+_NINE_ROWS = "fitted AS (SELECT 0 AS v, row_no, fare_amount AS y, 1 AS w, " + ", ".join(FEATURE_COLUMNS) + " FROM g),\n"
+_VERSION_ROWS = ("fitted AS (SELECT CAST(t.v AS INTEGER) AS v, row_no, fare_amount AS y, 1 AS w, " + ", ".join(FEATURE_COLUMNS)
                  + " FROM g JOIN range(1, 4) t(v) ON g.batch_no <= t.v),\n")
 _BASIC_SQL = with_pipeline("SELECT row_no, round(prediction, 4) AS prediction FROM regression", _BASIC_ROWS + regressed("fitted", BASIC_FEATURE_COLUMNS))
 
@@ -185,7 +185,7 @@ def lr_versions_gram(spark, sf_dir):
 
 _X = "[" + ", ".join(f"CAST({c} AS DOUBLE)" for c in FEATURE_COLUMNS) + "]"
 _GBT_SQL = with_pipeline("SELECT row_no, round(pred, 4) AS prediction FROM boost",
-                         f"fitted AS MATERIALIZED (SELECT 0 AS v, row_no, fare_amount AS y, {_X} AS x FROM g),\n" + boosted("fitted"))
+                         f"fitted AS MATERIALIZED (SELECT 0 AS v, row_no, fare_amount AS y, 1 AS w, {_X} AS x FROM g),\n" + boosted("fitted"))
 
 
 @query("gbt_scores", _GBT_SQL)
@@ -212,7 +212,7 @@ def gbt_expression_scores(spark, sf_dir):
 
 @query("gbt_version_scores", with_pipeline(
     "SELECT v AS version, row_no, round(pred, 4) AS prediction FROM boost",
-    f"fitted AS MATERIALIZED (SELECT CAST(t.v AS INTEGER) AS v, row_no, fare_amount AS y, {_X} AS x FROM g JOIN range(1, 4) t(v) ON g.batch_no <= t.v),\n"
+    f"fitted AS MATERIALIZED (SELECT CAST(t.v AS INTEGER) AS v, row_no, fare_amount AS y, 1 AS w, {_X} AS x FROM g JOIN range(1, 4) t(v) ON g.batch_no <= t.v),\n"
     + boosted("fitted")))
 def gbt_version_scores(spark, sf_dir):
     """Trained versions 1 to 3 as one packed table, each scoring the rows it was trained on in one pass."""
