@@ -82,3 +82,21 @@ def test_equal_rows_and_keys_beyond_doubles(spark):
     big = 2 ** 60
     df = spark.createDataFrame([(big + i % 5, 1) for i in range(400)], "k BIGINT, v INT")
     assert len(_positions(df, num_buckets=16)) == 400
+
+
+@pytest.mark.parametrize("buckets", [600, 2000, 5000])
+def test_more_buckets_than_splits(spark, buckets):
+    """The driver finds at most MAX_SPLITS quantiles; the rest of the buckets are even cuts between them."""
+    keys = [k * k for k in range(3000)] + [-5] * 900 + [None] * 40
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k BIGINT, v INT").repartition(5)
+    assert len(_positions(df, num_buckets=buckets)) == len(keys)
+    used = batching.key_buckets(df, "k", buckets).groupBy("_bucket").count().collect()
+    assert len(used) > 400 and max(r["count"] for r in used if r["count"] != 900) < 200
+
+
+def test_not_a_number_keys_and_no_rows(spark):
+    nan = float("nan")
+    df = spark.createDataFrame([(x,) for x in [nan, 2.0, None, float("inf"), 1.0, float("-inf"), nan]], "k DOUBLE")
+    got = [r.k for r in sorted(batching.dense_index(df, "k", num_buckets=4).collect(), key=lambda r: r.row_idx)]
+    assert got[:4] == [float("-inf"), 1.0, 2.0, float("inf")] and got[4] != got[4] and got[5] != got[5] and got[6] is None
+    assert batching.dense_index(df.filter("false"), "k").count() == 0

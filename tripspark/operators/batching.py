@@ -5,16 +5,17 @@ global ``row_number()`` would pull every row into one task, so the position is
 computed as a distributed dense index whose every step is a pure function of
 the data (no dependence on how the input happens to be partitioned):
 
-1. ``approxQuantile`` over the rows themselves cuts the order key into P buckets; a
-   value that fills several quantiles gets a bucket of its own;
-2. rows per bucket (partial aggregation); a bucket above its fair share that holds a
-   single key value (or NULL) is cut further by a hash of the tie-breaking columns;
-3. exclusive prefix sums over the buckets' counts;
-4. ``row_number()`` inside each bucket, one shuffle;
-5. position = bucket offset + local rank.
-
-Rows with equal keys are ordered by that hash, then by the tie-breaking columns. A
-recomputed task after an executor loss produces the same numbers. Rows equal in all columns are
+1. one aggregate gives up to ``MAX_SPLITS`` quantiles of the order key from a summary of fixed size, however many buckets are asked
+   for; a value that fills several quantiles gets a bucket of its own;
+2. the range between two splits is cut evenly into the buckets that are still missing;
+3. rows per bucket (partial aggregation, one small distributed table); a bucket above its fair share that holds a single key value (or NULL) is cut
+   further by a hash of the tie-breaking columns;
+4. exclusive prefix sums over the buckets' counts;
+5. ``row_number()`` inside each bucket, one shuffle;
+6. position = bucket offset + local rank.
+
+The driver sees the splits and two numbers, never the table of buckets. Rows with equal keys are ordered by 128 bits of hashes of the tie-breaking
+columns. A recomputed task after an executor loss produces the same numbers. Rows equal in all columns are
 interchangeable; only those cannot be cut apart.
 """
 
@@ -29,6 +30,9 @@ from pyspark.sql import functions as F
 # Key buckets per shuffle partition: bucket ids are hashed to partitions, so a few
 # buckets per partition even out the per-task load of the in-bucket ranking.
 BUCKETS_PER_PARTITION = 4
+# Quantiles that one aggregate finds, and the accuracy (size) of its summary.
+MAX_SPLITS = 512
+ACCURACY = 10_000
 # The table of bucket offsets is broadcast up to this many rows, and shuffled beyond.
 MAX_BROADCAST_BUCKETS = 100_000
 
@@ -41,19 +45,33 @@ def _index_buckets(df: DataFrame, num_buckets: int | None) -> int:
 
 
 def key_buckets(df: DataFrame, key: str, num_buckets: int, out: str = "_bucket") -> DataFrame:
-    """Add ``out`` = quantile bucket of the numeric ``key`` (0-based, in key order, NULL last)."""
-    probs = [i / num_buckets for i in range(1, num_buckets)]
-    bounds = df.approxQuantile(key, probs, 1.0 / (4 * num_buckets)) if probs else []
-    bounds = sorted(float(b) for b in bounds)
+    """Add ``out`` (BIGINT) = bucket of the numeric ``key``, growing with it; NaN after all numbers, NULL last."""
+    number = F.col(key).cast("double")
+    number = F.when(~F.isnan(number), number)
+    k = min(num_buckets, MAX_SPLITS)
+    probs = [i / k for i in range(1, k)] or [0.5]
+    found = df.agg(F.percentile_approx(number, probs, ACCURACY).alias("q"), F.min(number).alias("lo"), F.max(number).alias("hi")).first()
+    bounds = sorted(found["q"] or []) if k > 1 else []
     # a value that is several quantiles at once holds many rows: [b, next float) is its own bucket
     alone = [math.nextafter(a, math.inf) for a, b in zip(bounds, bounds[1:]) if a == b]
-    splits = [float("-inf"), *sorted({*bounds, *alone}), float("inf")]
-    if len(splits) < 3:  # a single bucket (NULL keys in a last one)
-        return df.withColumn(out, F.when(F.col(key).isNull(), 1).otherwise(0))
-    keyed = df.withColumn("_key_d", F.col(key).cast("double"))
-    b = Bucketizer(splits=splits, inputCol="_key_d", outputCol=out, handleInvalid="keep")
-    # NaN keys land in an extra bucket after the others, NULL keys in one after that
-    return b.transform(keyed).withColumn(out, F.coalesce(F.col(out).cast("int"), F.lit(len(splits)))).drop("_key_d")
+    inner = sorted(b for b in {*bounds, *alone} if math.isfinite(b))
+    per = -(-num_buckets // (len(inner) + 1))  # even cuts between two splits
+    keyed = df.withColumn("_key_d", number)
+    if inner:
+        b = Bucketizer(splits=[float("-inf"), *inner, float("inf")], inputCol="_key_d", outputCol="_part", handleInvalid="keep")
+        keyed = b.transform(keyed).withColumn("_part", F.col("_part").cast("int"))
+    else:
+        keyed = keyed.withColumn("_part", F.lit(0))
+    sub = F.lit(0)
+    if per > 1 and found["lo"] is not None:
+        edges = [min(found["lo"], inner[0]) if inner else found["lo"], *inner, found["hi"]]
+        low = F.get(F.array(*map(F.lit, edges[:-1])), F.col("_part"))
+        wide = F.get(F.array(*[F.lit(max(y - x, 0.0) if math.isfinite(y - x) else 0.0) for x, y in zip(edges, edges[1:])]), F.col("_part"))
+        share = F.when(wide > 0, (F.col("_key_d") - low) / wide).otherwise(0.0)
+        sub = F.least(F.greatest(F.floor(share * per), F.lit(0)), F.lit(per - 1))
+    last = (len(inner) + 1) * per
+    place = F.when(F.col("_key_d").isNotNull(), F.col("_part").cast("long") * per + F.coalesce(sub, F.lit(0))).when(F.col(key).isNotNull(), F.lit(last)).otherwise(F.lit(last + 1))
+    return keyed.withColumn(out, place.cast("long")).drop("_key_d", "_part")
 
 
 def dense_index(df: DataFrame, order_by: str, out: str = "row_idx",
@@ -61,40 +79,38 @@ def dense_index(df: DataFrame, order_by: str, out: str = "row_idx",
     """Add ``out`` = 0-based position of each row in ``order_by`` order (NULL keys last).
 
     ``order_by`` is one numeric column; values may repeat. ``ties`` (all other columns by
-    default) order rows of equal keys. Triggers one quantile pass when called.
+    default) order rows of equal keys. Triggers two small jobs when called: the splits, and whether a bucket must be cut.
     """
     n = _index_buckets(df, num_buckets)
     ties = [c for c in df.columns if c != order_by] if ties is None else list(ties)
-    bucketed = key_buckets(df, order_by, n).withColumn("_tie", F.xxhash64(F.lit(0), *[F.col(f"`{c}`") for c in ties]))
+    tied = [F.col(f"`{c}`") for c in ties]
+    bucketed = key_buckets(df, order_by, n).withColumns({"_tie": F.xxhash64(F.lit(0), *tied), "_tie2": F.xxhash64(F.lit(1), *tied)})
     counts = bucketed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"), F.min(order_by).alias("_lo"), F.max(order_by).alias("_hi"))
-    rows = sorted(counts.collect(), key=lambda r: r["_bucket"])  # one row per bucket
-    fair = -(-sum(r["_n"] for r in rows) // n) + 64
-    cuts = {r["_bucket"]: -(-r["_n"] // fair) for r in rows if r["_n"] > fair and r["_lo"] == r["_hi"]}
-    if cuts:
+    fair = F.ceil(F.sum("_n").over(Window.partitionBy()) / n) + 64  # the table has a row a bucket
+    single = F.col("_lo").eqNullSafe(F.col("_hi"))
+    cuts = counts.withColumn("_cuts", F.when(single & (F.col("_n") > fair), F.ceil(F.col("_n") / fair)).otherwise(1).cast("int")).select("_bucket", "_n", "_cuts")
+    size = cuts.agg(F.sum("_cuts").alias("rows"), F.max("_cuts").alias("most")).first()
+    if (size["most"] or 1) > 1:
         # the tie hash, spread evenly over the bucket's cuts in hash order
         share = (F.col("_tie").cast("double") + 2.0 ** 63) / 2.0 ** 64
-        table = F.create_map(*[F.lit(v) for pair in cuts.items() for v in pair])
-        pieces = F.coalesce(F.try_element_at(table, F.col("_bucket")), F.lit(1))
-        bucketed = bucketed.withColumn("_sub", F.least(F.floor(share * pieces).cast("int"), pieces - 1))
+        few = cuts.filter("_cuts > 1").select("_bucket", "_cuts")  # at most a bucket for each fair share of rows
+        bucketed = bucketed.join(F.broadcast(few) if n <= MAX_BROADCAST_BUCKETS else few, "_bucket", "left")
+        pieces = F.coalesce("_cuts", F.lit(1))
+        bucketed = bucketed.withColumn("_sub", F.least(F.floor(share * pieces).cast("int"), pieces - 1)).drop("_cuts")
         parts = bucketed.groupBy("_bucket", "_sub").agg(F.count(F.lit(1)).alias("_n"))
-        # bounded by the number of buckets and cuts (at most twice the buckets)
-        before = F.sum("_n").over(Window.orderBy("_bucket", "_sub")) - F.col("_n")
-        offsets = parts.select("_bucket", "_sub", before.cast("long").alias("_offset"))
     else:
         bucketed = bucketed.withColumn("_sub", F.lit(0))
-        starts, total = [], 0
-        for r in rows:
-            starts.append((r["_bucket"], 0, total))
-            total += r["_n"]
-        offsets = df.sparkSession.createDataFrame(starts, "_bucket INT, _sub INT, _offset BIGINT")
-    if len(rows) + sum(cuts.values()) <= MAX_BROADCAST_BUCKETS:
+        parts = cuts.select("_bucket", F.lit(0).alias("_sub"), "_n")
+    # bounded by the number of buckets and cuts (at most twice the buckets)
+    before = F.sum("_n").over(Window.orderBy("_bucket", "_sub")) - F.col("_n")
+    offsets = parts.select("_bucket", "_sub", before.cast("long").alias("_offset"))
+    if (size["rows"] or 0) <= MAX_BROADCAST_BUCKETS:
         offsets = F.broadcast(offsets)
-    order = [F.col(order_by).asc_nulls_last(), F.col("_tie"), *[F.col(f"`{c}`") for c in ties]]
-    local = F.row_number().over(Window.partitionBy("_bucket", "_sub").orderBy(*order)) - 1
+    local = F.row_number().over(Window.partitionBy("_bucket", "_sub").orderBy(F.col(order_by).asc_nulls_last(), "_tie", "_tie2")) - 1
     return (bucketed.withColumn("_local", local)
                     .join(offsets, ["_bucket", "_sub"])
                     .withColumn(out, F.col("_offset") + F.col("_local"))
-                    .drop("_bucket", "_sub", "_tie", "_local", "_offset"))
+                    .drop("_bucket", "_sub", "_tie", "_tie2", "_local", "_offset"))
 
 
 def assign_batches(df: DataFrame, batch_size: int, order_by: str = "row_no",

@@ -112,7 +112,8 @@ def train_versions(spark: SparkSession, cleaned: DataFrame, vb: DataFrame, model
     fit v takes the rows up to v. The batch numbers are a literal filter that prunes the scan.
     Batches in ``unreadable`` are left out, and the version that would add one is not trained:
     its number stays unused (S9). An empty training set is
-    skipped (N8) and a failing version does not stop the others. Versions are
+    skipped (N8) and a failing version does not stop the others; if the shared read of the rows fails, each version
+    reads its own batches, so one broken file fails only the versions that hold it. Versions are
     independent, so up to ``parallelism`` fits run as concurrent Spark jobs
     (the same pattern as ``CrossValidator(parallelism=...)``).
     """
@@ -127,19 +128,30 @@ def train_versions(spark: SparkSession, cleaned: DataFrame, vb: DataFrame, model
     added = F.coalesce(*[F.when(F.col("batch_no") == b, F.lit(v)) for b, v in sorted(used.items())], F.lit(None).cast("int"))
     rows = (cleaned.filter(F.col("batch_no").isin(sorted(used))).select(added.alias("version"), "batch_no", *train_cols)
             .persist(StorageLevel.MEMORY_AND_DISK))
-    try:
-        each = {r["version"]: (r["n_rows"], r["n_batches"]) for r in rows.groupBy("version").agg(
+    def counted(df: DataFrame) -> dict[int, tuple[int, int]]:
+        return {r["version"]: (r["n_rows"], r["n_batches"]) for r in df.groupBy("version").agg(
             F.count(F.lit(1)).alias("n_rows"), F.count_distinct("batch_no").alias("n_batches")).collect()}
 
+    try:
+        try:
+            shared = counted(rows)
+        except Exception:  # noqa: BLE001 - a file broke while it was read: versions that don't need it are still trained
+            rows.unpersist()
+            rows, shared = rows.select("*"), None
+
         def fit_one(v: int) -> VersionResult:
-            n_rows, n_batches = (sum(x[i] for w, x in each.items() if w <= v) for i in (0, 1))
-            if v in lost:
-                return VersionResult(v, n_batches, n_rows, "skipped_unreadable", None)
-            if n_rows == 0:
-                return VersionResult(v, n_batches, 0, "skipped_empty", None)
             path = model_path(models_dir, v)
+            n_rows = n_batches = 0
             try:
-                model = full_pipeline(kind, input_cols, False, seed, **params).fit(rows.filter(F.col("version") <= v).select(*train_cols))
+                # without a shared read, the version's own batches (a literal filter, so no other file is opened)
+                own = rows if shared is not None else rows.filter(F.col("batch_no").isin([b for b, w in used.items() if w <= v]))
+                each = shared if shared is not None else counted(own)
+                n_rows, n_batches = (sum(x[i] for w, x in each.items() if w <= v) for i in (0, 1))
+                if v in lost:
+                    return VersionResult(v, n_batches, n_rows, "skipped_unreadable", None)
+                if n_rows == 0:
+                    return VersionResult(v, n_batches, 0, "skipped_empty", None)
+                model = full_pipeline(kind, input_cols, False, seed, **params).fit(own.filter(F.col("version") <= v).select(*train_cols))
                 w = model.write()
                 (w.overwrite() if overwrite else w).save(path)
                 return VersionResult(v, n_batches, n_rows, "saved", path)

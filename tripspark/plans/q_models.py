@@ -11,10 +11,10 @@ from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators import ensembles, gram, training
+from ..operators import batching, ensembles, features, gram, training, versions
 from ..schemas import BASIC_FEATURE_COLUMNS, FEATURE_COLUMNS, LABEL
-from ..session import scratch_path
-from ..sources import files
+from ..session import copy_head, list_dir, scratch_path
+from ..sources import files, quarantine
 from ..sources import models as registry
 from . import frames
 from .gbt_sql import boosted
@@ -252,3 +252,43 @@ def train_versions_summary(spark, sf_dir):
     """Cumulative versions 1..3 trained and saved; rows and batches per version (M8)."""
     _, summary = frames.trained_models(spark, sf_dir)
     return summary.select("version", "n_batches", "n_rows", "status")
+
+
+# --- files that break while they are read ---------------------------------------------------
+
+def _files_with_a_cut_one(spark, sf_dir):
+    """Flat gzip batch files of the accepted trips; the file of batch 2 is cut in the middle (stand-in for a broken upload)."""
+    n = batching.fixture_batch_size(spark, sf_dir)
+    base, whole = scratch_path(spark, "quarantine"), scratch_path(spark, "quarantine_whole")
+    rows = frames.trips(spark, sf_dir)
+    files.write_batches_flat(rows, whole, n, compression="gzip")
+    for folder, is_dir in list_dir(spark, whole):
+        for name, _ in list_dir(spark, f"{whole}/{folder}") if is_dir else []:
+            if name.startswith("part-"):
+                size = spark.read.format("binaryFile").load(f"{whole}/{folder}/{name}").select("length").first()[0]
+                copy_head(spark, f"{whole}/{folder}/{name}", f"{base}/{folder}/{name}", size // 2 if folder == "file=batch_2.csv" else size)
+    return base, n
+
+
+@query("quarantine_files", with_pipeline(
+    f"SELECT batch_no, CASE WHEN batch_no = 2 THEN 'truncated' END AS reason, CASE WHEN batch_no <> 2 THEN count(*) END AS n_rows FROM b GROUP BY batch_no"))
+def quarantine_files(spark, sf_dir):
+    """State of every batch file, one of them cut in the middle."""
+    path, n = _files_with_a_cut_one(spark, sf_dir)
+    states = quarantine.file_states(spark, path, n, schema=files.BATCH_FILE_SCHEMA)
+    return states.select("batch_no", "reason", F.when(F.col("reason").isNull(), F.col("n_rows")).alias("n_rows"))
+
+
+@query("train_with_quarantine", with_pipeline(
+    "SELECT CAST(v.v AS INTEGER) AS version, CAST(count(DISTINCT batch_no) AS BIGINT) AS n_batches, count(*) AS n_rows, "
+    "CASE WHEN v.v = 2 THEN 'skipped_unreadable' ELSE 'saved' END AS status FROM g JOIN range(1, 4) v(v) ON g.batch_no <= v.v AND g.batch_no <> 2 GROUP BY v.v"))
+def train_with_quarantine(spark, sf_dir):
+    """Three cumulative versions over files of which the second is cut: its version's number stays unused, the others are trained without it."""
+    path, n = _files_with_a_cut_one(spark, sf_dir)
+    states = quarantine.file_states(spark, path, n, schema=files.BATCH_FILE_SCHEMA).persist()  # a row a file
+    lost = quarantine.quarantined(states)
+    bad = {r.batch_no for r in lost.select("batch_no").collect()}
+    rows = quarantine.sound_rows(quarantine.read_leniently(spark, path, files.BATCH_FILE_SCHEMA), lost)
+    vb = versions.version_batches(quarantine.catalog(states), k=3, order="numeric")
+    trained = training.train_versions(spark, features.training_rows(rows, keep=["batch_no"]), vb, scratch_path(spark, "quarantine_models"), kind="lr", unreadable=bad)
+    return training.results_frame(spark, trained).select("version", "n_batches", "n_rows", "status")

@@ -96,6 +96,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def copy_head(spark: SparkSession, source: str, target: str, n_bytes: int) -> None:
+    """Copy the first ``n_bytes`` of a file, through Hadoop's FileSystem."""
+    jvm = spark.sparkContext._jvm
+    (fs, p), (to_fs, to) = _fs(spark, source), _fs(spark, target)
+    head = jvm.org.apache.commons.io.input.BoundedInputStream(fs.open(p), n_bytes)
+    jvm.org.apache.hadoop.io.IOUtils.copyBytes(head, to_fs.create(to, True), 1 << 16, True)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a scratch folder once its result is stored elsewhere."""
     fs, p = _fs(spark, path)

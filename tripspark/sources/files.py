@@ -77,7 +77,7 @@ def write_batches_csv(batched: DataFrame, path: str, mode: str = "overwrite") ->
             .write.mode(mode).partitionBy("batch_no").option("header", True).csv(path))
 
 
-def write_batches_flat(batched: DataFrame, path: str, batch_size: int, files: int | None = None) -> None:
+def write_batches_flat(batched: DataFrame, path: str, batch_size: int, files: int | None = None, compression: str = "none") -> None:
     """Batches as the original's files hold them: one CSV per batch, ``batch_<n>.csv``, the short last one
     ``batch_<n>_final.csv`` (K3-K5).
 
@@ -90,7 +90,7 @@ def write_batches_flat(batched: DataFrame, path: str, batch_size: int, files: in
     name = batch_file_name("batch_no", (F.col("batch_no") == F.lit(top["last"])) & F.lit(short))
     (batched.repartition(*([files] if files else []), "batch_no").sortWithinPartitions("batch_no", "row_no")
             .select(*BATCH_COLUMNS, name.alias("file"))
-            .write.mode("overwrite").partitionBy("file").option("header", True).csv(path))
+            .write.mode("overwrite").partitionBy("file").option("header", True).option("compression", compression).csv(path))
 
 
 def write_batches_table(batched: DataFrame, path: str) -> None:
@@ -147,7 +147,7 @@ def list_batch_files(spark: SparkSession, path: str) -> DataFrame:
 
 
 def unreadable_batches(spark: SparkSession, path: str, batches: list[int]) -> set[int]:
-    """Those of ``batches`` whose folder cannot be read (S9): missing, or without a CSV the schema fits."""
+    """Those of ``batches`` whose folder cannot be read (S9): the folder is missing. For files that fail while they are read see ``quarantine``."""
     return {b for b in batches if read_csv_skipping_unreadable(spark, [f"{path}/batch_no={b}"])[1]}
 
 
