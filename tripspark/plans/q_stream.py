@@ -6,19 +6,20 @@ outputs and checkpoints.
 
 from __future__ import annotations
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from .. import fixture
 from ..functions import codec
-from ..operators import batching
+from ..operators import batching, training
 from ..schemas import TRIP_COLUMNS, TRIP_SCHEMA
-from ..session import delete, scratch_path
+from ..session import delete, list_dir, scratch_path
 from ..sources import models as registry
-from ..streaming import pipeline
+from ..streaming import lifecycle, pipeline
 from ..streaming.topic import FileTopic, run_available_now
 from . import frames
 from .oracle_base import BATCH_SIZE_SQL, with_pipeline
-from .q_scoring import REQ_CTES
+from .q_scoring import FARE_CTES, REQ_CTES
 from .registry import query
 
 TRIP_SQL = ", ".join(TRIP_COLUMNS)
@@ -111,3 +112,82 @@ def score_stream(spark, sf_dir):
     scored = spark.read.parquet(f"{base}/scored/mb=*")
     return scored.groupBy("model_version", "status").agg(F.count(F.lit(1)).alias("n_requests"))
 
+
+
+# --- runs that go on -------------------------------------------------------------------------
+
+#: Seconds without rows after which the registered streams end (the original waits for 60).
+IDLE_SECONDS = 4.0
+
+
+def _halves(rows, column):
+    half = rows.agg(F.avg(column)).first()[0] or 0
+    return rows.filter(F.col(column) < half), rows.filter(F.col(column) >= half)
+
+
+@query("stream_idle_end", with_pipeline(
+    f"SELECT batch_no, count(*) AS n_rows, count(DISTINCT row_no) AS n_distinct, count(*) < {BATCH_SIZE_SQL} AS is_final FROM (SELECT row_no, batch_no FROM b) GROUP BY batch_no"))
+def stream_idle_end(spark, sf_dir):
+    """A consumer that runs on while messages arrive and ends by itself after a silence; the short last batch is final."""
+    base, n = scratch_path(spark, "stream_idle"), batching.fixture_batch_size(spark, sf_dir)
+    sent = frames.sent(spark, sf_dir).select(codec.encode().alias("value"), F.col("row_no").alias("offset"), F.current_timestamp().alias("timestamp"))
+    first, second = _halves(sent, "offset")
+    topic = FileTopic(f"{base}/topic")
+    first.repartition(3, "offset").write.parquet(topic.path)
+    batcher = pipeline.ExactBatcher(f"{base}/batches", n, stream=pipeline.stream_id(spark, f"{base}/_chk"))
+
+    def consume(df, batch_id):
+        batcher(df, batch_id)
+        if batch_id == 0:  # more messages while the consumer runs
+            second.repartition(3, "offset").write.mode("append").parquet(topic.path)
+
+    lifecycle.run_until_idle(spark, topic.read_stream(spark).writeStream.foreachBatch(consume).option("checkpointLocation", f"{base}/_chk"), IDLE_SECONDS)
+    rows = pipeline.read_stream_batches(spark, f"{base}/batches")
+    return batching.batch_sizes(rows, n).join(rows.groupBy("batch_no").agg(F.count_distinct("row_no").alias("n_distinct")), "batch_no")
+
+
+@query("stream_compacted_restart", with_pipeline(
+    f"SELECT batch_no, count(*) AS n_rows, count(*) < {BATCH_SIZE_SQL} AS is_final, true AS log_is_short FROM b GROUP BY batch_no"))
+def stream_compacted_restart(spark, sf_dir):
+    """Eight micro-batches, then a restart with a fresh checkpoint: numbers go on from a log that is compacted every three entries."""
+    base, n = scratch_path(spark, "stream_compacted"), batching.fixture_batch_size(spark, sf_dir)
+    sent = frames.sent(spark, sf_dir).select(codec.encode().alias("value"), F.col("row_no").alias("offset"), F.current_timestamp().alias("timestamp"))
+    for name, part in zip(("first", "second"), _halves(sent, "offset")):
+        part.repartition(4, "offset").write.parquet(f"{base}/{name}")
+        pipeline.run_batcher(spark, FileTopic(f"{base}/{name}", max_files_per_trigger=1), f"{base}/batches", f"{base}/_chk_{name}", n, manifest_every=3)
+    short = len(list_dir(spark, f"{base}/batches/_manifest")) <= 6
+    return pipeline.stream_batch_sizes(spark, f"{base}/batches", n).withColumn("log_is_short", F.lit(short))
+
+
+@query("score_stream_refresh", with_pipeline("""
+SELECT request_id, model_version, CASE WHEN early AND model_version <> 'v1' THEN 'unknown_model' WHEN status = 'accepted' THEN 'ok' ELSE status END AS status,
+  CASE WHEN NOT early OR model_version = 'v1' THEN predicted_fare END AS predicted_fare, CASE WHEN early THEN 'v1' ELSE all_versions END AS known
+FROM (SELECT *, request_id < (SELECT avg(row_no) FROM sent) AS early, (SELECT string_agg('v' || v, ',' ORDER BY v) FROM coef) AS all_versions FROM fare)""", FARE_CTES))
+def score_stream_refresh(spark, sf_dir):
+    """Requests scored by a stream that runs on while versions 2 and 3 are published: they count from the next micro-batch."""
+    base = scratch_path(spark, "score_refresh")
+    trained, summary = frames.trained_models(spark, sf_dir, kind="lr_plain", input_cols=["distance_km"])
+    versions = sorted(r.version for r in summary.filter("status = 'saved'").select("version").collect())
+
+    def publish(v):
+        PipelineModel.load(training.model_path(trained, v)).write().overwrite().save(training.model_path(f"{base}/models", v))
+
+    publish(versions[0])
+    first, second = _halves(frames.requests(spark, sf_dir), "request_id")
+    first.coalesce(2).write.parquet(f"{base}/requests")
+    shelf = lifecycle.ModelShelf(spark, f"{base}/models", f"{base}/_models")
+    score = lifecycle.scoring_batch(shelf, f"{base}/scored")
+
+    def serve(df, batch_id):
+        score(df, batch_id)
+        if batch_id == 0:  # the trainer ends while the service runs, then more requests come
+            for v in versions[1:]:
+                publish(v)
+            second.coalesce(2).write.mode("append").parquet(f"{base}/requests")
+
+    stream = spark.readStream.schema("request_id BIGINT, model_version STRING, value STRING").parquet(f"{base}/requests")
+    try:
+        lifecycle.run_until_idle(spark, stream.writeStream.foreachBatch(serve).option("checkpointLocation", f"{base}/_chk"), IDLE_SECONDS)
+    finally:
+        shelf.close()
+    return spark.read.parquet(f"{base}/scored/mb=*").select("request_id", "model_version", "status", "predicted_fare", F.array_join("known", ",").alias("known"))

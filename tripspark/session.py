@@ -104,6 +104,16 @@ def copy_head(spark: SparkSession, source: str, target: str, n_bytes: int) -> No
     jvm.org.apache.hadoop.io.IOUtils.copyBytes(head, to_fs.create(to, True), 1 << 16, True)
 
 
+def make_file(spark: SparkSession, path: str) -> None:
+    """An empty file, made with its folders; nothing if it is there."""
+    fs, p = _fs(spark, path)
+    if fs is not None:
+        fs.create(p, True).close()
+    else:
+        os.makedirs(os.path.dirname(_local(path)), exist_ok=True)
+        open(_local(path), "a").close()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a scratch folder once its result is stored elsewhere."""
     fs, p = _fs(spark, path)

@@ -28,11 +28,9 @@ from ..operators import batching, ingest, scoring
 from ..schemas import TRIP_COLUMNS, TRIP_SCHEMA
 from ..session import path_exists
 from ..sources.files import RAW_FILE_SCHEMA, NULL_MARKER
+from .manifest import EVERY, Manifest
 from .topic import FileTopic, run_available_now
 
-MANIFEST_SCHEMA = StructType([StructField("stream", StringType()), StructField("batch_id", LongType()),
-                              StructField("start", LongType()), StructField("n_rows", LongType())])
-
 
 class IngestCounters(StreamingQueryListener):
     """The observed ``ingest`` counters of every micro-batch of a replay, keyed by its id (A2).
@@ -119,42 +117,29 @@ class ExactBatcher:
     """``foreachBatch`` function cutting a message stream into N-record batch folders.
 
     Output layout: ``<out>/stream=<id>/mb=<micro batch>/batch_no=<n>/part-*.csv`` with the
-    trip columns and ``row_no`` (= arrival offset); ``<out>/_manifest`` holds
-    one row per micro-batch (stream, start number, rows written). ``stream`` names the
+    trip columns and ``row_no`` (= arrival offset); ``<out>/_manifest`` logs where each
+    micro-batch's numbers start and end, compacted every ``manifest_every`` entries. ``stream`` names the
     checkpoint the micro-batch ids belong to: a run with another checkpoint writes beside the
     earlier rows and continues their numbering (R4, Z8). One stream writes to ``out`` at a
     time. Non-object messages go to ``<out>/_rejects`` instead of stopping the stream.
     """
 
-    def __init__(self, out: str, batch_size: int, index_buckets: int | None = None, stream: str = "0"):
+    def __init__(self, out: str, batch_size: int, index_buckets: int | None = None, stream: str = "0",
+                 manifest_every: int = EVERY):
         if batch_size < 1:
             raise ValueError("batch_size must be positive")
         self.out = out.rstrip("/")
         self.batch_size = int(batch_size)
         self.index_buckets = index_buckets
         self.stream = stream
+        self.manifest_every = manifest_every
 
-    def _start(self, spark: SparkSession, batch_id: int) -> int:
-        """First row number of this micro-batch: where the one before it ended.
-
-        Normally that is this stream's previous entry, the only one read. A stream's first
-        micro-batch continues after all entries of other streams.
-        """
-        path = f"{self.out}/_manifest"
-        prev = f"{path}/stream={self.stream}/batch_id={batch_id - 1}"
-        if batch_id > 0 and path_exists(spark, f"{prev}/_SUCCESS"):
-            m = spark.read.schema(MANIFEST_SCHEMA).json(prev)
-        elif path_exists(spark, path):
-            m = (spark.read.schema(MANIFEST_SCHEMA).option("recursiveFileLookup", "true").json(path)
-                 .filter((F.col("stream") != self.stream) | (F.col("batch_id") < batch_id)))
-        else:
-            return 0
-        row = m.agg(F.max(F.col("start") + F.col("n_rows")).alias("next")).first()
-        return int(row["next"] or 0)
+    def manifest(self, spark: SparkSession) -> Manifest:
+        return Manifest(spark, f"{self.out}/_manifest", self.manifest_every)
 
     def __call__(self, df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        start = self._start(spark, batch_id)
+        start = self.manifest(spark).start(self.stream, batch_id)
         # A micro-batch is bounded by the trigger limits; it is read by several
         # jobs below (rejects, count, index, write), so keep it, parsed once, for their span.
         kept = df.select("offset", "value", codec.as_object("value", TRIP_SCHEMA).alias("t")).persist(StorageLevel.MEMORY_AND_DISK)
@@ -176,8 +161,7 @@ class ExactBatcher:
             (rows.select(*TRIP_COLUMNS, "row_no", "batch_no").sortWithinPartitions("batch_no", "row_no")
                  .write.mode("overwrite").partitionBy("batch_no").option("header", True)
                  .csv(f"{self.out}/{place}"))
-        spark.createDataFrame([(self.stream, batch_id, start, n_rows)], MANIFEST_SCHEMA).coalesce(1) \
-             .write.mode("overwrite").json(f"{self.out}/_manifest/stream={self.stream}/batch_id={batch_id}")
+        self.manifest(spark).add(self.stream, batch_id, start, n_rows)
 
 
 def stream_id(spark: SparkSession, checkpoint: str) -> str:
@@ -188,9 +172,9 @@ def stream_id(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.schema("id STRING").json(path).first()["id"]
 
 
-def run_batcher(spark: SparkSession, topic: FileTopic, out: str, checkpoint: str, batch_size: int):
+def run_batcher(spark: SparkSession, topic: FileTopic, out: str, checkpoint: str, batch_size: int, manifest_every: int = EVERY):
     """Drain the topic into exact batches with ``availableNow``."""
-    batcher = ExactBatcher(out, batch_size, stream=stream_id(spark, checkpoint))
+    batcher = ExactBatcher(out, batch_size, stream=stream_id(spark, checkpoint), manifest_every=manifest_every)
     writer = topic.read_stream(spark).writeStream.foreachBatch(batcher).option("checkpointLocation", checkpoint)
     return run_available_now(writer, "batcher")
 
