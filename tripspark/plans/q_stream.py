@@ -15,7 +15,7 @@ from ..operators import batching, training
 from ..schemas import TRIP_COLUMNS, TRIP_SCHEMA
 from ..session import delete, list_dir, scratch_path
 from ..sources import models as registry
-from ..streaming import lifecycle, pipeline
+from ..streaming import keyed, lifecycle, pipeline
 from ..streaming.topic import FileTopic, run_available_now
 from . import frames
 from .oracle_base import BATCH_SIZE_SQL, with_pipeline
@@ -191,3 +191,25 @@ def score_stream_refresh(spark, sf_dir):
     finally:
         shelf.close()
     return spark.read.parquet(f"{base}/scored/mb=*").select("request_id", "model_version", "status", "predicted_fare", F.array_join("known", ",").alias("known"))
+
+
+@query("stream_state_batches", with_pipeline("SELECT row_no, batch_no, fare_amount, key FROM b"))
+def stream_state_batches(spark, sf_dir):
+    """Exact batches by keyed state, over three triggers and a restart from the same checkpoint; the next number is in the state store."""
+    base, n = scratch_path(spark, "stream_state"), batching.fixture_batch_size(spark, sf_dir)
+    sent = frames.sent(spark, sf_dir).select(codec.encode().alias("value"), F.col("row_no").alias("offset"), F.current_timestamp().alias("timestamp"))
+    first, second = _halves(sent, "offset")
+    topic = FileTopic(f"{base}/topic", max_files_per_trigger=2)
+
+    def arrive(part):
+        part.repartition(2, "offset").write.mode("append").parquet(topic.path)
+
+    def consume():
+        keyed.run_keyed_batches(spark, topic.read_stream(spark), f"{base}/batches", f"{base}/_chk", n)
+
+    for part in _halves(first, "offset"):
+        arrive(part)
+    consume()
+    arrive(second)
+    consume()
+    return keyed.read_keyed_batches(spark, f"{base}/batches").select("row_no", "batch_no", "fare_amount", "key")

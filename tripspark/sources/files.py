@@ -9,6 +9,7 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from ..operators.batching import batch_file_name
 from ..schemas import RAW_SCHEMA, TRIP_COLUMNS, TRIP_SCHEMA
+from ..session import scratch_path
 
 # Raw source files carry the arrival position as a leading column.
 RAW_FILE_SCHEMA = StructType([StructField("row_no", LongType(), True), *RAW_SCHEMA.fields])
@@ -17,6 +18,9 @@ RAW_FILE_SCHEMA = StructType([StructField("row_no", LongType(), True), *RAW_SCHE
 BATCH_FILE_SCHEMA = StructType([*TRIP_SCHEMA.fields, StructField("row_no", LongType(), True)])
 BATCH_COLUMNS = [*TRIP_COLUMNS, "row_no"]
 
+# Splits of a plain CSV source whose starts are broadcast (two numbers each); beyond, they are joined by shuffle.
+MAX_BROADCAST_SPLITS = 4_000_000
+
 # Fixed value: text that stands for NULL when reading raw CSV (unquoted empty cells map to it).
 NULL_MARKER = "\\N"
 
@@ -38,18 +42,29 @@ def read_plain_csv(spark: SparkSession, path: str, schema: StructType = RAW_SCHE
 
     The files' header must name the schema's columns in order, else the read fails. Adds ``row_no``, the
     0-based position in file order (path, then place in the file) over all files: Spark reads each
-    split in order, so a row's place is the rows of all splits before its own plus its rank there. Counts of the splits
-    are a small table (one row per split); nothing is sorted.
+    split in order, so a row's place is the rows of all splits before its own plus its rank there. A first pass, without the columns, counts
+    the splits' rows into a stored table of one row a split. A split is looked up by a hash of file and place, checked to be
+    unique among the splits: two numbers for each, so the table is broadcast up to ``MAX_BROADCAST_SPLITS``. Nothing is sorted.
     """
     df = (spark.read.schema(schema).option("header", True).option("enforceSchema", False).option("mode", "PERMISSIVE")
           .option("nullValue", NULL_MARKER).csv(path))
-    split = {"_file": F.col("_metadata.file_path"), "_at": F.col("_metadata.file_block_start")}
     # ids grow in reading order inside a task; a split's ids are consecutive
-    placed = df.select("*", *[v.alias(k) for k, v in split.items()], F.monotonically_increasing_id().alias("_id"))
-    counts = placed.groupBy("_file", "_at").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
-    before = F.sum("_n").over(Window.orderBy("_file", "_at")) - F.col("_n")
-    starts = counts.select("_file", "_at", (before - F.col("_first")).alias("_shift"))
-    return placed.join(starts, ["_file", "_at"]).select((F.col("_id") + F.col("_shift")).alias("row_no"), *schema.names)
+    placed = df.select("*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_at"), F.monotonically_increasing_id().alias("_id"))
+    counted = scratch_path(spark, "splits")
+    placed.groupBy("_file", "_at").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n")).write.mode("overwrite").parquet(counted)
+    counts = spark.read.parquet(counted)
+    before = F.sum("_n").over(Window.orderBy("_file", "_at")) - F.col("_n")  # a row a split
+    for seed in range(8):
+        key = F.xxhash64(F.lit(seed), "_file", "_at")
+        n = counts.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(key).alias("keys")).first()
+        if n["n"] == n["keys"]:
+            break
+    else:
+        raise RuntimeError("the splits' hashes are not unique")
+    starts = counts.select(key.alias("_split"), (before - F.col("_first")).alias("_shift"))
+    if n["n"] <= MAX_BROADCAST_SPLITS:
+        starts = F.broadcast(starts)
+    return placed.withColumn("_split", key).join(starts, "_split").select((F.col("_id") + F.col("_shift")).alias("row_no"), *schema.names)
 
 
 def first_rows(raw: DataFrame, n: int) -> DataFrame:
