@@ -97,3 +97,14 @@ def test_query_counts_items_once(spark, make_docs):
     (r,) = search(build_index(make_docs([(0, "A-b c d")])), items).select(
         F.concat_ws(",", F.array_sort(F.array_distinct(F.col("matches.item")))).alias("ids")).collect()
     assert r.ids == "10,9"
+
+
+def test_several_blocks_of_an_index_that_is_not_stored(make_docs):
+    """Every block must see the same segments: one row a document, its runs merged."""
+    words = [f"w{i}" for i in range(40)]
+    docs = make_docs([(k, " ".join(words[k:k + 25])) for k in range(5)], 2)
+    items = docs.sparkSession.createDataFrame([("a", " ".join(words[5:17])), ("b", " ".join(words[10:22])), ("c", "nothing here")], "item_id string, text string")
+    one = search(build_index(docs), items)
+    many = search(build_index(docs), items, block_chars=20)
+    rows = lambda df: sorted((r.doc_id, r.n_words, r.n_hit, sorted(map(tuple, r.matches))) for r in df.collect())
+    assert len(rows(many)) == 5 and rows(many) == rows(one)

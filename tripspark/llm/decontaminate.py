@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripspark.llm.common import WORD_BASE, blocks, lut, ranges, small_batches, spans_hash, text_bytes, word_bounds
+from tripspark.llm.common import WORD_BASE, blocks, lut, ranges, small_batches, spans_hash, stored, text_bytes, word_bounds
 
 #: Separators of ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` after A-Z went to lower case.
 SEPARATORS = lut((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
@@ -178,15 +178,19 @@ def search(index: DataFrame, items: DataFrame, id_col: str = "item_id", text_col
     small_batches(index.sparkSession)
     kind = index.schema["ids"].dataType.elementType.simpleString()
     schema = f"segment string, row int, doc_id {kind}, n_words long, n_hit long, matches array<struct<item:string,start:long,end:long>>"
-    out, ids, texts, chars = [], [], [], 0
+    out, ids, texts, chars, written = [], [], [], 0, index
 
     def flush() -> None:
-        out.append(index.mapInArrow(_search(list(ids), windows_of(ids, texts, size), slop), schema))
+        out.append(written.mapInArrow(_search(list(ids), windows_of(ids, texts, size), slop), schema))
         ids.clear()
         texts.clear()
 
+    # an index that is computed anew for each block would have other segments each time: then it is written first
+    computed = not index._jdf.queryExecution().analyzed().children().isEmpty()
     for r in items.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")).toLocalIterator():
         if texts and chars + len(r.t or "") > block_chars:
+            if computed and written is index:
+                written = stored(index.sparkSession, index, "index")
             flush()
             chars = 0
         ids.append(r.i)
