@@ -4,7 +4,7 @@ Learning: tasks count the n-grams of their texts by language, Spark sums the cou
 makes up at least ``min_share`` of the language's n-grams and at least ``near_best`` of its share in the language where it is
 most frequent. (So a language has at most 1/``min_share`` members of each length, which bounds what reaches the driver.)
 The members go into one bit-sliced Bloom filter: each slot holds a bit for every language, and the
-AND of an n-gram's slots has the bits of all languages that contain it, at once.
+AND of an n-gram's slots has the bits of all languages that have it as a member, at once.
 
 Deciding: each n-gram of a text is looked up and the bits are counted by language. With a share f of a language's bits set, an
 n-gram that is no member still passes with probability f**hashes; the counts are corrected for that. The language with the

@@ -10,8 +10,9 @@ one row: minimizer, hash of the path's words, document. Documents' paths meet in
   path of each content, and the edges are counted by content.
 
 Equal windows have equal minimizers, so nothing is missed. Paths and edges go back to their
-documents, where the source coordinates give the repeated spans. Rows and hashes meet as pairs of
-64-bit values (minimizer and path, or minimizer and edge), so a chance match needs 128 equal bits.
+documents, where the source coordinates give the repeated spans. Counts are by minimizer and path, or minimizer and edge; what goes
+back to a document is a 64-bit hash of a path or an edge, and words are not compared, so a chance match needs 64 equal bits.
+This grouping by minimizer stands in for joins of nonbranching neighbours.
 
 Null text has no words; a text of fewer than ``span`` words keeps all; empty tables give empty results.
 Rows that repeat (same id, same text) are texts that repeat each other. Other columns are not read.
