@@ -1,4 +1,5 @@
 import random
+import time
 
 import numpy as np
 import pytest
@@ -74,6 +75,58 @@ def test_small_vocabulary_equals_brute_force():
         assert "".join(pieces[i] for i in got) == "▁" + t.replace(" ", "▁")
 
 
+@pytest.mark.parametrize("stretch", [16, 40])
+def test_stretches_equal_brute_force_on_text_without_spaces(monkeypatch, stretch):
+    rng = random.Random(4)
+    pieces = ["▁", "a", "b", "c"] + list({"".join(rng.choice("abcß") for _ in range(rng.randrange(2, 6))) for _ in range(40)}) + ["▁ab", "▁c", "▁▁"]
+    scores = [-rng.randrange(1, 50) / 4 for _ in pieces]
+    a = sp.build([*pieces, None], [*scores, 0.0], np.full(256, len(pieces)))
+    plain = [("".join(rng.choice("abc") for _ in range(rng.randrange(1, 400)))) for _ in range(60)] + ["a" * 300, "ab" * 200, "cab" * 111]
+    mixed = ["".join(rng.choice("abcß漢😀") for _ in range(300)) for _ in range(20)]
+    whole = ids_of(a, plain + mixed)
+    monkeypatch.setattr(sp, "LONG", 24)
+    monkeypatch.setattr(sp, "STRETCH", stretch)
+    monkeypatch.setattr(sp, "_SIDE", 5)
+    assert ids_of(a, plain + mixed) == whole
+    for t, got in zip(plain, whole, strict=False):
+        want = brute(pieces, scores, "▁" + t)
+        assert sum(scores[i] for i in got) == pytest.approx(sum(scores[i] for i in want))
+        assert "".join(pieces[i] for i in got) == "▁" + t
+
+
+def test_long_units_equal_the_public_search(model, monkeypatch):
+    """Same segmentation as without stretches, and no worse a score than the public library's search (32-bit sums)."""
+    m = pb.ModelProto()
+    m.ParseFromString(model)
+    m.trainer_spec.model_type = 1
+    oracle = sentencepiece.SentencePieceProcessor(model_proto=m.SerializeToString())
+    a, rng = sp.automaton(model), random.Random(8)
+    score = [oracle.get_score(i) for i in range(oracle.vocab_size())]
+    unbroken = ["".join(rng.choice("etaoinshrdlucm") for _ in range(3000)), "".join(chr(rng.randrange(0x4E00, 0x5500)) for _ in range(1500)),
+                "the" * 1200, "=" * 2500, "".join(chr(rng.randrange(0x430, 0x44F)) for _ in range(2000))]
+    got = ids_of(a, unbroken)
+    for t, ids in zip(unbroken, got, strict=True):
+        want = oracle.encode(t)
+        mine, other = (sum(score[i] for i in x if not oracle.is_byte(i)) for x in (ids, want))
+        assert oracle.decode(ids) == t and (ids == want or other <= mine)
+    monkeypatch.setattr(sp, "LONG", 1 << 30)
+    assert ids_of(a, unbroken) == got
+
+
+def test_a_megabyte_without_a_space_is_near_the_speed_of_spaced_text(model):
+    a, rng = sp.automaton(model), random.Random(2)
+    letters = "".join(rng.choice("etaoinshrdlucmfw") for _ in range(1_000_000))
+    spaced = " ".join(letters[i:i + 6] for i in range(0, len(letters), 6))
+    ids_of(a, ["warm up"])
+    seconds = []
+    for t in (spaced, letters, "".join(chr(0x4E00 + ord(x) * 7 % 1500) for x in letters[:333_000])):
+        began = time.process_time()
+        (got,) = ids_of(a, [t])
+        seconds.append(time.process_time() - began)
+        assert b"".join(a.table[a.table_start[i]:][:a.table_size[i]].tobytes() for i in got).decode() == " " + t
+    assert max(seconds[1:]) < 3 * seconds[0] + 1
+
+
 def test_round_trip_and_extra_columns(make_docs, model):
     pairs = [(1, None), (2, ""), (3, " "), (4, "▁ mark ▁"), (None, "Grüße 漢字 \n\n ok"), (5, "the cat " * 20_000), (5, "the cat " * 20_000), (6, "q" * 50_000)]
     df = sp.round_trip(make_docs(pairs + list(enumerate(texts()))), model)

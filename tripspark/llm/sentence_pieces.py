@@ -6,8 +6,11 @@ longest first, and relax the best score of the position; back pointers give the
 piece of its own may be spelled in byte pieces, at the lowest score less 10.
 
 No piece holds a mark after another character, so a text falls into units (spaces and what follows them) whose best
-segmentations are independent. A task finds the distinct units of a block of texts and runs the Viterbi over all of them at once,
-a position at a time, then copies the results to every place of the unit. Nothing is shuffled.
+segmentations are independent. Units of more than ``LONG`` bytes (text without spaces) are read by the automaton in stretches side by side and cut
+further at positions that no piece spans. A task finds the distinct units of a block of texts and runs the Viterbi over all of them at once,
+a position at a time, then copies the results to every place of the unit. Units that are still long are segmented in stretches side by side
+too: first the best scores between all ways into and out of each stretch, then, with every stretch's true scores at its start, the same
+Viterbi. Sums of scores are exact where scores are whole numbers; else scores that differ by rounding only count as ties. Nothing is shuffled.
 
 Text is not normalised: one space is put in front, and decoding gives back every character. A piece mark that stands in the
 text itself is spelled in bytes, so it returns too. Null gives null, the empty text no ids. Ids that are null, unknown or
@@ -30,6 +33,10 @@ from pyspark.sql import types as T
 from tripspark.llm.common import blocks, distinct_spans, list_lengths, ranges, release, small_batches
 
 MARK = "▁"
+#: Bytes from which a unit is cut further or segmented in stretches, and the bytes of a stretch.
+LONG, STRETCH = 1024, 256
+#: Most stretches side by side.
+_SIDE = 4096
 
 
 @dataclass
@@ -164,6 +171,10 @@ def viterbi(a: Automaton, buf: np.ndarray, start: np.ndarray, size: np.ndarray)
     order = np.argsort(-size, kind="stable")
     ids, unit, place = [], [], []
     at = 0
+    long = int((size > LONG).sum())
+    if long:
+        _best_long(a, buf, start[order[:long]], size[order[:long]], order[:long], ids, unit, place)
+        at = long
     while at < len(order):
         longest = int(size[order[at]])
         to = at + max(1, min(len(order) - at, (1 << 19) // max(longest, 1)))
@@ -223,8 +234,145 @@ def _best(a: Automaton, buf, start, size, name, ids, unit, place) -> None:
         rows, pos = rows[pos > 0], pos[pos > 0]
 
 
+def _reach(a: Automaton) -> int:
+    """Bytes of the longest piece or character."""
+    return max(4, int(a.length.max()))
+
+
+def _stretches(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Begin and end of the stretches of each span (the last one longest), and which stretches begin a span."""
+    count = np.maximum((end - start) // STRETCH, 1)
+    begin = np.repeat(start, count) + ranges(np.zeros(len(count), np.int64), count) * STRETCH
+    first = np.zeros(len(begin), bool)
+    first[np.cumsum(count) - count] = True
+    stop = begin + STRETCH
+    stop[np.cumsum(count) - 1] = end
+    return begin, stop, first
+
+
+def _nodes(a: Automaton, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """The automaton's state after each byte of the spans buf[start:end] (0 elsewhere). A state depends on no more bytes than the
+    longest piece has, so each stretch is read from so many bytes before it, if the span has them."""
+    out = np.zeros(len(buf), np.int32)
+    own, stop, first = _stretches(start, end)
+    begin = np.maximum(np.where(first, own, own - _reach(a)), np.repeat(start, np.diff(np.append(np.flatnonzero(first), len(first)))))
+    order = np.argsort(begin - stop, kind="stable")
+    begin, own, stop = begin[order], own[order], stop[order]
+    state, size = np.zeros(len(begin), np.int32), stop - begin
+    for t in range(int(size[0])):
+        live = int(np.searchsorted(-size, -t))
+        at = begin[:live] + t
+        state = _follow(a, state[:live], buf[at])
+        mine = at >= own[:live]
+        out[at[mine]] = state[mine]
+    return out
+
+
+def _cuts(a: Automaton, buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Positions inside the spans that start a character and that no piece spans."""
+    link = a.out[_nodes(a, buf, start, end)]
+    stop = np.flatnonzero(link > 0) + 1
+    spanned = np.zeros(len(buf) + 2, np.int32)
+    np.add.at(spanned, stop - a.length[link[stop - 1]] + 1, 1)  # the longest piece that ends here covers what the others do
+    np.add.at(spanned, stop, -1)
+    inside = np.zeros(len(buf) + 1, np.int8)
+    inside[start + 1] += 1
+    inside[end] -= 1
+    free = (np.cumsum(spanned[:len(buf)], dtype=np.int32) == 0) & (np.cumsum(inside[:len(buf)], dtype=np.int8) > 0)
+    return np.flatnonzero(free & ((buf & 0xC0) != 0x80))
+
+
+def _sweep(a: Automaton, buf, node, spelled, begin, stop, front, trace=None) -> np.ndarray:
+    """Viterbi over stretches side by side, longest first. ``front``: best scores (ways x stretches x columns) 0, 1, ... bytes before each begin;
+    returned are those before each end. ``trace``: arrays by byte that take the last piece (-1: spelled) and its bytes."""
+    reach = len(front)
+    m = reach + 1
+    best = np.full((m, *front.shape[1:]), -np.inf)
+    best[-np.arange(reach) % m] = front
+    size = stop - begin
+    for t in range(int(size[0])):
+        live = int(np.searchsorted(-size, -t))
+        at = begin[:live] + t
+        top = np.full((live, front.shape[2]), -np.inf)
+
+        def relax(rows, long, score, piece):
+            new = best[(t + 1 - long) % m, rows] + score[:, None]  # noqa: B023
+            old = top[rows]  # noqa: B023
+            top[rows] = np.maximum(new, old)  # noqa: B023
+            if trace is not None:
+                r = new[:, 0] > old[:, 0]
+                where = at[rows[r]]  # noqa: B023
+                trace[0][where], trace[1][where] = piece[r], long[r]
+
+        link = a.out[node[at]]
+        rows = np.flatnonzero(link)
+        link = link[rows]
+        while len(rows):
+            relax(rows, a.length[link], a.score[link], a.piece[link])
+            link = a.below[link]
+            rows, link = rows[link > 0], link[link > 0]
+        rows = np.flatnonzero(spelled[at])
+        if len(rows):
+            relax(rows, spelled[at[rows]].astype(np.int64), np.full(len(rows), a.unknown), np.full(len(rows), -1))
+        best[(t + 1) % m, :live] = top
+    return best[(size[None, :] - np.arange(reach)[:, None]) % m, np.arange(len(size))[None, :]]
+
+
+def _spelled(a: Automaton, buf: np.ndarray, node: np.ndarray) -> np.ndarray:
+    """At the last byte of each character that is no piece by itself, the character's bytes; else 0."""
+    lead = np.flatnonzero((buf & 0xC0) != 0x80)
+    last = np.append(lead[1:], len(buf)) - 1
+    size = last - lead + 1
+    link, single = a.out[node[last]], np.zeros(len(last), bool)
+    rows = np.flatnonzero(link)
+    while len(rows):
+        single[rows] |= a.length[link[rows]] == size[rows]
+        link[rows] = a.below[link[rows]]
+        rows = rows[link[rows] > 0]
+    out = np.zeros(len(buf), np.int8)
+    out[last[~single]] = size[~single]
+    return out
+
+
+def _best_long(a: Automaton, buf, start, size, name, ids, unit, place) -> None:
+    """Segment long units: every stretch gets the best scores at its start, from the ones before, then its own last pieces."""
+    end = start + size
+    node, reach = _nodes(a, buf, start, end), _reach(a)
+    spelled = _spelled(a, buf, node)
+    last, bytes_of = np.zeros(len(buf), np.int32), np.zeros(len(buf), np.int32)
+    begin, stop, first = _stretches(start, end)
+    fresh = np.full(reach, -np.inf)
+    fresh[0] = 0.0
+    ways = np.where(np.eye(reach, dtype=bool), 0.0, -np.inf)[:, None, :]
+    score = fresh
+    for at in range(0, len(begin), _SIDE):
+        order = at + np.argsort(begin[at:at + _SIDE] - stop[at:at + _SIDE], kind="stable")
+        b, e = begin[order], stop[order]
+        through = _sweep(a, buf, node, spelled, b, e, np.repeat(ways, len(order), 1))  # way out x stretch x way in
+        front, back = np.empty((reach, len(order), 1)), np.argsort(order)
+        for k in range(len(order)):
+            score = fresh if first[at + k] else score
+            front[:, back[k], 0] = score
+            score = (through[:, back[k], :] + score).max(axis=1)
+        _sweep(a, buf, node, spelled, b, e, front, (last, bytes_of))
+    step = memoryview(bytes_of)
+    for s, e, u in zip(start.tolist(), end.tolist(), name.tolist(), strict=True):
+        ends, p = [], e
+        while p > s:
+            ends.append(p)
+            p -= step[p - 1]
+        ends = np.array(ends, np.int64) - 1
+        known = last[ends] >= 0
+        ids.append(last[ends[known]])
+        place.append(ends[known] + 1 - bytes_of[ends[known]] - s)
+        raw = ranges(ends[~known] + 1 - bytes_of[ends[~known]], bytes_of[ends[~known]].astype(np.int64))
+        ids.append(a.byte_ids[buf[raw]])
+        place.append(raw - s)
+        unit.append(np.full(len(ends[known]) + len(raw), u))
+
+
 def units(a: Automaton, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
-    """Where units start: at a text, at a space after another byte, and around bytes that no piece has."""
+    """Where units start: at a text, at a space after another byte, around bytes that no piece has, and in long ones wherever no piece spans."""
     new = np.zeros(len(buf), bool)
     new[off[:-1][off[:-1] < off[1:]]] = True
     if not a.joined:
@@ -233,7 +381,10 @@ def units(a: Automaton, buf: np.ndarray, off: np.ndarray) -> np.ndarray:
         single = ascii_alone[buf]
         new |= single
         new[1:] |= single[:-1] & ((buf[1:] & 0xC0) != 0x80)
-    return np.flatnonzero(new)
+    start = np.flatnonzero(new)
+    end = np.append(start[1:], len(buf))
+    long = end - start > LONG
+    return np.sort(np.concatenate((start, _cuts(a, buf, start[long], end[long])))) if long.any() else start
 
 
 def encode_block(a: Automaton, buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
