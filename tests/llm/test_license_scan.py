@@ -6,6 +6,7 @@ import pyarrow as pa
 import pytest
 
 from tripspark.llm import license_scan as ls
+from tripspark.llm import license_templates as lt
 from tripspark.llm.common import text_bytes
 from tripspark.llm.license_templates import MIT_BODY, TEMPLATES
 
@@ -126,3 +127,54 @@ def test_a_text_with_too_few_words_of_a_template_is_not_aligned(monkeypatch):
     h = hashes("permission is hereby granted free of charge " + "other words " * 100)
     at, prints = ls.winnow(h, np.array([0, len(h)]), 3, 3)
     assert np.isin(prints, index.prints).any() and ls.matches_of(index, h, at, prints, 0.8, 8) == []
+
+
+def test_kin_of_a_license_are_named_right_or_not_at_all(make_docs):
+    header = ("This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} General Public License as "
+              "published by the Free Software Foundation, either version {} of the License, or (at your option) any later version.")
+    want = [(header.format("Affero", "3"), ["AGPL-3.0"]), (header.format("Lesser", "2.1"), ["LGPL-2.1"]), (header.format("Lesser", "3"), ["LGPL-3.0"]),
+            (header.format("", "2"), ["GPL-2.0"]), (header.format("", "3"), ["GPL-3.0"]), (header.format("", "4"), []), (header.format("Other", "3"), []),
+            ("Licensed under CC BY 3.0.", ["CC-BY-3.0"]), ("Licensed under CC BY 4.0.", ["CC-BY-4.0"]), ("Licensed under CC BY 1.0.", []),
+            ("Licensed under CC BY-NC-SA 2.5.", ["CC-BY-NC-SA-2.5"]), ("Licensed under the XYZ License.", []), ("Licensed under the Apache License, Version 2.1.", []),
+            ("Licensed under the Apache License, Version 2.", ["Apache-2.0"]), ("Licensed under CC BY 4. 1 of 3", []),
+            ("Distributed under the Boost Software License, Version 1.0. (See accompanying file LICENSE_1_0.txt or copy at http://www.boost.org/LICENSE_1_0.txt)", ["BSL-1.0"]),
+            (lt.BOOST_BODY, ["BSL-1.0"]), (f"{lt.BSD_BODY} {lt.BSD_DISCLAIMER}", ["BSD-2-Clause"]),
+            (f"{lt.BSD_BODY} {lt.BSD_THIRD_CLAUSE.replace('the copyright holder', 'Example Inc')} {lt.BSD_DISCLAIMER}", ["BSD-3-Clause"]), (f"{MIT_BODY} {lt.AS_IS}", ["MIT"])]
+    for pad in ("", filler(random.Random(9), 30)):
+        rows = ls.scan(make_docs([(k, f"{pad}\n{t}\n{pad}") for k, (t, _) in enumerate(want)])).collect()
+        for r in rows:
+            assert [m.license for m in r.matches] == want[r.doc_id][1], (want[r.doc_id], r.matches)
+
+
+def test_strips_of_a_long_alignment_equal_the_whole_one(monkeypatch):
+    rng = random.Random(6)
+    for _ in range(60):
+        t = np.array([rng.randrange(9) for _ in range(rng.randrange(1, 60))], np.uint64)
+        x = np.array([w for w in t for _ in range(rng.choice([0, 1, 1, 1, 1, 2]))] + [3] * rng.randrange(5), np.uint64)
+        monkeypatch.setattr(ls, "STRIP", 1024)
+        one, two = np.empty(len(t), np.int64), np.empty(len(t), np.int64)
+        whole = ls.align(t, x, 0, 12, one)
+        monkeypatch.setattr(ls, "STRIP", 3)
+        assert ls.align(t, x, 0, 12, two) == whole and one.tolist() == two.tolist()
+        assert (one >= 0).sum() == whole[1] and all(x[p] == w for p, w in zip(one, t, strict=True) if p >= 0)
+
+
+def test_whole_licenses_from_a_folder(spark, make_docs, tmp_path):
+    rng = random.Random(3)
+    words = [f"w{rng.randrange(900)}" for _ in range(3000)]
+    (tmp_path / "Long-1.0.txt").write_text(" ".join(words))
+    (tmp_path / "Long-2.0").write_text(" ".join(words[:1500] + ["other"] * 40 + words[1500:]))
+    templates = ls.read_templates(spark, str(tmp_path))
+    assert [n for n, _ in templates] == ["Long-1.0", "Long-2.0"]
+    texts = [" ".join(words), templates[1][1], " ".join(words[:700] + ["extra"] * 500 + words[700:])]
+    rows = ls.scan(make_docs(list(enumerate(texts))), templates).collect()
+    assert {r.doc_id: [m.license for m in r.matches] for r in rows} == {0: ["Long-1.0"], 1: ["Long-2.0"], 2: ["Long-1.0"]}
+
+
+def test_overlaps_are_found_in_sorted_spans():
+    line = "Released under the MIT License. "
+    index = ls.build_index(TEMPLATES)
+    h = hashes(line * 4000)
+    at, prints = ls.winnow(h, np.array([0, len(h)]), 3, 3)
+    found = ls.matches_of(index, h, at, prints, 0.8, 8)
+    assert [(m[2], m[3]) for m in found] == [(5 * k, 5 * k + 5) for k in range(4000)]

@@ -9,6 +9,11 @@ gap -1, best local score); unless all words match in a row, the band is doubled
 (``len * (1 / coverage - 1)`` words), so words put in or left out in one place don't part a notice. A candidate whose words in reach can't make up the coverage isn't aligned. Reported are alignments that match at least ``coverage`` of the template's words and as large a part of their own
 columns; of overlapping ones the highest score stands (then the longer, the earlier template).
 
+Close relatives are told apart by the words that set a template off: where a template matches another license's template so well that it
+would be reported there, its words without a partner, and its neighbouring words between which the other one has more, are its marks. An alignment
+that keeps less than ``coverage`` of the marks against any relative, or that has a number of the template against another word (beyond its
+ends: another number below ``VERSIONS``), is not reported, whatever it matches else: an unknown version or kin of a license is not given a relative's name.
+
 Each text is scanned whole in its own task, nothing is shuffled. Null, empty and blank texts match nothing. Rows that repeat are scanned
 each; templates of fewer than ``k`` words have no fingerprint and are never found.
 Empty tables give empty results. Other columns are not read.
@@ -16,12 +21,13 @@ Empty tables give empty results. Other columns are not read.
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripspark.llm.common import WORD_BASE, blocks, i64, lut, ranges, small_batches, spans_hash, text_bytes, windows_hash, word_bounds
@@ -33,8 +39,10 @@ _SEPARATORS = lut((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
 _GRAM = 0xAF251AF3B0F025B5
 #: Most words of all templates that are sent to every task.
 MOST_WORDS = 5_000_000
-#: Most cells (bytes) of one alignment with a doubled band; reached by templates of more than about 20,000 words.
-MOST_CELLS = 1 << 28
+#: Rows of an alignment whose moves are held at once; those of earlier rows are computed again from the scores between.
+STRIP = 1024
+#: Numbers below this one can be part of a version.
+VERSIONS = 100
 
 
 def _words(buf: np.ndarray, off: np.ndarray):
@@ -64,7 +72,8 @@ def winnow(h: np.ndarray, first: np.ndarray, k: int, window: int) -> tuple[np.nd
 
 @dataclass
 class Index:
-    """Templates' words, and their fingerprints in ascending order with template and position."""
+    """Templates' words, their fingerprints in ascending order with template and position, the positions of numbers, the hashes of numbers
+    that a version may have, and each template's marks against its relatives: positions of words, and of words that the next one must follow directly."""
 
     names: list[str]
     words: list[np.ndarray]
@@ -73,56 +82,130 @@ class Index:
     position: np.ndarray
     k: int
     window: int
+    numbers: list[np.ndarray]
+    versions: np.ndarray
+    marks: list[list[tuple[np.ndarray, np.ndarray]]]
 
 
-def build_index(templates: list[tuple[str, str]], k: int = 3, window: int = 3) -> Index:
+def build_index(templates: list[tuple[str, str]], k: int = 3, window: int = 3, coverage: float = 0.8) -> Index:
     templates = [(str(n), t) for n, t in templates if t]
-    _, _, first, h = _words(*text_bytes(pa.array([t for _, t in templates], pa.large_string())))
+    buf, off = text_bytes(pa.array([t for _, t in templates], pa.large_string()))
+    start, end, first, h = _words(buf, off)
     if len(h) > MOST_WORDS:
         raise ValueError(f"templates have {len(h)} words; send at most {MOST_WORDS} at a time")
     words = [h[a:b] for a, b in zip(first[:-1], first[1:], strict=True)]
     at, prints = winnow(h, first, k, window)
     owner = np.searchsorted(first, at, "right") - 1
     order = np.lexsort((at, owner, prints))
-    return Index([n for n, _ in templates], words, prints[order], owner[order], (at - first[owner])[order], k, window)
+    digits = np.concatenate(([0], np.cumsum((buf >= 0x30) & (buf <= 0x39))))
+    number = digits[end] - digits[start] == end - start
+    index = Index([n for n, _ in templates], words, prints[order], owner[order], (at - first[owner])[order], k, window,
+                  [np.flatnonzero(number[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)],
+                  _words(*text_bytes(pa.array([" ".join(map(str, range(VERSIONS)))])))[3], [])
+    index.marks = _marks(index, coverage)
+    return index
+
+
+def _marks(index: Index, coverage: float) -> list[list[tuple[np.ndarray, np.ndarray]]]:
+    """Each template's marks against the templates of other names in which it would be reported."""
+    out: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in index.words]
+    counts = [np.unique(w, return_counts=True) for w in index.words]
+    prints = [np.sort(index.prints[index.template == t]) for t in range(len(index.words))]
+    for t, words in enumerate(index.words):
+        partner = np.empty(len(words), np.int64)
+        for u, other in enumerate(index.words):
+            if index.names[u] == index.names[t] or not np.isin(prints[t], prints[u]).any() or not _enough(*counts[t], other, coverage * len(words)):
+                continue
+            _, same, columns, _, _ = align(words, other, 0, max(len(words), len(other)), partner)
+            if same >= coverage * len(words) and same >= coverage * columns:
+                alone, parted = np.flatnonzero(partner < 0), _parted(partner)
+                if len(alone) + len(parted):
+                    out[t].append((alone, parted))
+    return out
 
 
-def align(template: np.ndarray, text: np.ndarray, offset: int, band: int) -> tuple[int, int, int, int, int]:
-    """Best local alignment of a template with text near template position 0 = text position ``offset``.
+def _parted(partner: np.ndarray) -> np.ndarray:
+    """Positions whose word and the next one match, but not side by side."""
+    return np.flatnonzero((partner[:-1] >= 0) & (partner[1:] >= 0) & (partner[1:] != partner[:-1] + 1))
 
-    Returns score, matches, columns, start and end in the text (0s if nothing matches). Cells are (i, j) with
-    j - i - offset within ``band``; ties keep the earliest end, and a match before a gap.
-    """
-    n, width = len(template), 2 * band + 1
-    score, move = np.zeros(width + 2, np.int32), np.zeros((n + 1, width + 2), np.int8)
-    best, where = 0, (0, 0)
-    for i in range(1, n + 1):
-        j = i - 1 + offset + np.arange(-band, band + 1)  # text word that column c compares
+
+def named_right(index: Index, t: int, partner: np.ndarray, text: np.ndarray, coverage: float) -> bool:
+    """Whether an alignment (``partner``: the text's word that each word matches; -1: none, -2: another word) keeps the template's marks."""
+    numbers = index.numbers[t]
+    if (partner[numbers] == -2).any():
+        return False
+    matched = np.flatnonzero(partner >= 0)
+    if len(matched) and len(numbers):  # numbers beyond the ends of the alignment: another number may stand in their place
+        first, last = int(matched[0]), int(matched[-1])
+        place = np.concatenate((numbers[numbers < first] - first + partner[first], numbers[numbers > last] - last + partner[last]))
+        if np.isin(text[place[(place >= 0) & (place < len(text))]], index.versions).any():
+            return False
+    beside = np.zeros(len(partner), bool)
+    beside[:-1] = (partner[:-1] >= 0) & (partner[1:] == partner[:-1] + 1)
+    return all((partner[alone] >= 0).sum() + beside[parted].sum() >= coverage * (len(alone) + len(parted)) for alone, parted in index.marks[t])
+
+
+def _fill(template: np.ndarray, text: np.ndarray, offset: int, band: int, score: np.ndarray, move: np.ndarray, rows: range) -> tuple[int, int, int]:
+    """Compute ``rows`` (from 1) of an alignment: ``score`` is the row before and becomes the last one, ``move`` takes their moves.
+    Returns the best score and where it is first reached."""
+    best, row_of, column = 0, 0, 0
+    steps = np.arange(2 * band + 1)
+    for i in rows:
+        j = i - 1 + offset + steps - band  # text word that column c compares
         inside = (j >= 0) & (j < len(text))
         equal = inside & (text[np.clip(j, 0, max(len(text) - 1, 0))] == template[i - 1]) if len(text) else inside
         slant = score[1:-1] + np.where(equal, 2, -1)
         up = score[2:] - 1  # a template word without a partner
         row = np.where(inside, np.maximum(np.maximum(slant, up), 0), 0)
         # gaps in the template: a running maximum from the left, one point off a step
-        steps = np.arange(width)
         across = np.maximum.accumulate(row + steps) - steps
         row = np.where(inside, np.maximum(row, across), 0)
-        move[i, 1:-1] = np.where(row <= 0, 0, np.where(row == slant, 1, np.where(row == up, 2, 3)))
+        move[i - rows.start, 1:-1] = np.where(row <= 0, 0, np.where(row == slant, 1, np.where(row == up, 2, 3)))
         score[1:-1] = row
         c = int(row.argmax())
         if row[c] > best:
-            best, where = int(row[c]), (i, c + 1)
+            best, row_of, column = int(row[c]), i, c + 1
+    return best, row_of, column
+
+
+def align(template: np.ndarray, text: np.ndarray, offset: int, band: int, partner: np.ndarray | None = None) -> tuple[int, int, int, int, int]:
+    """Best local alignment of a template with text near template position 0 = text position ``offset``.
+
+    Returns score, matches, columns, start and end in the text (0s if nothing matches). Cells are (i, j) with
+    j - i - offset within ``band``; ties keep the earliest end, and a match before a gap. ``partner``, if given, takes the text's word
+    that each template word equals (-1: none, -2: it stands against another word). Moves are held for a strip of rows only, and the
+    scores between strips, so memory grows with the band times the square root of a long template.
+    """
+    n, width, height = len(template), 2 * band + 3, max(STRIP, int(len(template) ** 0.5))
+    score, move = np.zeros(width, np.int32), np.zeros((min(n, height), width), np.int8)
+    saved, best, i, c, held = [], 0, 0, 0, -1
+    for held, top in enumerate(range(1, n + 1, height)):
+        saved.append(score.copy())
+        found, row, column = _fill(template, text, offset, band, score, move, range(top, min(n + 1, top + height)))
+        if found > best:
+            best, i, c = found, row, column
+    if partner is not None:
+        partner[:] = -1
     matches = columns = 0
-    i, c = where
     end = i + offset + c - 1 - band if best else 0
     start = end
-    while best and move[i, c]:
+    while best and i:
+        strip = (i - 1) // height
+        if strip != held:
+            held, top = strip, strip * height + 1
+            _fill(template, text, offset, band, saved[strip].copy(), move, range(top, min(n + 1, top + height)))
+        kind = move[i - 1 - held * height, c]
+        if not kind:
+            break
         columns += 1
-        if move[i, c] == 1:
+        if kind == 1:
             start = i - 1 + offset + c - 1 - band
-            matches += int(text[start] == template[i - 1])
+            same = text[start] == template[i - 1]
+            matches += int(same)
+            if partner is not None:
+                partner[i - 1] = start if same else -2
             i -= 1
-        elif move[i, c] == 2:
+        elif kind == 2:
             i, c = i - 1, c + 1
         else:
             c -= 1
@@ -138,10 +221,10 @@ def _enough(known: np.ndarray, times: np.ndarray, text: np.ndarray, need: float)
     return int(np.minimum(have, times).sum()) >= need
 
 
-def _bands(near: int, full: int, words: int) -> list[int]:
+def _bands(near: int, full: int) -> list[int]:
     """Half-widths to try: ``near``, doubled up to ``full``."""
     out = [near]
-    while out[-1] < full and words * (4 * out[-1] + 3) <= MOST_CELLS:
+    while out[-1] < full:
         out.append(min(max(2 * out[-1], 1), full))
     return out
 
@@ -168,17 +251,23 @@ def matches_of(index: Index, h: np.ndarray, at: np.ndarray, prints: np.ndarray,
             full = max(near, min(len(h), reach + max(middle - int(start[group]), int(start[x - 1]) - middle)))
             if t not in counts:
                 counts[t] = np.unique(words, return_counts=True)
-            for wide in _bands(near, full, len(words)) if _enough(*counts[t], h[max(0, middle - full):max(0, middle + len(words) + full)], coverage * len(words)) else []:
+            for wide in _bands(near, full) if _enough(*counts[t], h[max(0, middle - full):max(0, middle + len(words) + full)], coverage * len(words)) else []:
                 frm = max(0, middle - wide)
-                score, same, columns, a, b = align(words, h[frm:max(frm, middle + len(words) + wide)], middle - frm, wide)
-                if same >= coverage * len(words) and same >= coverage * columns:
+                partner = np.empty(len(words), np.int64)
+                near_text = h[frm:max(frm, middle + len(words) + wide)]
+                score, same, columns, a, b = align(words, near_text, middle - frm, wide, partner)
+                if same >= coverage * len(words) and same >= coverage * columns and named_right(index, t, partner, near_text, coverage):
                     found.append((-score, -len(words), t, a + frm, b + frm, same))
                 if same == columns == len(words):
                     break
             group = x
     out: list[tuple] = []
-    for score, size, t, a, b, same in sorted(found):
-        if all(b <= o[2] or a >= o[3] for o in out):
+    starts, ends = [], []  # spans taken so far; they don't overlap, so both ascend
+    for _, size, t, a, b, same in sorted(found):
+        k = bisect_right(starts, a)
+        if (k == 0 or ends[k - 1] <= a) and (k == len(starts) or starts[k] >= b):
+            starts.insert(k, a)
+            ends.insert(k, b)
             out.append((index.names[t], t, a, b, same, same / -size))
     return sorted(out, key=lambda o: (o[2], o[1]))
 
@@ -208,13 +297,22 @@ _MATCHES = pa.list_(pa.struct([("license", pa.string()), ("start", pa.int64()),
                                ("char_end", pa.int64()), ("matched", pa.int64()), ("coverage", pa.float64())]))
 
 
+def read_templates(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
+    """(name, text) of each file of a folder of whole license texts; more than ``MOST_WORDS`` words' worth of bytes are refused."""
+    files = spark.read.text(folder, wholetext=True).select(F.regexp_extract("_metadata.file_path", r"([^/]+?)(\.txt)?$", 1).alias("name"), "value")
+    size = files.agg(F.sum(F.length("value"))).first()[0] or 0
+    if size > 20 * MOST_WORDS:
+        raise ValueError(f"the licenses in {folder} have {size} characters; send at most {20 * MOST_WORDS} at a time")
+    return sorted((r.name, r.value) for r in files.collect())
+
+
 def scan(docs: DataFrame, templates: list[tuple[str, str]] | None = None, id_col: str = "doc_id", text_col: str = "text", coverage: float = 0.8,
          band: int = 8, k: int = 3, window: int = 3) -> DataFrame:
     """(doc_id, n_words, matches): each text's licenses with spans in words and in code points, matched words and coverage.
 
-    ``templates``: pairs of license and text (``TEMPLATES`` by default), of ``MOST_WORDS`` words at most.
+    ``templates``: pairs of license and text (``TEMPLATES`` by default; ``read_templates`` for a folder of whole licenses), of ``MOST_WORDS`` words at most.
     """
-    index = build_index(TEMPLATES if templates is None else templates, k, window)
+    index = build_index(TEMPLATES if templates is None else templates, k, window, coverage)
     small_batches(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
