@@ -12,19 +12,20 @@ without words are no near duplicates and stay. Rows that repeat are near duplica
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripspark.llm import decontaminate, ngram_join, pii, sentence_pieces, toxicity
-from tripspark.llm.common import stored
+from tripspark.llm.common import row_hash, stored
 from tripspark.llm.queries import PIECES, new_path, table
 
 #: Two classifiers, components by iteration and a Viterbi segmentation are not SQL; tests/llm holds a brute-force version.
 ORACLE_SQL = None
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumn("__rid", F.xxhash64("doc_id", "text"))
+def _rows(docs: DataFrame) -> DataFrame:
+    """(row, rid, text): each whole row as one column, so that no name of the document's can clash."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), row_hash().alias("rid"), "text")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,22 +36,22 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each class, and all without words."""
+    """Keep one document of each class, and all without words. Rows that repeat are reduced before they are shuffled."""
     near = stored(spark, ngram_join.near_duplicates(docs).select("rid", "root", "doc_id"), "near")
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "rid"))
-    keep = (near.filter("root is not null").groupBy("root").agg(first.alias("first")).select(F.col("first.rid").alias("__rid"), F.lit(True).alias("__one"))
-            .unionByName(near.filter("root is null").select(F.col("rid").alias("__rid"), F.lit(False).alias("__one")).distinct()))
-    turn = F.row_number().over(Window.partitionBy("__rid").orderBy("__rid"))  # rows that repeat: one of them
-    kept = _keyed(docs).join(keep, "__rid").withColumn("__turn", turn)
-    return kept.filter("not __one or __turn = 1").select(*[f"`{c}`" for c in docs.columns])
+    keep = near.filter("root is not null").groupBy("root").agg(first.alias("first")).select("first.rid")
+    has_word = F.coalesce(F.col("text").rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    one = _rows(docs).filter(has_word).dropDuplicates(["rid"]).join(keep, "rid")
+    return one.select("row.*").unionByName(docs.filter(~has_word))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents in which a window of a benchmark item occurs."""
-    index = decontaminate.stored_index(_keyed(docs), new_path(spark, "index"), id_col="__rid")
+    rows = _rows(docs)
+    index = decontaminate.stored_index(rows, new_path(spark, "index"), id_col="rid")
     found = decontaminate.search(index, table(spark, sf_dir, "benchmark"))
-    hit = stored(spark, found.filter("n_hit > 0").select(F.col("doc_id").alias("__rid")).distinct(), "hit")
-    return _keyed(docs).join(hit, "__rid", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    hit = stored(spark, found.filter("n_hit > 0").select(F.col("doc_id").alias("rid")).distinct(), "hit")
+    return rows.join(hit, "rid", "left_anti").select("row.*")
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

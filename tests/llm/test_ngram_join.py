@@ -4,7 +4,8 @@ import re
 import numpy as np
 
 from tripspark.llm.graph import merge, pairs_in_groups
-from tripspark.llm.ngram_join import fewest_matches, near_duplicates
+from tripspark.llm.common import row_hash
+from tripspark.llm.ngram_join import fewest_matches, near_duplicates, text_keys
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
 
@@ -90,3 +91,16 @@ def test_pairs_in_groups():
 
 def test_merge():
     assert merge(np.arange(6), np.array([5, 1, 3]), np.array([3, 2, 1])).tolist() == [0, 1, 1, 1, 4, 1]
+
+
+def test_keys_tell_rows_and_texts_apart(spark):
+    rows = [(None, "x"), ("x", None), ("", "x"), ("x", ""), ("null:", ""), (None, ""), (None, None), ("1:x", "y"), ("1", ":x=y"), ("x", None)]
+    keys = [bytes(r.k) for r in spark.createDataFrame(rows, "i string, t string").select(row_hash("i", "t").alias("k")).collect()]
+    assert len(set(keys)) == len(set(rows)) == 9 and keys[1] == keys[9] and {len(k) for k in keys} == {16}
+    texts = ["a b", "  a\t\nb ", "ab", "a  b c", "", " ", "b a", "a", "b"]
+    raw = [t.encode() for t in texts]
+    keys = text_keys(np.frombuffer(b"".join(raw), np.uint8), np.concatenate(([0], np.cumsum([len(r) for r in raw])))).to_pylist()
+    same = {}
+    for t, k in zip(texts, keys, strict=True):
+        same.setdefault(k, set()).add(" ".join(t.split()))
+    assert all(len(v) == 1 for v in same.values()) and same[None] == {""} and len(same) == 7

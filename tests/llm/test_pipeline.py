@@ -2,6 +2,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from test_decontaminate import words
@@ -73,6 +74,19 @@ def test_each_stage_keeps_the_columns(spark, corpus):
     assert corpus_pipeline.STAGES[-1][1](spark, docs, path).columns == [*docs.columns, "ids"]
 
 
+def test_clashing_names_and_repeated_rows(spark, corpus):
+    path, _, _ = corpus
+    docs = spark.read.parquet(f"{path}/documents.parquet").withColumnsRenamed({"lang": "__rid", "source": "row", "rid": "cuts"}).withColumn("__one", F.lit(1))
+    copies = docs.filter("doc_id = 100").unionByName(docs.filter("doc_id = 105"))
+    docs = docs.unionByName(copies).unionByName(copies)
+    kept = {n: stage(spark, docs, path) for n, stage in corpus_pipeline.STAGES[:-1]}
+    assert all(k.columns == docs.columns for k in kept.values())
+    ids = [r.doc_id for r in kept["ngram_join"].collect()]
+    assert ids.count(100) == 1 and ids.count(105) == 3 and 101 not in ids
+    rows = kept["decontaminate"].filter("doc_id in (100, 103)").collect()
+    assert [(r.doc_id, r["__rid"], r.row) for r in rows] == [(100, "en", "src")] * 3
+
+
 def test_empty_documents(spark, corpus):
     path, _, _ = corpus
     docs = spark.read.parquet(f"{path}/documents.parquet").limit(0)

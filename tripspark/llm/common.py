@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripspark.session import shared_dir
@@ -49,29 +49,36 @@ def small_batches(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def row_hash(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """128 bits (16 bytes) of id and text: equal for rows that repeat, other for others; null is no value."""
+    key = F.col(id_col).cast("string")
+    key = F.coalesce(F.concat(F.length(key).cast("string"), F.lit(":"), key), F.lit("null:"))
+    return F.unhex(F.md5(F.concat(key, F.coalesce(F.concat(F.lit("="), F.col(text_col)), F.lit("")))))
+
+
 def row_key(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(rid, id, text): rid is a hash of id and text, so rows that repeat share it."""
-    return docs.select(F.xxhash64(F.col(id_col), F.col(text_col)).alias("rid"),
+    """(rid, id, text): rid is ``row_hash``, so rows that repeat share it."""
+    return docs.select(row_hash(id_col, text_col).alias("rid"),
                        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
 
 
 def join_counted(left: DataFrame, right: DataFrame, key: str, count: str, spread: str,
-                 keep: int = 1000, salts: int = 32) -> DataFrame:
-    """Inner join of ``left`` with ``right`` (one row per key and its ``count`` in left).
+                 keep: int = 1000, salts: int = 32, also: tuple[str, ...] = ()) -> DataFrame:
+    """Inner join of ``left`` with ``right`` (one row per key and its ``count`` in left), on ``key`` and the columns ``also``.
 
     Keys with at least 1/``keep`` of the counted rows, of which there are at most ``keep``,
-    are salted by ``spread``; only those keys are broadcast.
+    are salted by the whole number ``spread`` (SQL); only those keys are broadcast.
     """
     total = right.agg(F.sum(count)).first()[0] or 0
-    hot = [r[0] for r in right.filter(F.col(count) * keep > F.lit(total)).filter(F.col(count) > 1000)
-           .select(key).collect()]
+    often = right.filter(F.col(count) * keep > F.lit(total)).filter(F.col(count) > 1000).select(key)
+    hot = [r[0] for r in (often.distinct() if also else often).collect()]
     if not hot:
-        return left.join(right, key)
+        return left.join(right, [key, *also])
     is_hot = F.col(key).isin(hot) if len(hot) < 50 else F.array_contains(F.array(*map(F.lit, hot)), F.col(key))
-    salted = left.withColumn("__salt", F.when(is_hot, F.pmod(F.col(spread), F.lit(salts))).otherwise(F.lit(0)).cast("int"))
+    salted = left.withColumn("__salt", F.when(is_hot, F.pmod(F.expr(spread), F.lit(salts))).otherwise(F.lit(0)).cast("int"))
     each = right.withColumn("__salt", F.explode(F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1)))
                                                 .otherwise(F.array(F.lit(0)))))
-    return salted.join(each, [key, "__salt"]).drop("__salt")
+    return salted.join(each, [key, *also, "__salt"]).drop("__salt")
 
 
 # --------------------------------------------------------------------------- bytes and words

@@ -23,6 +23,7 @@ any other; class ids are the least id that is not null. Empty tables give empty
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,7 +37,7 @@ from tripspark.llm.graph import block_pairs, components, merge, pairs_in_groups,
 BANDS, ROWS = 32, 4
 VALUES = BANDS * ROWS
 STEP = 32
-_GRAM, _TEXT = 0xE7037ED1A0B428DB, 0x589965CC75374CC3
+_GRAM = 0xE7037ED1A0B428DB
 
 
 def fewest_matches(threshold: float, tolerance: float, values: int = VALUES, step: int = STEP) -> list[tuple[int, int]]:
@@ -56,18 +57,27 @@ def fewest_matches(threshold: float, tolerance: float, values: int = VALUES, ste
     return out
 
 
+def text_keys(buf: np.ndarray, off: np.ndarray) -> pa.Array:
+    """128 bits of each text's words, joined by one space; null without words."""
+    start, _, first = word_bounds(buf, off, SPACE)
+    kept = ~SPACE[buf]
+    inner = np.ones(len(start), bool)
+    inner[first[:-1][np.diff(first) > 0]] = False
+    kept[start[inner] - 1] = True
+    words = np.where(SPACE[buf], np.uint8(0x20), buf)[kept].tobytes()
+    at = np.concatenate(([0], np.cumsum(kept)))[off].tolist()
+    return pa.array([hashlib.blake2b(words[a:b], digest_size=16).digest() if b > a else None for a, b in zip(at[:-1], at[1:], strict=True)], pa.binary())
+
+
 def _grams(buf: np.ndarray, off: np.ndarray, n: int):
-    """n-gram hashes of a block, each text's first n-gram (and the end), and each text's hash of all words (0: none)."""
+    """n-gram hashes of a block and each text's first n-gram (and the end)."""
     start, end, first = word_bounds(buf, off, SPACE)
     h = spans_hash(buf, start, end, WORD_BASE)
     words = np.diff(first)
     count = np.where(words > 0, np.maximum(words - n + 1, 1), 0)
     at = ranges(first[:-1], count)
     stop = np.minimum(at + n, np.repeat(first[1:], count))
-    text = np.zeros(len(words), np.uint64)
-    some = np.flatnonzero(words)
-    text[some] = spans_hash(h, first[:-1][some], first[1:][some], _TEXT) | np.uint64(1)
-    return spans_hash(h, at, stop, _GRAM), np.concatenate(([0], np.cumsum(count))), text
+    return spans_hash(h, at, stop, _GRAM), np.concatenate(([0], np.cumsum(count)))
 
 
 def _multipliers() -> np.ndarray:
@@ -100,14 +110,14 @@ def _sign(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, buf, off in blocks(batch, limit=1 << 20):
-                grams, first, text = _grams(buf, off, n)
-                some = np.flatnonzero(text)
+                grams, first = _grams(buf, off, n)
+                none = first[1:] == first[:-1]
+                some = np.flatnonzero(~none)
                 sig = _fixed(signatures(grams, np.append(first[:-1][some], len(grams))))
-                place = np.zeros(len(text), np.int64)
+                place = np.zeros(len(none), np.int64)
                 place[some] = np.arange(len(some))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("rid"), part.column("doc_id"), pa.array(text.view(np.int64), mask=text == 0),
-                     sig.take(pa.array(place, mask=text == 0))], ["rid", "doc_id", "u", "sig"])
+                    [part.column("rid"), part.column("doc_id"), text_keys(buf, off), sig.take(pa.array(place, mask=none))], ["rid", "doc_id", "key", "sig"])
     return run
 
 
@@ -155,7 +165,7 @@ def _verify(n: int, threshold: float, least: list[tuple[int, int]]):
             sig, u, copies = _matrix(batch.column("sig")), batch.column("u").to_numpy(), batch.column("copies").to_numpy()
             grams, sizes = [], []
             for _, buf, off in blocks(batch.select(["text"])):
-                g, first, _ = _grams(buf, off, n)
+                g, first = _grams(buf, off, n)
                 doc = np.repeat(np.arange(len(off) - 1), np.diff(first))
                 order = np.lexsort((g, doc))
                 g, doc = g[order], doc[order]
@@ -196,15 +206,17 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     ``class_id``: least id among the documents tied by links; ``text_id``: least id among those with equal words;
     ``n_links``: other documents at ``threshold`` or more; ``n_text_links``: different texts among them. ``rid`` is ``row_key``'s,
-    ``root`` a key of the class (null without words).
+    ``root`` a number of the class in this result (null without words). Texts of equal words are told by 128 bits and numbered when they are
+    stored, so no two of them share a number.
     """
     spark = small_batches(docs.sparkSession)
     source = row_key(docs, id_col, text_col)
     kind = source.schema["doc_id"].dataType.simpleString()
     least = fewest_matches(threshold, tolerance)
-    signed = stored(spark, source.mapInArrow(_sign(n), f"rid long, doc_id {kind}, u long, sig binary"), "signatures")
-    classes = stored(spark, signed.filter("u is not null").groupBy("u").agg(
-        F.count("*").alias("copies"), F.min("rid").alias("rid"), F.min("doc_id").alias("text_id"), F.min("sig").alias("sig")), "classes")
+    signed = stored(spark, source.mapInArrow(_sign(n), f"rid binary, doc_id {kind}, key binary, sig binary"), "signatures")
+    classes = stored(spark, signed.filter("key is not null").groupBy("key").agg(
+        F.count("*").alias("copies"), F.min("rid").alias("rid"), F.min("doc_id").alias("text_id"), F.min("sig").alias("sig"))
+        .withColumn("u", F.monotonically_increasing_id()), "classes")
 
     bands = classes.select("u", "sig").mapInArrow(_buckets, "bucket long, u long, band int")
     shared = stored(spark, bands.groupBy("bucket").agg(F.count("*").alias("members")).filter("members > 1"), "buckets")
@@ -221,13 +233,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                       .mapInArrow(_verify(n, threshold, least), "a long, b long, links long, texts long"), "verified")
     counts = verified.groupBy(F.col("a").alias("u")).agg(F.sum("links").alias("links"), F.sum("texts").alias("texts"))
     root = components(spark, verified.select("a", "b"), "links")
-    one = (classes.select("u", "copies", "text_id").join(counts, "u", "left").join(root, "u", "left")
+    one = (classes.select("u", "key", "copies", "text_id").join(counts, "u", "left").join(root, "u", "left")
            .withColumn("root", F.coalesce("root", "u")))
     ids = one.groupBy("root").agg(F.min("text_id").alias("class_id"), F.count("*").alias("members"))
     result = stored(spark, join_counted(one, ids, "root", "members", "u").select(
-        "u", "root", "copies", "class_id", "text_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        "key", "root", "copies", "class_id", "text_id", (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("texts", F.lit(0)).cast("long").alias("n_text_links")), "classes")
-    with_words = join_counted(signed.select("rid", "doc_id", "u").filter("u is not null"), result, "u", "copies", "rid")
+    with_words = join_counted(signed.select("rid", "doc_id", "key").filter("key is not null"), result, "key", "copies", "xxhash64(rid)")
     return with_words.select("rid", "root", "doc_id", "class_id", "text_id", "n_links", "n_text_links").unionByName(
-        signed.filter("u is null").select("rid", F.lit(None).cast("long").alias("root"), "doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("text_id"),
+        signed.filter("key is null").select("rid", F.lit(None).cast("long").alias("root"), "doc_id", F.col("doc_id").alias("class_id"), F.col("doc_id").alias("text_id"),
                                           F.lit(0).cast("long").alias("n_links"), F.lit(0).cast("long").alias("n_text_links")))

@@ -28,7 +28,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripspark.llm.common import stored
+from tripspark.llm.common import row_hash, stored
 
 #: Order of kinds in results.
 KINDS = ["email", "ip", "card", "phone", "ssn", "iban", "secret"]
@@ -81,7 +81,7 @@ def _spans(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
         parts = F.transform(F.arrays_zip(found.alias("span"), F.split(text, pattern, -1).alias("piece")), _part(k))
         each.append(F.when(F.expr(test), F.when(F.size(parts) > 1, parts)).otherwise(F.array().cast(kind)))
-    rows = (docs.select(F.xxhash64(id_col, text_col).alias("rid"), F.col(text_col).alias("text"))
+    rows = (docs.select(row_hash(id_col, text_col).alias("rid"), F.col(text_col).alias("text"))
             .select("rid", F.inline(F.concat(*[F.coalesce(e, F.array().cast(kind)) for e in each])))
             .dropDuplicates(["rid", "pattern", "pos"]))
     order = Window.partitionBy("rid", "pattern").orderBy("pos")
@@ -211,7 +211,7 @@ def find(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thresh
     spans = F.transform(F.sort_array(F.concat("sure", more)), lambda x: F.struct(x["kind"].alias("kind"), x["start"].alias("start"), x["end"].alias("end"),
                                                                                x["base"].alias("base"), x["probability"].alias("probability")))
     per = per.select("rid", spans.alias("spans"))
-    ids = docs.select(F.xxhash64(id_col, text_col).alias("rid"), F.col(id_col).alias("doc_id"))
+    ids = docs.select(row_hash(id_col, text_col).alias("rid"), F.col(id_col).alias("doc_id"))
     empty = F.array().cast("array<struct<kind:string,start:bigint,end:bigint,base:boolean,probability:double>>")
     return ids.join(per, "rid", "left").select("doc_id", "rid", F.coalesce("spans", empty).alias("spans"))
 
@@ -223,15 +223,17 @@ def written(spans: Column) -> Column:
 
 def redact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with every span replaced by its kind in brackets; overlapping spans are one (the first names it)."""
-    found = find(docs, id_col, text_col).filter(F.size("spans") > 0).select(F.col("rid").alias("__rid"), "spans").dropDuplicates(["__rid"])
+    found = find(docs, id_col, text_col).filter(F.size("spans") > 0).select("rid", "spans").dropDuplicates(["rid"])
     # the text is cut at the spans' ends: each span gives the text since the one before, and its mark
-    order = Window.partitionBy("__rid").orderBy("start", F.desc("end"), "kind")
-    rows = found.select("__rid", F.inline("spans")).withColumn("reach", F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)))
+    order = Window.partitionBy("rid").orderBy("start", F.desc("end"), "kind")
+    rows = found.select("rid", F.inline("spans")).withColumn("reach", F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)))
     rows = rows.filter(F.col("reach").isNull() | (F.col("end") > F.col("reach"))).withColumn("from", F.greatest(F.coalesce("reach", F.lit(0)), "start"))
     rows = rows.withColumn("mark", F.when(F.coalesce("reach", F.lit(0)) <= F.col("start"), F.concat(F.lit("["), F.upper("kind"), F.lit("]"))).otherwise(F.lit("")))
-    cuts = rows.groupBy("__rid").agg(F.sort_array(F.collect_list(F.struct("from", "end", "mark", F.coalesce("reach", F.lit(0)).alias("since")))).alias("__cuts"))
-    keyed = docs.withColumn("__rid", F.xxhash64(id_col, text_col)).join(cuts, "__rid", "left")
-    text = F.col(text_col)
-    parts = F.transform("__cuts", lambda c: F.concat(F.substring(text, (c["since"] + 1).cast("int"), (c["from"] - c["since"]).cast("int")), c["mark"]))
-    rest = F.substring(text, (F.element_at("__cuts", -1)["end"] + 1).cast("int"), F.length(text))
-    return keyed.withColumn(text_col, F.when(F.col("__cuts").isNull(), text).otherwise(F.concat(F.array_join(parts, ""), rest))).select(*docs.columns)
+    cuts = rows.groupBy("rid").agg(F.sort_array(F.collect_list(F.struct("from", "end", "mark", F.coalesce("reach", F.lit(0)).alias("since")))).alias("cuts"))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])  # one column, so that no name of the document's can clash
+    keyed = docs.select(whole.alias("row"), row_hash(id_col, text_col).alias("rid")).join(cuts, "rid", "left")
+    text = F.col("row")[text_col]
+    parts = F.transform("cuts", lambda c: F.concat(F.substring(text, (c["since"] + 1).cast("int"), (c["from"] - c["since"]).cast("int")), c["mark"]))
+    rest = F.substring(text, (F.element_at("cuts", -1)["end"] + 1).cast("int"), F.length(text))
+    redacted = F.when(F.col("cuts").isNull(), text).otherwise(F.concat(F.array_join(parts, ""), rest))
+    return keyed.select(*[(redacted if c == text_col else F.col("row")[c]).alias(c) for c in docs.columns])

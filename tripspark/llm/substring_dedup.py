@@ -10,8 +10,8 @@ one row: minimizer, hash of the path's words, document. Documents' paths meet in
   path of each content, and the edges are counted by content.
 
 Equal windows have equal minimizers, so nothing is missed. Paths and edges go back to their
-documents, where the source coordinates give the repeated spans. Counts are by minimizer and path, or minimizer and edge; what goes
-back to a document is a 64-bit hash of a path or an edge, and words are not compared, so a chance match needs 64 equal bits.
+documents, where the source coordinates give the repeated spans. Counts and joins are by minimizer and path, or minimizer and edge, so chance can only match paths or edges that share their minimizer
+(64 bits each); what goes back to a document is a 64-bit hash that is looked up among its own paths or edges. Words are not compared.
 This grouping by minimizer stands in for joins of nonbranching neighbours.
 
 Null text has no words; a text of fewer than ``span`` words keeps all; empty tables give empty results.
@@ -66,10 +66,9 @@ def _path_rows(span: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, buf, off in blocks(batch):
-                rid = part.column("rid").to_numpy()
                 *_, (m, path, _, _, doc) = _paths(buf, off, span, k)
                 _, one, count = np.unique(_within(doc, path), return_index=True, return_counts=True)
-                yield pa.RecordBatch.from_arrays([i64(m[one]), i64(path[one]), pa.array(rid[doc[one]]), i64(count)],
+                yield pa.RecordBatch.from_arrays([i64(m[one]), i64(path[one]), part.column("rid").take(pa.array(doc[one])), i64(count)],
                                                  ["m", "path", "rid", "n"])
     return run
 
@@ -78,7 +77,6 @@ def _edge_rows(span: int, k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, buf, off in blocks(batch):
-                rid = part.column("rid").to_numpy()
                 _, _, _, h, (m, path, s0, s1, doc) = _paths(buf, off, span, k)
                 many, single = _wanted(part.column("paths")), _wanted(part.column("solo"))
                 mine = _within(doc, path)
@@ -90,7 +88,7 @@ def _edge_rows(span: int, k: int):
                 n = (s1 - s0 + 1)[take]
                 at = ranges(s0[take], n)
                 yield pa.RecordBatch.from_arrays(
-                    [i64(np.repeat(m[take], n)), i64(_edges(h, at, span)), pa.array(np.repeat(rid[doc[take]], n)),
+                    [i64(np.repeat(m[take], n)), i64(_edges(h, at, span)), part.column("rid").take(pa.array(np.repeat(doc[take], n))),
                      pa.array(np.repeat(solo[take], n))], ["m", "edge", "rid", "solo"])
     return run
 
@@ -158,24 +156,23 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     spark = small_batches(docs.sparkSession)
     source = row_key(docs, id_col, text_col)
     id_type = source.schema["doc_id"].dataType.simpleString()
-    paths = source.select("rid", "text").mapInArrow(_path_rows(span, k), "m long, path long, rid long, n long")
+    paths = source.select("rid", "text").mapInArrow(_path_rows(span, k), "m long, path long, rid binary, n long")
     nodes = stored(spark, paths.groupBy("m").agg(F.sum("n").alias("seen"), F.min("path").alias("lo"), F.max("path").alias("hi"))
                    .filter("seen > 1"), "nodes")
-    met = stored(spark, join_counted(paths, nodes, "m", "seen", "rid")
+    met = stored(spark, join_counted(paths, nodes, "m", "seen", "xxhash64(rid)")
                  .select("m", "path", "rid", (F.col("n") < F.col("seen")).alias("elsewhere"), "n",
                          (F.col("lo") == F.col("hi")).alias("straight")), "met")
     straight = met.filter("straight and elsewhere").select("rid", "path")
     branching = met.filter("not straight")
     kinds = branching.groupBy("m", "path").agg(F.sum("n").alias("seen"), F.min("rid").alias("rid"))
-    again = kinds.filter("seen > 1").groupBy("path").agg(F.sum("seen").alias("seen"))
-    repeated = join_counted(branching.select("path", "rid"), again, "path", "seen", "rid").select("rid", "path")
+    again = kinds.filter("seen > 1").select("m", "path", "seen")
+    repeated = join_counted(branching.select("m", "path", "rid"), again, "path", "seen", "xxhash64(rid)", also=("m",)).select("rid", "path")
     wanted = kinds.groupBy("rid").agg(F.collect_list(F.when(F.col("seen") > 1, F.col("path"))).alias("paths"),
                                       F.collect_list(F.when(F.col("seen") == 1, F.col("path"))).alias("solo"))
     edges = stored(spark, wanted.join(source, "rid").select("rid", "doc_id", "text", "paths", "solo")
-                   .mapInArrow(_edge_rows(span, k), "m long, edge long, rid long, solo boolean"), "edges")
+                   .mapInArrow(_edge_rows(span, k), "m long, edge long, rid binary, solo boolean"), "edges")
     twice = edges.groupBy("edge", "m").agg(F.count("*").alias("seen")).filter("seen > 1")
-    twice = twice.groupBy("edge").agg(F.sum("seen").alias("seen"))
-    found = join_counted(edges.filter("solo").select("edge", "rid"), twice, "edge", "seen", "rid")
+    found = join_counted(edges.filter("solo").select("m", "edge", "rid"), twice, "edge", "seen", "xxhash64(rid)", also=("m",))
     gone = (straight.select("rid", "path", F.lit(None).cast("long").alias("edge"))
             .unionByName(repeated.select("rid", "path", F.lit(None).cast("long").alias("edge")))
             .unionByName(found.select("rid", F.lit(None).cast("long").alias("path"), "edge"))
