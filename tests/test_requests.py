@@ -49,3 +49,19 @@ def test_records_echo_everything(spark, models):
     assert got[2] == ("no_input", {"error": "No input data provided"}) and got[3][0] == "bad_input"
     assert got[9] == ("unknown_model", {"error": "Model fare_model_v5 not loaded or does not exist"})
     assert bodies.score(bodies.with_status(bodies.parsed(rows.filter("false")), ["v1"]), models).count() == 0
+
+
+def test_members_are_read_once(spark):
+    """A member's type and value are each asked for in one place, however many columns depend on them."""
+    rows = spark.createDataFrame([(1, "v1", json.dumps(FULL))], "request_id long, model_version string, value string")
+    df = bodies.with_status(bodies.parsed(rows), ["v1"]).drop("body")
+    plan = df._jdf.queryExecution().optimizedPlan().toString().lower()
+    n = len(scoring.REQUEST_FIELDS)
+    assert plan.count("try_variant_get") <= n + 2 and plan.count("schemaofvariant(") + plan.count("schema_of_variant(") <= n + 1
+
+
+def test_null_members_and_nested_bodies(spark):
+    said = ['{"passenger_count": null}', '{"note": {"passenger_count": "x"}}', "[[1]]", "[{}]", '{"passenger_count": {}}', '{"Passenger_count": "x"}', '"0"', "0.0", "[null]"]
+    rows = spark.createDataFrame([(i, "v1", v) for i, v in enumerate(said)], "request_id long, model_version string, value string")
+    got = {r.request_id: r.status for r in bodies.with_status(bodies.parsed(rows), ["v1"]).drop("body").collect()}
+    assert [got[i] for i in range(len(said))] == ["accepted", "accepted", "bad_input", "bad_input", "bad_input", "accepted", "no_input", "no_input", "no_input"]

@@ -17,7 +17,8 @@ from ..schemas import FEATURE_COLUMNS, REQUEST_SCHEMA
 from . import ensembles, features
 from .scoring import ACCEPTED, BAD_INPUT, NO_INPUT, NO_PREDICTION, NO_PREDICTION_WARNING, OK, REQUEST_FIELDS, UNKNOWN_MODEL
 
-_NUMBER = r"^(BIGINT|DOUBLE|FLOAT|DECIMAL\(.*\))$"
+#: Names of the columns in which ``with_status`` keeps the members, their types' names and the body's while it reads them.
+_MEMBERS, _KIND = "_members", "_kind"
 
 
 def parsed(requests: DataFrame, value: str = "value") -> DataFrame:
@@ -25,41 +26,44 @@ def parsed(requests: DataFrame, value: str = "value") -> DataFrame:
     return requests.withColumn("body", F.try_parse_json(F.col(value).cast("string")))
 
 
-def _member(name: str) -> tuple[Column, Column]:
-    """A member's type name (NULL if absent) and whether it is JSON null."""
-    m = F.try_variant_get("body", f"$.{name}", "variant")
-    return F.schema_of_variant(m), F.coalesce(F.is_variant_null(m), F.lit(False))
-
-
-def _typed(field: T.StructField) -> tuple[Column, Column]:
-    """A field's value, and whether its member is there but doesn't fit."""
-    kind, null = _member(field.name)
-    there = kind.isNotNull() & ~null
+def _typed(field: T.StructField) -> Column:
+    """A field's value if its member's type fits."""
+    kind = F.col(f"{_KIND}_{field.name}")
     if isinstance(field.dataType, T.StringType):
         fits, as_ = kind == "STRING", "string"
     elif isinstance(field.dataType, T.IntegerType):
         fits, as_ = kind == "BIGINT", "int"
     else:
-        fits, as_ = kind.rlike(_NUMBER), "double"
-    got = F.when(there & fits, F.try_variant_get("body", f"$.{field.name}", as_))
-    return got, F.coalesce(there & got.isNull(), F.lit(False))
+        fits, as_ = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL("), "double"
+    return F.when(fits, F.try_variant_get(f"{_MEMBERS}.{field.name}", "$", as_))
 
 
 def with_status(requests: DataFrame, versions: list[str]) -> DataFrame:
-    """``requests`` (with ``body``, see ``parsed``) with ``status`` and the request fields; ``versions``: the loaded ones."""
+    """``requests`` (with ``body``, see ``parsed``) with ``status`` and the request fields; ``versions``: the loaded ones.
+
+    Each step is a projection of its own whose columns later ones refer to: members are taken from the body at once, and a member's type and
+    value are found once, not for each place that asks for them.
+    """
     text = F.col("value").cast("string")
-    typed = [(f.name, *_typed(f)) for f in REQUEST_SCHEMA.fields]
-    kind = F.schema_of_variant("body")
+    names = [f.name for f in REQUEST_SCHEMA.fields]
+    members = ", ".join(f"`{n}`: variant" for n in names)
+    rows = requests.withColumn(_MEMBERS, F.try_variant_get("body", "$", f"struct<{members}>"))  # NULL if the body is no object
+    of = {n: F.col(f"{_MEMBERS}.{n}") for n in names}
+    # an object with one of the fields is neither empty nor anything else; the type of the whole body is named for the others only
+    other = F.when(F.coalesce(*[F.when(c.isNotNull(), F.lit(1)) for c in of.values()]).isNull(), F.schema_of_variant("body"))
+    rows = rows.withColumns({f"{_KIND}_{n}": F.schema_of_variant(c) for n, c in of.items()} | {_KIND: other})
+    rows = rows.withColumns({f.name: _typed(f) for f in REQUEST_SCHEMA.fields})
+    kind, is_object = F.col(_KIND), F.col(_MEMBERS).isNotNull()
     # what Python takes as false: an empty object, list or text, zero, false, null; or no text at all
-    falsy = kind.isin("OBJECT<>", "ARRAY<VOID>", "ARRAY<>", "VOID") | F.coalesce(F.try_variant_get("body", "$", "string").isin("", "0", "0.0", "false") & ~kind.startswith("OBJECT")
-                                                                             & ~kind.startswith("ARRAY"), F.lit(False))
+    falsy = kind.isin("OBJECT<>", "ARRAY<VOID>", "ARRAY<>", "VOID") | F.coalesce(
+        ~is_object & ~kind.startswith("ARRAY") & F.try_variant_get("body", "$", "string").isin("", "0", "0.0", "false"), F.lit(False))
     no_input = text.isNull() | (F.trim(text) == "") | F.coalesce(falsy, F.lit(False))
-    bad = ~F.coalesce(kind.startswith("OBJECT"), F.lit(False))
-    for _, _, wrong in typed:
-        bad = bad | wrong
+    bad = ~is_object
+    for n in names:  # a member is there but doesn't fit
+        bad = bad | F.coalesce((F.col(f"{_KIND}_{n}") != "VOID") & F.col(n).isNull(), F.lit(False))
     status = (F.when(~F.coalesce(F.col("model_version").isin(versions), F.lit(False)), F.lit(UNKNOWN_MODEL))
                .when(no_input, F.lit(NO_INPUT)).when(bad, F.lit(BAD_INPUT)).otherwise(F.lit(ACCEPTED)))
-    return requests.withColumns({"status": status, **{n: got for n, got, _ in typed}})
+    return rows.select(*requests.columns, status.alias("status"), *names)
 
 
 def score(status_df: DataFrame, models: DataFrame, max_km: float | None = DEFAULT_MAX_KM, digits: int = 2, spread: str = "request_id") -> DataFrame:
