@@ -101,3 +101,17 @@ def test_gram_versions_and_edges(spark, data):
     assert n == 200 and coef[2] == 0
     with pytest.raises(ValueError):
         gram.fit(data.filter("false"), COLS)
+
+
+def test_trees_are_walked_in_batches(spark, data, tmp_out):
+    """Trees up to the broadcast limit are walked as arrays, not row by row; versions without trees, unknown ones and holes beside them; as by the joined model."""
+    tree = Pipeline(stages=[training.feature_pipeline(COLS), training.regressor("gbt", maxIter=2, maxDepth=2)]).fit(data)
+    bare = Pipeline(stages=[VectorAssembler(inputCols=COLS, outputCol="features", handleInvalid="skip"), training.regressor("gbt", maxIter=2, maxDepth=2)]).fit(data)
+    line = Pipeline(stages=[training.feature_pipeline(COLS), LinearRegression(labelCol="fare_amount")]).fit(data)
+    packed = ensembles.packed_models(spark, [_saved(m, tmp_out, v) for v, m in enumerate((tree, bare, line), 1)])
+    rows = data.withColumn("a", F.when(F.col("id") % 5 > 0, F.col("a"))).withColumn("model_version", F.when(F.col("id") % 7 > 0, F.format_string("v%d", F.col("id") % 4 + 1)))
+    got = ensembles.predict(rows, packed, COLS, "id")
+    assert "EvalPython" in got._jdf.queryExecution().executedPlan().toString()
+    one = packed.select("model_version", F.struct(*[c for c in packed.columns if c != "model_version"]).alias("_model"))
+    want = {r.id: r.prediction for r in ensembles.with_prediction(rows.join(one, "model_version", "left"), COLS).collect()}
+    assert {r.id: r.prediction for r in got.collect()} == want and len(want) == 400 and sum(v is None for v in want.values()) > 0

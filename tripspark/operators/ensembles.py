@@ -13,7 +13,10 @@ a mean (pipelines that don't impute) the row has no prediction.
 from __future__ import annotations
 
 import json
+from dataclasses import dataclass
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -160,8 +163,9 @@ def _descend(model: str, x: Column, root: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.col(f"{model}.depth")), root, lambda n, _: step(n))
 
 
-def with_prediction(df: DataFrame, names: list[str], model: str = "_model") -> DataFrame:
-    """Add ``prediction`` to rows that carry a packed model as the struct ``model``; NULL if an input is missing and has no mean, or there is no model."""
+def with_inputs(df: DataFrame, names: list[str], model: str = "_model") -> DataFrame:
+    """Add ``_x``, the inputs of the struct ``model`` in its order, missing ones by their means, and ``_linear``, its linear part; NULL if an input
+    is missing and has no mean, or there is no model."""
     whole = [c for c in names if isinstance(df.schema[c].dataType, _WHOLE)]
     m = lambda c: F.col(f"{model}.{c}")
     # means of whole numbers here are not negative
@@ -170,21 +174,78 @@ def with_prediction(df: DataFrame, names: list[str], model: str = "_model") -> D
     rows = df.withColumn("_values", _values(df, names)).withColumn("_x", x)
     there = m("inputs").isNotNull() & ~F.exists("_x", lambda v: v.isNull())
     linear = F.aggregate(F.zip_with("_x", m("coefficients"), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + F.coalesce(v, F.lit(0.0))) + m("intercept")
+    return rows.withColumn("_linear", F.when(there, linear)).drop("_values")
+
+
+def with_prediction(df: DataFrame, names: list[str], model: str = "_model") -> DataFrame:
+    """Add ``prediction`` to rows that carry a packed model as the struct ``model``; NULL if an input is missing and has no mean, or there is no model."""
+    m = lambda c: F.col(f"{model}.{c}")
     trees = F.aggregate(m("roots"), F.lit(0.0), lambda s, r: s + r["weight"] * F.get(m("value"), _descend(model, F.col("_x"), r["place"])))
-    return rows.withColumn("prediction", F.when(there, linear + F.coalesce(trees, F.lit(0.0)))).drop("_values", "_x")
+    return with_inputs(df, names, model).withColumn("prediction", F.col("_linear") + F.coalesce(trees, F.lit(0.0))).drop("_x", "_linear")
+
+
+@dataclass
+class Trees:
+    """The trees of one packed model as arrays; a leaf is its own child on both sides."""
+
+    feature: np.ndarray
+    threshold: np.ndarray
+    left: np.ndarray
+    right: np.ndarray
+    value: np.ndarray
+    roots: np.ndarray
+    weights: np.ndarray
+    depth: int
+
+    @staticmethod
+    def of(row) -> Trees:
+        feature = np.array(row.feature, np.int64)
+        leaf, own = feature < 0, np.arange(len(feature))
+        child = lambda c: np.where(leaf, own, np.array([-1 if v is None else v for v in c], np.int64))
+        return Trees(np.where(leaf, 0, feature), np.array([np.nan if t is None else t for t in row.threshold], np.float64), child(row.left), child(row.right),
+                     np.array(row.value, np.float64), np.array([r.place for r in row.roots]), np.array([r.weight for r in row.roots]), row.depth)
+
+    def predict(self, x: np.ndarray) -> np.ndarray:
+        """The weighted sum of the leaves that each row of ``x`` reaches, tree after tree."""
+        total, rows = np.zeros(len(x)), np.arange(len(x))
+        for root, weight in zip(self.roots, self.weights, strict=True):
+            at = np.full(len(x), root)
+            for _ in range(self.depth):
+                at = np.where(x[rows, self.feature[at]] <= self.threshold[at], self.left[at], self.right[at])
+            total += weight * self.value[at]
+        return total
+
+
+def _tree_sums(trees: dict[str, Trees]):
+    """UDF: the trees' part of the prediction by version and inputs, a batch of rows at a time; 0 for versions without trees."""
+    @F.pandas_udf("double")
+    def sums(version: pd.Series, x: pd.Series) -> pd.Series:
+        out = np.zeros(len(version))
+        asked = version.where(x.notna())  # rows without inputs are in no group
+        for v, mine in asked.groupby(asked).indices.items():
+            if v in trees:
+                out[mine] = trees[v].predict(np.stack(x.to_numpy()[mine]).astype(np.float64))
+        return pd.Series(out)
+    return sums
 
 
 def predict(df: DataFrame, models: DataFrame, names: list[str], spread: str) -> DataFrame:
     """``df`` (with ``model_version`` and the input columns ``names``) with ``prediction`` by its version's model.
 
-    ``models`` (``packed_models``) is broadcast if its arrays have at most ``MAX_BROADCAST_ELEMENTS`` elements; beyond, a version's rows are
+    ``models`` (``packed_models``) is broadcast if its arrays have at most ``MAX_BROADCAST_ELEMENTS`` elements: rows are joined with their version's inputs
+    and coefficients, and batches of them walk its trees as arrays. Beyond, a version's rows are
     dealt to ``SALTS`` copies of its model by the column ``spread``, since one version may hold most rows.
     """
     elements = models.agg(F.sum(5 * F.coalesce(F.size("value"), F.lit(0)) + 2 * F.size("inputs"))).first()[0] or 0
-    packed = models.select("model_version", F.struct(*[c for c in models.columns if c != "model_version"]).alias("_model"))
     if elements <= MAX_BROADCAST_ELEMENTS:
-        joined = df.join(F.broadcast(packed), "model_version", "left")
-    else:
-        each = packed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).join(each, ["model_version", "_salt"], "left").drop("_salt")
+        plain = models.select("model_version", F.struct("inputs", "intercept", "coefficients").alias("_model"))
+        rows = with_inputs(df.join(F.broadcast(plain), "model_version", "left"), names)
+        trees = {r.model_version: Trees.of(r) for r in models.filter(F.size("roots") > 0).collect()}  # at most the elements that are broadcast
+        if trees:
+            rows = rows.withColumn("_trees", _tree_sums(trees)(F.col("model_version"), F.when(F.col("_linear").isNotNull(), F.col("_x"))))
+        total = F.col("_linear") + F.col("_trees") if trees else F.col("_linear")
+        return rows.select(*df.columns, total.alias("prediction"))
+    packed = models.select("model_version", F.struct(*[c for c in models.columns if c != "model_version"]).alias("_model"))
+    each = packed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    joined = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).join(each, ["model_version", "_salt"], "left").drop("_salt")
     return with_prediction(joined, names).select(*df.columns, "prediction")
