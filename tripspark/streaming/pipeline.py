@@ -142,7 +142,9 @@ class ExactBatcher:
         start = self.manifest(spark).start(self.stream, batch_id)
         # A micro-batch is bounded by the trigger limits; it is read by several
         # jobs below (rejects, count, index, write), so keep it, parsed once, for their span.
-        kept = df.select("offset", "value", codec.as_object("value", TRIP_SCHEMA).alias("t")).persist(StorageLevel.MEMORY_AND_DISK)
+        # Few large files give few tasks, so rows are dealt out before they are parsed.
+        spread = df.select("offset", "value").repartition("offset", "value")
+        kept = spread.select("offset", "value", codec.as_object("value", TRIP_SCHEMA).alias("t")).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             self._write(kept, batch_id, start)
         finally:
