@@ -174,7 +174,7 @@ def score_stream_refresh(spark, sf_dir):
 
     publish(versions[0])
     first, second = _halves(frames.requests(spark, sf_dir), "request_id")
-    first.coalesce(2).write.parquet(f"{base}/requests")
+    first.write.parquet(f"{base}/requests")
     shelf = lifecycle.ModelShelf(spark, f"{base}/models", f"{base}/_models")
     score = lifecycle.scoring_batch(shelf, f"{base}/scored")
 
@@ -183,7 +183,7 @@ def score_stream_refresh(spark, sf_dir):
         if batch_id == 0:  # the trainer ends while the service runs, then more requests come
             for v in versions[1:]:
                 publish(v)
-            second.coalesce(2).write.mode("append").parquet(f"{base}/requests")
+            second.write.mode("append").parquet(f"{base}/requests")
 
     stream = spark.readStream.schema("request_id BIGINT, model_version STRING, value STRING").parquet(f"{base}/requests")
     try:
