@@ -36,3 +36,16 @@ def test_partitions_restart_and_rejects(spark, tmp_out):
 def test_batch_size_is_checked():
     with pytest.raises(ValueError):
         keyed.NextNumber(0)
+
+
+def test_the_state_takes_counts(spark, tmp_out):
+    """One large partition's rows are not sent through its state: what reaches it are counts, and places are found in several tasks."""
+    path = f"{tmp_out}/one"
+    _send(spark, path, [(0, o, None) for o in range(50)])
+    stream = spark.readStream.schema("value string, offset long, part int").parquet(path)
+    plan = keyed.keyed_batches(stream, 7)._jdf.queryExecution().analyzed().toString()
+    state = plan[plan.index("TransformWithState"):]
+    assert "n#" in state.splitlines()[1] and "MapInArrow" in state
+    keyed.run_keyed_batches(spark, stream, f"{tmp_out}/out", f"{tmp_out}/_chk", 7)
+    got = sorted((r.row_no, r.batch_no) for r in keyed.read_keyed_batches(spark, f"{tmp_out}/out").collect())
+    assert got == [(o, o // 7 + 1) for o in range(50)]

@@ -151,3 +151,12 @@ def test_multiple_of_n_stream_has_no_final_batch(spark, tmp_out):
     b(spark.createDataFrame([(_trip(i), i, None) for i in range(5)], TOPIC_SCHEMA), 0)
     b(spark.createDataFrame([(_trip(i), i, None) for i in range(5, 8)], TOPIC_SCHEMA), 1)
     assert _sizes(spark, f"{tmp_out}/nm", 4) == {1: (4, False), 2: (4, False)}
+
+
+def test_a_single_file_is_parsed_by_several_tasks(spark, tmp_out, monkeypatch):
+    """A micro-batch that comes as one split is dealt out before its messages are parsed."""
+    seen = []
+    monkeypatch.setattr(pipeline.ExactBatcher, "_write", lambda self, df, batch_id, start: seen.append(df._jdf.queryExecution().withCachedData().toString()))
+    one = spark.range(20).selectExpr("id AS offset", "'{}' AS value").coalesce(1)
+    pipeline.ExactBatcher(f"{tmp_out}/b", 5)(one, 0)
+    assert "hashpartitioning(offset" in seen[0]
