@@ -98,3 +98,18 @@ def test_scores_do_not_depend_on_partitions(spark, make_docs):
         got.append({x.doc_id: x.score for x in qc.score(docs, qc.train(docs, labels, slots=512, dims=16)).collect()})
     assert got[0].keys() == got[1].keys() and max(abs(got[0][k] - got[1][k]) for k in got[0]) < 1e-6
     assert np.mean([(v >= 0.5) == k % 2 for k, v in got[0].items()]) > 0.95
+
+
+def test_contexts_word_by_word():
+    """Sums of a block's contexts as counted word by word, over texts without words and pieces of a block that end inside a text."""
+    r = np.random.default_rng(5)
+    sizes = [0, 1, 2, 0, 3, 66_000, 1, 7, 0]
+    slot, first = r.integers(0, 50, sum(sizes)), np.concatenate([[0], np.cumsum(sizes)])
+    index = qc.index_vectors(64, 8)
+    table, want = np.zeros((64, 9), np.int64), np.zeros((64, 9), np.int64)
+    qc.add_contexts(table, index, slot, first)
+    for a, b in zip(first, first[1:]):
+        for i in range(a, b):
+            want[slot[i], :-1] += sum(index[slot[j]].astype(np.int64) for j in range(max(a, i - 2), min(b, i + 3)) if j != i)
+            want[slot[i], -1] += 1
+    assert (table == want).all()

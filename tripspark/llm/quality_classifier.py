@@ -73,17 +73,23 @@ def add_contexts(table: np.ndarray, index: np.ndarray, slot: np.ndarray, first:
         return
     text = np.repeat(np.arange(len(first) - 1), np.diff(first))
     for lo in range(0, n, 1 << 16):
-        here = np.arange(lo, min(n, lo + (1 << 16)))
-        near = np.zeros((len(here), index.shape[1]), np.int16)
+        hi = min(n, lo + (1 << 16))
+        left, right = max(lo - REACH, 0), min(hi + REACH, n)
+        vectors = index[slot[left:right]].astype(np.int16)  # of the words and those around, taken once for all shifts
+        near = np.zeros((hi - lo, index.shape[1]), np.int16)
         for shift in (*range(-REACH, 0), *range(1, REACH + 1)):
-            other = here + shift
-            ok = (other >= 0) & (other < n)
-            ok[ok] = text[other[ok]] == text[here[ok]]
-            near[ok] += index[slot[other[ok]]]
+            a, b = max(lo, -shift), min(hi, n - shift)
+            if a >= b:
+                continue
+            to, other = near[a - lo:b - lo], vectors[a + shift - left:b + shift - left]
+            to += other
+            apart = np.flatnonzero(text[a:b] != text[a + shift:b + shift])  # words of another text
+            to[apart] -= other[apart]
+        here = slice(lo, hi)
         order = np.argsort(slot[here], kind="stable")
         mine = slot[here][order]
         heads = np.flatnonzero(np.diff(mine, prepend=-1))
-        table[mine[heads], :-1] += np.add.reduceat(near[order], heads, axis=0, dtype=np.int64)
+        table[mine[heads], :-1] += np.add.reduceat(near[order], heads, axis=0, dtype=np.int32)
         table[mine[heads], -1] += np.diff(np.append(heads, len(mine)))
 
 
