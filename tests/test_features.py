@@ -5,7 +5,10 @@ import math
 import numpy as np
 import pytest
 
+from tripspark import fixture
 from tripspark.functions import geo, timefeat
+from tripspark.operators import features, quality
+from tripspark.schemas import FEATURE_COLUMNS
 
 
 def test_time_features_utc_whatever_session_zone(spark):
@@ -72,3 +75,23 @@ def test_native_equals_udf_and_sql(spark):
             assert r.u is None and r.s is None
         else:
             assert r.u == pytest.approx(r.n, rel=1e-12) and r.s == pytest.approx(r.n, rel=1e-12)
+
+
+def test_training_rows_compute_time_and_distance_once(spark):
+    """Rules on the time and the distance do not compute them again; the rows are those of the cleaned features."""
+    ok = ("2013-07-02 19:54:00 UTC", -73.98, 40.75, -73.95, 40.78, 1, 10.0)
+    odd = [ok, ("garbage", *ok[1:]), (None, *ok[1:]), (ok[0], None, *ok[2:]), (ok[0], -73.98, 40.75, -73.98, 40.75, 1, 10.0), (*ok[:5], None, 10.0),
+           (*ok[:6], float("nan")), (ok[0], float("nan"), *ok[2:]), (*ok[:5], 7, 10.0), (*ok[:6], 500.0), (ok[0], -74.9, 40.1, -73.1, 41.9, 2, 60.0)]
+    trips = spark.createDataFrame([(i, *r) for i, r in enumerate(odd)], "row_no long, pickup_datetime string, pickup_longitude double, pickup_latitude double, "
+                                  "dropoff_longitude double, dropoff_latitude double, passenger_count int, fare_amount double")
+    got = features.training_rows(trips, keep=["row_no"])
+    want = quality.clean(features.add_features(trips)).select("row_no", "fare_amount", *FEATURE_COLUMNS).na.drop(subset=FEATURE_COLUMNS)
+    assert got.schema.simpleString() == want.schema.simpleString() and sorted(got.collect()) == sorted(want.collect()) and {r.row_no for r in got.collect()} == {0}
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert not any("ASIN" in line for line in plan.splitlines() if "Filter" in line) and plan.count("cast(pickup_datetime") == 1
+
+
+def test_raw_texts_are_made_after_events_are_split(spark):
+    """The sample that splits events by position does not make their texts."""
+    plan = fixture._in_order(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("garbage") < plan.index("RepartitionByExpression")

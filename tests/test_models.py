@@ -153,3 +153,24 @@ def test_registry_of_missing_folder_is_empty(spark, tmp_out):
     assert reg.count() == 0 and models == {}
     s = registry.registry_summary(reg).first()
     assert s.loaded_models == 0
+
+
+def test_reload_comparison_cleans_each_row_once(spark, monkeypatch):
+    """``model_reload_scores`` keeps its rows for the fit and the comparison."""
+    from pyspark.sql import functions as F
+    from tripspark.plans import frames, q_models
+    from tripspark.schemas import FEATURE_COLUMNS
+
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def fare(i):
+        seen.add(1)
+        return float(i % 7)
+
+    rows = spark.range(40).select(fare("id").alias("fare_amount"), *[((F.col("id") * (k + 3)) % 11).cast("double").alias(c) for k, c in enumerate(FEATURE_COLUMNS)])
+    fit = training.fit_pipeline
+    monkeypatch.setattr(frames, "cleaned", lambda spark, sf_dir: rows)
+    monkeypatch.setattr(training, "fit_pipeline", lambda train, kind: fit(train, kind="lr"))
+    assert tuple(q_models.model_reload_scores(spark, "").first()) == (40, 0)
+    assert seen.value == 40
