@@ -97,3 +97,21 @@ def test_a_retry_scores_with_the_models_of_its_first_try(spark, tmp_out):
     assert set(again.as_of(0)) == {"fare_model_v1"} and set(again.as_of(1)) == {"fare_model_v1", "fare_model_v2"}
     assert again.models(1).filter(F.col("model_version") == "v2").count() == 1
     again.close()
+
+
+def test_a_micro_batch_of_requests_is_dealt_out(spark, tmp_out, monkeypatch):
+    """Requests that came in one file are scored by several tasks."""
+    from tripspark.operators import requests
+
+    models = spark.createDataFrame([("v1",)], "model_version string")
+    shelf = type("Shelf", (), {"models": lambda self, batch_id: models})()
+    monkeypatch.setattr(requests, "score", lambda df, models: df.withColumn("task", F.spark_partition_id()))
+    monkeypatch.setattr(requests, "with_status", lambda df, versions: df)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        batch = spark.range(400).select(F.col("id").alias("request_id"), F.lit("v1").alias("model_version"), F.lit("{}").alias("value")).coalesce(1)
+        lifecycle.scoring_batch(shelf, tmp_out)(batch, 0)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    out = spark.read.parquet(f"{tmp_out}/mb=0")
+    assert out.count() == 400 and out.select("task").distinct().count() > 1

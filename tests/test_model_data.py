@@ -115,3 +115,18 @@ def test_trees_are_walked_in_batches(spark, data, tmp_out):
     one = packed.select("model_version", F.struct(*[c for c in packed.columns if c != "model_version"]).alias("_model"))
     want = {r.id: r.prediction for r in ensembles.with_prediction(rows.join(one, "model_version", "left"), COLS).collect()}
     assert {r.id: r.prediction for r in got.collect()} == want and len(want) == 400 and sum(v is None for v in want.values()) > 0
+
+
+def test_linear_models_are_scored_in_batches(spark):
+    """Linear parts are summed a batch of rows at a time, not row by row; holes, unknown versions, NaN and missing coefficients as by the joined model."""
+    models = spark.createDataFrame([("v1", [("a", 1.5), ("c", 2.7)], 0.25, [2.0, -3.0], 1, None, None, None, None, None, None), ("v2", [("b", None), ("x", 4.0)], 1.0, [0.1], 1, None, None, None, None, None, None),
+                                    ("v3", [], 7.0, [], 1, None, None, None, None, None, None), ("v4", None, 7.0, [], 1, None, None, None, None, None, None)],
+                                   "model_version string, inputs array<struct<name: string, mean: double>>, intercept double, coefficients array<double>, depth int, feature array<int>, "
+                                   "threshold array<double>, left array<int>, right array<int>, value array<double>, roots array<struct<place: int, weight: double>>")
+    values = [(0.1, 0.2, 3), (None, None, None), (float("nan"), float("nan"), 1), (float("inf"), -0.3, 2)]
+    rows = spark.createDataFrame([(a, b, c, v, i) for i, (a, b, c) in enumerate(values) for v in ("v1", "v2", "v3", "v4", "v9", None)], "a double, b double, c int, model_version string, id long")
+    got = ensembles.predict(rows, models, COLS, "id")
+    assert "ArrowEvalPython" in got._jdf.queryExecution().executedPlan().toString()
+    one = models.select("model_version", F.struct(*[c for c in models.columns if c != "model_version"]).alias("_model"))
+    want = ensembles.with_prediction(rows.join(one, "model_version", "left"), COLS)
+    assert sorted(map(str, want.select("id", "model_version", "prediction").collect())) == sorted(map(str, got.select("id", "model_version", "prediction").collect()))

@@ -3,8 +3,8 @@
 A saved pipeline is a folder of small tables. ``node_table`` reads the trees of any number of saved pipelines in one scan as rows
 (model_version, tree, weight, node, feature, threshold, left, right, value). ``tree_expression`` compiles one model's rows to a
 column expression. ``packed_models`` gathers each version into one row of arrays (tree nodes, linear coefficients, input names and
-imputed means), and ``predict`` joins requests with that table and walks the arrays with higher-order functions: the version is a
-join key, so the plan has the same operators for 3 versions and for 300.
+imputed means), and ``predict`` scores batches of requests with the arrays of their versions (a large table is joined instead): the version is
+data, so the plan has the same operators for 3 versions and for 300.
 
 Inputs are as in training: a missing (NULL or NaN) input takes its version's mean, cut to whole numbers where the column holds them. Without
 a mean (pipelines that don't impute) the row has no prediction.
@@ -13,10 +13,9 @@ a mean (pipelines that don't impute) the row has no prediction.
 from __future__ import annotations
 
 import json
-from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -163,14 +162,22 @@ def _descend(model: str, x: Column, root: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.col(f"{model}.depth")), root, lambda n, _: step(n))
 
 
+def _whole(df: DataFrame, names: list[str]) -> list[str]:
+    """Those of the columns that hold whole numbers."""
+    return [c for c in names if isinstance(df.schema[c].dataType, _WHOLE)]
+
+
+def _stand_in(i: Column, whole: list[str]) -> Column:
+    """What stands for the missing value of an input (name, mean); means of whole numbers here are not negative."""
+    return F.when(i["name"].isin(whole), F.floor(i["mean"]).cast("double")).otherwise(i["mean"])
+
+
 def with_inputs(df: DataFrame, names: list[str], model: str = "_model") -> DataFrame:
     """Add ``_x``, the inputs of the struct ``model`` in its order, missing ones by their means, and ``_linear``, its linear part; NULL if an input
     is missing and has no mean, or there is no model."""
-    whole = [c for c in names if isinstance(df.schema[c].dataType, _WHOLE)]
+    whole = _whole(df, names)
     m = lambda c: F.col(f"{model}.{c}")
-    # means of whole numbers here are not negative
-    mean = lambda i: F.when(i["name"].isin(whole), F.floor(i["mean"]).cast("double")).otherwise(i["mean"])
-    x = F.transform(m("inputs"), lambda i: F.coalesce(F.try_element_at(F.col("_values"), i["name"]), mean(i)))
+    x = F.transform(m("inputs"), lambda i: F.coalesce(F.try_element_at(F.col("_values"), i["name"]), _stand_in(i, whole)))
     rows = df.withColumn("_values", _values(df, names)).withColumn("_x", x)
     there = m("inputs").isNotNull() & ~F.exists("_x", lambda v: v.isNull())
     linear = F.aggregate(F.zip_with("_x", m("coefficients"), lambda a, b: a * b), F.lit(0.0), lambda s, v: s + F.coalesce(v, F.lit(0.0))) + m("intercept")
@@ -184,67 +191,82 @@ def with_prediction(df: DataFrame, names: list[str], model: str = "_model") -> D
     return with_inputs(df, names, model).withColumn("prediction", F.col("_linear") + F.coalesce(trees, F.lit(0.0))).drop("_x", "_linear")
 
 
-@dataclass
-class Trees:
-    """The trees of one packed model as arrays; a leaf is its own child on both sides."""
-
-    feature: np.ndarray
-    threshold: np.ndarray
-    left: np.ndarray
-    right: np.ndarray
-    value: np.ndarray
-    roots: np.ndarray
-    weights: np.ndarray
-    depth: int
-
-    @staticmethod
-    def of(row) -> Trees:
-        feature = np.array(row.feature, np.int64)
-        leaf, own = feature < 0, np.arange(len(feature))
-        child = lambda c: np.where(leaf, own, np.array([-1 if v is None else v for v in c], np.int64))
-        return Trees(np.where(leaf, 0, feature), np.array([np.nan if t is None else t for t in row.threshold], np.float64), child(row.left), child(row.right),
-                     np.array(row.value, np.float64), np.array([r.place for r in row.roots]), np.array([r.weight for r in row.roots]), row.depth)
-
-    def predict(self, x: np.ndarray) -> np.ndarray:
+def _trees(row) -> tuple | None:
+    """The trees of one packed model as arrays (feature, threshold, left, right, value, roots, weights, depth); a leaf is its own child on both sides."""
+    if not row.roots:
+        return None
+    feature = np.array(row.feature, np.int64)
+    leaf, own = feature < 0, np.arange(len(feature))
+    child = lambda c: np.where(leaf, own, np.array([-1 if v is None else v for v in c], np.int64))
+    return (np.where(leaf, 0, feature), np.array([np.nan if t is None else t for t in row.threshold], np.float64), child(row.left), child(row.right),
+            np.array(row.value, np.float64), np.array([r.place for r in row.roots]), np.array([r.weight for r in row.roots]), row.depth)
+
+
+def _predictions(models: dict[str, tuple], names: list[str]):
+    """UDF: prediction by version and the columns ``names``, a batch of rows at a time; NULL where there is none.
+
+    ``models`` has each version's inputs (name, what stands for a missing one), intercept, coefficients and ``_trees``. The functions are
+    nested, so tasks need numpy and Arrow only, not this package.
+    """
+    def leaves(trees, x):
         """The weighted sum of the leaves that each row of ``x`` reaches, tree after tree."""
+        feature, threshold, left, right, value, roots, weights, depth = trees
         total, rows = np.zeros(len(x)), np.arange(len(x))
-        for root, weight in zip(self.roots, self.weights, strict=True):
+        for root, weight in zip(roots, weights, strict=True):
             at = np.full(len(x), root)
-            for _ in range(self.depth):
-                at = np.where(x[rows, self.feature[at]] <= self.threshold[at], self.left[at], self.right[at])
-            total += weight * self.value[at]
+            for _ in range(depth):
+                at = np.where(x[rows, feature[at]] <= threshold[at], left[at], right[at])
+            total += weight * value[at]
         return total
 
-
-def _tree_sums(trees: dict[str, Trees]):
-    """UDF: the trees' part of the prediction by version and inputs, a batch of rows at a time; 0 for versions without trees."""
-    @F.pandas_udf("double")
-    def sums(version: pd.Series, x: pd.Series) -> pd.Series:
-        out = np.zeros(len(version))
-        asked = version.where(x.notna())  # rows without inputs are in no group
-        for v, mine in asked.groupby(asked).indices.items():
-            if v in trees:
-                out[mine] = trees[v].predict(np.stack(x.to_numpy()[mine]).astype(np.float64))
-        return pd.Series(out)
-    return sums
+    def predicted(model, columns, n):
+        """Predictions, and where there are any, of ``n`` rows of input ``columns`` (NaN: missing); summed in the order of ``with_prediction``."""
+        inputs, intercept, coefficients, trees = model
+        x, there = np.empty((n, len(inputs))), np.ones(n, bool)
+        for i, (name, mean) in enumerate(inputs):
+            x[:, i] = columns.get(name, np.nan)
+            missing = np.isnan(x[:, i])
+            if mean is None:
+                there &= ~missing
+            else:
+                x[missing, i] = mean
+        linear = np.zeros(n)
+        with np.errstate(all="ignore"):
+            for i, c in enumerate(coefficients[:len(inputs)]):
+                if c is not None:
+                    linear += x[:, i] * c
+            linear += intercept
+            return linear + (leaves(trees, x) if trees else 0.0), there
+
+    @F.arrow_udf("double")
+    def predictions(version: pa.Array, *columns: pa.Array) -> pa.Array:
+        out, there = np.zeros(len(version)), np.zeros(len(version), bool)
+        values = {c: a.to_numpy(zero_copy_only=False) for c, a in zip(names, columns, strict=True)}  # NULL as NaN
+        asked = version.dictionary_encode()
+        code = asked.indices.fill_null(-1).to_numpy(zero_copy_only=False)
+        for k, v in enumerate(asked.dictionary.to_pylist()):
+            if v in models:
+                mine = np.flatnonzero(code == k)
+                out[mine], there[mine] = predicted(models[v], {c: a[mine] for c, a in values.items()}, len(mine))
+        return pa.array(out, mask=~there)
+    return predictions
 
 
 def predict(df: DataFrame, models: DataFrame, names: list[str], spread: str) -> DataFrame:
     """``df`` (with ``model_version`` and the input columns ``names``) with ``prediction`` by its version's model.
 
-    ``models`` (``packed_models``) is broadcast if its arrays have at most ``MAX_BROADCAST_ELEMENTS`` elements: rows are joined with their version's inputs
-    and coefficients, and batches of them walk its trees as arrays. Beyond, a version's rows are
+    ``models`` (``packed_models``) go to every task if their arrays have at most ``MAX_BROADCAST_ELEMENTS`` elements: a batch of rows of a version
+    fills in its inputs, sums its linear part and walks its trees as arrays. Beyond, a version's rows are
     dealt to ``SALTS`` copies of its model by the column ``spread``, since one version may hold most rows.
     """
     elements = models.agg(F.sum(5 * F.coalesce(F.size("value"), F.lit(0)) + 2 * F.size("inputs"))).first()[0] or 0
     if elements <= MAX_BROADCAST_ELEMENTS:
-        plain = models.select("model_version", F.struct("inputs", "intercept", "coefficients").alias("_model"))
-        rows = with_inputs(df.join(F.broadcast(plain), "model_version", "left"), names)
-        trees = {r.model_version: Trees.of(r) for r in models.filter(F.size("roots") > 0).collect()}  # at most the elements that are broadcast
-        if trees:
-            rows = rows.withColumn("_trees", _tree_sums(trees)(F.col("model_version"), F.when(F.col("_linear").isNotNull(), F.col("_x"))))
-        total = F.col("_linear") + F.col("_trees") if trees else F.col("_linear")
-        return rows.select(*df.columns, total.alias("prediction"))
+        whole = _whole(df, names)
+        stands = F.transform("inputs", lambda i: F.struct(i["name"].alias("name"), _stand_in(i, whole).alias("mean")))
+        found = models.filter("inputs IS NOT NULL AND intercept IS NOT NULL AND coefficients IS NOT NULL").withColumn("inputs", stands)
+        packed = {r.model_version: ([(i["name"], i["mean"]) for i in r.inputs], r.intercept, r.coefficients, _trees(r))
+                  for r in found.collect()}  # at most the elements that go to every task
+        return df.select("*", _predictions(packed, names)("model_version", *[F.col(f"`{c}`").cast("double") for c in names]).alias("prediction"))
     packed = models.select("model_version", F.struct(*[c for c in models.columns if c != "model_version"]).alias("_model"))
     each = packed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     joined = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).join(each, ["model_version", "_salt"], "left").drop("_salt")

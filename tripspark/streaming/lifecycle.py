@@ -127,10 +127,14 @@ class ModelShelf:
 
 
 def scoring_batch(shelf: ModelShelf, out: str):
-    """``foreachBatch`` function: score requests with the models of the moment into ``<out>/mb=<id>``, with the versions that were known."""
+    """``foreachBatch`` function: score requests with the models of the moment into ``<out>/mb=<id>``, with the versions that were known.
+
+    Files that arrive differ in size, so rows are dealt out before they are parsed.
+    """
     def score(batch: DataFrame, batch_id: int) -> None:
         models = shelf.models(batch_id)
         versions = sorted(r[0] for r in models.select("model_version").collect())  # a row a version
-        scored = requests.score(requests.with_status(requests.parsed(batch), versions), models)
+        spread = batch.repartition("request_id", "value")
+        scored = requests.score(requests.with_status(requests.parsed(spread), versions), models)
         scored.drop("body").withColumn("known", F.array(*map(F.lit, versions)).cast("array<string>")).write.mode("overwrite").parquet(f"{out}/mb={batch_id}")
     return score
