@@ -91,7 +91,12 @@ def test_training_rows_compute_time_and_distance_once(spark):
     assert not any("ASIN" in line for line in plan.splitlines() if "Filter" in line) and plan.count("cast(pickup_datetime") == 1
 
 
-def test_raw_texts_are_made_after_events_are_split(spark):
-    """The sample that splits events by position does not make their texts."""
-    plan = fixture._in_order(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+def test_raw_texts_are_made_after_events_are_split(spark, tmp_out):
+    """The sample that splits events by position does not make their texts; rows are the same and in order."""
+    events = spark.range(500).selectExpr("499 - id AS event_id", "timestamp_seconds(id) AS ts", "id % 5 AS user_id", "id / 7D AS value")
+    events.write.parquet(f"{tmp_out}/events.parquet")
+    rows = fixture._in_order(spark, tmp_out)
+    got = rows.collect()
+    assert [r.row_no for r in got] == list(range(500)) and got == fixture.raw_trips(events).orderBy("row_no").collect()
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("garbage") < plan.index("RepartitionByExpression")
