@@ -130,3 +130,20 @@ def test_linear_models_are_scored_in_batches(spark):
     one = models.select("model_version", F.struct(*[c for c in models.columns if c != "model_version"]).alias("_model"))
     want = ensembles.with_prediction(rows.join(one, "model_version", "left"), COLS)
     assert sorted(map(str, want.select("id", "model_version", "prediction").collect())) == sorted(map(str, got.select("id", "model_version", "prediction").collect()))
+
+
+def test_inputs_that_no_model_takes_are_not_sent(spark, data, tmp_out):
+    """Only the columns that some version takes go to the batches of rows, with the same predictions."""
+    fits = [(1, ["a"]), (2, ["c", "a"])]
+    models = [(v, Pipeline(stages=[training.feature_pipeline(c), LinearRegression(labelCol="fare_amount")]).fit(data)) for v, c in fits]
+    packed = ensembles.packed_models(spark, [_saved(m, tmp_out, v) for v, m in models])
+    rows = data.withColumn("a", F.when(F.col("id") % 5 > 0, F.col("a"))).withColumn("model_version", F.format_string("v%d", "v"))
+    got = ensembles.predict(rows, packed, COLS, "id")
+    plan = got.select("prediction")._jdf.queryExecution().optimizedPlan().toString()
+    sent = plan.split("predictions(")[1].split(")#")[0]
+    assert "a#" in sent and "c#" in sent and "b#" not in sent
+    one = packed.select("model_version", F.struct(*[c for c in packed.columns if c != "model_version"]).alias("_model"))
+    want = {r.id: r.prediction for r in ensembles.with_prediction(rows.join(one, "model_version", "left"), COLS).collect()}
+    assert {r.id: r.prediction for r in got.collect()} == want and sum(v is not None for v in want.values()) > 200
+    none = ensembles.predict(rows, packed.filter("false"), COLS, "id")
+    assert none.filter("prediction is not null").count() == 0 and none.count() == 400

@@ -83,3 +83,19 @@ def test_funnel_adds_up(spark):
     assert (f.raw_rows, f.sent, f.skipped) == (3, 1, 2)
     assert f.skipped_missing_field + f.skipped_bad_value == f.skipped
     assert F is not None
+
+
+def test_valid_trips_test_each_spelling_once(spark):
+    """The trips of ``accepted(type_trips)``, odd cells too, with one test of a cell's spelling instead of two."""
+    cells = ["1", "-1.5", "1d", "+nan", "-NaN", "nan", "inf", "-Infinity", " 2 ", "1_0", "", None, "x", "1e3", ".5", "5.", "0x1", "1\u2028", "\u00a01"]
+    rows = [(i, None if i % 2 else f"k{i}", c, "2013-07-02 19:54:00 UTC", "-73.9", "40.7", "-73.8", "40.8", "1") for i, c in enumerate(cells)]
+    rows += [(100 + i, "k", "5", "2013-07-02 19:54:00 UTC", "-73.9", c, "-73.8", "40.8", p) for i, (c, p) in enumerate((c, p) for c in cells for p in ("1", " 2 ", "1.5", "x", "", None, "99999999999"))]
+    rows.append((900, "k", "5", "", "-73.9", "40.7", "-73.8", "40.8", "1"))
+    raw = spark.createDataFrame(rows, "row_no long, key string, fare_amount string, pickup_datetime string, pickup_longitude string, pickup_latitude string, "
+                                      "dropoff_longitude string, dropoff_latitude string, passenger_count string")
+    for frame in (raw, raw.drop("key"), raw.drop("dropoff_latitude")):
+        for mode in ("null", "absent"):
+            want, got = ingest.accepted(ingest.type_trips(frame, key_mode=mode)), ingest.valid_trips(frame, key_mode=mode)
+            assert got.schema == want.schema and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    plan = ingest.valid_trips(raw)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count(parse.FLOAT_PATTERN) == len(ingest.DOUBLE_FIELDS) and plan.count(parse.INT_PATTERN) == 1

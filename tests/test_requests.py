@@ -65,3 +65,16 @@ def test_null_members_and_nested_bodies(spark):
     rows = spark.createDataFrame([(i, "v1", v) for i, v in enumerate(said)], "request_id long, model_version string, value string")
     got = {r.request_id: r.status for r in bodies.with_status(bodies.parsed(rows), ["v1"]).drop("body").collect()}
     assert [got[i] for i in range(len(said))] == ["accepted", "accepted", "bad_input", "bad_input", "bad_input", "accepted", "no_input", "no_input", "no_input"]
+
+
+def test_bodies_of_other_versions_are_not_read(spark):
+    """A request for a model that isn't there is answered before its input is read; every other one as if all were read."""
+    rows = spark.createDataFrame([(i, m, v) for i, (v, _) in enumerate(CASES) for m in ("v1", "v2", "v9", None)], "request_id long, model_version string, value string")
+    for versions in (["v1"], ["v1", "v2"], []):
+        some = bodies.parsed(rows, versions=versions)
+        assert some.filter("body is not null").select("model_version").distinct().count() == len(versions)
+        want, got = (bodies.with_status(d, versions) for d in (bodies.parsed(rows), some))
+        known = [c for c in want.columns if c != "body"]
+        asked = f"status <> '{scoring.UNKNOWN_MODEL}'"
+        assert sorted(map(str, got.select("request_id", "model_version", "status").collect())) == sorted(map(str, want.select("request_id", "model_version", "status").collect()))
+        assert sorted(map(str, got.filter(asked).select(known).collect())) == sorted(map(str, want.filter(asked).select(known).collect()))

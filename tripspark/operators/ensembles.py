@@ -266,6 +266,8 @@ def predict(df: DataFrame, models: DataFrame, names: list[str], spread: str) ->
         found = models.filter("inputs IS NOT NULL AND intercept IS NOT NULL AND coefficients IS NOT NULL").withColumn("inputs", stands)
         packed = {r.model_version: ([(i["name"], i["mean"]) for i in r.inputs], r.intercept, r.coefficients, _trees(r))
                   for r in found.collect()}  # at most the elements that go to every task
+        asked = {name for inputs, *_ in packed.values() for name, _ in inputs}
+        names = [c for c in names if c in asked]  # what no model takes is neither computed nor sent to Python
         return df.select("*", _predictions(packed, names)("model_version", *[F.col(f"`{c}`").cast("double") for c in names]).alias("prediction"))
     packed = models.select("model_version", F.struct(*[c for c in models.columns if c != "model_version"]).alias("_model"))
     each = packed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

@@ -21,9 +21,13 @@ from .scoring import ACCEPTED, BAD_INPUT, NO_INPUT, NO_PREDICTION, NO_PREDICTION
 _MEMBERS, _KIND = "_members", "_kind"
 
 
-def parsed(requests: DataFrame, value: str = "value") -> DataFrame:
-    """Add ``body``: the request text as VARIANT, NULL if it is not JSON."""
-    return requests.withColumn("body", F.try_parse_json(F.col(value).cast("string")))
+def parsed(requests: DataFrame, value: str = "value", versions: list[str] | None = None) -> DataFrame:
+    """Add ``body``: the request text as VARIANT, NULL if it is not JSON.
+
+    With ``versions``, only requests for these are read, as in the original, which looks for the model before the input; the others' ``body`` is NULL.
+    """
+    body = F.try_parse_json(F.col(value).cast("string"))
+    return requests.withColumn("body", body if versions is None else F.when(F.col("model_version").isin(versions), body))
 
 
 def _typed(field: T.StructField) -> Column:

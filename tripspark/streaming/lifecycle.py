@@ -135,6 +135,6 @@ def scoring_batch(shelf: ModelShelf, out: str):
         models = shelf.models(batch_id)
         versions = sorted(r[0] for r in models.select("model_version").collect())  # a row a version
         spread = batch.repartition("request_id", "value")
-        scored = requests.score(requests.with_status(requests.parsed(spread), versions), models)
+        scored = requests.score(requests.with_status(requests.parsed(spread, versions=versions), versions), models)
         scored.drop("body").withColumn("known", F.array(*map(F.lit, versions)).cast("array<string>")).write.mode("overwrite").parquet(f"{out}/mb={batch_id}")
     return score
