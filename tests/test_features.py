@@ -100,3 +100,14 @@ def test_raw_texts_are_made_after_events_are_split(spark, tmp_out):
     assert [r.row_no for r in got] == list(range(500)) and got == fixture.raw_trips(events).orderBy("row_no").collect()
     plan = rows._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("garbage") < plan.index("RepartitionByExpression")
+
+
+def test_source_sorts_events_not_texts(spark, tmp_out):
+    """The raw source's rows are ordered before their texts are made: a task sorts the columns of ``events`` that they are made from."""
+    spark.range(50).selectExpr("49 - id AS event_id", "timestamp'2020-01-01' AS ts", "id AS user_id", "1.0D AS value", "repeat('x', 99) AS props").write.parquet(f"{tmp_out}/events.parquet")
+    rows = fixture._in_order(spark, tmp_out)
+    node = rows._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "Sort":
+        node = node.children().head()
+    assert {a.split("#")[0] for a in node.output().mkString(" ").split()} == {"event_id", "ts", "user_id", "value"}
+    assert [r.row_no for r in rows.collect()] == list(range(50))

@@ -78,3 +78,35 @@ def test_bodies_of_other_versions_are_not_read(spark):
         asked = f"status <> '{scoring.UNKNOWN_MODEL}'"
         assert sorted(map(str, got.select("request_id", "model_version", "status").collect())) == sorted(map(str, want.select("request_id", "model_version", "status").collect()))
         assert sorted(map(str, got.filter(asked).select(known).collect())) == sorted(map(str, want.filter(asked).select(known).collect()))
+
+
+def test_only_what_is_needed_goes_through_the_python_step(spark, models):
+    """The status is found before rows go to Python, so members and their types don't go with them; rows that aren't accepted ask for no model."""
+    rows = spark.createDataFrame([(i, m, v) for i, (v, _) in enumerate(CASES) for m in ("v1", "v9", None)], "request_id long, model_version string, value string")
+    status = bodies.with_status(bodies.parsed(rows, versions=["v1"]), ["v1"])
+    out = bodies.score(status, models).drop("body")
+    node = out._jdf.queryExecution().optimizedPlan()
+    while node.nodeName() != "ArrowEvalPython":
+        node = node.children().head()
+    names = {a.split("#")[0] for a in node.children().head().output().mkString(" ").split()}
+    assert names <= {"request_id", "model_version", "value", "status", *scoring.REQUEST_FIELDS, *BASIC_FEATURE_COLUMNS} and "status" in names
+    found = {(r.request_id, r.model_version): r.status for r in status.collect()}
+    got = {(r.request_id, r.model_version): (r.status, r.predicted_fare) for r in out.collect()}
+    assert {k: "accepted" if s in (scoring.OK, scoring.NO_PREDICTION) else s for k, (s, _) in got.items()} == found
+    assert all((fare is not None) == (s == scoring.OK) for s, fare in got.values())
+
+
+def test_numbers_are_read_from_their_digits(spark):
+    """Numbers of any spelling have the double or whole number that VARIANT's own conversion gives."""
+    said = ["0", "-0", "-0.0", "7", "-74", "9007199254740993", "9223372036854775807", "9223372036854775808", "-2147483648", "2147483647", "2147483648", "1.0", "0.1", "1.50",
+            "40.7127753", "73.98765432101234567", "0.000001", "0.30000000000000004", "123456789.123456789123456789", "12345678901234567890123456789012345678", "1e2", "1E-7", "1e400",
+            "4.35e-5", "0.12345678901234567890123456789012345678", "9" * 40, "-73.999999999999999999"]
+    said += [f"{s}{i * 7919 % 180}.{i * 104729 % 10 ** d:0{d}d}" for i in range(60) for d, s in ((2, ""), (6, "-"), (12, ""), (17, "-"))]
+    rows = spark.createDataFrame([(i, "v1", f'{{"pickup_longitude": {x}, "passenger_count": {x}}}') for i, x in enumerate(said)], "request_id long, model_version string, value string")
+    read = bodies.with_status(bodies.parsed(rows), ["v1"])
+    of = "try_variant_get(body, '$.pickup_longitude', 'double')", "CASE WHEN schema_of_variant(try_variant_get(body, '$.passenger_count', 'variant')) = 'BIGINT' THEN try_variant_get(body, '$.passenger_count', 'int') END"
+    got = read.selectExpr("request_id", "pickup_longitude", "passenger_count", f"{of[0]} AS x", f"{of[1]} AS n").collect()
+    assert len(got) == len(said) and all(repr(r.pickup_longitude) == repr(r.x) and r.passenger_count == r.n for r in got)
+    assert all(float(said[r.request_id]) == r.pickup_longitude for r in got) and sum(r.passenger_count is not None for r in got) == 6
+    plan = read._jdf.queryExecution().optimizedPlan().toString()
+    assert "passenger_count, $, IntegerType" not in plan

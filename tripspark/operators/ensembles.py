@@ -252,8 +252,11 @@ def _predictions(models: dict[str, tuple], names: list[str]):
     return predictions
 
 
-def predict(df: DataFrame, models: DataFrame, names: list[str], spread: str) -> DataFrame:
-    """``df`` (with ``model_version`` and the input columns ``names``) with ``prediction`` by its version's model.
+def predict(df: DataFrame, models: DataFrame, names: list[str], spread: str, only: Column | None = None) -> DataFrame:
+    """``df`` (with ``model_version`` and the input columns ``names``) with ``prediction`` by its version's model; with ``only``, NULL where that isn't true.
+
+    Naming a column of ``df`` in ``only`` also keeps its computation below the Python step: a column that is asked for twice is not computed
+    after it, so the columns it was made from don't go through that step with every row.
 
     ``models`` (``packed_models``) go to every task if their arrays have at most ``MAX_BROADCAST_ELEMENTS`` elements: a batch of rows of a version
     fills in its inputs, sums its linear part and walks its trees as arrays. Beyond, a version's rows are
@@ -268,8 +271,10 @@ def predict(df: DataFrame, models: DataFrame, names: list[str], spread: str) ->
                   for r in found.collect()}  # at most the elements that go to every task
         asked = {name for inputs, *_ in packed.values() for name, _ in inputs}
         names = [c for c in names if c in asked]  # what no model takes is neither computed nor sent to Python
-        return df.select("*", _predictions(packed, names)("model_version", *[F.col(f"`{c}`").cast("double") for c in names]).alias("prediction"))
+        version = F.col("model_version") if only is None else F.when(only, F.col("model_version"))
+        return df.select("*", _predictions(packed, names)(version, *[F.col(f"`{c}`").cast("double") for c in names]).alias("prediction"))
     packed = models.select("model_version", F.struct(*[c for c in models.columns if c != "model_version"]).alias("_model"))
     each = packed.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     joined = df.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(SALTS)).cast("int")).join(each, ["model_version", "_salt"], "left").drop("_salt")
-    return with_prediction(joined, names).select(*df.columns, "prediction")
+    prediction = F.col("prediction") if only is None else F.when(only, F.col("prediction"))
+    return with_prediction(joined, names).select(*df.columns, prediction.alias("prediction"))

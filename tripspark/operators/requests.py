@@ -31,15 +31,18 @@ def parsed(requests: DataFrame, value: str = "value", versions: list[str] | None
 
 
 def _typed(field: T.StructField) -> Column:
-    """A field's value if its member's type fits."""
-    kind = F.col(f"{_KIND}_{field.name}")
+    """A field's value if its member's type fits.
+
+    Whole and decimal numbers are read from the member's text, which holds their digits: VARIANT's own conversion to another type makes a new
+    cast for each value. Both round a number to the nearest double.
+    """
+    kind, member = F.col(f"{_KIND}_{field.name}"), F.col(f"{_MEMBERS}.{field.name}")
     if isinstance(field.dataType, T.StringType):
-        fits, as_ = kind == "STRING", "string"
-    elif isinstance(field.dataType, T.IntegerType):
-        fits, as_ = kind == "BIGINT", "int"
-    else:
-        fits, as_ = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL("), "double"
-    return F.when(fits, F.try_variant_get(f"{_MEMBERS}.{field.name}", "$", as_))
+        return F.when(kind == "STRING", F.try_variant_get(member, "$", "string"))
+    if isinstance(field.dataType, T.IntegerType):
+        return F.when(kind == "BIGINT", F.to_json(member).try_cast("int"))
+    return (F.when((kind == "BIGINT") | kind.startswith("DECIMAL("), F.to_json(member).try_cast("double"))
+             .when(kind.isin("DOUBLE", "FLOAT"), F.try_variant_get(member, "$", "double")))
 
 
 def with_status(requests: DataFrame, versions: list[str]) -> DataFrame:
@@ -74,8 +77,8 @@ def score(status_df: DataFrame, models: DataFrame, max_km: float | None = DEFAUL
     """Final ``status`` and ``predicted_fare`` of every request in one pass over them, whatever the number of versions in ``models``
     (``ensembles.packed_models``); the request fields are dropped."""
     kept = [c for c in status_df.columns if c not in REQUEST_FIELDS]
-    scored = ensembles.predict(features.add_features(status_df, max_km=max_km), models, FEATURE_COLUMNS, spread)
     accepted = F.col("status") == ACCEPTED
+    scored = ensembles.predict(features.add_features(status_df, max_km=max_km), models, FEATURE_COLUMNS, spread, accepted)
     there = F.col("prediction").isNotNull() & ~F.isnan("prediction")
     final = F.when(~accepted, F.col("status")).when(there, F.lit(OK)).otherwise(F.lit(NO_PREDICTION))
     return scored.select(*[c for c in kept if c != "status"], final.alias("status"), F.when(accepted & there, features.round_fare("prediction", digits)).alias("predicted_fare"))
