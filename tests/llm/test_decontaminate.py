@@ -1,9 +1,13 @@
 import random
 import re
+import tracemalloc
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
+from tripspark.llm import decontaminate
 from tripspark.llm.decontaminate import build_index, search, stored_index
 
 WORD = re.compile("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -108,3 +112,52 @@ def test_several_blocks_of_an_index_that_is_not_stored(make_docs):
     many = search(build_index(docs), items, block_chars=20)
     rows = lambda df: sorted((r.doc_id, r.n_words, r.n_hit, sorted(map(tuple, r.matches))) for r in df.collect())
     assert len(rows(many)) == 5 and rows(many) == rows(one)
+
+
+def test_row_groups_are_bounded_however_much_a_task_reads(spark, tmp_out):
+    """Before, up to 100 segments of a task were one row group (24 MB here), which the next read as a whole."""
+    docs = spark.range(0, 6000, 1, 1).selectExpr("id AS doc_id", "concat_ws(' ', transform(sequence(1, 250), k -> concat('w', abs(hash(id, k))))) AS text")
+    index = stored_index(docs, tmp_out + "/index")
+    most = 0
+    for path in index.inputFiles():
+        m = pq.ParquetFile(path.removeprefix("file://")).metadata
+        most = max([most, *(m.row_group(k).total_byte_size for k in range(m.num_row_groups))])
+    assert 0 < most < 6 << 20
+    item = docs.filter("doc_id = 4321").selectExpr("doc_id AS item_id", "text")
+    assert [(r.doc_id, r.n_words, r.n_hit) for r in search(index, item).filter("n_hit > 0").collect()] == [(4321, 250, 250)]
+
+
+def in_process(docs, items, size=10):
+    """The rows of ``docs`` as one batch, without Spark."""
+    batch = pa.RecordBatch.from_pydict({"doc_id": pa.array([d for d, _ in docs], pa.int64()), "text": pa.array([t for _, t in docs])})
+    query = decontaminate.query_of([t for _, t in items])
+    rows = [r for part in decontaminate._search([None if i is None else str(i) for i, _ in items], query, size, 0)(decontaminate._segments(iter([batch])))
+            for r in part.to_pylist()]
+    return sorted(((r["doc_id"], r["n_words"], r["n_hit"], sorted({m["item"] for m in r["matches"]} - {None})) for r in rows), key=repr)
+
+
+def test_items_and_candidates_in_small_steps(monkeypatch):
+    docs, items = sample(2)
+    monkeypatch.setattr(decontaminate, "QUERY_WORDS", 12)
+    monkeypatch.setattr(decontaminate, "CANDIDATES", 3)
+    monkeypatch.setattr(decontaminate, "SEGMENT_BYTES", 500)
+    assert in_process(docs, items) == brute(docs, items)
+
+
+def test_segments_without_words_and_with_wide_positions():
+    long = " ".join(f"v{k % 70_000}" for k in range(140_000))
+    docs = [(1, "!!!"), (2, None), (3, long), (4, "v1 v2")]
+    assert in_process(docs[:2], [(1, "a")]) == [(1, 0, 0, []), (2, 0, 0, [])]
+    assert in_process(docs, [(7, "v69998 v69999 v0 v1"), (8, "V1-v2"), (9, "")], 3) == brute(docs, [(7, "v69998 v69999 v0 v1"), (8, "V1-v2"), (9, "")], 3)
+
+
+def test_windows_take_little_memory():
+    """600,000 words of items, of whose windows one in 50 is in the segment: before, all windows were made
+    and copied as ten hashes each (263 MB)."""
+    text = " ".join(f"x{k}" for k in range(5_000))
+    items = [(k, " ".join(f"x{(k * 50 + j) % 5_000}" if k % 50 == 0 else f"y{j}" for j in range(50))) for k in range(12_000)]
+    tracemalloc.start()
+    ((_, n, hit, who),) = in_process([(1, text)], items)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (n, hit, len(who)) == (5_000, 100, 240) and peak < 120 << 20, peak

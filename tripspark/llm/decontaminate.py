@@ -2,8 +2,8 @@
 
 ``build_index`` stores the postings of every training token. The index is dealt by documents: each row is a
 segment of some documents with its sorted terms, their posting lists (word positions, ascending) and the
-documents' borders. ``search`` sends the benchmark's windows (a stated query set, in blocks of bounded size)
-to every segment: a window with an absent term is out; else the postings of its rarest term, moved by
+documents' borders. ``search`` sends the benchmark's words (a stated query set, in blocks of bounded size)
+to every segment and makes its windows there: a window with an absent term is out; else the postings of its rarest term, moved by
 the term's offset, are the candidates, and the other terms' lists are intersected in order of rarity.
 ``slop`` 0 finds exact phrases; above 0 a term may stand that many words from its place (proximity match).
 
@@ -22,15 +22,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripspark.llm.common import WORD_BASE, blocks, lut, ranges, small_batches, spans_hash, stored, text_bytes, word_bounds
+from tripspark.llm.common import WORD_BASE, blocks, lut, ranges, small_batches, spans_hash, text_bytes, word_bounds
+from tripspark.session import shared_dir
 
 #: Separators of ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]+`` after A-Z went to lower case.
 SEPARATORS = lut((0x00, 0x2F), (0x3A, 0x60), (0x7B, 0x7F))
 #: Most text of a segment (or one document).
-SEGMENT_BYTES = 4 << 20
+SEGMENT_BYTES = 256 << 10
+#: Words of the items, and places of their rarest terms, that a task looks up in a segment at once.
+QUERY_WORDS, CANDIDATES = 1 << 16, 1 << 18
+#: Row groups and pages end with the row that brings them to this size. Without the third, Parquet looks only after 100 rows; hashes don't repeat.
+_STORE = {"parquet.block.size": 4 << 20, "parquet.page.size": SEGMENT_BYTES, "parquet.page.size.row.check.min": 1, "parquet.enable.dictionary": "false"}
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[0x41:0x5B] += 32
 
@@ -41,8 +46,16 @@ def _words(buf: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return spans_hash(folded, start, end, WORD_BASE), first
 
 
-def _list(values: np.ndarray, kind) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), pa.array(values.astype(kind, copy=False)))
+def _packed(values: np.ndarray, most: int = 1 << 64) -> pa.Array:
+    """One binary value: the numbers' bytes, 2 or 4 each if none is above ``most``. Spark moves it at once, and an array number by number."""
+    values = np.ascontiguousarray(values, "<u2" if most < 1 << 16 else "<u4" if most < 1 << 32 else "<u8")
+    return pa.Array.from_buffers(pa.binary(), 1, [None, pa.py_buffer(np.array([0, values.nbytes], np.int32)), pa.py_buffer(values)])
+
+
+def _unpacked(value: pa.Scalar, n: int) -> np.ndarray:
+    """The ``n`` numbers of a packed value."""
+    buf = value.as_buffer()
+    return np.frombuffer(buf, f"<u{buf.size // max(n, 1) or 8}")
 
 
 def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -55,93 +68,111 @@ def _segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids = part.column("doc_id")
             yield pa.RecordBatch.from_arrays(
                 [pa.array([uuid.uuid4().hex]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-                 _list(first, np.int32), _list(by_term[starts].view(np.int64), np.int64),
-                 _list(np.append(starts, len(h)), np.int32), _list(order, np.int32)],
+                 _packed(first, len(h)), _packed(by_term[starts]), _packed(np.append(starts, len(h)), len(h)), _packed(order, len(h))],
                 ["segment", "ids", "first", "terms", "lists", "positions"])
 
 
+def _small_reads(spark: SparkSession) -> None:
+    """``small_batches``, and Parquet read by few rows: a reader keeps the texts or the postings of all rows of a step."""
+    small_batches(spark).conf.set("spark.sql.parquet.columnarReaderBatchSize", "256")
+
+
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Segments (segment, ids, first, terms, lists, positions): all postings of all documents."""
-    small_batches(docs.sparkSession)
+    """Segments (segment, ids, first, terms, lists, positions): all postings of all documents.
+
+    The last four are numbers packed in a binary value each: ``terms`` of 8 bytes, the others of 2, or 4 in a segment of more than 65,535 words."""
+    _small_reads(docs.sparkSession)
     source = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(_segments, f"segment string, ids array<{kind}>, first array<int>, terms array<long>, "
-                                        "lists array<int>, positions array<int>")
+    return source.mapInArrow(_segments, f"segment string, ids array<{kind}>, first binary, terms binary, lists binary, positions binary")
 
 
 def stored_index(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``build_index`` written to ``path`` (small row groups: a segment is a large row) and read back."""
-    build_index(docs, id_col, text_col).write.option("parquet.block.size", 16 << 20).parquet(path)
-    return docs.sparkSession.read.parquet(path)
+    return _written(build_index(docs, id_col, text_col), path)
 
 
-def windows_of(ids: list, texts: list, size: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
-    """By window length: the items' places in ``ids``, and one row of term hashes for each window."""
+def _written(index: DataFrame, path: str) -> DataFrame:
+    index.write.options(**_STORE).parquet(path)
+    return index.sparkSession.read.parquet(path)
+
+
+def query_of(texts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The items' distinct words (hashes, ascending), the number of each word among them, and each item's first word (and the end)."""
     h, first = _words(*text_bytes(pa.array(texts, pa.large_string())))
-    out: dict[int, list] = {}
-    for i, (a, b) in enumerate(zip(first[:-1], first[1:], strict=True)):
-        if b > a:
-            n = min(size, b - a)
-            out.setdefault(int(n), []).append((i, a, b - a - n + 1))
-    return {n: (np.repeat([x[0] for x in rows], [x[2] for x in rows]),
-                h[ranges(np.array([x[1] for x in rows]), np.array([x[2] for x in rows]))[:, None] + np.arange(n)])
-            for n, rows in out.items()}
-
-
-def find_windows(windows: np.ndarray, terms: np.ndarray, lists: np.ndarray, keys: np.ndarray, first: np.ndarray,
-                 slop: int = 0) -> tuple[np.ndarray, np.ndarray]:
-    """(window, first word) of each match in a segment; keys: term * words + position, ascending."""
+    distinct, code = np.unique(h, return_inverse=True)
+    return distinct, code.astype(np.int32), first
+
+
+def _places(windows: np.ndarray, lists: np.ndarray, keys: np.ndarray, first: np.ndarray, slop: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(window, first word) of each match in a segment, ``CANDIDATES`` at a time; windows: rows of the segment's terms."""
     words, n = len(keys), windows.shape[1]
-    none = np.zeros(0, np.int64), np.zeros(0, np.int64)
-    if not words or not len(windows):
-        return none
-    distinct, back = np.unique(windows, return_inverse=True)
-    at = np.minimum(np.searchsorted(terms, distinct), len(terms) - 1)
-    there = terms[at] == distinct
-    term, there = at[back].reshape(windows.shape), there[back].reshape(windows.shape)
-    alive = np.flatnonzero(there.all(axis=1))
-    if not len(alive):
-        return none
-    term = term[alive]
-    count = (lists[1:] - lists[:-1])[term]
+    count = (lists[1:] - lists[:-1])[windows]
     rank = np.argsort(count, axis=1, kind="stable")
-    row = np.arange(len(alive))
-    rare, size = term[row, rank[:, 0]], count[row, rank[:, 0]]
-    which = np.repeat(row, size)
-    at = ranges(lists[rare].astype(np.int64), size.astype(np.int64))
-    start = keys[at] - np.repeat(rare, size) * words - np.repeat(rank[:, 0], size)
-    inside = (start >= 0) & (start + n <= words)
-    which, start = which[inside], start[inside]
-    doc = np.searchsorted(first, start, "right") - 1
-    inside = start + n <= first[doc + 1]
-    which, start, doc = which[inside], start[inside], doc[inside]
-    for k in range(1, n):  # the other lists, the rarest first
-        if not len(which):
-            break
-        place = start + rank[which, k]
-        base = term[which, rank[which, k]] * words
-        low, high = np.maximum(place - slop, first[doc]), np.minimum(place + slop, first[doc + 1] - 1)
-        found = np.minimum(np.searchsorted(keys, base + low), words - 1)
-        ok = (keys[found] >= base + low) & (keys[found] <= base + high)
-        which, start, doc = which[ok], start[ok], doc[ok]
-    return alive[which], start
-
-
-def _search(ids: list, windows: dict, slop: int):
+    row = np.arange(len(windows))
+    rare, size = windows[row, rank[:, 0]], count[row, rank[:, 0]]
+    total = np.concatenate(([0], np.cumsum(size)))
+    a = 0
+    while a < len(windows):
+        b = max(a + 1, int(np.searchsorted(total, total[a] + CANDIDATES, "right")) - 1)
+        which = np.repeat(row[a:b], size[a:b])
+        at = ranges(lists[rare[a:b]], size[a:b])
+        start = keys[at] - np.repeat(rare[a:b], size[a:b]) * words - np.repeat(rank[a:b, 0], size[a:b])
+        a = b
+        inside = (start >= 0) & (start + n <= words)
+        which, start = which[inside], start[inside]
+        doc = np.searchsorted(first, start, "right") - 1
+        inside = start + n <= first[doc + 1]
+        which, start, doc = which[inside], start[inside], doc[inside]
+        for k in range(1, n):  # the other lists, the rarest first
+            if not len(which):
+                break
+            place = start + rank[which, k]
+            base = windows[which, rank[which, k]] * words
+            low, high = np.maximum(place - slop, first[doc]), np.minimum(place + slop, first[doc + 1] - 1)
+            found = np.minimum(np.searchsorted(keys, base + low), words - 1)
+            ok = (keys[found] >= base + low) & (keys[found] <= base + high)
+            which, start, doc = which[ok], start[ok], doc[ok]
+        yield which, start
+
+
+def find_items(query: tuple, size: int, terms: np.ndarray, lists: np.ndarray, keys: np.ndarray, first: np.ndarray,
+               slop: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(item, start, end) of each window that matches in a segment; keys: term * words + position, ascending.
+
+    Windows are made of ``QUERY_WORDS`` words of the items (or one item) at a time, and only where no term is absent."""
+    distinct, code, items = query
+    found = [(np.zeros(0, np.int64),) * 3]
+    if len(terms):
+        at = np.minimum(np.searchsorted(terms, distinct), len(terms) - 1)
+        term = np.where(terms[at] == distinct, at, -1)
+        a = 0
+        while a < len(items) - 1:
+            b = max(a + 1, int(np.searchsorted(items, items[a] + QUERY_WORDS, "right")) - 1)
+            words, begin = term[code[items[a]:items[b]]], items[a:b + 1] - items[a]
+            absent, length = np.concatenate(([0], np.cumsum(words < 0))), np.diff(begin)
+            long = np.minimum(length, size)
+            for n in np.unique(long[long > 0]).tolist():
+                of = np.flatnonzero(long == n)
+                at = ranges(begin[of], length[of] - n + 1)
+                at = at[absent[at + n] == absent[at]]
+                for w, s in _places(words[at[:, None] + np.arange(n)], lists, keys, first, slop):
+                    found.append((a + np.searchsorted(begin, at[w], "right") - 1, s, s + n))
+            a = b
+    return tuple(map(np.concatenate, zip(*found, strict=True)))
+
+
+def _search(ids: list, query: tuple, size: int, slop: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 doc_ids = batch.column("ids").slice(i, 1).flatten()
-                first, terms, lists, positions = (batch.column(c).slice(i, 1).flatten().to_numpy() for c in ("first", "terms", "lists", "positions"))
-                first, lists = first.astype(np.int64), lists.astype(np.int64)
+                first = _unpacked(batch.column("first")[i], len(doc_ids) + 1).astype(np.int64)
+                terms = np.frombuffer(batch.column("terms")[i].as_buffer(), "<u8")
+                lists = _unpacked(batch.column("lists")[i], len(terms) + 1).astype(np.int64)
+                positions = _unpacked(batch.column("positions")[i], int(first[-1]))
                 keys = np.repeat(np.arange(len(terms)), np.diff(lists)) * len(positions) + positions
-                item, start, end = [], [], []
-                for n, (owner, rows) in windows.items():
-                    w, s = find_windows(rows, terms.view(np.uint64), lists, keys, first, slop)
-                    item.append(owner[w])
-                    start.append(s)
-                    end.append(s + n)
-                item, start, end = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (item, start, end))
+                item, start, end = find_items(query, size, terms, lists, keys, first, slop)
                 # one run for each item where its windows overlap or touch
                 order = np.lexsort((start, item))
                 item, start, end = item[order], start[order], end[order]
@@ -175,13 +206,13 @@ def search(index: DataFrame, items: DataFrame, id_col: str = "item_id", text_col
     ``matches`` are structs (item, start, end) in words. Items are sent in blocks of at most ``block_chars`` characters
     (or one item); with several blocks, each document's runs are merged.
     """
-    small_batches(index.sparkSession)
+    _small_reads(index.sparkSession)
     kind = index.schema["ids"].dataType.elementType.simpleString()
     schema = f"segment string, row int, doc_id {kind}, n_words long, n_hit long, matches array<struct<item:string,start:long,end:long>>"
     out, ids, texts, chars, written = [], [], [], 0, index
 
     def flush() -> None:
-        out.append(written.mapInArrow(_search(list(ids), windows_of(ids, texts, size), slop), schema))
+        out.append(written.mapInArrow(_search(list(ids), query_of(texts), size, slop), schema))
         ids.clear()
         texts.clear()
 
@@ -190,7 +221,7 @@ def search(index: DataFrame, items: DataFrame, id_col: str = "item_id", text_col
     for r in items.select(F.col(id_col).cast("string").alias("i"), F.col(text_col).alias("t")).toLocalIterator():
         if texts and chars + len(r.t or "") > block_chars:
             if computed and written is index:
-                written = stored(index.sparkSession, index, "index")
+                written = _written(index, f"{shared_dir(index.sparkSession)}/llm/index-{uuid.uuid4().hex}")
             flush()
             chars = 0
         ids.append(r.i)
